@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, token_counts
+from . import bpe, html_text, language_id, mixing, token_counts, toxicity
 from .common import in_training, table
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -28,10 +32,22 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.learn(docs)).select("doc_id", (~in_training()).alias("held_out"), "lang_pred", "score")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, *toxicity.learn(docs, table(spark, sf_dir, "labels"))).select("doc_id", (~in_training()).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
     "op7_language_id": op7_language_id,
+    "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_mixing": mixing.SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, language_id, mixing, token_counts, toxicity
+from . import bpe, curve_search, exact_topk, html_text, language_id, mixing, token_counts, toxicity
 from .common import in_training, table
 
 
@@ -15,6 +15,10 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_curve_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,6 +36,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.learn(docs)).select("doc_id", (~in_training()).alias("held_out"), "lang_pred", "score")
 
 
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -43,11 +51,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
+    "op2_curve_search": op2_curve_search,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
     "op7_language_id": op7_language_id,
+    "op8_exact_topk": op8_exact_topk,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op8_exact_topk": exact_topk.SQL, "op9_mixing": mixing.SQL}

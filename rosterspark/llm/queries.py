@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, curve_search, exact_topk, html_text, language_id, mixing, token_counts, toxicity
+from . import bpe, curve_search, exact_topk, html_text, language_id, mixing, near_duplicates, token_counts, toxicity
 from .common import in_training, table
 
 
@@ -31,6 +31,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.link_groups(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.learn(docs)).select("doc_id", (~in_training()).alias("held_out"), "lang_pred", "score")
@@ -54,10 +58,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_curve_search": op2_curve_search,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_language_id": op7_language_id,
     "op8_exact_topk": op8_exact_topk,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_exact_topk": exact_topk.SQL, "op9_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard": near_duplicates.SQL, "op8_exact_topk": exact_topk.SQL, "op9_mixing": mixing.SQL}

@@ -153,21 +153,24 @@ def learn(docs: DataFrame, top: int = 400, train_docs: int = 1500, alphabet_size
     return Profiles(alphabet, profiles, top)
 
 
-def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
+def identify(docs: DataFrame, profiles: Profiles, keep: bool = False) -> DataFrame:
     """The nearest language of every whole text.
 
     Out: doc_id, lang_pred string, score double (1 less the distance to the nearest profile over the greatest possible one).
     `und` with score 0 if the text is null or has no letter, or if no language was learnt. One row out for each row in,
-    repeated or not; other columns are left out.
+    repeated or not. keep: all columns of docs come along; those that clash with lang_pred and score give way to them.
     """
     held = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(0).to_pylist()]
             for a, b in _chunks(texts):
                 langs, scores = held.value.nearest(texts[a:b])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    names = [c for c in docs.columns if c not in ("lang_pred", "score")] if keep else ["doc_id"]
+    read = docs.select(F.col("text").alias("text_"), *names)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[1:])
+    return read.mapInArrow(run, f"{kinds}, lang_pred string, score double")

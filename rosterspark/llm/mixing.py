@@ -27,10 +27,10 @@ from .common import WORD, staged
 BIN_DIGITS = 3
 
 
-def sizes(docs: DataFrame, seed: str) -> DataFrame:
-    """doc_id, source, size in words and place (the hash that orders a source)."""
+def sizes(docs: DataFrame, seed: str, keep: bool = False) -> DataFrame:
+    """doc_id, source (keep: all columns), size in words and place (the hash that orders a source)."""
     place = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), place.alias("place"))
+    return docs.select("*" if keep else "doc_id", *([] if keep else ["source"]), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), place.alias("place"))
 
 
 def targets(sized: DataFrame, weights: Sequence[float], total_share: float, max_epochs: float) -> DataFrame:
@@ -56,13 +56,15 @@ def targets(sized: DataFrame, weights: Sequence[float], total_share: float, max_
     return level.withColumn("target", target).withColumn("whole", whole).withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size")).select("source", "source_size", "target", "whole", "missing")
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_share: float = 1.5, max_epochs: float = 2, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_share: float = 1.5, max_epochs: float = 2, seed: str = "mix", keep: bool = False) -> DataFrame:
     """How often the mix takes each document.
 
     total_share: size of the mix over the size of all documents. Out: doc_id, source, size long, source_size long, target
     double (of the source), copies long (repetitions of the document), taken long (copies times size). One row out for each
-    row in; an empty table gives none.
+    row in; an empty table gives none. keep: all columns of docs come along; those that clash with the others give way.
     """
+    own = ("size", "place", "source_size", "target", "whole", "missing", "edge", "of", "bin", "more", "copies", "taken")
+    docs = docs.drop(*own)
     sized = staged(sizes(docs, seed), "mix-sizes")
     wanted = staged(targets(sized, weights, total_share, max_epochs), "mix-targets")
     digits = F.substring("place", 1, BIN_DIGITS)
@@ -72,13 +74,14 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_share: floa
     # The edge is the last bin that begins below what is missing.
     edge = reached.where(F.col("upto") - F.col("n") < F.col("missing")).groupBy(F.col("b.source").alias("edge_source")).agg(F.max(F.struct("bin", (F.col("upto") - F.col("n")).alias("before"))).alias("edge"))
     plan = staged(wanted.join(edge, F.col("source").eqNullSafe(F.col("edge_source")), "left").drop("edge_source"), "mix-plan").withColumnRenamed("source", "of")
-    placed = sized.join(plan, F.col("source").eqNullSafe(F.col("of")), "left").withColumn("bin", digits)
+    rows = sizes(docs, seed, keep=True) if keep else sized
+    placed = rows.join(plan, F.col("source").eqNullSafe(F.col("of")), "left").withColumn("bin", digits)
     at_edge = placed.where(F.col("bin") == F.col("edge.bin"))
     before = F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ordered = at_edge.withColumn("more", (F.col("edge.before") + before + F.col("size") / 2 <= F.col("missing")).cast("long"))
     others = placed.where(~F.coalesce(F.col("bin") == F.col("edge.bin"), F.lit(False))).withColumn("more", F.coalesce(F.col("bin") < F.col("edge.bin"), F.lit(False)).cast("long"))
     taken = ordered.unionByName(others).withColumn("copies", F.col("whole") + F.col("more"))
-    return taken.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return taken.select(*(docs.columns if keep else ["doc_id", "source"]), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 #: DuckDB SQL for mix() with the defaults: the iteration is unrolled by the same running sums over the sources.

@@ -200,11 +200,12 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = 4000, alpha: flo
     return grammar, fit(x, y)
 
 
-def score(docs: DataFrame, grammar: Grammar, weights: np.ndarray, threshold: float = 0.3) -> DataFrame:
+def score(docs: DataFrame, grammar: Grammar, weights: np.ndarray, threshold: float = 0.3, keep: bool = False) -> DataFrame:
     """The toxicity of every whole text.
 
     Out: doc_id, score double, predicted int (1 from the threshold on). A null or empty text has the score of a text without
-    matches. One row out for each row in, repeated or not; other columns are left out.
+    matches. One row out for each row in, repeated or not. keep: all columns of docs come along; those that clash with score and
+    predicted give way to them.
     """
     held = docs.sparkSession.sparkContext.broadcast((grammar.insults, weights))
 
@@ -214,9 +215,11 @@ def score(docs: DataFrame, grammar: Grammar, weights: np.ndarray, threshold: flo
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                sums = np.array([own.sums(t or "") for t in part.column(1).to_pylist()])
+                sums = np.array([own.sums(t or "") for t in part.column(0).to_pylist()])
                 p = 1 / (1 + np.exp(-np.clip(features(sums) @ w, -30, 30)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p), pa.array((p >= threshold).astype("i4"))], ["doc_id", "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(p), pa.array((p >= threshold).astype("i4"))], [*names, "score", "predicted"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    names = [c for c in docs.columns if c not in ("score", "predicted")] if keep else ["doc_id"]
+    read = docs.select(F.col("text").alias("text_"), *names)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[1:])
+    return read.mapInArrow(run, f"{kinds}, score double, predicted int")

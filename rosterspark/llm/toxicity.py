@@ -147,7 +147,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = 4000, alpha: flo
     of repeated labels the highest counts; repeated documents count as often as they stand there."""
     known = labels.select("doc_id", "toxic").where(in_training() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = bounded_sample(known, "toxic", train_docs)
-    sample = staged(docs.select("doc_id", "text").where(in_training() & F.col("text").isNotNull()).join(chosen, "doc_id").select("doc_id", "text", "toxic"), "toxic-sample")
+    sample = staged(docs.select("doc_id", "text").where(in_training() & F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "toxic-sample")  # the sample's ids: bounded by train_docs a label
     counts = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n1, n0 = counts.get(1, 0), sum(n for k, n in counts.items() if k != 1)
     insults: dict[str, float] = {}
@@ -168,8 +168,8 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = 4000, alpha: flo
         divergence = share * F.log(share / rate) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
         odds = F.log((F.col("p") + 0.5) / (n1 + 1)) - F.log((F.col("n") + 0.5) / (n0 + 1))
         unlikely = lambda docs: (docs > 0) & (share > rate) & ((docs + F.col("n")) * divergence > math.log(1 / alpha))
-        likely = {r.b: min(6.0, r.odds) for r in tried.where(unlikely(F.col("p")) & (odds > purity)).select("b", odds.alias("odds")).collect()}
-        candidates = tried.where(unlikely(F.col("p")) & (odds > purity))
+        candidates = staged(tried.where(unlikely(F.col("p")) & (odds > purity)).withColumn("odds", odds), "toxic-beginnings")
+        likely = {r.b: min(6.0, r.odds) for r in candidates.select("b", "odds").collect()}
 
         def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found: set[tuple[str, str]] = set()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, curve_search, exact_topk, html_text, language_id, mixing, near_duplicates, token_counts, toxicity
+from . import bpe, curve_search, exact_topk, html_text, language_id, masked_lm, mixing, near_duplicates, token_counts, toxicity
 from .common import in_training, table
 
 
@@ -25,6 +25,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return masked_lm.score(docs, *masked_lm.learn(docs))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_curve_search": op2_curve_search,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_masked_lm": op4_masked_lm,
     "op5_token_counts": op5_token_counts,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_language_id": op7_language_id,

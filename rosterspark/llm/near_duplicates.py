@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from .common import staged
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-#: Bits of the folded sketch, growth of size bands, and spare parts as a share of the bound.
-FOLD, BAND, SPARE = 1024, 1.25, 0.15
+#: Growth of size bands, and spare parts as a share of the bound.
+BAND, SPARE = 1.25, 0.15
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -117,9 +117,17 @@ def part_keys(shingles: np.ndarray, t: float) -> np.ndarray:
 
 
 def folded(shingles: np.ndarray) -> bytes:
-    """One parity sketch of FOLD bits."""
-    at = (mixed(shingles ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(FOLD - 1)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=FOLD) & 1).astype(np.uint8)).tobytes()
+    """One parity sketch, of two to four bits a shingle (a power of two, 256 at least)."""
+    bits = 1 << max(8, (2 * len(shingles) - 1).bit_length())
+    at = (mixed(shingles ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def halved(fold: np.ndarray, size: int) -> np.ndarray:
+    """A folded sketch brought to fewer words: halves are joined by XOR, as if it had been made so."""
+    while len(fold) > size:
+        fold = fold[: len(fold) // 2] ^ fold[len(fold) // 2 :]
+    return fold
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -156,23 +164,47 @@ def _candidates(pairs: DataFrame, sets: DataFrame, t: float) -> DataFrame:
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(_allowed(*(_folds(batch.column(k).to_pylist()) for k in (4, 5)), batch.column(2).to_numpy(), batch.column(3).to_numpy(), t))).select([0, 1])
+            columns = [batch.column(k) for k in (2, 3, 4, 5)]
+            keep = []
+            for na, nb, fa, fb in zip(*columns, strict=True):
+                folds = _folds([fa.as_py(), fb.as_py()])
+                keep.append(bool(_allowed(folds[0], folds[1], na.as_py(), nb.as_py(), t)))
+            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
     return joined.select("a", "b", "na", "nb", "fa", "fb").mapInArrow(near, "a long, b long")
 
 
 def _folds(folds: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(folds), dtype=np.uint64).reshape(-1, FOLD // 64)
+    """Folded sketches as rows, all of the length of the shortest."""
+    words = [np.frombuffer(f, dtype=np.uint64) for f in folds]
+    least = min(map(len, words))
+    return np.stack([halved(w, least) for w in words])
 
 
 def _allowed(fa: np.ndarray, fb: np.ndarray, na: np.ndarray, nb: np.ndarray, t: float) -> np.ndarray:
     return np.bitwise_count(fa ^ fb).sum(axis=-1) <= np.floor((1 - t) / (1 + t) * (na + nb) + 1e-9)
 
 
+#: Words of the bitmap that tells which documents a step may need: 8 million bits, whatever the input.
+BITMAP_WORDS = 1 << 17
+
+
+def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs with the column `marked`: true for every id of `ids` (one column) and, by chance, a few others.
+
+    The bitmap is at most BITMAP_WORDS rows, so it is broadcast and no text moves.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c, F.lit("bit")), F.lit(64 * BITMAP_WORDS))
+    bits = ids.select(bit(F.col(ids.columns[0])).alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+    here = docs.withColumn("bit", bit(F.col("doc_id"))).withColumn("word", F.expr("bit div 64"))
+    found = here.join(F.broadcast(bits), "word", "left").withColumn("marked", F.coalesce(F.expr("shiftright(bits, cast(bit % 64 as int)) & 1L") == 1, F.lit(False)))
+    return found.drop("bit", "word", "bits")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose sets reach the similarity, compared exactly; the texts of a pair travel to it."""
-    texts = docs.select("doc_id", "text")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    texts = _marked(docs.select("doc_id", "text"), needed).where("marked").drop("marked")
     both = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +253,11 @@ def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, small: int =
     first = some.groupBy("print").agg(F.min("doc_id").alias("rep"))
     equal = staged(some.select("doc_id", "print").join(first, "print").select("doc_id", "rep"), "equal-sets")
     reps = staged(some.join(first.select(F.col("rep").alias("doc_id"), "print"), ["doc_id", "print"], "left_semi").select("doc_id", "n", "print", "fold"), "set-reps")
-    texts = docs.where("doc_id is not null").join(reps.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text")
+    # Only documents that may be copies of another are looked up among the representatives; the others are their own.
+    seen = _marked(docs.where("doc_id is not null").select("doc_id", "text"), equal.where("doc_id <> rep").select("doc_id"))
+    own = seen.where("not marked").select("doc_id", "text")
+    texts = own.unionByName(seen.where("marked").join(reps.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text"))
+    own_texts = docs.where("doc_id is not null").select("doc_id", "text")
     by_key = Window.partitionBy("key")
     members = (
         _keys(texts, words, t)
@@ -234,11 +270,11 @@ def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, small: int =
     stars = buckets.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     chain = buckets.select(F.lag("doc_id").over(by_key.orderBy("doc_id")).alias("a"), F.col("doc_id").alias("b")).where("a is not null")
     tried = staged(_candidates(stars.unionByName(chain), reps, t), "tried")
-    links = staged(_verified(tried, texts, words, percent), "links")
+    links = staged(_verified(tried, own_texts, words, percent), "links")
     labels = components(links)
     # Every other pair of a bucket is either within a component or compared here, so one round is complete.
     between = _between(buckets, labels, reps, t, small, block).join(tried, ["a", "b"], "left_anti")
-    labels = components(staged(_verified(staged(between, "between"), texts, words, percent), "links"), labels)
+    labels = components(staged(_verified(staged(between, "between"), own_texts, words, percent), "links"), labels)
     united = components(equal.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), labels)
     out = sets.join(united, sets.doc_id == united.id, "left")
     return out.select(sets.doc_id, F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
@@ -268,8 +304,9 @@ def _between(buckets: DataFrame, labels: DataFrame, sets: DataFrame, t: float, s
         left, right = part[part.own == part.i.iloc[0]], part[part.own == part.j.iloc[0]]
         out = [np.zeros((0, 2), dtype=np.int64)]
         if len(left) and len(right):
-            folds, rn, rc, rd = _folds(right.fold.tolist()), right.n.to_numpy(), right.component.to_numpy(), right.doc_id.to_numpy()
-            for d, c, n, f in zip(left.doc_id, left.component, left.n, _folds(left.fold.tolist()), strict=True):
+            every = _folds([*right.fold, *left.fold])
+            folds, rn, rc, rd = every[: len(right)], right.n.to_numpy(), right.component.to_numpy(), right.doc_id.to_numpy()
+            for d, c, n, f in zip(left.doc_id, left.component, left.n, every[len(right) :], strict=True):
                 at = np.flatnonzero((rc != c) & (np.minimum(rn, n) >= np.maximum(rn, n) * t - 1e-9))
                 at = at[_allowed(folds[at], f, rn[at], n, t)]
                 out.append(np.stack((np.minimum(rd[at], d), np.maximum(rd[at], d)), axis=1))

@@ -87,8 +87,8 @@ def gap_fill(c: Column, other: Column) -> Column:
 
 
 CODE_GRAMMARS = (
+    r"^([A-Z]{2,5})[-*\s]?(\d{4})([A-Z])(?:-\w+)?$",  # CSCI0145A-F25
     r"^([A-Z]{2,5})[-*\s.]?(\d{2,4}[A-Z]?)[-*.\s]+([A-Z]?\d{1,3}[A-Z]?|[A-Z])$",  # CSC-201-01, COMP*121-01, CSCI 201.001
-    r"^([A-Z]{2,5})[-*\s]?(\d{3,4})([A-Z])(?:-\w+)?$",  # CSCI0145A-F25
     r"^([A-Z]{2,5})[-*\s]?(\d{2,4})()$",  # COSC120
 )
 

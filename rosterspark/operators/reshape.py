@@ -46,7 +46,7 @@ def columns_of(df: DataFrame, key: str, name: str, value: str, wanted: Sequence[
 def legend(df: DataFrame, cell: str, position: str, pair: str = r"([A-Z]{2,4}\d{3}):\s*([^;]+)") -> DataFrame:
     """(code, title) pairs found in cells; the first title of a code wins."""
     codes, titles = (F.regexp_extract_all(cell, F.lit(pair), k) for k in (1, 2))
-    found = df.select(position, F.posexplode(F.arrays_zip(codes.alias("code"), titles.alias("title"))).alias("nth", "p")).select(position, "nth", "p.code", F.trim("p.title").alias("title"))
+    found = df.select(position, F.posexplode(F.arrays_zip(codes.alias("code"), titles.alias("title"))).alias("nth", "pair__")).select(position, "nth", "pair__.code", F.trim("pair__.title").alias("title"))
     return found.withColumn("n", F.row_number().over(Window.partitionBy("code").orderBy(position, "nth"))).where("n = 1").select("code", "title")
 
 

@@ -4,17 +4,17 @@ A document is the set of its distinct word shingles. Two sets of a and b shingle
 (1 - t) / (1 + t) * (a + b) shingles. A parity sketch flips one bit for each shingle, so two sketches differ in at most as many
 bits as the sets differ in shingles. Sketches are cut into parts of 64 bits, one more than that bound and some to spare: shingles choose a
 part and a bit by their hash, and of two linked documents at least 1 + spare parts are equal (pigeonhole). Parts with few bits say little
-and are shared by chance, so a document leaves out those with fewer bits than a number of its own, chosen so that it leaves out no more
-than the spare parts; what either of two documents leaves out, the one with the larger number leaves out too, so one
+and are shared by chance, so a document leaves out as many parts as there are to spare, the last in an order by bits and sketch; what either of
+two documents leaves out of their equal parts, the one that leaves out the higher ones leaves out too, so one
 equal part always remains. The bound depends on the size, so documents are joined per size band; a document near the upper end
 of its band also enters the next one, where its larger partners are.
 
 Parts that several documents share (a bucket) give candidates. They are verified exactly: by the sizes, by a folded sketch whose
 distance can't exceed the bound, and by the shingle sets.
 
-Groups need no list of all pairs. In every bucket each document is first compared with the bucket's first document and with the one before it;
-verified links merge documents into components. What is left are buckets that still hold several components: there every document is
-compared with all documents of other components, in blocks inside the tasks, so only pairs that the sketches allow leave a
+Groups need no list of all pairs. First each document is compared with two documents that stand first or last in most of its buckets;
+verified links merge documents into components, and that is repeated with the buckets that still hold several. What is left of those
+is compared in full inside the tasks, members of different components with each other, and only pairs that the sketches allow leave a
 task. So a group of thousands of copies costs a few links a document, and no link between different components is missed.
 
 Equal sets are one document (the smallest id stands for them). Words are runs of characters other than ASCII white space, after
@@ -30,7 +30,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -109,10 +108,8 @@ def part_keys(shingles: np.ndarray, t: float) -> np.ndarray:
         at = ((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         sketch = np.zeros(parts, dtype=np.uint64)
         np.bitwise_xor.at(sketch, at.astype(np.int64), bits)
-        filled = np.bitwise_count(sketch)
-        fewer = np.cumsum(np.bincount(filled, minlength=66))  # parts with at most so many bits
-        kept = filled >= np.searchsorted(fewer, spare, side="right")
-        out.append(mixed(sketch + mixed(np.arange(parts, dtype=np.uint64) + np.uint64(band << 40)))[kept])
+        names = mixed(sketch + mixed(np.arange(parts, dtype=np.uint64) + np.uint64(band << 40)))
+        out.append(names[np.lexsort((names, np.bitwise_count(sketch)))[spare:]])
     return np.concatenate(out)
 
 
@@ -131,7 +128,7 @@ def halved(fold: np.ndarray, size: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, print (128 bits of the whole set), fold."""
+    """doc_id, n, print (128 bits of the whole set), fold, its number of words, brief (its short form)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
@@ -139,9 +136,9 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 sets = [shingler(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([folded(s) for s in sets], pa.binary())], ["doc_id", "n", "print", "fold"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(folds := [folded(s) for s in sets], pa.binary()), pa.array([len(f) // 8 for f in folds], pa.int32()), pa.array([short(f) for f in folds], pa.binary())], ["doc_id", "n", "print", "fold", "words", "brief"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, print binary, fold binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, print binary, fold binary, words int, brief binary")
 
 
 def _keys(docs: DataFrame, words: int, t: float) -> DataFrame:
@@ -185,6 +182,15 @@ def _allowed(fa: np.ndarray, fb: np.ndarray, na: np.ndarray, nb: np.ndarray, t:
     return np.bitwise_count(fa ^ fb).sum(axis=-1) <= np.floor((1 - t) / (1 + t) * (na + nb) + 1e-9)
 
 
+#: Words of the sketch that bucket members carry: the folded one brought to 1,024 bits.
+SHORT = 16
+
+
+def short(fold: bytes) -> bytes:
+    words = halved(np.frombuffer(fold, dtype=np.uint64), SHORT)
+    return np.tile(words, SHORT // len(words)).tobytes() if len(words) < SHORT else words.tobytes()
+
+
 #: Words of the bitmap that tells which documents a step may need: 8 million bits, whatever the input.
 BITMAP_WORDS = 1 << 17
 
@@ -239,7 +245,7 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
         edges = after
 
 
-def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, small: int = 32, block: int = 512) -> DataFrame:
+def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, block: int = 4096) -> DataFrame:
     """Every document's number of shingles and its component: the smallest doc_id reachable by links, itself included.
 
     Two documents link when 100 * shared >= percent * united shingles. Out: doc_id, n_shingles, component_id. Rows without a doc_id
@@ -252,7 +258,7 @@ def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, small: int =
     # Equal sets: one representative, linked with the rest.
     first = some.groupBy("print").agg(F.min("doc_id").alias("rep"))
     equal = staged(some.select("doc_id", "print").join(first, "print").select("doc_id", "rep"), "equal-sets")
-    reps = staged(some.join(first.select(F.col("rep").alias("doc_id"), "print"), ["doc_id", "print"], "left_semi").select("doc_id", "n", "print", "fold"), "set-reps")
+    reps = staged(some.join(first.select(F.col("rep").alias("doc_id"), "print"), ["doc_id", "print"], "left_semi").drop("print"), "set-reps")
     # Only documents that may be copies of another are looked up among the representatives; the others are their own.
     seen = _marked(docs.where("doc_id is not null").select("doc_id", "text"), equal.where("doc_id <> rep").select("doc_id"))
     own = seen.where("not marked").select("doc_id", "text")
@@ -262,57 +268,110 @@ def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, small: int =
     members = (
         _keys(texts, words, t)
         .withColumn("first", F.min("doc_id").over(by_key))
-        .withColumn("many", F.max("doc_id").over(by_key) != F.col("first"))
-        .where("many")
-        .select("key", "first", "doc_id")
+        .withColumn("last", F.max("doc_id").over(by_key))
+        .where("first <> last")
     )
     buckets = staged(members.distinct(), "buckets")
-    stars = buckets.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    chain = buckets.select(F.lag("doc_id").over(by_key.orderBy("doc_id")).alias("a"), F.col("doc_id").alias("b")).where("a is not null")
-    tried = staged(_candidates(stars.unionByName(chain), reps, t), "tried")
-    links = staged(_verified(tried, own_texts, words, percent), "links")
-    labels = components(links)
-    # Every other pair of a bucket is either within a component or compared here, so one round is complete.
-    between = _between(buckets, labels, reps, t, small, block).join(tried, ["a", "b"], "left_anti")
-    labels = components(staged(_verified(staged(between, "between"), own_texts, words, percent), "links"), labels)
+    pairs = [buckets.select(F.col("first").alias("pivot"), "doc_id"), buckets.select(F.col("last").alias("pivot"), "doc_id")]
+    tried = staged(_candidates(_nearest(pairs[0].unionByName(pairs[1]).where("pivot <> doc_id")), reps, t), "tried")
+    labels = components(staged(_verified(tried, own_texts, words, percent), "links"))
+    again = _nearest(_pivots(_open(buckets, labels)))
+    more = staged(_candidates(again, reps, t).join(tried, ["a", "b"], "left_anti"), "tried")
+    labels = components(staged(_verified(more, own_texts, words, percent), "links"), labels)
+    # Every other pair of a bucket is either within a component or compared here, so no further round is needed.
+    left = _candidates(_between(_open(buckets, labels), reps, t, block), reps, t).join(tried.unionByName(more), ["a", "b"], "left_anti")
+    labels = components(staged(_verified(staged(left, "between"), own_texts, words, percent), "links"), labels)
     united = components(equal.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), labels)
     out = sets.join(united, sets.doc_id == united.id, "left")
     return out.select(sets.doc_id, F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _between(buckets: DataFrame, labels: DataFrame, sets: DataFrame, t: float, small: int, block: int) -> DataFrame:
-    """Candidates of different components that share a bucket of more than three (smaller ones had all their pairs tried).
+def _nearest(pairs: DataFrame, most: int = 2) -> DataFrame:
+    """a < b for each document with the pivots that it meets in most buckets. pairs: pivot, doc_id, a row for each bucket."""
+    counted = pairs.groupBy("doc_id", "pivot").count()
+    best = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("count"), "pivot"))
+    return counted.withColumn("r", best).where(F.col("r") <= most).select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b"))
+
+
+def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, doc_id, component, members of the buckets that hold several components."""
+    labelled = buckets.select("key", "doc_id").join(labels, F.col("doc_id") == F.col("id"), "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    several = labelled.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("members")).where("c0 <> c1").select("key", "c0", "members")
+    return staged(labelled.join(several, "key"), "open-buckets")
 
-    Buckets of one component are done. Up to `small` members, a bucket's pairs come from a join, at most `small` rows a member; in
-    larger ones the members meet in blocks inside the tasks, which let out what sizes and folded sketches allow.
+
+def _pivots(opened: DataFrame) -> DataFrame:
+    """In every bucket the first document of the least component, as pivot for those of other components."""
+    pivot = opened.where("component = c0").groupBy("key").agg(F.min("doc_id").alias("pivot"))
+    return opened.where("component <> c0").join(pivot, "key").select("pivot", "doc_id")
+
+
+def _between(opened: DataFrame, sets: DataFrame, t: float, block: int) -> DataFrame:
+    """Pairs of different components that share a bucket and that sizes and short sketches allow.
+
+    Buckets lie whole in one task, up to `block` members; larger ones are cut into blocks, whose pairs (i <= j) are tasks' rows of their own.
     """
-    sizes = buckets.groupBy("key").agg(F.count("*").alias("members")).where("members > 3")
-    labelled = buckets.select("key", "doc_id").join(sizes, "key").join(labels, F.col("doc_id") == F.col("id"), "left").select("key", "members", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    several = labelled.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("key")
-    open_ = staged(labelled.join(several, "key", "left_semi"), "open-buckets")
-    few = open_.where(F.col("members") <= small)
-    left, right = (few.select("key", F.col("doc_id").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
-    pairs = left.join(right, "key").where("a < b and ca <> cb").select("a", "b")
-    # Pairs of blocks (i <= j) of each larger bucket; a document goes to the pairs that hold its block.
     count = F.ceil(F.col("members") / block).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), count).cast("int")
-    many = open_.where(F.col("members") > small).join(sets.select("doc_id", "n", "fold"), "doc_id").withColumn("blocks", count).withColumn("own", own)
-    paired = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = paired.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "component", "n", "fold")
-
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        left, right = part[part.own == part.i.iloc[0]], part[part.own == part.j.iloc[0]]
-        out = [np.zeros((0, 2), dtype=np.int64)]
-        if len(left) and len(right):
-            every = _folds([*right.fold, *left.fold])
-            folds, rn, rc, rd = every[: len(right)], right.n.to_numpy(), right.component.to_numpy(), right.doc_id.to_numpy()
-            for d, c, n, f in zip(left.doc_id, left.component, left.n, every[len(right) :], strict=True):
-                at = np.flatnonzero((rc != c) & (np.minimum(rn, n) >= np.maximum(rn, n) * t - 1e-9))
-                at = at[_allowed(folds[at], f, rn[at], n, t)]
-                out.append(np.stack((np.minimum(rd[at], d), np.maximum(rd[at], d)), axis=1))
-        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
-
-    return _candidates(pairs, sets, t).unionByName(dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")).distinct()
+    members = opened.join(sets.select("doc_id", "n", "brief", "words"), "doc_id")
+    zero = F.lit(0)
+    whole = members.where(F.col("members") <= block).select("key", zero.alias("i"), zero.alias("j"), zero.alias("own"), "doc_id", "component", "n", "words", "brief")
+    large = members.where(F.col("members") > block).withColumn("own", own).withColumn("other", F.explode(F.sequence(zero, count - 1)))
+    cut = large.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "component", "n", "words", "brief")
+    dealt = whole.unionByName(cut).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, now]).combine_chunks() if held is not None else now
+            group = _group_numbers(held)
+            if len(group) and group[-1] > 0:  # the last bucket may go on in the next batch
+                cut_at = int(np.searchsorted(group, group[-1]))
+                yield _allowed_pairs(held.slice(0, cut_at), group[:cut_at], t)
+                held = held.slice(cut_at)
+        if held is not None and held.num_rows:
+            yield _allowed_pairs(held, _group_numbers(held), t)
+
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def _group_numbers(rows: pa.Table) -> np.ndarray:
+    if not rows.num_rows:
+        return np.zeros(0, dtype=np.int64)
+    changed = np.zeros(rows.num_rows - 1, dtype=bool)
+    for c in ("key", "i", "j"):
+        x = rows.column(c).to_numpy()
+        changed |= x[1:] != x[:-1]
+    return np.concatenate(([0], np.cumsum(changed)))
+
+
+def _allowed_pairs(rows: pa.Table, group: np.ndarray, t: float) -> pa.RecordBatch:
+    """All pairs of equal group, each row with those 1, 2, 3 ... places after it."""
+    doc, component, n, words, i, j, own = (rows.column(c).to_numpy() for c in ("doc_id", "component", "n", "words", "i", "j", "own"))
+    brief = np.frombuffer(b"".join(rows.column("brief").to_pylist()), dtype=np.uint64).reshape(-1, SHORT)
+    found = [np.zeros((0, 2), dtype=np.int64)]
+    for lag in range(1, len(group)):
+        at = np.flatnonzero(group[lag:] == group[:-lag])
+        if not len(at):
+            break
+        b = at + lag
+        keep = (component[at] != component[b]) & ((i[at] == j[at]) | (own[at] != own[b])) & (np.minimum(n[at], n[b]) >= np.maximum(n[at], n[b]) * t - 1e-9)
+        at, b = at[keep], b[keep]
+        # Sketches shorter than SHORT words are repeated to that length, so their distance is repeated as often.
+        times = SHORT // np.minimum(np.minimum(words[at], words[b]), SHORT)
+        for a0 in range(0, len(at), 1 << 16):
+            x, y = at[a0 : a0 + (1 << 16)], b[a0 : a0 + (1 << 16)]
+            left, right = brief[x], brief[y]
+            mixed_sizes = np.flatnonzero(words[x] != words[y])
+            far = np.bitwise_count(left ^ right).sum(axis=1) / times[a0 : a0 + (1 << 16)]
+            for k in mixed_sizes:
+                small = int(min(words[x[k]], words[y[k]], SHORT))
+                far[k] = np.bitwise_count(halved(left[k][: max(small, int(min(words[x[k]], SHORT)))], small) ^ halved(right[k][: max(small, int(min(words[y[k]], SHORT)))], small)).sum()
+            ok = far <= np.floor((1 - t) / (1 + t) * (n[x] + n[y]) + 1e-9)
+            found.append(np.stack((np.minimum(doc[x[ok]], doc[y[ok]]), np.maximum(doc[x[ok]], doc[y[ok]])), axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 #: DuckDB SQL for link_groups() with the defaults.

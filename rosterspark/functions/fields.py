@@ -288,3 +288,17 @@ def paper_key(title: Column, work_id: Column) -> Column:
     """Title key; untitled works keep their own id, so they never fall together."""
     key = title_key(F.coalesce(title, F.lit("")))
     return F.when(key != "", key).otherwise(F.concat(F.lit("id:"), work_id.cast("string")))
+
+
+def term_code(year: Column, term: Column, rule: Column) -> Column:
+    """A provider's code of a term by its rule: "{start}", "{end}", "{s}", "{e}" (two digits), "{term}" and "{n}" (rank from 1) are filled in."""
+    start, end = F.substring(year, 1, 4), (F.substring(year, 1, 4).cast("int") + 1).cast("string")
+    filled = rule
+    for name, value in {"{start}": start, "{end}": end, "{s}": F.substring(year, 3, 2), "{e}": F.substring(year, 6, 2), "{term}": term, "{n}": (term_rank(term) + 1).cast("string")}.items():
+        filled = F.replace(filled, F.lit(name), value)
+    return filled
+
+
+def days_from_indexes(indexes: Column, names: Sequence[str] = WEEK) -> Column:
+    """Numbers of days (0 for Monday) as letters in the order of the week."""
+    return F.array_join(F.transform(F.array_sort(F.array_distinct(indexes)), lambda i: F.element_at(F.array(*[F.lit(n) for n in names]), i.cast("int") + 1)), "")

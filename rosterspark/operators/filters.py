@@ -99,3 +99,18 @@ def page_gate(html: Column, text_length: Column) -> Column:
         .when(text_length < 200, PAGE_REASONS[4])
         .otherwise("ok")
     )
+
+
+def is_marker(row_type: Column, name: Column, types: Sequence[str] = ("DUAL", "GRAD", "EXPANSION"), patterns: Sequence[str] = (r"^final exam",)) -> Column:
+    """Rows that carry no class: dual credit, graduate programs, expansion rows, final exams."""
+    return F.coalesce(F.upper(row_type).isin(list(types)), F.lit(False)) | F.coalesce(name.rlike(any_of(patterns)), F.lit(False))
+
+
+def in_partition(parsed_year: Column, parsed_term: Column, year: Column, term: Column) -> Column:
+    """Whether a row's own term is the one that was asked for; rows that name none belong to it."""
+    return (F.coalesce(parsed_year, year) == year) & (F.coalesce(parsed_term, term) == term)
+
+
+def hide_sublisting(college: Column, code: Column, at: str, pattern: str, shown: bool = False) -> Column:
+    """False for codes of a pattern at one institution, unless they are shown."""
+    return F.lit(shown) | ~((college == at) & code.rlike(pattern))

@@ -197,3 +197,8 @@ def coauthor_classes(authors: DataFrame, own: str, peers: DataFrame, roster: Dat
     same = F.col("inst") == F.col(own)
     kind = F.when(same & F.col("known"), "faculty").when(same, "student").when(F.col("peer"), "other").otherwise("external")
     return joined.withColumn("kind", kind).drop("r_inst", "r_last", "known", "p_inst", "peer")
+
+
+def labelled(df: DataFrame, codes: DataFrame, code: str, label: str) -> DataFrame:
+    """The label of each code, null for unknown ones; the code table is broadcast if it is small."""
+    return df.join(small(codes.select(code, label)), code, "left")

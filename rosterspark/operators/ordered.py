@@ -66,3 +66,10 @@ def active_in_latest(df: DataFrame, group: str, year: str, item: str) -> DataFra
 
 def stable_sort(df: DataFrame, *keys: Column) -> DataFrame:
     return df.orderBy(*keys)
+
+
+def sort_table(df: DataFrame, column: str, descending: bool = True, tie: str | None = None) -> DataFrame:
+    """Rows by a column: numbers with missing ones as -1, texts without regard to case; ties by another column."""
+    numeric = dict(df.dtypes)[column] not in ("string", "boolean")
+    key = F.coalesce(F.col(column), F.lit(-1)) if numeric else F.lower(F.coalesce(F.col(column), F.lit("")))
+    return df.orderBy(key.desc() if descending else key.asc(), *([tie] if tie else []))

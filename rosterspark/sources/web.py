@@ -74,3 +74,14 @@ def word_table(words: DataFrame, bounds: DataFrame, line_height: float = 3.0) ->
     line = F.round(F.col("top") / line_height).cast("int")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "text"))), lambda s: s["text"]), " ")
     return placed.groupBy("page", line.alias("line"), "col").agg(collapse(text).alias("text"))
+
+
+def profile(df: DataFrame, page: str, html: str) -> DataFrame:
+    """name, metrics, cites by year and tags of a profile page; pages without a name give nulls."""
+    name = F.nullif(plain_text(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1)), F.lit(""))
+    listed = lambda cls: F.transform(F.regexp_extract_all(html, F.lit(rf'(?is)<(?:span|a|div)[^>]*class="{cls}"[^>]*>(.*?)</'), 1), plain_text)
+    pairs = F.filter(F.arrays_zip(listed("year").alias("y"), listed("count").alias("n")), lambda p: p["y"].rlike(r"^\d+$") & p["n"].rlike(r"^\d+$"))
+    by_year = F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["y"].cast("int"), p["n"].cast("int"))))
+    base = df.select(page, name.alias("name"), by_year.alias("by_year"), listed("tag").alias("tags"))
+    kept = [F.when(F.col("name").isNotNull(), F.col(c)).alias(c) for c in ("by_year", "tags", "metrics")]
+    return base.join(metrics(df, page, html), page, "left").select(page, "name", *kept)

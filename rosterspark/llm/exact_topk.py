@@ -7,7 +7,7 @@ whose upper bound reaches its lower bound. Cells are cut into blocks of rows by
 block is solved by one matrix product and keeps k rows a query; the blocks' results are ranked last.
 
 Scores are integer inner products of floor(scale * x), computed in float64 while every partial sum is exact there, else in
-Python integers. Vectors that are null or hold null or non-finite components take no part, nor do vectors of another length
+Python integers; those beyond a long count as the greatest (least) one. Vectors that are null or hold null or non-finite components take no part, nor do vectors of another length
 than the most common one (the shorter on ties), nor rows without an id. Ties go to the smaller id. Repeated rows (same id, same vector) count once.
 """
 
@@ -39,10 +39,12 @@ def matrix(v: pd.Series) -> np.ndarray:
 
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers."""
+    """Exact inner products of whole numbers, held within the range of a long."""
     if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1] < 2**53:
         return (q @ x.T).astype(np.int64)
-    return np.array([[sum(a * b for a, b in zip(map(int, r), map(int, s), strict=True)) for s in x] for r in q], dtype=object).astype(np.int64)
+    most = 2**63 - 1
+    exact = [[sum(a * b for a, b in zip(map(int, r), map(int, s), strict=True)) for s in x] for r in q]
+    return np.array([[min(most, max(-most, s)) for s in r] for r in exact], dtype=np.int64)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:

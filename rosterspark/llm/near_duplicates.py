@@ -96,6 +96,8 @@ def band_end(band: int) -> int:
 def part_keys(shingles: np.ndarray, t: float) -> np.ndarray:
     """Keys (band, part, sketch of the part) of a set, for its own band and, if partners may be there, the next."""
     n = len(shingles)
+    if not n:
+        return np.zeros(0, dtype=np.uint64)
     own = band_of(n)
     bands = [own, own + 1] if band_end(own) + 1 <= n / t + 1e-9 else [own]
     spread = mixed(shingles)

@@ -59,14 +59,14 @@ def looks_like_name(c: Column) -> Column:
     plain = ~c.rlike(any_of([rf"\b{w}\b" for w in K.NOT_A_NAME])) & ~c.rlike(r"[:;@/|()\d]")
     long_word = F.exists(parts, lambda t: F.length(t) >= 3)
     short_word = F.exists(parts, lambda t: F.lower(t).isin(K.SHORT_WORDS))
-    fits = F.size(parts).between(2, 6) & F.forall(parts, capital) & (F.length(F.element_at(parts, -1)) >= 2) & (long_word | ~short_word)
+    fits = F.size(parts).between(2, 6) & F.forall(parts, capital) & (F.length(F.try_element_at(parts, F.lit(-1))) >= 2) & (long_word | ~short_word)
     return F.coalesce(plain & F.when(F.size(parts) > 0, fits), F.lit(False))
 
 
 def name_key(c: Column) -> Column:
     """struct(last, initial): last word and first letter, lower case; null for names of one word."""
     t = tokens(c)
-    return F.when(F.size(t) >= 2, F.struct(F.lower(F.element_at(t, -1)).alias("last"), F.lower(F.substring(t[0], 1, 1)).alias("initial")))
+    return F.when(F.size(t) >= 2, F.struct(F.lower(F.try_element_at(t, F.lit(-1))).alias("last"), F.lower(F.substring(F.get(t, F.lit(0)), 1, 1)).alias("initial")))
 
 
 def is_generic(c: Column) -> Column:
@@ -79,10 +79,10 @@ def parse_person(c: Column) -> Column:
     s = F.trim(F.regexp_replace(F.trim(c), "^,+|,+$", ""))
     t = tokens(s)
     initials = r"^(?:[A-Z]\.\s*){1,3}([A-Z][a-z][A-Za-z'\-]+)$"
-    rest = F.regexp_replace(F.element_at(tokens(F.regexp_replace(s, "^[^,]*,", "")), 1), r"\.$", "")
+    rest = F.regexp_replace(F.try_element_at(tokens(F.regexp_replace(s, "^[^,]*,", "")), F.lit(1)), r"\.$", "")
     pair = lambda first, last: F.struct(first.alias("first"), last.alias("last"))
     by_comma = F.when((F.trim(F.substring_index(s, ",", 1)) != "") & rest.isNotNull(), pair(fold(rest), fold(F.substring_index(s, ",", 1))))
-    by_space = F.when(F.size(t) >= 2, pair(fold(F.regexp_replace(t[0], r"\.$", "")), fold(F.element_at(t, -1))))
+    by_space = F.when(F.size(t) >= 2, pair(fold(F.regexp_replace(F.get(t, F.lit(0)), r"\.$", "")), fold(F.try_element_at(t, F.lit(-1)))))
     return F.when(is_generic(s), F.lit(None)).when(s.rlike(initials), pair(F.lower(F.substring(s, 1, 1)), fold(F.regexp_extract(s, initials, 1)))).when(F.contains(s, F.lit(",")), by_comma).otherwise(by_space)
 
 
@@ -101,7 +101,7 @@ def split_people(c: Column) -> Column:
 def initials(c: Column) -> Column:
     """First letters of the first and last word, two letters of a lone word, ? for none."""
     t = tokens(c)
-    return F.when(F.size(t) >= 2, F.upper(F.concat(F.substring(t[0], 1, 1), F.substring(F.element_at(t, -1), 1, 1)))).when(F.size(t) == 1, F.upper(F.substring(t[0], 1, 2))).otherwise("?")
+    return F.when(F.size(t) >= 2, F.upper(F.concat(F.substring(F.get(t, F.lit(0)), 1, 1), F.substring(F.try_element_at(t, F.lit(-1)), 1, 1)))).when(F.size(t) == 1, F.upper(F.substring(F.get(t, F.lit(0)), 1, 2))).otherwise("?")
 
 
 SUBJECT = r"([a-z]{3,11}\s*(,|and|&|/)\s*)*(\s*(,|&|/|and)\s*)?((practice of )?computer|data (science|analytics)|information (science|technology|system)|bioinformatics|computing|software engineering|cyber)( and)?"

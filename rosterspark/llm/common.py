@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -26,11 +27,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: lineage ends there, and lost executors lose nothing."""
+    """df written as Parquet in the shared folder and read again: lineage ends there, and lost executors lose nothing.
+
+    What the plan shuffled isn't needed any more; Spark removes those files once the driver's garbage is collected, so that is asked for.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def in_training(doc_id: str = "doc_id", folds: int = 4, held_out: int = 2) -> Column:

@@ -53,7 +53,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Distinct shingle hashes of a text. Word hashes come from a cache that is emptied when full."""
 
-    def __init__(self, words: int, cache_size: int = 300_000):
+    def __init__(self, words: int, cache_size: int = 200_000):
         self.words, self.cache_size, self.cache = words, cache_size, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -216,7 +216,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     both = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        set_of = lru_cache(maxsize=256)(Shingler(words))
+        set_of = lru_cache(maxsize=64)(Shingler(words))
         for batch in batches:
             keep = []
             for ta, tb in zip(batch.column(2), batch.column(3), strict=True):
@@ -267,21 +267,23 @@ def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, block: int =
     texts = own.unionByName(seen.where("marked").join(reps.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text"))
     own_texts = docs.where("doc_id is not null").select("doc_id", "text")
     by_key = Window.partitionBy("key")
-    members = (
+    buckets = staged(
         _keys(texts, words, t)
         .withColumn("first", F.min("doc_id").over(by_key))
         .withColumn("last", F.max("doc_id").over(by_key))
         .where("first <> last")
+        .distinct(),
+        "buckets",
     )
-    buckets = staged(members.distinct(), "buckets")
     pairs = [buckets.select(F.col("first").alias("pivot"), "doc_id"), buckets.select(F.col("last").alias("pivot"), "doc_id")]
     tried = staged(_candidates(_nearest(pairs[0].unionByName(pairs[1]).where("pivot <> doc_id")), reps, t), "tried")
     labels = components(staged(_verified(tried, own_texts, words, percent), "links"))
-    again = _nearest(_pivots(_open(buckets, labels)))
+    opened = _open(buckets, labels)
+    again = _nearest(_pivots(opened))
     more = staged(_candidates(again, reps, t).join(tried, ["a", "b"], "left_anti"), "tried")
     labels = components(staged(_verified(more, own_texts, words, percent), "links"), labels)
     # Every other pair of a bucket is either within a component or compared here, so no further round is needed.
-    left = _candidates(_between(_open(buckets, labels), reps, t, block), reps, t).join(tried.unionByName(more), ["a", "b"], "left_anti")
+    left = _candidates(_between(_open(opened, labels), reps, t, block), reps, t).join(tried.unionByName(more), ["a", "b"], "left_anti")
     labels = components(staged(_verified(staged(left, "between"), own_texts, words, percent), "links"), labels)
     united = components(equal.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), labels)
     out = sets.join(united, sets.doc_id == united.id, "left")

@@ -53,7 +53,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Distinct shingle hashes of a text. Word hashes come from a cache that is emptied when full."""
 
-    def __init__(self, words: int, cache_size: int = 200_000):
+    def __init__(self, words: int, cache_size: int = 100_000):
         self.words, self.cache_size, self.cache = words, cache_size, {}
 
     def __call__(self, text: str | None) -> np.ndarray:

@@ -79,7 +79,7 @@ class Grammar:
         symbol = INSULT if weight else self.words.get(bare, OTHER)
         found = (symbol, weight or 1.0, bool(CLAUSE_END.search(word)))
         if len(word) <= 40:
-            if len(self.seen) > 200_000:
+            if len(self.seen) > 80_000:
                 self.seen.clear()
             self.seen[word] = found
         return found

@@ -9,7 +9,8 @@ Left out wherever it stands: menus, page headers and footers, sidebars, notices,
 reader comments, known by element, role, or words of class and id.
 
 A page is parsed by one regular expression over its tags into a small tree. Missing end tags are closed as HTML closes them:
-a block ends an open p, li ends li, and an end tag closes everything opened inside its element.
+a block ends an open p, li ends li, and an end tag closes everything opened inside its element. Elements that are left out
+stand on the same stack as the others and close by the same rules.
 """
 
 from __future__ import annotations
@@ -34,7 +35,19 @@ RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template",
 DROPPED = {"nav", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "title", "head", "menu", "dialog", "button", "select", "option", "textarea", "svg", "canvas", "object", "audio", "video", "xmp"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BLOCKS = HEADINGS | {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
-ENDS_ITS_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+ENDS_ITS_LIKE = {
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th", "caption"}, "td": {"td", "th", "caption"}, "th": {"td", "th", "caption"},
+    **dict.fromkeys(("tbody", "thead", "tfoot"), {"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}),
+    "option": {"option"}, "optgroup": {"option", "optgroup"}, "rt": {"rt", "rp"}, "rp": {"rt", "rp"}, "a": {"a"}, "button": {"button"},
+}
+ENDS_P = BLOCKS | {"dialog", "hgroup", "menu"}
+IN_HEAD = {"base", "link", "meta", "noscript", "script", "style", "template", "title"}
+TABLE_PARTS = {"caption", "table", "tbody", "td", "tfoot", "th", "thead", "tr"}
+CELLS = {"caption", "object", "table", "td", "th"}
+#: What an inline end tag inside of a left-out element doesn't look beyond.
+SPECIAL = ENDS_P | {"button", "object", "ruby", "select"}
+#: What ENDS_ITS_LIKE doesn't look beyond, outside of tables.
+STOPS = SPECIAL - {"address", "div", "p"}
 SCOPES = {"ul", "ol", "dl", "table", "body", "article", "section", "div", "main"}
 
 #: Words of class, id or role that mark what isn't the article.
@@ -49,10 +62,10 @@ ABOUT_LAYOUT = {"no", "has", "with", "without"}
 
 
 class Node:
-    __slots__ = ("name", "children", "chars", "link_chars", "tags", "link_tags", "density", "total")
+    __slots__ = ("name", "children", "chars", "link_chars", "tags", "link_tags", "density", "total", "skipped")
 
-    def __init__(self, name: str):
-        self.name, self.children = name, []
+    def __init__(self, name: str, skipped: bool = False):
+        self.name, self.children, self.skipped = name, [], skipped
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -78,13 +91,14 @@ def parse(page: str) -> Node:
     """The tree of what may be content; marked elements are left out while it is built."""
     root = Node("body")
     stack, at = [root], 0
-    open_skipped: list[str] = []
-    within: Counter[str] = Counter()  # open elements by name
+    within: Counter[str] = Counter()  # open elements by name, those left out too
     page = page.replace("\0", "")
     while True:
         m = TAG.search(page, at)
         text = page[at : m.start() if m else len(page)]
-        if text and not open_skipped:
+        if stack[-1].name == "head" and not (text.isspace() or not text):
+            close(stack, within, len(stack) - 1)
+        if text and not stack[-1].skipped:
             stack[-1].children.append(html.unescape(text))
         if not m:
             return root
@@ -93,52 +107,62 @@ def parse(page: str) -> Node:
         if not name:
             continue
         if m[1]:
-            if open_skipped:
-                if name in open_skipped:
-                    while open_skipped.pop() != name:
-                        pass
-            elif name == "br":
-                stack[-1].children.append(" ")
-            elif within[name]:
-                k = len(stack) - 1
-                while stack[k].name != name:
-                    k -= 1
+            if name == "br":
+                if not stack[-1].skipped:
+                    stack[-1].children.append(" ")
+            elif k := ended(stack, within, name):
                 close(stack, within, k)
             continue
-        in_article = bool(within["article"] or within["main"])
-        drop = bool(open_skipped) or marked(name, m[3] or "", in_article)
+        if stack[-1].name == "head" and name not in IN_HEAD:
+            close(stack, within, len(stack) - 1)
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if name in VOID or (m[3] or "").endswith("/") and name not in BLOCKS:
-            if name in ("br", "hr") and not drop:
-                stack[-1].children.append(Node("hr") if name == "hr" else " ")
-            continue
-        if drop:
-            if not open_skipped and name in BLOCKS:
-                close_paragraph(stack, within)
-            if open_skipped and name in ENDS_ITS_LIKE and open_skipped[-1] in ENDS_ITS_LIKE[name]:
-                open_skipped.pop()
-            open_skipped.append(name)
-            continue
         if name in ("html", "body"):
             continue
-        if name in BLOCKS:
+        if name in ENDS_P:
             close_paragraph(stack, within)
-        if name in ENDS_ITS_LIKE:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name in ENDS_ITS_LIKE[name]:
-                    close(stack, within, k)
-                    break
-                if stack[k].name in SCOPES:
-                    break
-        node = Node(name)
-        stack[-1].children.append(node)
+        if name in ENDS_ITS_LIKE and (k := ended_by_like(stack, within, name)):
+            close(stack, within, k)
+        if name in HEADINGS and stack[-1].name in HEADINGS:
+            close(stack, within, len(stack) - 1)
+        # What is left out depends on what is still open now.
+        skipped = stack[-1].skipped or marked(name, m[3] or "", bool(within["article"] or within["main"]))
+        if name in VOID or (m[3] or "").endswith("/") and name not in BLOCKS:
+            if name in ("br", "hr") and not skipped:
+                stack[-1].children.append(Node("hr") if name == "hr" else " ")
+            continue
+        node = Node(name, skipped)
+        if not skipped:
+            stack[-1].children.append(node)
         stack.append(node)
         within[name] += 1
 
 
+def ended(stack: list[Node], within: Counter[str], name: str) -> int:
+    """The place of the open element that an end tag closes; 0 for none. A heading's end tag closes any heading."""
+    like = HEADINGS if name in HEADINGS else (name,)
+    for k in range(len(stack) - 1, 0, -1) if any(within[x] for x in like) else ():
+        node = stack[k]
+        if node.name in like:
+            return k
+        if node.name in ({"table"} if name in TABLE_PARTS else CELLS) or node.skipped and name not in ENDS_P and node.name in SPECIAL:
+            return 0
+    return 0
+
+
+def ended_by_like(stack: list[Node], within: Counter[str], name: str) -> int:
+    """The place of the outermost open element that a start tag ends within its list or table; 0 for none."""
+    like, stops, found = ENDS_ITS_LIKE[name], {"table"} if name in TABLE_PARTS else STOPS, 0
+    for k in range(len(stack) - 1, 0, -1) if any(within[x] for x in like) else ():
+        if stack[k].name in like:
+            found = k
+        elif stack[k].name in stops:
+            break
+    return found
+
+
 def close(stack: list[Node], within: Counter[str], k: int) -> None:
     """Closes the k-th open element and all inside it."""
     within.subtract(n.name for n in stack[k:])

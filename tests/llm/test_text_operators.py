@@ -90,6 +90,31 @@ def test_main_text_cases(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article><p class="notice">Cookies<p>Real text</article>', "Real text"),
+        ('<ul><li class="share">x<li>y</ul><p>Text', "y\nText"),
+        ('<div><p class="ad">buy<h2>T</h2>a<p>b</div>', "T\na\nb"),
+        ('<div><div class="ad"><p>buy</div><p>text</div>', "text"),
+        ("<div><nav><ul><li>a<li>b</div><p>text", "text"),
+        ('<article><p>a <span class="ad">buy</p><p>b</article>', "a\nb"),
+        ('<article><dl><dt class="share">x<dd>y<dt>z</dl>t</article>', "y\nz\nt"),
+        ('<article><table><tr class="ad"><td>buy<td>now<tr><td>a<td>b</table><p>c</article>', "a\nb\nc"),
+        ("<table><thead hidden><tr><th>x<tbody><tr><td>y</table>", "y"),
+        ('<ul><li class="share"><ul><li>x<li>y</ul><li>z</ul>', "z"),
+        ('<p class="notice">x<hr>y', "y"),
+        ("<html><head><title>x</title><meta charset=a><body><p>y", "y"),
+        ('<div><a href=x><div class="ad">buy</a> now</div></div><p>y', "y"),
+        ('<div><h3 class="related">x</h2><p>y</div>', "y"),
+        ('<div class="ad"><p>x<p>y<ul><li>z</ul>still</div><p>y', "y"),
+        ('<div><table class="ad"><tr><td>x</div>buy</table>y</div>', "y"),
+    ],
+)
+def test_left_out_elements_with_omitted_end_tags(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>é  b</p>", 0), (1, "u", "<p>é  b</p>", 0), (None, None, None, 0)], "page_id long, url string, html string, text int")
     assert sorted(map(tuple, html_text.extract(df).collect()), key=str) == sorted([(1, "u", "é b", 3), (1, "u", "é b", 3), (None, None, "", 0)], key=str)

@@ -63,7 +63,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.
     summaries). block: rows of a cell in one task, about. Out: query_id, rank from 1, vec_id, score. An empty table gives no rows.
     """
     v = F.transform("v", lambda x: F.floor(x * F.lit(float(scale))).cast("double"))
-    data = staged(usable(vectors, id_col, vector_col).select("id", v.alias("v"), is_query.alias("is_query")).where(F.forall("v", lambda x: F.abs(x) < 2.0**62)), "topk-data")
+    data = staged(usable(vectors, id_col, vector_col).select("id", v.alias("v"), is_query.alias("is_query")).where(F.forall("v", lambda x: F.abs(x) < 2.0**62)).dropDuplicates(["id", "v"]), "topk-data")
     chosen = data.select("id", "v").orderBy(F.xxhash64("id", F.lit("pivot")), "id").limit(pivots).collect()
     if not chosen:
         return data.sparkSession.createDataFrame([], OUT)
@@ -78,13 +78,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.
 
     placed = staged(data.mapInPandas(assign, "id long, v array<double>, is_query boolean, cell int, far double"), "topk-cells")
     near = F.row_number().over(Window.partitionBy("cell", "part").orderBy("far"))
-    # The k + 1 nearest of each cell, found in 64 parts of it first; one more, as a query's own row doesn't count.
-    few = placed.select("cell", "far", F.pmod(F.xxhash64("id"), F.lit(64)).alias("part")).withColumn("r", near).where(F.col("r") <= k + 1)
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).join(few.groupBy("cell").agg(F.slice(F.sort_array(F.collect_list("far")), 1, k + 1).alias("near")), "cell").orderBy("cell").collect()
+    # The k + 1 nearest ids of each cell, found in 64 parts of it first; one more, as a query's own rows don't count.
+    few = placed.groupBy("cell", "id").agg(F.min("far").alias("far")).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(64))).withColumn("r", near).where(F.col("r") <= k + 1)
+    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).join(few.groupBy("cell").agg(F.slice(F.sort_array(F.collect_list(F.struct("far", "id"))), 1, k + 1).alias("near")), "cell").orderBy("cell").collect()
     summary = pd.DataFrame([(r.cell, r.n, r.radius) for r in cells], columns=["cell", "n", "radius"])
     blocks = (summary.n.to_numpy() + block - 1) // block
-    close = [(i, d) for i, r in enumerate(cells) for d in r.near]
-    close_cell, close_far = np.array([i for i, _ in close]), np.array([d for _, d in close])
+    close = [(i, d.far, d.id) for i, r in enumerate(cells) for d in r.near]
+    close_cell, close_far, close_id = (np.array(x) for x in zip(*close, strict=True))
     held = centres[summary.cell.to_numpy()]
 
     def replicate(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,9 +95,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.
             inner, length = q @ held.T, np.sqrt((q**2).sum(axis=1))
             slack = 1e-6 * (1 + np.abs(inner).max() + length.max() * summary.radius.max())  # rounding never drops a cell
             lower = inner[:, close_cell] - length[:, None] * close_far[None, :]
+            lower[part.id.to_numpy()[:, None] == close_id[None, :]] = -np.inf  # the query's own rows
             lower.sort(axis=1)
-            # The query's own row may be among those counted: the (k + 1)-th bound holds without it.
-            bound = lower[:, -(k + 1)] if lower.shape[1] > k else np.full(len(q), -np.inf)
+            bound = lower[:, -k] if lower.shape[1] >= k else np.full(len(q), -np.inf)
             row, cell = np.nonzero(inner + length[:, None] * summary.radius.to_numpy()[None, :] >= bound[:, None] - slack)
             times = blocks[cell]
             at = np.repeat(row, times)
@@ -111,7 +111,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.
     def solve(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(q) and len(x):
-            x, q = (t.loc[~t.assign(v=t.v.map(lambda a: np.asarray(a).tobytes())).duplicated(["id", "v"])] for t in (x, q))
             ids = x.id.to_numpy()
             data_matrix = matrix(x.v)
             for start in range(0, len(q), 256):

@@ -35,6 +35,25 @@ def test_exact_topk_equals_brute_force(spark):
         assert sorted(rows) == [(k + 1, i, int(scores[i])) for k, i in enumerate(order)]
 
 
+def test_exact_topk_with_repeated_rows(spark):
+    """Tight clusters, ten copies of a query and of a row beside it, and an id with many vectors."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(10, 8)) * 4
+    x = (centres[np.arange(200) % 10] + rng.normal(size=(200, 8)) * 0.01).astype(np.float32)
+    x[[0, 1, 2]] = [np.eye(8)[0] * 90, np.eye(8)[0] * 90 + 0.05, np.eye(8)[1] * 90]
+    rows = [(i, v.tolist(), "") for i, v in enumerate(x)]
+    rows += [rows[0]] * 10 + [rows[1]] * 10 + [(2, (np.eye(8)[1] * 90 + 0.1 * n).astype(np.float32).tolist(), "") for n in range(1, 10)]
+    df = spark.createDataFrame(rows, V).repartition(4)
+    whole = {(i, *np.floor(np.array(v, dtype=np.float32).astype(np.float64) * 256)) for i, v, _ in rows}
+    for pivots in (4, 40, 220):
+        got = {}
+        for r in exact_topk.search(df, F.col("id") < 20, pivots=pivots).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+        for q in range(20):
+            scores = sorted((-int(np.dot(a[1:], b[1:])), int(b[0])) for a in whole if a[0] == q for b in whole if b[0] != q)[:5]
+            assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+
+
 def test_exact_topk_few_rows_and_large_numbers(spark):
     assert exact_topk.search(spark.createDataFrame([], V), F.lit(True)).count() == 0
     df = spark.createDataFrame([(1, [1e9, 2.0], ""), (2, [1e9, -2.0], "")], V)

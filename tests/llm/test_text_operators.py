@@ -221,6 +221,22 @@ def test_pseudo_likelihood_equals_a_plain_loop(spark):
     assert got[0].per_token is None
 
 
+def test_shuffled_and_invented_words_score_below_text(spark):
+    rng = random.Random(5)
+    subjects, verbs, things = (["".join(rng.choice("abcdefghijklmnopr") for _ in range(6)) + e for _ in range(60)] for e in ("ant", "ide", "ory"))
+    texts = [" ".join(f"the {rng.choice(subjects)} will {rng.choice(verbs)} a {rng.choice(things)} ." for _ in range(20)) for _ in range(200)]
+    words, weights = masked_lm.learn(documents(spark, texts), frequent=5, buckets=8)
+    new = {w: "".join(rng.choice("qwxyz") for _ in range(6)) + w[-3:] for w in subjects + verbs + things}
+    real = texts[0].split()
+    odd = [" ".join(real), " ".join(rng.sample(real, len(real))), " ".join(new.get(w, w) for w in real), " ".join("zzzzqxant" if w in subjects else w for w in real)]
+    got = [r.per_token for r in masked_lm.score(documents(spark, odd), words, weights, 5, 8).orderBy("doc_id").collect()]
+    assert got[0] > got[1] + 0.5 and got[0] > got[2] + 1 and got[0] > got[3] + 0.5
+    own, shares = masked_lm.Classes(words, 8), {}
+    for w in subjects + verbs + things:
+        shares[own[w]] = shares.get(own[w], 0) + np.exp(words.term(w, own[w]))
+    assert all(0.95 < p <= 1 for p in shares.values())
+
+
 def test_training_raises_the_likelihood(spark):
     docs = spark.createDataFrame([(i, "the cat sat on the mat . " * 40) for i in range(40)], "doc_id long, text string")
     mean = lambda model: masked_lm.score(docs, *model).agg(F.avg("per_token")).first()[0]

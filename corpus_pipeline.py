@@ -32,10 +32,19 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stays: the document of smallest id of each group, and every document that is linked with nothing."""
-    groups = near_duplicates.link_groups(docs)
-    kept = groups.where("component_id = doc_id or component_id is null").select(F.col("doc_id").alias("kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi").select(COLUMNS)
+    """Stays: one row of each group, that of smallest id and then text hash, and each distinct document that is linked with nothing.
+
+    Rows without an id are known by their text; in a group, a row with an id comes before them.
+    """
+    text_key = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
+    keyed = docs.withColumn("key", F.coalesce(F.col("doc_id"), text_key))
+    groups = near_duplicates.link_groups(keyed.withColumn("doc_id", F.col("key")))
+    kept = staged(groups.where("component_id = doc_id or component_id is null").groupBy(F.col("doc_id").alias("key")).agg(F.count("*").alias("n"), F.max("component_id").isNull().alias("alone")), "kept-keys")
+    once = keyed.join(kept.where("n = 1"), "key", "left_semi").select(COLUMNS)
+    # Copies shrink to one in the tasks that read them.
+    again = keyed.join(kept.where("n > 1"), "key").withColumn("hash", F.xxhash64("text"))
+    best = again.groupBy("key", F.when(F.col("alone"), F.col("hash")).alias("own")).agg(F.min_by(F.struct(*COLUMNS), F.struct("hash", *COLUMNS)).alias("row"))
+    return once.unionByName(best.select("row.*"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -201,6 +201,15 @@ def test_mix_edges(spark):
     assert kept.columns[:3] == ["doc_id", "text", "source"] and kept.count() == 1
 
 
+def test_near_duplicate_stage_with_repeated_and_null_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, a), (3, a), (3, a), (None, a), (None, b), (None, b), (7, c), (8, "x"), (8, "x"), (9, None), (9, None), (None, None), (None, None), (None, "y"), (None, "y")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicate(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(3, a), (None, b), (7, c), (8, "x"), (9, None), (None, None), (None, "y")], key=str)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     extra = spark.createDataFrame([(900_001, "12345 !!!", "en", "src0", 9), (900_002, None, None, None, None)], docs.schema)

@@ -2,9 +2,10 @@
 
 A document is the set of its distinct word shingles. Two sets of a and b shingles whose Jaccard similarity reaches t differ in at most
 (1 - t) / (1 + t) * (a + b) shingles. A parity sketch flips one bit for each shingle, so two sketches differ in at most as many
-bits as the sets differ in shingles. Sketches are cut into parts of 64 bits, one more than that bound and some to spare: shingles choose a
-part and a bit by their hash, and of two linked documents at least 1 + spare parts are equal (pigeonhole). Parts with few bits say little
-and are shared by chance, so a document leaves out as many parts as there are to spare, the last in an order by bits and sketch; what either of
+bits as the sets differ in shingles. Sketches are cut into parts, one more than that bound and some to spare: shingles choose a
+part and a bit by their hash, and of two linked documents at least 1 + spare parts are equal (pigeonhole). Parts are so wide (2**64 bits,
+of which only the XOR of the set bits' numbers is kept) that parts of different shingles are hardly ever equal, however many documents there are. Parts
+of few shingles say little, so a document leaves out as many parts as there are to spare, the last in an order by shingles and sketch; what either of
 two documents leaves out of their equal parts, the one that leaves out the higher ones leaves out too, so one
 equal part always remains. The bound depends on the size, so documents are joined per size band; a document near the upper end
 of its band also enters the next one, where its larger partners are.
@@ -35,11 +36,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import released, staged, texts_in_small_batches
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Growth of size bands, and spare parts as a share of the bound.
-BAND, SPARE = 1.25, 0.15
+BAND, SPARE = 1.6, 0.15
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -100,18 +101,17 @@ def part_keys(shingles: np.ndarray, t: float) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     own = band_of(n)
     bands = [own, own + 1] if band_end(own) + 1 <= n / t + 1e-9 else [own]
-    spread = mixed(shingles)
-    bits = np.uint64(1) << (spread & np.uint64(63))
+    spread, bits = mixed(shingles), mixed(shingles ^ np.uint64(0xD6E8FEB86659FD93))
     out = []
     for band in bands:
         bound = differing(t, 2 * band_end(band))
         spare = math.ceil(SPARE * bound)
         parts = bound + 1 + spare
-        at = ((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        at = (((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
         sketch = np.zeros(parts, dtype=np.uint64)
-        np.bitwise_xor.at(sketch, at.astype(np.int64), bits)
+        np.bitwise_xor.at(sketch, at, bits)
         names = mixed(sketch + mixed(np.arange(parts, dtype=np.uint64) + np.uint64(band << 40)))
-        out.append(names[np.lexsort((names, np.bitwise_count(sketch)))[spare:]])
+        out.append(names[np.lexsort((names, np.bincount(at, minlength=parts)))[spare:]])
     return np.concatenate(out)
 
 
@@ -130,7 +130,7 @@ def halved(fold: np.ndarray, size: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, print (128 bits of the whole set), fold, its number of words, brief (its short form)."""
+    """doc_id, n, print (128 bits of the whole set), fold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
@@ -138,9 +138,9 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 sets = [shingler(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(folds := [folded(s) for s in sets], pa.binary()), pa.array([len(f) // 8 for f in folds], pa.int32()), pa.array([short(f) for f in folds], pa.binary())], ["doc_id", "n", "print", "fold", "words", "brief"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([folded(s) for s in sets], pa.binary())], ["doc_id", "n", "print", "fold"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, print binary, fold binary, words int, brief binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, print binary, fold binary")
 
 
 def _keys(docs: DataFrame, words: int, t: float) -> DataFrame:
@@ -184,7 +184,7 @@ def _allowed(fa: np.ndarray, fb: np.ndarray, na: np.ndarray, nb: np.ndarray, t:
     return np.bitwise_count(fa ^ fb).sum(axis=-1) <= np.floor((1 - t) / (1 + t) * (na + nb) + 1e-9)
 
 
-#: Words of the sketch that bucket members carry: the folded one brought to 1,024 bits.
+#: Words of the sketch that bucket members are compared by: the folded one brought to 1,024 bits.
 SHORT = 16
 
 
@@ -230,9 +230,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
 
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """id, component: the smallest id reachable by links (a, b) and earlier labels. Large-star and small-star rounds until nothing changes."""
-    if known is not None:
-        links = links.unionByName(known.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b")))
-    edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "star")
+    links = staged(links, "links")
+    every = links if known is None else links.unionByName(known.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b")))
+    edges = staged(every.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "star")
+    released(links)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -243,10 +244,18 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
         after = staged(small, "star")
         if after.count() == edges.count() and not after.join(edges, ["u", "v"], "left_anti").head(1):
-            return after.select(F.col("u").alias("id"), F.col("v").alias("component"))
+            released(edges)
+            return _labels(after)
+        released(edges)
         edges = after
 
 
+def _labels(stars: DataFrame) -> DataFrame:
+    out = stars.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    out.staged_at = stars.staged_at
+    return out
+
+
 def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, block: int = 4096) -> DataFrame:
     """Every document's number of shingles and its component: the smallest doc_id reachable by links, itself included.
 
@@ -255,16 +264,18 @@ def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, block: int =
     one node of the graph, linked through any of their texts. Other columns are left out.
     """
     t = percent / 100
+    texts_in_small_batches(docs.sparkSession)
     sets = staged(_sets(docs, words), "shingle-sets")
     some = sets.where("doc_id is not null and n > 0")
-    # Equal sets: one representative, linked with the rest.
-    first = some.groupBy("print").agg(F.min("doc_id").alias("rep"))
-    equal = staged(some.select("doc_id", "print").join(first, "print").select("doc_id", "rep"), "equal-sets")
-    reps = staged(some.join(first.select(F.col("rep").alias("doc_id"), "print"), ["doc_id", "print"], "left_semi").drop("print"), "set-reps")
-    # Only documents that may be copies of another are looked up among the representatives; the others are their own.
-    seen = _marked(docs.where("doc_id is not null").select("doc_id", "text"), equal.where("doc_id <> rep").select("doc_id"))
+    # Equal sets: one representative, linked with the rest. Only prints that several rows have are joined, from a table of their own, so that
+    # Spark can split the rows of one that very many have.
+    copied = staged(some.groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "copied-prints")
+    equal = staged(some.select("doc_id", "print").join(copied, "print").where("doc_id <> rep"), "equal-sets")
+    reps = staged(some.join(equal, ["doc_id", "print"], "left_anti").drop("print"), "set-reps")
+    # Only documents that are copies of another are looked up among the representatives; the others are their own.
+    seen = _marked(docs.where("doc_id is not null").select("doc_id", "text"), equal.select("doc_id"))
     own = seen.where("not marked").select("doc_id", "text")
-    texts = own.unionByName(seen.where("marked").join(reps.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text"))
+    texts = own.unionByName(seen.where("marked").join(reps.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text"))
     own_texts = docs.where("doc_id is not null").select("doc_id", "text")
     by_key = Window.partitionBy("key")
     buckets = staged(
@@ -277,15 +288,20 @@ def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, block: int =
     )
     pairs = [buckets.select(F.col("first").alias("pivot"), "doc_id"), buckets.select(F.col("last").alias("pivot"), "doc_id")]
     tried = staged(_candidates(_nearest(pairs[0].unionByName(pairs[1]).where("pivot <> doc_id")), reps, t), "tried")
-    labels = components(staged(_verified(tried, own_texts, words, percent), "links"))
+    labels = components(_verified(tried, own_texts, words, percent))
     opened = _open(buckets, labels)
+    released(buckets)
     again = _nearest(_pivots(opened))
     more = staged(_candidates(again, reps, t).join(tried, ["a", "b"], "left_anti"), "tried")
-    labels = components(staged(_verified(more, own_texts, words, percent), "links"), labels)
+    labels = components(_verified(more, own_texts, words, percent), labels)
     # Every other pair of a bucket is either within a component or compared here, so no further round is needed.
-    left = _candidates(_between(_open(opened, labels), reps, t, block), reps, t).join(tried.unionByName(more), ["a", "b"], "left_anti")
-    labels = components(staged(_verified(staged(left, "between"), own_texts, words, percent), "links"), labels)
-    united = components(equal.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), labels)
+    still = _open(opened, labels)
+    released(opened)
+    left = staged(_candidates(_between(still, reps, t, block), reps, t).join(tried.unionByName(more), ["a", "b"], "left_anti"), "between")
+    released(still, tried, more)
+    labels = components(_verified(left, own_texts, words, percent), labels)
+    united = components(equal.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), labels)
+    released(left, copied, equal, reps)
     out = sets.join(united, sets.doc_id == united.id, "left")
     return out.select(sets.doc_id, F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
@@ -317,11 +333,11 @@ def _between(opened: DataFrame, sets: DataFrame, t: float, block: int) -> DataFr
     """
     count = F.ceil(F.col("members") / block).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), count).cast("int")
-    members = opened.join(sets.select("doc_id", "n", "brief", "words"), "doc_id")
+    members = opened.join(sets.select("doc_id", "n", "fold"), "doc_id")
     zero = F.lit(0)
-    whole = members.where(F.col("members") <= block).select("key", zero.alias("i"), zero.alias("j"), zero.alias("own"), "doc_id", "component", "n", "words", "brief")
+    whole = members.where(F.col("members") <= block).select("key", zero.alias("i"), zero.alias("j"), zero.alias("own"), "doc_id", "component", "n", "fold")
     large = members.where(F.col("members") > block).withColumn("own", own).withColumn("other", F.explode(F.sequence(zero, count - 1)))
-    cut = large.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "component", "n", "words", "brief")
+    cut = large.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "component", "n", "fold")
     dealt = whole.unionByName(cut).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,8 +368,10 @@ def _group_numbers(rows: pa.Table) -> np.ndarray:
 
 def _allowed_pairs(rows: pa.Table, group: np.ndarray, t: float) -> pa.RecordBatch:
     """All pairs of equal group, each row with those 1, 2, 3 ... places after it."""
-    doc, component, n, words, i, j, own = (rows.column(c).to_numpy() for c in ("doc_id", "component", "n", "words", "i", "j", "own"))
-    brief = np.frombuffer(b"".join(rows.column("brief").to_pylist()), dtype=np.uint64).reshape(-1, SHORT)
+    doc, component, n, i, j, own = (rows.column(c).to_numpy() for c in ("doc_id", "component", "n", "i", "j", "own"))
+    folds = rows.column("fold").to_pylist()
+    words = np.array([len(f) // 8 for f in folds], dtype=np.int64)
+    brief = np.frombuffer(b"".join(map(short, folds)), dtype=np.uint64).reshape(-1, SHORT)
     found = [np.zeros((0, 2), dtype=np.int64)]
     for lag in range(1, len(group)):
         at = np.flatnonzero(group[lag:] == group[:-lag])

@@ -18,42 +18,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, in_training
+from .common import bounded_sample, in_training, texts_in_small_batches
 
 UNKNOWN = "und"
-GAP, OTHER = 1, 255
-#: Characters held in numpy arrays at a time.
-CHUNK = 1 << 20
+#: What stands for a run of other characters; no letter has this code.
+GAP = 1
+#: Letters beyond the first plane of Unicode share the codes from PLANES on, which no other letter has.
+PLANES, PLANE_CODES = 0xE000, 0x1900
+#: Bits of an n-gram: three letters of 16 bits.
+BITS = np.int64(48)
+#: Characters held in numpy arrays at a time, and texts (15 bits of a key number them).
+CHUNK, TEXTS = 1 << 19, 2048
 
 
 @lru_cache(maxsize=1)
-def is_letter() -> np.ndarray:
-    out = np.zeros(0x110000, dtype=bool)
-    out[[c for c in range(0x110000) if chr(c).isalpha()]] = True
+def codes() -> np.ndarray:
+    """The 16-bit code of every lower-cased character: letters have their own, the rest are GAP."""
+    out = np.full(0x110000, GAP, dtype=np.uint16)
+    letters = np.array([c for c in range(0x110000) if chr(c).isalpha()])
+    out[letters] = np.where(letters < 0x10000, letters, PLANES + letters % PLANE_CODES)
     return out
 
 
-class Symbols:
-    """Lower-cased characters as one byte each: the alphabet's letters from 2 on, other letters OTHER, the rest GAP."""
-
-    def __init__(self, alphabet: list[int]):
-        self.of = np.where(is_letter(), np.uint8(OTHER), np.uint8(GAP))
-        self.of[alphabet] = np.arange(2, 2 + len(alphabet), dtype=np.uint8)
-
-    def __call__(self, text: str) -> np.ndarray:
-        codes = self.of[np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), dtype="<u4")]
-        return codes[~((codes == GAP) & (np.concatenate(([0], codes[:-1])) == GAP))]
+def symbols(text: str) -> np.ndarray:
+    found = codes()[np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), dtype="<u4")]
+    return found[~((found == GAP) & (np.concatenate(([0], found[:-1])) == GAP))]
 
 
 def grams(symbols: list[np.ndarray]) -> np.ndarray:
-    """The n-grams of each text as sorted keys: the text's number over 24 bits of gram. The lone gap isn't a gram."""
+    """The n-grams of each text as sorted keys: the text's number over 48 bits of gram. The lone gap isn't a gram."""
     flat = np.concatenate(symbols).astype(np.int64)
     sizes = np.array([len(s) for s in symbols])
-    owner = np.repeat(np.arange(len(symbols), dtype=np.int64), sizes) << 24
+    owner = np.repeat(np.arange(len(symbols), dtype=np.int64), sizes) << BITS
     two = owner[:-1] == owner[1:]
-    pair = flat[:-1] << 8 | flat[1:]
+    pair = flat[:-1] << 16 | flat[1:]
     three = two[:-1] & two[1:]
-    triple = pair[:-1] << 8 | flat[2:]
+    triple = pair[:-1] << 16 | flat[2:]
     one = flat != GAP
     keys = np.concatenate(((owner | flat)[one], (owner[:-1] | pair)[two], (owner[:-2] | triple)[three & (flat[1:-1] != GAP)]))
     keys.sort()
@@ -68,20 +68,19 @@ def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def ranked(keys: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each text its most frequent grams: text number, gram, rank from 0."""
     found, n = counted(keys)
-    order = (found >> 24) << 52 | ((1 << 28) - 1 - np.minimum(n, (1 << 28) - 1)) << 24 | (found & 0xFFFFFF)
-    order.sort()
-    owner = order >> 52
+    # Keys come in order of text and gram, so a stable order by text and count leaves ties in order of gram.
+    order = found[np.argsort((found >> BITS) << 32 | ((1 << 31) - n), kind="stable")]
+    owner = order >> BITS
     rank = np.arange(len(order)) - np.searchsorted(owner, owner)
     keep = rank < top
-    return owner[keep], (order & 0xFFFFFF)[keep], rank[keep]
+    return owner[keep], (order & ((1 << BITS) - 1))[keep], rank[keep]
 
 
 class Profiles:
     """langs in order; grams sorted; places[lang, gram] with `top` for those that a profile lacks, in the last column for all others."""
 
-    def __init__(self, alphabet: list[int], profiles: dict[str, list[int]], top: int):
+    def __init__(self, profiles: dict[str, list[int]], top: int):
         self.top, self.langs = top, sorted(profiles)
-        self.symbols = Symbols(alphabet)
         self.grams = np.array(sorted({g for p in profiles.values() for g in p}), dtype=np.int64)
         self.places = np.full((len(self.langs), len(self.grams) + 1), top, dtype=np.int64)
         for k, lang in enumerate(self.langs):
@@ -89,11 +88,11 @@ class Profiles:
 
     def nearest(self, texts: list[str]) -> tuple[list[str], list[float]]:
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        symbols = [self.symbols(t) for t in texts]
-        some = [i for i, s in enumerate(symbols) if (s != GAP).any()]
+        read = [symbols(t) for t in texts]
+        some = [i for i, s in enumerate(read) if (s != GAP).any()]
         if not some or not self.langs:
             return langs, scores
-        owner, gram, rank = ranked(grams([symbols[i] for i in some]), self.top)
+        owner, gram, rank = ranked(grams([read[i] for i in some]), self.top)
         at = np.minimum(np.searchsorted(self.grams, gram), len(self.grams) - 1)
         at = np.where(self.grams[at] == gram, at, len(self.grams))
         n = np.bincount(owner, minlength=len(some))
@@ -105,10 +104,10 @@ class Profiles:
 
 
 def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Slices of at most 2,048 texts and about CHUNK characters; a longer text stands alone."""
+    """Slices of at most TEXTS texts and about CHUNK characters; a longer text stands alone."""
     start = held = 0
     for i, t in enumerate(texts):
-        if i > start and (held + len(t) > CHUNK or i - start >= 2048):
+        if i > start and (held + len(t) > CHUNK or i - start >= TEXTS):
             yield start, i
             start, held = i, 0
         held += len(t)
@@ -116,41 +115,33 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def learn(docs: DataFrame, top: int = 400, train_docs: int = 1500, alphabet_size: int = 250) -> Profiles:
+def learn(docs: DataFrame, top: int = 400, train_docs: int = 1500) -> Profiles:
     """Profiles of every language named in the training rows (see common.in_training). No other column is read.
 
-    The alphabet is the sample's commonest letters. What is collected is bounded by `top` grams a language.
+    Rows without id count as training rows; null texts and languages teach nothing, repeated rows count as often as they stand there. What is
+    collected is bounded by `top` grams a language.
     """
+    texts_in_small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").where(in_training() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sample = bounded_sample(rows, "lang", train_docs)
 
-    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype="<u4")
-                found, n = np.unique(codes[is_letter()[codes]], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype("i4")), pa.array(n.astype("i8"))], ["code", "n"])
-
-    alphabet = [r.code for r in sample.select("text").mapInArrow(letters, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "code").limit(alphabet_size).collect()]
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = Symbols(alphabet)
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lang in sorted(set(langs)):
                 own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
                 for a, b in _chunks(own):
-                    flat = grams([symbols(t) for t in own[a:b]]) & 0xFFFFFF
+                    flat = grams([symbols(t) for t in own[a:b]]) & ((1 << BITS) - 1)
                     flat.sort()
                     found, n = counted(flat)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found.astype("i4")), pa.array(n.astype("i8"))], ["lang", "gram", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(n.astype("i8"))], ["lang", "gram", "n"])
 
-    totals = sample.select("text", "lang").mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    totals = sample.select("text", "lang").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = totals.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("place") <= top)
     profiles: dict[str, list[int]] = {}
     for r in sorted(best.collect(), key=lambda r: (r.lang, r.place)):
         profiles.setdefault(r.lang, []).append(r.gram)
-    return Profiles(alphabet, profiles, top)
+    return Profiles(profiles, top)
 
 
 def identify(docs: DataFrame, profiles: Profiles, keep: bool = False) -> DataFrame:
@@ -158,19 +149,22 @@ def identify(docs: DataFrame, profiles: Profiles, keep: bool = False) -> DataFra
 
     Out: doc_id, lang_pred string, score double (1 less the distance to the nearest profile over the greatest possible one).
     `und` with score 0 if the text is null or has no letter, or if no language was learnt. One row out for each row in,
-    repeated or not. keep: all columns of docs come along; those that clash with lang_pred and score give way to them.
+    repeated or not; a null id stays null. keep: all columns of docs come along; those that clash with lang_pred and score give way to them.
     """
+    texts_in_small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(profiles)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
+    @F.arrow_udf("lang_pred string, score double")
+    def nearest(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            texts, langs, scores = [t or "" for t in part.to_pylist()], [], []
             for a, b in _chunks(texts):
-                langs, scores = held.value.nearest(texts[a:b])
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
+                found = held.value.nearest(texts[a:b])
+                langs += found[0]
+                scores += found[1]
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     names = [c for c in docs.columns if c not in ("lang_pred", "score")] if keep else ["doc_id"]
-    read = docs.select(F.col("text").alias("text_"), *names)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[1:])
-    return read.mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    # Only the text goes to Python, once; the other columns stay where they are.
+    found = docs.select(*names, nearest.asNondeterministic()("text").alias("nearest"))
+    return found.select(*names, "nearest.lang_pred", "nearest.score")

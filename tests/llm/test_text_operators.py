@@ -148,19 +148,20 @@ def test_languages(spark):
 
 
 def test_out_of_place_distance_by_hand():
-    p = language_id.Profiles([ord(c) for c in "abcde"], {"x": [2, 3], "y": [3, 4]}, 4)
+    a, b, c = map(ord, "abc")
+    p = language_id.Profiles({"x": [a, b], "y": [b, c]}, 4)
     langs, scores = p.nearest(["aab"])
     count = {}
-    text = [1, 2, 2, 3, 1]
+    text = [1, a, a, b, 1]
     for n in (1, 2, 3):
         for i in range(len(text) - n + 1):
             g = text[i : i + n]
             if g == [1] or n == 3 and g[1] == 1:
                 continue
-            key = sum(c << 8 * (n - 1 - k) for k, c in enumerate(g))
+            key = sum(c << 16 * (n - 1 - k) for k, c in enumerate(g))
             count[key] = count.get(key, 0) + 1
     ranked = sorted(count, key=lambda g: (-count[g], g))[:4]
-    far = {lang: sum(abs(prof.index(g) - r) if g in prof else 4 for r, g in enumerate(ranked)) for lang, prof in (("x", [2, 3]), ("y", [3, 4]))}
+    far = {lang: sum(abs(prof.index(g) - r) if g in prof else 4 for r, g in enumerate(ranked)) for lang, prof in (("x", [a, b]), ("y", [b, c]))}
     assert langs == [min(far, key=lambda k: (far[k], k))] and scores[0] == pytest.approx(1 - min(far.values()) / (4 * len(ranked)))
 
 
@@ -200,9 +201,23 @@ def test_grammar_kinds():
     assert kinds("he is not an idiot") == ["denied"]
     assert kinds("someone said idiot") == ["reported"]
     assert kinds("kill them") == ["aimed threat"] and kinds("nothing here") == []
+    assert kinds("doctors treat people hurt in the accident") == [] and kinds("idiot") == [] and kinds("idiot.\nyou") == []  # no target; no clause
+    assert kinds("you\tidiot") == kinds("you\u00a0idiot") == ["aimed"]  # any white space parts words
+    assert kinds("he said she will not kill you") == ["denied"]
     assert kinds("you. an idiot") == ["plain"]  # clauses end at full stops
 
 
+def test_composed_transducers_equal_those_one_after_the_other():
+    rng = random.Random(2)
+    for _ in range(300):
+        clause = [rng.choice((0, 0, toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT)) for _ in range(rng.randrange(1, 15))]
+        read, weights = clause, [1.0] * len(clause)
+        for t in (toxicity.DENIALS, toxicity.QUOTES, toxicity.TARGETS):
+            out = t.read(read)
+            read, weights = [s for s, _ in out], [w * x for w, (_, x) in zip(weights, out, strict=True)]
+        assert toxicity.CLAUSES.read(clause) == list(zip(read, weights, strict=True))
+
+
 def test_pseudo_likelihood_equals_a_plain_loop(spark):
     classes, hidden = 1 + 5 + 4, 3
     words = ["the", "of", "a", "in", "to"]

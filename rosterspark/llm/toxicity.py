@@ -1,10 +1,11 @@
 """Toxicity by a weighted grammar of finite-state patterns over clauses.
 
-Words become input symbols: insult, threat, target, negation, report (someone else's speech) or other. Small transducers,
-one for what precedes a match (negation, report) and one for whom it is aimed at (target), are composed into one automaton;
-reading a clause, it writes a match for every insult or threat, of the kind that the state stands for. The matches' weights are
-summed by kind over the whole text, and a logistic model turns the sums into a score. A word alone scores nothing; the kind of
-clause that it stands in decides its weight.
+A text is cut into clauses (at the ends of sentences and lines), its words become symbols: insult, threat, target, negation, report
+(someone else's speech) or other. Small weighted transducers rewrite the insults and threats of a clause: the first those that a
+negation precedes, the second those in reported speech, the third those aimed at a target. They are composed into one transducer, which reads
+each clause forwards; the third one also reads it backwards, as targets may follow ("idiot, you"). What it writes are matched clauses: denied,
+reported, aimed, or plain (an insult in a clause with other words). A threat matches only with a target, and a word that is the whole
+clause matches nothing. The matches' weights are summed by kind over the whole text, and a logistic model turns the sums into a score.
 
 Insults are a seed list and word beginnings learnt from labelled rows: those far likelier in toxic documents than chance
 allows (Chernoff's bound), counted over the different words that they follow, as copies repeat theirs. Both the beginnings and the logistic model are
@@ -23,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, in_training, staged
+from .common import bounded_sample, in_training, staged, texts_in_small_batches
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, DENIED, REPORTED, AIMED, AIMED_THREAT = SYMBOLS = range(10)
 
 # Seed words of the grammar.
 SEEDS = {
@@ -35,31 +36,59 @@ SEEDS = {
     NEGATION: "not never no nicht kein keine nunca jamás ne jamais pas",
     REPORT: "said says told called claimed wrote quote sagte schrieb dijo dice escribió dit disait écrit",
 }
-KINDS = ("plain", "aimed", "denied", "reported", "threat", "aimed threat")
+KINDS = ("plain", "aimed", "denied", "reported", "aimed threat")
+#: The kind of each symbol that a match can end as.
+KIND_OF = {INSULT: 0, AIMED: 1, DENIED: 2, REPORTED: 3, AIMED_THREAT: 4}
 #: A negation or report holds for so many words, a target for so many before or after a match.
 REACH = 4
 BEGINNINGS = range(3, 9)
-CLAUSE_END = re.compile(r"[.!?;:\n]$")
+CLAUSE_END = re.compile(r"[.!?;:]$")
 EDGES = re.compile(r"^\W+|\W+$")
 
 
-def compose() -> dict[tuple[int, int], tuple[int, int]]:
-    """The product of three counters (words since negation, report and target): (state, symbol) -> (state, kind or -1)."""
-    side = REACH + 1
-    table = {}
-    for n in range(side):
-        for r in range(side):
-            for t in range(side):
-                for symbol in range(6):
-                    nxt = [max(0, x - 1) for x in (n, r, t)]
-                    for k, s in enumerate((NEGATION, REPORT, TARGET)):
-                        if symbol == s:
-                            nxt[k] = REACH
-                    kind = -1
-                    if symbol in (INSULT, THREAT):
-                        kind = 2 if n else 3 if r else (0 if symbol == INSULT else 4) + bool(t)
-                    table[(n * side + r) * side + t, symbol] = (nxt[0] * side + nxt[1]) * side + nxt[2], kind
-    return table
+class Transducer:
+    """arcs: (state, symbol) -> (next state, symbol written, weight). State 0 is the first."""
+
+    def __init__(self, arcs: dict[tuple[int, int], tuple[int, int, float]]):
+        self.arcs = arcs
+
+    def read(self, symbols: list[int]) -> list[tuple[int, float]]:
+        state, out = 0, []
+        for s in symbols:
+            state, written, weight = self.arcs[state, s]
+            out.append((written, weight))
+        return out
+
+
+def after(trigger: int, rewritten: dict[int, tuple[int, float]]) -> Transducer:
+    """Rewrites symbols that stand within REACH places after a trigger, with weights; the state is how far the trigger still reaches."""
+    arcs = {}
+    for state in range(REACH + 1):
+        for s in SYMBOLS:
+            written, weight = rewritten.get(s, (s, 1.0)) if state else (s, 1.0)
+            arcs[state, s] = (REACH if s == trigger else max(0, state - 1), written, weight)
+    return Transducer(arcs)
+
+
+def compose(a: Transducer, b: Transducer) -> Transducer:
+    """b reads what a writes; weights multiply. Only states that can be reached are kept."""
+    numbers, arcs, rest = {(0, 0): 0}, {}, [(0, 0)]
+    while rest:
+        pair = rest.pop()
+        for s in SYMBOLS:
+            to_a, middle, w_a = a.arcs[pair[0], s]
+            to_b, written, w_b = b.arcs[pair[1], middle]
+            if (to_a, to_b) not in numbers:
+                numbers[to_a, to_b] = len(numbers)
+                rest.append((to_a, to_b))
+            arcs[numbers[pair], s] = (numbers[to_a, to_b], written, w_a * w_b)
+    return Transducer(arcs)
+
+
+DENIALS = after(NEGATION, {INSULT: (DENIED, 1.0), THREAT: (DENIED, 1.0)})
+QUOTES = after(REPORT, {INSULT: (REPORTED, 1.0), THREAT: (REPORTED, 1.0)})
+TARGETS = after(TARGET, {INSULT: (AIMED, 1.0), THREAT: (AIMED_THREAT, 1.0)})
+CLAUSES = compose(compose(DENIALS, QUOTES), TARGETS)
 
 
 class Grammar:
@@ -68,7 +97,6 @@ class Grammar:
     def __init__(self, insults: dict[str, float]):
         self.insults = {f"{w} ": 3.0 for w in SEEDS[INSULT].split()} | insults
         self.words = {w: s for s in (THREAT, TARGET, NEGATION, REPORT) for w in SEEDS[s].split()}
-        self.arcs = compose()
         self.seen: dict[str, tuple[int, float, bool]] = {}
 
     def read(self, word: str) -> tuple[int, float, bool]:
@@ -79,35 +107,34 @@ class Grammar:
         symbol = INSULT if weight else self.words.get(bare, OTHER)
         found = (symbol, weight or 1.0, bool(CLAUSE_END.search(word)))
         if len(word) <= 40:
-            if len(self.seen) > 80_000:
+            if len(self.seen) > 40_000:
                 self.seen.clear()
             self.seen[word] = found
         return found
 
     def sums(self, text: str) -> np.ndarray:
-        """Weights of the matches by kind."""
+        """Weights of the matched clauses by kind."""
         out = np.zeros(len(KINDS))
-        words = text.lower().replace("\n", "\n ").split(" ")
         seen, read = self.seen, self.read
-        found = [seen.get(w) or read(w) for w in words]
-        at = 0
-        for i, (symbol, weight, _) in enumerate(found):
-            if symbol != INSULT and symbol != THREAT:
-                continue
-            start = i
-            while start > at and i - start < REACH and not found[start - 1][2]:
-                start -= 1
-            state = 0
-            for k in range(start, i + 1):
-                state, kind = self.arcs[state, found[k][0]]
-            if kind in (0, 4) and not found[i][2]:  # a target may follow: "idiot, you"
-                for k in range(i + 1, min(len(found), i + 1 + REACH)):
-                    if found[k][0] == TARGET:
-                        kind += 1
-                        break
-                    if found[k][2]:
-                        break
-            out[kind] += weight
+        for line in text.lower().split("\n"):
+            found = [seen.get(w) or read(w) for w in line.split()]
+            for i, (symbol, weight, _) in enumerate(found):
+                if symbol != INSULT and symbol != THREAT:
+                    continue
+                # A transducer's state holds the last REACH symbols at most, so it reads the clause from there.
+                start = i
+                while start and i - start < REACH and not found[start - 1][2]:
+                    start -= 1
+                end = i + 1
+                while end < len(found) and end - i <= REACH and not found[end - 1][2]:
+                    end += 1
+                if end - start == 1:
+                    continue
+                written, factor = CLAUSES.read([f[0] for f in found[start : i + 1]])[-1]
+                if written in (INSULT, THREAT):
+                    written, factor = TARGETS.read([f[0] for f in reversed(found[i:end])])[-1]
+                if written in KIND_OF:
+                    out[KIND_OF[written]] += weight * factor
         return out
 
 
@@ -115,13 +142,18 @@ def features(sums: np.ndarray) -> np.ndarray:
     return np.concatenate((np.ones(sums.shape[:-1] + (1,)), np.minimum(sums, 3.0), np.log1p(sums)), axis=-1)
 
 
+#: Weights that may be negative: the intercept's and those of denied and reported matches.
+FREE = [0, *(1 + k + len(KINDS) * half for half in (0, 1) for k in (KIND_OF[DENIED], KIND_OF[REPORTED]))]
+
+
 def fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.05, steps: int = 60) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; weights of matches never fall below 0, the intercept is free.
+    """Ridge logistic regression by Newton steps; weights of matches never fall below 0 but for denied and reported ones.
 
-    Without both labels: the intercept of the seeds alone."""
-    w = np.zeros(x.shape[1])
+    Without both labels: matches count alike, denied and reported ones against it."""
+    w, bound = np.zeros(x.shape[1]), np.setdiff1d(np.arange(x.shape[1]), FREE)
     if not len(y) or y.min() == y.max():
-        w[0], w[1:] = -3.0, 1.0
+        w[bound], w[FREE] = 1.0, -1.0
+        w[0] = -3.0
         return w
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -129,7 +161,7 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.05, steps: int = 60) ->
         ridge[0] = 1e-6
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (y - p) - ridge * w)
         w = w + np.clip(step, -2, 2)
-        w[1:] = np.maximum(w[1:], 0.0)
+        w[bound] = np.maximum(w[bound], 0.0)
         if np.abs(step).max() < 1e-7:
             break
     return w
@@ -145,6 +177,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = 4000, alpha: flo
 
     purity: the least log odds (toxic against other documents) of a learnt beginning. Rows with null ids, labels or texts teach nothing;
     of repeated labels the highest counts; repeated documents count as often as they stand there."""
+    texts_in_small_batches(docs.sparkSession)
     known = labels.select("doc_id", "toxic").where(in_training() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = bounded_sample(known, "toxic", train_docs)
     sample = staged(docs.select("doc_id", "text").where(in_training() & F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "toxic-sample")  # the sample's ids: bounded by train_docs a label
@@ -204,22 +237,21 @@ def score(docs: DataFrame, grammar: Grammar, weights: np.ndarray, threshold: flo
     """The toxicity of every whole text.
 
     Out: doc_id, score double, predicted int (1 from the threshold on). A null or empty text has the score of a text without
-    matches. One row out for each row in, repeated or not. keep: all columns of docs come along; those that clash with score and
+    matches. One row out for each row in, repeated or not; a null id stays null. keep: all columns of docs come along; those that clash with score and
     predicted give way to them.
     """
+    texts_in_small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast((grammar.insults, weights))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("score double, predicted int")
+    def scored(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         insults, w = held.value
         own = Grammar(insults)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                sums = np.array([own.sums(t or "") for t in part.column(0).to_pylist()])
-                p = 1 / (1 + np.exp(-np.clip(features(sums) @ w, -30, 30)))
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(p), pa.array((p >= threshold).astype("i4"))], [*names, "score", "predicted"])
+        for part in parts:
+            sums = np.array([own.sums(t or "") for t in part.to_pylist()]).reshape(-1, len(KINDS))
+            p = 1 / (1 + np.exp(-np.clip(features(sums) @ w, -30, 30)))
+            yield pa.StructArray.from_arrays([pa.array(p), pa.array((p >= threshold).astype("i4"))], ["score", "predicted"])
 
     names = [c for c in docs.columns if c not in ("score", "predicted")] if keep else ["doc_id"]
-    read = docs.select(F.col("text").alias("text_"), *names)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[1:])
-    return read.mapInArrow(run, f"{kinds}, score double, predicted int")
+    # Only the text goes to Python, once; the other columns stay where they are.
+    return docs.select(*names, scored.asNondeterministic()("text").alias("scored")).select(*names, "scored.score", "scored.predicted")

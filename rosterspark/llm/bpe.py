@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import texts_in_small_batches
+
 #: In this pattern a space can only begin a match or stand in a run of white space.
 SPACE_LED = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -123,7 +125,11 @@ def codec(spec: str, word_wise: bool) -> Codec:
 
 
 def _spec(spark: SparkSession, ranks_path: str, pattern: str):
-    return spark.sparkContext.broadcast(tokenizer_json(read_ranks(ranks_path), pattern)), pattern == SPACE_LED
+    """The vocabulary, broadcast, and whether texts may be cut at spaces: no token may hold a space beside other white space."""
+    texts_in_small_batches(spark)
+    tokens = read_ranks(ranks_path)
+    cut = pattern == SPACE_LED and not any(len(t) > 1 and b" " in t and t.isspace() for t in tokens)
+    return spark.sparkContext.broadcast(tokenizer_json(tokens, pattern)), cut
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str = SPACE_LED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -172,21 +178,23 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str = SPACE_LED, id_co
     """Encodes and decodes every text in one pass and keeps digests only, so no list of ids leaves its task.
 
     Out: id_col, n_tokens long, ids_sha256, decoded_sha256 (lowercase hex of the ids as little-endian unsigned
-    32-bit integers and of the decoded bytes). A null text counts as empty.
+    32-bit integers and of the decoded bytes). A null text counts as empty. One row out for each row in, repeated or not; null ids stay
+    null, other columns are left out.
     """
     spec, word_wise = _spec(docs.sparkSession, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value, word_wise)
+        last, found = None, (0, "", "")
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                counts, left, right = [], [], []
-                for ids in own.encode(t or "" for t in part.column(1).to_pylist()):
-                    counts.append(len(ids) // 4)
-                    left.append(hashlib.sha256(ids).hexdigest())
-                    right.append(hashlib.sha256(own.decode(ids)).hexdigest())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), pa.array(left, pa.string()), pa.array(right, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            out = []
+            for text in batch.column(1).to_pylist():
+                if text != last or not out:  # a text that is repeated in a row is encoded once
+                    ids = next(own.encode([text or ""]))
+                    last, found = text, (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest())
+                out.append(found)
+            counts, left, right = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(left, pa.string()), pa.array(right, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

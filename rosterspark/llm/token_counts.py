@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import texts_in_small_batches
+
 MARK = "▁"
 
 
@@ -78,6 +80,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, sample_doc
     Out: id_col, n_bytes long, n_tokens long, over_limit boolean. A null text counts as empty: 0 bytes, 0 tokens. One row
     out for each row in, repeated or not; other columns are left out.
     """
+    texts_in_small_batches(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, model_path, text_col, sample_docs, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

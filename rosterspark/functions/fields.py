@@ -82,6 +82,20 @@ def first_filled(*columns: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in columns])
 
 
+def work_venue(location: Column) -> Column:
+    """The source's name of a work's location, else the raw name as it stands there; blank without a location."""
+    return F.coalesce(F.nullif(location["source"]["display_name"], F.lit("")), location["raw_source_name"], F.lit(""))
+
+
+def work_venue_type(location: Column) -> Column:
+    return F.coalesce(location["source"]["type"], F.lit(""))
+
+
+def work_url(doi: Column, location: Column) -> Column:
+    """The DOI, else the landing page, else blank."""
+    return F.coalesce(F.nullif(doi, F.lit("")), location["landing_page_url"], F.lit(""))
+
+
 def gap_fill(c: Column, other: Column) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), other)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -26,9 +27,19 @@ def title_key(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.regexp_replace(c, r"\\[nt]", " ")), "[^a-z0-9]+", " "))
 
 
+def _plain_letters() -> tuple[str, str]:
+    """Every Latin letter that decomposes into a letter and marks, and that letter; then the marks themselves, which translate() drops."""
+    decomposed = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))}
+    folded = {c: d[0] for c, d in decomposed.items() if len(d) > 1 and all(unicodedata.combining(m) for m in d[1:])}
+    return "".join(folded) + "".join(map(chr, range(0x300, 0x370))), "".join(folded.values())
+
+
+ACCENTED, FOLDED = _plain_letters()
+
+
 def fold(c: Column) -> Column:
-    """Accents off, lower case, trimmed."""
-    return F.trim(F.lower(F.translate(c, K.ACCENTED, K.FOLDED)))
+    """Accents off (letters that no mark makes, such as ł and ø, stay), lower case, trimmed."""
+    return F.trim(F.lower(F.translate(c, ACCENTED, FOLDED)))
 
 
 def letters(c: Column) -> Column:
@@ -41,14 +52,18 @@ def tokens(c: Column) -> Column:
     return F.filter(F.split(c, SPACES), lambda t: t != "")
 
 
+SUFFIX = r"(?i),\s*(?:jr|sr|ii|iii|iv|ph\.?\s*d|m\.?\s*d|ed\.?\s*d|m\.?\s*s|m\.?\s*a|b\.?\s*s|b\.?\s*a|esq)\.?\s*$"
+
+
 def clean_name(c: Column) -> Column:
-    """A person's name: no parentheses, trailing digits, capital codes or honorifics; Last, First turned; null under three characters."""
+    """A person's name: no parentheses, trailing digits, capital codes, degrees after a comma or honorifics; Last, First turned; null under three characters."""
     c = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"\(.*\)", ""), r"\s+.?\d+", ""), "[A-Z]{3,}", "")
-    before, after = F.substring_index(c, ",", 1), F.substring_index(c, ",", -1)
+    c = F.regexp_replace(F.regexp_replace(c, SUFFIX, ""), SUFFIX, "")
+    before, after = F.substring_index(c, ",", 1), F.regexp_replace(F.regexp_replace(c, "^[^,]*,", ""), ",", " ")
     one_word_first = F.size(tokens(before)) < 2
     c = F.when(F.contains(c, F.lit(",")), F.when(one_word_first, F.concat_ws(" ", after, before)).otherwise(before)).otherwise(c)
     c = F.regexp_replace(c, r"^\s*((Prof|Dr|Lt|Col|Maj|Mr|Mrs|Ms)\.\s*)+", "")
-    c = F.regexp_replace(F.regexp_replace(collapse(c), "’", "'"), "​", "")
+    c = F.regexp_replace(F.regexp_replace(collapse(c), "\u2019", "'"), "\u200b", "")
     return F.when(F.length(c) >= 3, c)
 
 
@@ -104,17 +119,13 @@ def initials(c: Column) -> Column:
     return F.when(F.size(t) >= 2, F.upper(F.concat(F.substring(F.get(t, F.lit(0)), 1, 1), F.substring(F.try_element_at(t, F.lit(-1)), 1, 1)))).when(F.size(t) == 1, F.upper(F.substring(F.get(t, F.lit(0)), 1, 2))).otherwise("?")
 
 
-SUBJECT = r"([a-z]{3,11}\s*(,|and|&|/)\s*)*(\s*(,|&|/|and)\s*)?((practice of )?computer|data (science|analytics)|information (science|technology|system)|bioinformatics|computing|software engineering|cyber)( and)?"
-POSITION_OF = r"(prof\.|professor|lecturer|instructor|chair|director) (of|in) "
-
-
 def clean_title(c: Column, include_subject: bool = False) -> Column:
     """An academic title in rank words; null for what isn't a teaching post, for emeriti and for other subjects."""
     t = F.lower(collapse(c))
     has = t.rlike
-    reject = ~has(r"(prof\.|professor|centennial|lecturer|instructor|chair)") | has(r"(emerit|program contact)") | (has(POSITION_OF) & ~has(POSITION_OF + SUBJECT)) | has("(lab|laboratory) lecturer")
+    reject = ~has(r"(prof\.|professor|centennial|lecturer|instructor|chair)") | has(r"(emerit|program contact)") | (has(K.POSITION_OF) & ~has(K.POSITION_OF + K.SUBJECT)) | has("(lab|laboratory) lecturer")
     if include_subject:
-        reject = reject | ~has(SUBJECT)
+        reject = reject | ~has(K.SUBJECT)
     words = lambda *parts: F.concat_ws(" ", *parts)
     senior = F.when(has("senior lecturer") | (has("instructor") & ~has("lecturer") & has("senior")), "Senior")
     lab = F.when(~has("lecturer") & has("instructor") & has("lab"), "Lab")
@@ -164,14 +175,15 @@ def clean_venue(c: Column) -> Column:
 
 
 def shorten_words(c: Column, short: Mapping[str, str] = K.VENUE_SHORT) -> Column:
-    """Words with a short form give way to it; words in capitals or lower case keep their case."""
+    """Whole words with a short form give way to it, whatever stands beside them; the first letter keeps its case."""
     table = F.create_map(*[F.lit(x) for pair in short.items() for x in pair])
 
     def one(w: Column) -> Column:
-        found = F.element_at(table, F.lower(w))
-        return F.when(found.isNull(), w).when((w == F.upper(w)) & (F.length(w) > 1), F.upper(found)).when(w == F.lower(w), F.lower(found)).otherwise(found)
+        found, first = F.element_at(table, F.lower(w)), F.substring(w, 1, 1)
+        lowered = F.concat(F.lower(F.substring(found, 1, 1)), F.substring(found, F.lit(2), F.length(found)))
+        return F.when(found.isNull(), w).when(first == F.upper(first), found).otherwise(lowered)
 
-    return F.array_join(F.transform(F.split(c, " "), one), " ")
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(r"(\w+|\W+)"), 1), one), "")
 
 
 def journal_key(c: Column) -> Column:
@@ -187,9 +199,7 @@ def stem(w: Column) -> Column:
     return F.when(w.endswith("ies") & (n > 4), F.concat(F.substring(w, 1, n - 3), F.lit("y"))).when(w.endswith("ses") | w.endswith("zes"), F.substring(w, 1, n - 2)).when(w.endswith("s") & ~w.endswith("ss"), F.substring(w, 1, n - 1)).otherwise(w)
 
 
-ORGANISATION = r"(?:(?:ACM|IEEE|SIAM|USENIX|AAAI)\s+)?"
-ANY_WORD = rf"(?i)^proceedings\s+of\s+(?:the\s+)?(?:\w+\s+)?(?:\(\d{{4}}\)\s+)?{ORGANISATION}"
-ORDINAL_ONLY = rf"(?i)^proceedings\s+of\s+(?:the\s+)?(?:(?:\d{{4}}|\d{{1,3}}(?:st|nd|rd|th)|{'|'.join(K.ORDINALS)})\s+)?(?:\(\d{{4}}\)\s+)?{ORGANISATION}"
+ANY_WORD, ORDINAL_ONLY = K.ANY_WORD, K.ORDINAL_ONLY
 
 
 def title_tokens(c: Column, prefix: str = ANY_WORD, stop: Sequence[str] = K.TITLE_STOP) -> Column:
@@ -215,10 +225,14 @@ def distinct_by(items: Column, key) -> Column:
     return F.filter(items, lambda x, i: F.array_position(keys, key(x)) == i + 1)
 
 
+ROLE_MARKER = r"(?i)\s*\((?:primary|p|lead|responsible)\)\s*$"
+
+
 def primary_first(people: Column) -> Column:
-    """Names of structs (name, primary): primary ones first, each once."""
-    name = lambda p: p["name"]
-    return F.array_distinct(F.concat(F.transform(F.filter(people, lambda p: p["primary"]), name), F.transform(F.filter(people, lambda p: ~p["primary"]), name)))
+    """Names of structs (name, primary): primary ones first, each once, blanks left out. A role marker such as (Primary) behind a name goes."""
+    named = lambda some: F.transform(some, lambda p: F.trim(F.regexp_replace(p["name"], ROLE_MARKER, "")))
+    is_primary = lambda p: F.coalesce(p["primary"], F.lit(False))
+    return F.array_distinct(F.filter(F.concat(named(F.filter(people, is_primary)), named(F.filter(people, lambda p: ~is_primary(p)))), lambda n: F.coalesce(n, F.lit("")) != ""))
 
 
 def title_and_people(c: Column, note: str = r"(?i)lab|credit|lecture|section|hybrid|online|\d") -> Column:
@@ -245,11 +259,20 @@ def compact_number(c: Column) -> Column:
 
 
 def drop_math_fallback(c: Column) -> Column:
-    """Plain text that repeats a $$latex$$ span just before it goes."""
+    """Plain text, of one word or several, that repeats a $$latex$$ span just before it goes, at every span."""
     squash = lambda x: F.regexp_replace(F.lower(x), r"[^a-z0-9]", "")
-    span, rest = F.regexp_extract(c, r"\$\$([^$]*)\$\$", 1), F.regexp_extract(c, r"\$\$[^$]*\$\$\s*(\S+)", 1)
-    repeated = (squash(rest) != "") & (squash(span) == squash(rest))
-    return F.when(repeated, F.regexp_replace(c, r"(\$\$[^$]*\$\$)\s*\S+", "$1")).otherwise(c)
+    pieces = F.split(c, r"\$\$")  # text, span, text, span, ...
+
+    def follows(piece: Column, i: Column) -> Column:
+        span = squash(F.get(pieces, i - 1))
+        words = F.split(F.ltrim(piece), r"\s+")
+        prefix = lambda n: squash(F.array_join(F.slice(words, F.lit(1), n), ""))
+        n = F.array_position(F.transform(F.sequence(F.lit(1), F.size(words)), prefix), span)
+        rest = F.array_join(F.slice(words, n.cast("int") + 1, F.size(words)), " ")
+        return F.when((i % 2 == 0) & (i > 0) & (span != "") & (n > 0), F.when(rest == "", "").otherwise(F.concat(F.lit(" "), rest))).otherwise(piece)
+
+    closed = F.size(pieces) % 2 == 1
+    return F.when(closed & (F.size(pieces) > 1), F.array_join(F.transform(pieces, follows), "$$")).otherwise(c)
 
 
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
@@ -264,3 +287,9 @@ def unescape(c: Column, entities: Mapping[str, str] = ENTITIES) -> Column:
 
 def plain_text(c: Column) -> Column:
     return collapse(unescape(F.regexp_replace(c, "<[^>]+>", "")))
+
+
+def first_of_each(entries: Column) -> Column:
+    """A map from structs (key, value, ...); of entries with one key the first counts, those without a key go."""
+    keyed = F.filter(entries, lambda e: e["key"].isNotNull())
+    return F.map_from_entries(F.transform(distinct_by(keyed, lambda e: e["key"]), lambda e: F.struct(e["key"], e["value"])))

@@ -90,14 +90,21 @@ def distinct_keys(df: DataFrame, key: Column) -> DataFrame:
     return df.agg((F.count_distinct(F.nullif(key, F.lit(""))) + F.count_if(F.coalesce(key, F.lit("")) == "")).alias("n"))
 
 
-def prune_singletons(df: DataFrame, group: str, code: str, year: str, cutoff: Column) -> DataFrame:
-    """Codes offered in one period before the cutoff go, as do codes that are another's with one more L (labs)."""
-    stats = df.groupBy(group, code).agg(F.count_distinct(year).alias("years"), F.max(year).alias("last"))
-    kept = stats.where(~((F.col("years") == 1) & (F.col("last") < cutoff))).select(group, code)
+def prune_singletons(df: DataFrame, group: str, code: str, year: str, cutoff: Column, term: str | None = None) -> DataFrame:
+    """Codes offered in a single period (year and term) before the cutoff go, as do codes that are another's with one more L (labs)."""
+    period = F.struct(*[c for c in (year, term) if c])
+    stats = df.groupBy(group, code).agg(F.count_distinct(period).alias("periods"), F.max(year).alias("last"))
+    kept = stats.where(~((F.col("periods") == 1) & (F.col("last") < cutoff))).select(group, code)
     bases = df.select(F.col(group).alias("base_group"), F.concat(F.col(code), F.lit("L")).alias("base")).distinct()
     return df.join(kept, [group, code], "left_semi").join(bases, (F.col(group) == F.col("base_group")) & (F.col(code) == F.col("base")), "left_anti")
 
 
+def least_by_key(df: DataFrame, keys: Sequence[str], value: str, position: str, ignored: Sequence[str] = ("", "-")) -> DataFrame:
+    """Of each key the least value that counts (a journal's best quartile) and the first position that has it."""
+    best = df.where(~F.coalesce(F.col(value), F.lit("")).isin(list(ignored))).groupBy(*keys).agg(F.min(F.struct(value, position)).alias("best"))
+    return best.select(*keys, f"best.{value}", f"best.{position}")
+
+
 def url_mode(df: DataFrame, group: str, code: str, url: str) -> DataFrame:
     """per term if some code of the group has two links, none if the whole group has at most one, else per code."""
     per_code = df.groupBy(group, code).agg(F.count_distinct(F.nullif(url, F.lit(""))).alias("n"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions.fields import host
 from ..functions.text import any_of
 
 
@@ -82,8 +83,44 @@ def strict_or_all(df: DataFrame, page: str, strict: Column, least: int = 2, loos
     return df.withColumn("only", (n >= least) & (all_ >= loose) & (all_ > times * n)).where(~F.col("only") | strict).drop("only")
 
 
-def eligible(major: Column, least: float = 1) -> Column:
-    return F.coalesce(major.try_cast("double") >= least, F.lit(False))
+SOCIAL_HOSTS = ("facebook.com", "instagram.com", "twitter.com", "x.com", "linkedin.com", "youtube.com", "scholar.google.com", "github.com")
+
+
+def eligible(major: Column, least: float = 1, state: Column | None = None, states: Sequence[str] = ()) -> Column:
+    """Institutions with the major (a number as text) and, if states are named, in one of them."""
+    keep = F.coalesce(major.try_cast("double") >= least, F.lit(False))
+    return keep & F.coalesce(state.isin(list(states)), F.lit(False)) if states and state is not None else keep
+
+
+def is_campus_page(url: Column, ending: str = ".edu", social: Sequence[str] = SOCIAL_HOSTS) -> Column:
+    """Pages on hosts with the ending; pages of social and profile sites never count."""
+    name = host(url)
+    on_social = F.lit(False)
+    for s in social:
+        on_social = on_social | (name == s) | name.endswith(f".{s}")
+    return F.coalesce(name.endswith(ending) & ~on_social, F.lit(False))
+
+
+def is_trusted(status: Column, statuses: Sequence[str] = K.TRUSTED_STATUSES) -> Column:
+    return F.coalesce(status.isin(list(statuses)), F.lit(False))
+
+
+def in_directory(field: Column, fields: Sequence[str] = K.INCLUDED_FIELDS) -> Column:
+    """People of the fields that a directory lists; a blank field counts as not looked at yet and stays out."""
+    return F.coalesce(field.isin(list(fields)), F.lit(False))
+
+
+def in_facets(group: Column, value: Column, year: Column, include: Sequence[tuple[str, str]] = (), exclude: Sequence[tuple[str, str]] = (), years: tuple[int | None, int | None] = (None, None)) -> Column:
+    """Rows of a year range whose (group, value) facet isn't excluded and, once any is included, is among those; an open end of the range takes unknown years too."""
+    has = lambda pairs: F.coalesce(F.struct(group.alias("g"), F.coalesce(value, F.lit("")).alias("v")).isin([F.struct(F.lit(g).alias("g"), F.lit(v).alias("v")) for g, v in pairs]), F.lit(False))
+    keep = F.lit(True)
+    if years[0] is not None:
+        keep = keep & F.coalesce(year >= years[0], F.lit(False))
+    if years[1] is not None:
+        keep = keep & F.coalesce(year <= years[1], F.lit(False))
+    if exclude:
+        keep = keep & ~has(exclude)
+    return keep & has(include) if include else keep
 
 
 PAGE_REASONS = ("no html", "needs scripts", "empty app root", "many scripts, little text", "little text")

@@ -158,28 +158,57 @@ def map_items(items: Column, table: Column) -> Column:
     return F.array_distinct(F.flatten(F.filter(F.transform(items, lambda i: F.element_at(table, i)), lambda x: x.isNotNull())))
 
 
+def _shared_edges(a: Column, b: Column, block: int) -> tuple[Column, Column]:
+    """What is left of two pages (arrays of lines) without the header and footer that they share; nulls if they share none or are too short.
+
+    A header is known by the `block` lines after the first line of one page, which may stand anywhere in the other; it goes on while lines are equal. A
+    footer is known by the last `block` lines in the same way, backwards. The first line goes with a header or footer.
+    """
+
+    def holds(lines: Column, part: Column) -> Column:
+        return F.exists(F.sequence(F.lit(1), F.greatest(F.size(lines) - block + 1, F.lit(1))), lambda i: F.slice(lines, i, F.lit(block)) == part)
+
+    def run(x: Column, i: Column, y: Column, j: Column) -> Column:
+        """How many lines from the places i and j (from 0) on are equal."""
+        rest = lambda z, k: F.slice(z, k + 1, F.greatest(F.size(z) - k, F.lit(0)))
+        same = F.zip_with(rest(x, i), rest(y, j), lambda p, q: F.coalesce(p == q, F.lit(False)))
+        first = F.array_position(same, False).cast("int")
+        return F.when(first == 0, F.size(same)).otherwise(first - 1)
+
+    def place(line: Column, lines: Column, start: int) -> Column:
+        """The first place of a line from `start` on; the page's end if there is none."""
+        at = F.array_position(F.slice(lines, F.lit(start + 1), F.size(lines)), line).cast("int")
+        return F.when(at > 0, at - 1 + start).otherwise(F.size(lines))
+
+    def shared(x: Column, y: Column, start: int) -> tuple[Column, Column, Column, Column]:
+        in_y, in_x = holds(y, F.slice(x, start + 1, block)), holds(x, F.slice(y, start + 1, block))
+        i = F.when(~in_y & in_x, place(F.get(y, F.lit(start)), x, start)).otherwise(F.lit(start))
+        j = F.when(in_y, place(F.get(x, F.lit(start)), y, start)).otherwise(F.lit(start))
+        return in_y | in_x, i, j, F.when(in_y | in_x, run(x, i, y, j)).otherwise(F.lit(0))
+
+    head, head_a, head_b, top = shared(a, b, 1)
+    foot, foot_a, foot_b, bottom = shared(F.reverse(a), F.reverse(b), 0)
+    whole = (head_a + top >= F.size(a)) | (head_b + top >= F.size(b))
+    usable = (F.size(a) >= 2 * block) & (F.size(b) >= 2 * block) & (head | foot) & ~whole
+
+    def left(lines: Column, start: Column, end: Column) -> Column:
+        return F.when(usable, F.slice(lines, start + top + 1, F.greatest(F.size(lines) - F.when(foot, end + bottom).otherwise(F.lit(0)) - start - top, F.lit(0))))
+
+    return left(a, head_a, foot_a), left(b, head_b, foot_b)
+
+
 def trim_shared_edges(pages: DataFrame, group: str, page: str, lines: str, block: int = 5) -> DataFrame:
-    """Cuts the header and footer that each page shares with its group's first page.
+    """Cuts the header and footer that each page shares with its group's first page, wherever they begin.
 
-    A run of equal lines at the top (bottom) that is at least `block` long is cut. The reference page itself is cut by the longest run that
-    it shares with any other. lines: array<string>. Pages of groups of one stay as they are.
+    The first page itself is cut by comparison with the group's last one. lines: array<string>. Pages that share nothing, are shorter than two
+    blocks or alone in their group stay as they are.
     """
-    first = pages.groupBy(group).agg(F.min_by(F.col(lines), page).alias("ref"), F.min(page).alias("ref_page"))
-
-    def run(a: Column, b: Column) -> Column:
-        same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-        n = F.array_position(same, False)
-        return F.when(n == 0, F.size(same)).otherwise(n - 1)
-
-    own = F.col(lines)
-    joined = pages.join(first, group)
-    long_enough = lambda c: F.when(c >= block, c).otherwise(0)
-    ends = joined.withColumn("head", long_enough(run(own, F.col("ref")))).withColumn("foot", long_enough(run(F.reverse(own), F.reverse("ref"))))
-    mine = F.col(page) == F.col("ref_page")
-    widest = ends.where(~mine).groupBy(group).agg(F.max("head").alias("h"), F.max("foot").alias("f"))
-    cut = ends.join(widest, group, "left").withColumn("head", F.when(mine, F.coalesce("h", F.lit(0))).otherwise(F.col("head"))).withColumn("foot", F.when(mine, F.coalesce("f", F.lit(0))).otherwise(F.col("foot")))
-    keep = F.greatest(F.size(own) - F.col("head") - F.col("foot"), F.lit(0))
-    return cut.withColumn(lines, F.slice(own, (F.col("head") + 1).cast("int"), keep.cast("int"))).drop("ref", "ref_page", "head", "foot", "h", "f")
+    ends = pages.groupBy(group).agg(F.min(page).alias("ref_page"), F.min_by(F.col(lines), page).alias("ref"), F.max_by(F.col(lines), page).alias("last"))
+    own, mine = F.col(lines), F.col(page) == F.col("ref_page")
+    # The reference side of a comparison: the first page for all others, the last one for the first page.
+    joined = pages.join(ends, group).withColumn("other", F.when(mine, F.col("last")).otherwise(F.col("ref"))).drop("ref", "last")
+    as_first, as_other = _shared_edges(own, F.col("other"), block)[0], _shared_edges(F.col("other"), own, block)[1]
+    return joined.withColumn(lines, F.coalesce(F.when(mine, as_first).otherwise(as_other), own)).select(*pages.columns)
 
 
 def in_range(points: DataFrame, bounds: DataFrame, x: str, low: str, high: str) -> DataFrame:

@@ -13,10 +13,16 @@ def axis(df: DataFrame, group: str, period: Column) -> DataFrame:
     return df.groupBy(group).agg(F.array_sort(F.collect_set(period)).alias("axis"))
 
 
-def offering_matrix(df: DataFrame, group: str, item: str, period: Column, value: Column | None = None) -> DataFrame:
-    """For each item a cell for every period of its group: struct(on, value), aligned with the group's axis."""
-    entry = F.struct(period.alias("period"), (value if value is not None else F.lit(None).cast("string")).alias("value"))
-    items = df.groupBy(group, item).agg(F.map_from_entries(F.array_sort(F.collect_set(entry))).alias("cells") if value is None else F.map_from_entries(F.collect_set(entry)).alias("cells"))
+def offering_matrix(df: DataFrame, group: str, item: str, period: Column, value: Column | None = None, position: str | None = None) -> DataFrame:
+    """For each item a cell for every period of its group: struct(on, value), aligned with the group's axis.
+
+    Of several values in one cell the first filled one by position counts (the least value without a position).
+    """
+    given = value if value is not None else F.lit(None).cast("string")
+    filled = F.when(F.coalesce(given.cast("string"), F.lit("")) != "", given)
+    order = F.col(position) if position else filled
+    cells = df.groupBy(group, item, period.alias("period")).agg(F.min_by(filled, F.when(filled.isNotNull(), order)).alias("value"))
+    items = cells.groupBy(group, item).agg(F.map_from_entries(F.collect_list(F.struct("period", "value"))).alias("cells"))
     out = items.join(axis(df, group, period), group)
     return out.select(group, item, "axis", F.transform("axis", lambda p: F.struct(F.map_contains_key("cells", p).alias("on"), F.element_at("cells", p).alias("value"))).alias("cells"))
 
@@ -33,6 +39,19 @@ def unpivot_grid(df: DataFrame, keys: Sequence[str], columns: Sequence[str], nam
     return df.unpivot(list(keys), list(columns), name, value).where(F.coalesce(F.col(value), F.lit("")) != "")
 
 
+def transposed(df: DataFrame, table: str, row: str, cells: str, names: Sequence[str], times: str = "time") -> DataFrame:
+    """A grid whose rows are days and whose columns are times as (table, name, label, cell) rows.
+
+    The day stands in the first column; labels come from the table's row whose first cell says `times`. Columns without a label go, as do
+    rows that are no day, and blank cells.
+    """
+    first = F.trim(F.get(F.col(cells), F.lit(0)))
+    labels = df.where(F.lower(first) == times).groupBy(table).agg(F.min_by(F.col(cells), row).alias("labels__"))
+    spread = df.where(first.isin(list(names))).join(labels, table).select(table, first.alias("name"), "labels__", F.posexplode(cells).alias("at__", "cell"))
+    label = F.trim(F.coalesce(F.get("labels__", F.col("at__")), F.lit("")))
+    return spread.where("at__ > 0").select(table, "name", label.alias("label"), F.trim("cell").alias("cell")).where((F.col("label") != "") & (F.col("cell") != ""))
+
+
 def split_cell(df: DataFrame, cell: str, code: str = r"[A-Z]{2,4}\d{3}") -> DataFrame:
     """A cell that holds several items becomes a row for each, cut before every code."""
     return df.withColumn(cell, F.explode(F.filter(F.split(cell, rf"(?={code})"), lambda s: F.trim(s) != "")))

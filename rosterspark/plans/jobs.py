@@ -29,7 +29,7 @@ def clean_pages(pages: DataFrame, keywords: Sequence[str] = ("research", "intere
     lines = trimmed.select("college", "name", "url", F.posexplode("lines").alias("pos", "line"))
     parts = F.filter(T.tokens(F.lower("name")), lambda t: F.length(t) >= 2)  # blank parts of a name match nothing
     hit = F.lower("line").rlike("|".join(keywords)) | F.exists(parts, lambda p: F.contains(F.lower("line"), p))
-    near = O.near_hits(lines, "url", "pos", hit).where(~P.is_noise_line(F.col("line")) & ~P.has_multiple_fields(F.col("line")))
+    near = O.near_hits(lines.where(F.length("line") > 0), "url", "pos", hit).where(~P.is_noise_line(F.col("line")) & ~P.has_multiple_fields(F.col("line")))
     own = A.drop_frequent_lines(near, "college", "url", "line")
     joined = own.groupBy("url").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda s: s["line"]), "\n").alias("text"))
     return pages.select("college", "name", "url").join(joined, "url", "left").select("college", "name", "url", "text")
@@ -83,8 +83,8 @@ def tag_venues(publications: DataFrame, rules: Sequence[tuple[str, str, Sequence
         lambda df: by_key(df, X.findings_parent(F.col("venue"))),
     ]
     core = J.cascade(venues, "venue", steps).select("venue", F.col("match").alias("rank"))
-    keyed = journals.withColumn("key", T.journal_key(F.col("title"))).where(~F.col("quartile").isin("", "-"))
-    best = keyed.groupBy("key").agg(F.min(F.struct("quartile", "pos")).alias("b")).select("key", "b.quartile", F.col("b.pos").alias("tid"))
+    keyed = journals.withColumn("key", T.journal_key(F.col("title")))
+    best = A.least_by_key(keyed, ["key"], "quartile", "pos").withColumnRenamed("pos", "tid")
     exact = lambda df: df.withColumn("key", T.journal_key(F.col("venue"))).join(best.select("key", F.col("quartile").alias("match")), "key")
 
     def subset(df: DataFrame) -> DataFrame:
@@ -123,34 +123,38 @@ def verify_profiles(roster: DataFrame, profiles: DataFrame, done: DataFrame) ->
 def build_offerings(rows: DataFrame, people: DataFrame) -> DataFrame:
     """Offering matrices of each college from its course rows, with the people who teach.
 
-    rows: college, academic_year, term, course_code, course_name, instructor, url. people: person, college, name. Out: college, code, name, axis, cells
-    (on, value = link), instructors aligned with the axis, in the colleges' natural order of codes.
+    rows: college, academic_year, term, course_code, course_name, instructor, url, pos (the row's place in its file, which decides what comes first).
+    people: person, college, name. Out: college, code, name, url (one link for the code), axis, cells (on, value = link of that period),
+    instructors aligned with the axis, in the colleges' natural order of codes. A college has links of periods if one of its codes has two, else
+    links of codes, and none if all its codes share one.
     """
-    year = F.substring("academic_year", 1, 4).cast("int")
-    allowed = rows.where(F.col("term").isin(K.ALLOWED_TERMS)).withColumn("start", year)
-    # The cutoff counts every row of an allowed term, and the axis those of codes that are dropped later.
-    cutoff = allowed.agg((F.max("start") - 3).alias("cutoff")).first()["cutoff"]
-    kept = allowed.where(P.in_years(F.col("academic_year"), F.col("term")) & P.has_prefix(F.col("course_code"))).withColumn("pos", F.monotonically_increasing_id())
-    period = F.struct("academic_year", X.term_rank(F.col("term")).alias("rank"), "term")
+    blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    clean = rows.withColumns({"course_code": blank("course_code"), "course_name": F.regexp_replace(blank("course_name"), '^"+|"+$', ""), "url": F.nullif(blank("url"), F.lit("")), "instructor": blank("instructor")})
+    inside = clean.where(P.in_years(F.col("academic_year"), F.col("term")))
+    # The cutoff counts every row of an allowed year and term; the axis those of codes that are dropped later, but not of excluded names.
+    cutoff = inside.agg(X.academic_year(F.max(F.substring("academic_year", 1, 4).try_cast("int")) - 3)).scalar()
+    kept = inside.where(P.has_prefix(F.col("course_code")) & ~P.is_excluded(F.col("course_name")))
+    keys, period = ["college", "course_code"], F.struct("academic_year", X.term_rank(F.col("term")).alias("rank"), "term")
     axis = R.axis(kept, "college", period)
-    named = kept.where(~P.is_excluded(F.col("course_name")))
-    pruned = A.prune_singletons(named, "college", "course_code", "academic_year", X.academic_year(F.lit(cutoff)))
-    lecture = ~P.is_lab_only(F.col("course_name"))
-    item = F.struct("college", "course_code")
-    names = A.latest(pruned.withColumn("item", item), "item", "course_name", [F.col("academic_year"), X.term_rank(F.col("term"))], "pos", where=lecture).select("item.*", F.col("course_name").alias("name"))
-    mode = A.url_mode(pruned, "college", "course_code", "url")
-    cells = pruned.join(mode, "college").groupBy("college", "course_code", period.alias("period")).agg(F.max(F.when(F.col("mode") == "per term", F.nullif("url", F.lit("")))).alias("url"))
-    maps = cells.groupBy("college", "course_code").agg(F.map_from_entries(F.collect_list(F.struct("period", "url"))).alias("m"))
-    mentions = pruned.select("college", "course_code", period.alias("period"), F.explode(T.split_people(F.col("instructor"))).alias("who")).withColumn("p", T.parse_person(F.col("who"))).where("p is not null")
+    lecture = (F.col("course_name") != "") & ~P.is_lab_only(F.col("course_name"))
+    latest = F.max_by(F.when(lecture, F.col("course_name")), F.when(lecture, F.struct("academic_year", X.term_rank(F.col("term")), -F.col("pos"))))
+    # Codes that have names, but only those of labs, go.
+    names = kept.groupBy(*keys).agg(latest.alias("name"), F.bool_or(F.col("course_name") != "").alias("named")).where("name is not null or not named").select(*keys, F.coalesce("name", F.lit("")).alias("name"))
+    pruned = A.prune_singletons(kept, "college", "course_code", "academic_year", cutoff, "term").join(names, keys, "left_semi")
+    cells = pruned.groupBy(*keys, period.alias("period")).agg(F.min_by("url", F.when(F.col("url").isNotNull(), F.col("pos"))).alias("url"))
+    linked = cells.join(A.url_mode(cells, "college", "course_code", "url"), "college")
+    value = F.when(F.col("mode") == "per term", F.col("url")).alias("value")
+    maps = linked.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("period", value))).alias("m"), F.max(F.when(F.col("mode") == "per code", F.col("url"))).alias("url"))
+    mentions = pruned.select(*keys, period.alias("period"), F.explode(T.split_people(F.col("instructor"))).alias("who")).withColumn("p", T.parse_person(F.col("who"))).where("p is not null")
     mentions = mentions.withColumn("id", F.struct("college", "who"))
     known = people.select("person", "college", T.parse_person(F.col("name")).alias("p")).where("p is not null").select("person", "college", "p.first", "p.last")
     resolved = J.scored_match(mentions.select("id", "college", "p.first", "p.last").distinct(), known, "college")
-    taught = mentions.join(resolved, "id").groupBy("college", "course_code", "period").agg(F.array_sort(F.collect_set("person")).alias("people"))
-    teachers = taught.groupBy("college", "course_code").agg(F.map_from_entries(F.collect_list(F.struct("period", "people"))).alias("t"))
-    out = names.join(maps, ["college", "course_code"]).join(axis, "college").join(teachers, ["college", "course_code"], "left")
+    taught = mentions.join(resolved, "id").groupBy(*keys, "period").agg(F.array_sort(F.collect_set("person")).alias("people"))
+    teachers = taught.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("period", "people"))).alias("t"))
+    out = names.join(maps, keys).join(axis, "college").join(teachers, keys, "left")
     on = F.transform("axis", lambda p: F.struct(F.map_contains_key("m", p).alias("on"), F.element_at("m", p).alias("value")))
     who = F.transform("axis", lambda p: F.element_at("t", p))
-    return out.select("college", F.col("course_code").alias("code"), "name", "axis", on.alias("cells"), who.alias("instructors")).orderBy("college", X.natural_key(F.col("code")))
+    return out.select("college", F.col("course_code").alias("code"), "name", "url", "axis", on.alias("cells"), who.alias("instructors")).orderBy("college", X.natural_key(F.col("code")))
 
 
 def merge_offerings(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -163,7 +167,7 @@ def build_directory(colleges: DataFrame, faculty: DataFrame, publications: DataF
     """One nested document for each college that has people: totals, faculty, publications and courses, blanks as null."""
     filled = lambda df: df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if t == "string" and c != "college" else F.col(c) for c, t in df.dtypes])
     people = filled(faculty).withColumn("category", T.title_category(F.col("title")))
-    totals = A.totals(people, "college", F.col("status").isin(K.TRUSTED_STATUSES), "citations")
+    totals = A.totals(people, "college", P.is_trusted(F.col("status")), "citations")
     nest = lambda df, order, name: R.nest(df, "college", order, [c for c in df.columns if c not in ("college", order)], name)
     return J.star(totals, "college", filled(colleges), nest(people, "pos", "faculty"), nest(filled(publications), "pos", "publications"), nest(filled(courses), "pos", "courses"))
 

@@ -30,28 +30,34 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, fields: Mapping[str,
 def by_source(df: DataFrame, parsers: Mapping[str, Callable[[pd.DataFrame], pd.DataFrame]], columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows by each source's own parser; what a parser can't read goes to a second table with the reason.
 
-    df has source and payload. Parsers turn a frame of one row into a frame with the columns (missing ones are blank).
+    df has source and payload. Parsers turn a frame of a source's rows into a frame with the columns (missing ones are blank). They get all of a
+    source's rows in a batch at once; only if that fails, the rows one by one, so that a bad row is alone in its failure.
     """
     names = list(columns)
 
+    def parsed(source: str, rows: pd.DataFrame) -> pd.DataFrame:
+        out = parsers[source](rows).reindex(columns=names).fillna("").astype(str).astype(object)
+        out.insert(0, "error", None)
+        return out
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            out = []
-            for row in part.itertuples(index=False):
-                one = pd.DataFrame([row._asdict()])
+            for source, rows in part.groupby("source", sort=False, dropna=False):
+                found = []
                 try:
-                    rows = parsers[row.source](one).reindex(columns=names).fillna("").astype(str).astype(object)
-                    rows.insert(0, "error", None)
-                except Exception as e:
-                    rows = pd.DataFrame([["", *[""] * len(names)]], columns=["error", *names], dtype=object)
-                    rows["error"] = f"{type(e).__name__}: {e}"
-                rows.insert(0, "source", row.source)
-                out.append(rows)
-            if out:
-                yield pd.concat(out).astype(object)
-
-    parsed = df.select("source", "payload").mapInPandas(run, ", ".join(f"`{c}` string" for c in ("source", "error", *names)))
-    return parsed.where("error is null").drop("error"), parsed.where("error is not null").select("source", "error")
+                    found.append(parsed(source, rows.reset_index(drop=True)))
+                except Exception:
+                    for k in range(len(rows)):
+                        try:
+                            found.append(parsed(source, rows.iloc[k : k + 1].reset_index(drop=True)))
+                        except Exception as e:
+                            found.append(pd.DataFrame([[f"{type(e).__name__}: {e}", *[""] * len(names)]], columns=["error", *names], dtype=object))
+                for one in found:
+                    one.insert(0, "source", source)
+                yield pd.concat(found).astype(object)
+
+    result = df.select("source", "payload").mapInPandas(run, ", ".join(f"`{c}` string" for c in ("source", "error", *names)))
+    return result.where("error is null").drop("error"), result.where("error is not null").select("source", "error")
 
 
 def configured(df: DataFrame, config: DataFrame, key: str = "source") -> DataFrame:

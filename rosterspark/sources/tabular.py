@@ -40,11 +40,16 @@ def write_document(df: DataFrame, path: str) -> None:
 
 
 def publish(df: DataFrame, root: str, version: str) -> DataFrame:
-    """A new version beside the old ones; readers follow the pointer table, which is written last."""
+    """A new version beside the old ones; versions sort as texts.
+
+    Readers follow the greatest version named in the folder `published`, to which one small file is added when all others are in place;
+    nothing is ever overwritten, so a crash leaves the version before.
+    """
     df.write.mode("errorifexists").parquet(f"{root}/v={version}")
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(f"{root}/current")
+    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").parquet(f"{root}/published")
     return current(df.sparkSession, root)
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/v={spark.read.parquet(f'{root}/current').first()['version']}")
+    newest = spark.read.schema("version string").parquet(f"{root}/published").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{root}/v={newest}")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACES, collapse, plain_text, unescape
+from ..functions.text import SPACES, collapse, first_of_each, plain_text, unescape
 
 
 def visible_text(html: Column) -> Column:
@@ -31,10 +31,10 @@ def table_rows(df: DataFrame, page: str, html: str, least: int = 1) -> DataFrame
 
 
 def metrics(df: DataFrame, page: str, html: str) -> DataFrame:
-    """Labelled metrics (label, all, recent) of a profile page as one map for each page."""
+    """Labelled metrics (label, all, recent) of a profile page as one map for each page; of repeated labels the first counts."""
     rows = table_rows(df, page, html, 3)
-    entry = F.struct(F.lower(F.col("cells")[0]).alias("label"), F.struct(F.col("cells")[1].try_cast("int").alias("all"), F.col("cells")[2].try_cast("int").alias("recent")).alias("value"))
-    return rows.groupBy(page).agg(F.map_from_entries(F.collect_list(entry)).alias("metrics"))
+    entry = F.struct("pos", F.lower(F.col("cells")[0]).alias("key"), F.struct(F.col("cells")[1].try_cast("int").alias("all"), F.col("cells")[2].try_cast("int").alias("recent")).alias("value"))
+    return rows.groupBy(page).agg(first_of_each(F.array_sort(F.collect_list(entry))).alias("metrics"))
 
 
 def fixed_width(lines: DataFrame, doc: str, pos: str, line: str, names: Sequence[str]) -> DataFrame:
@@ -47,13 +47,14 @@ def fixed_width(lines: DataFrame, doc: str, pos: str, line: str, names: Sequence
 
 
 def repeated_headers(lines: DataFrame, doc: str, pos: str, cells: str, is_header: Column) -> DataFrame:
-    """Delimited rows under headers that repeat: each row as a map from the last header's names; blank rows end a header."""
+    """Delimited rows under headers that repeat: each row as a map from the last header's names (the first cell of a repeated name counts); blank rows end a header."""
     w = Window.partitionBy(doc).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     blank = F.forall(cells, lambda c: F.trim(c) == "")
     head = F.last(F.when(is_header, F.struct(F.col(cells).alias("names"))).when(blank, F.struct(F.array().cast("array<string>").alias("names"))), ignorenulls=True).over(w)
     out = lines.withColumn("head__", head).where(~is_header & ~blank & (F.size("head__.names") > 0))
     n = F.least(F.size("head__.names"), F.size(cells))
-    return out.withColumn("row", F.map_from_arrays(F.slice("head__.names", F.lit(1), n), F.slice(cells, F.lit(1), n))).drop("head__")
+    entries = F.arrays_zip(F.slice("head__.names", F.lit(1), n).alias("key"), F.slice(cells, F.lit(1), n).alias("value"))
+    return out.withColumn("row", first_of_each(entries)).drop("head__")
 
 
 def rename_by_alias(df: DataFrame, aliases: dict[str, Sequence[str]]) -> DataFrame:
@@ -63,6 +64,19 @@ def rename_by_alias(df: DataFrame, aliases: dict[str, Sequence[str]]) -> DataFra
     return df.select(*[F.coalesce(*pick([name, *others]), F.lit("")).alias(name) for name, others in aliases.items()])
 
 
+def with_layout(rows: DataFrame, doc: str, pos: str, cells: str, layouts: dict[str, str]) -> DataFrame:
+    """The layout of each row and its header: those of the last header row up to it, known by its first cell (layouts: first cell to name).
+
+    Tables that go on without a header keep the layout before them; header rows and rows before any header go.
+    """
+    first = F.trim(F.get(F.col(cells), F.lit(0)))
+    known = F.create_map(*[F.lit(x) for pair in layouts.items() for x in pair])
+    w = Window.partitionBy(doc).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    name = F.element_at(known, first)
+    held = F.last(F.when(name.isNotNull(), F.struct(name.alias("layout"), F.col(cells).alias("header"))), ignorenulls=True).over(w)
+    return rows.withColumn("held__", held).where(name.isNull() & F.col("held__").isNotNull()).select("*", "held__.layout", "held__.header").drop("held__")
+
+
 def word_table(words: DataFrame, bounds: DataFrame, line_height: float = 3.0) -> DataFrame:
     """Rows of a page from its words: words of like height are a line, a word belongs to the column that its middle lies in.
 
@@ -81,7 +95,7 @@ def profile(df: DataFrame, page: str, html: str) -> DataFrame:
     name = F.nullif(plain_text(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1)), F.lit(""))
     listed = lambda cls: F.transform(F.regexp_extract_all(html, F.lit(rf'(?is)<(?:span|a|div)[^>]*class="{cls}"[^>]*>(.*?)</'), 1), plain_text)
     pairs = F.filter(F.arrays_zip(listed("year").alias("y"), listed("count").alias("n")), lambda p: p["y"].rlike(r"^\d+$") & p["n"].rlike(r"^\d+$"))
-    by_year = F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["y"].cast("int"), p["n"].cast("int"))))
+    by_year = first_of_each(F.transform(pairs, lambda p: F.struct(p["y"].cast("int").alias("key"), p["n"].cast("int").alias("value"))))
     base = df.select(page, name.alias("name"), by_year.alias("by_year"), listed("tag").alias("tags"))
     kept = [F.when(F.col("name").isNotNull(), F.col(c)).alias(c) for c in ("by_year", "tags", "metrics")]
     return base.join(metrics(df, page, html), page, "left").select(page, "name", *kept)

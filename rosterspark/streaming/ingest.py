@@ -14,8 +14,10 @@ from ..operators.tables import write_partitions
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; an own one where it is unset."""
+    """The folder in spark.checkpoint.dir. Where it is unset: an own one in local mode, an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return found.rstrip("/") if found else tempfile.mkdtemp(prefix="spark-")
 
 
@@ -24,9 +26,20 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
     stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def ingest(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
-    """New rows into a partitioned table; partitions that a batch has are replaced, so a batch that runs twice changes nothing."""
-    run_available(stream, lambda df, _: write_partitions(derive(df), target, keys), checkpoint)
+def ingest(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df, replace: bool = False) -> None:
+    """New rows into a partitioned table.
+
+    Each batch fills partitions of its own (the keys and the batch's number), which it replaces if it runs again; so a batch that runs twice changes
+    nothing, and no batch touches another's rows. replace: batches are whole partitions, the latest takes the place of those before.
+    """
+
+    def handle(df: DataFrame, batch: int) -> None:
+        if replace:
+            write_partitions(derive(df), target, keys)
+        else:
+            write_partitions(derive(df).withColumn("batch", F.lit(batch)), target, [*keys, "batch"])
+
+    run_available(stream, handle, checkpoint)
 
 
 def first_wins(stream: DataFrame, keys: Sequence[str], time: str | None = None, delay: str = "1 hour") -> DataFrame:
@@ -43,11 +56,27 @@ def reprocess(state: DataFrame, arrived: DataFrame, keys: Sequence[str], status:
     return joined.select(*[updated[c].alias(c) if c in updated else F.col(c) for c in state.columns])
 
 
-def ingest_events(spark: SparkSession, folder: str, files: str = "events*.parquet") -> DataFrame:
-    """Events into a table by day through a file stream, run twice; rows, distinct ids and days of the table."""
+def reprocess_stream(stream: DataFrame, read: Callable[[], DataFrame], write: Callable[[DataFrame, int], None], checkpoint: str, keys: Sequence[str], status: str, columns: Sequence[str], order: str) -> None:
+    """Results that arrive as a stream go into the state table batch by batch; of several results of a key in a batch the last by `order` counts."""
+
+    def handle(df: DataFrame, batch: int) -> None:
+        latest = df.groupBy(*keys).agg(F.max_by(F.struct(status, *columns), order).alias("r")).select(*keys, "r.*")
+        write(reprocess(read(), latest, keys, status, columns), batch)
+
+    run_available(stream, handle, checkpoint)
+
+
+def event_files(spark: SparkSession, sf_dir: str, root: str, files: int = 6) -> DataFrame:
+    """A stream over the events, dealt to files by their ids, a file a batch."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(files, "event_id").write.parquet(f"{root}/events")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+
+
+def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events into a table by day through a stream of several files, run twice; rows and distinct ids of every day of the table."""
     root = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    stream = lambda: spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
+    stream = event_files(spark, sf_dir, root)
     for _ in range(2):
-        ingest(stream(), f"{root}/table", f"{root}/checkpoint", ["day"], lambda df: df.withColumn("day", F.to_date("ts").cast("string")))
-    return spark.read.parquet(f"{root}/table").agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("ids"), F.count_distinct("day").alias("days"))
+        ingest(stream, f"{root}/table", f"{root}/checkpoint", ["day"], lambda df: df.withColumn("day", F.to_date("ts").cast("string")))
+    return spark.read.parquet(f"{root}/table").groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("ids"), F.sum("event_id").alias("total"))

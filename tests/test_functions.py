@@ -63,7 +63,14 @@ CASES = [
     (lambda: T.clean_venue(S("Zenodo (Repository)")), "Zenodo"),
     (lambda: T.clean_venue(S("https://x.example")), None),
     (lambda: T.clean_venue(S("Art &amp; Science")), "Art & Science"),
-    (lambda: T.shorten_words(S("International Conference on COMPUTING and Rings")), "Int'l Conf. on COMPUT. & Rings"),
+    (lambda: T.shorten_words(S("International Conference on COMPUTING and Rings")), "Int'l Conf. on Comput. & Rings"),
+    (lambda: T.shorten_words(S("Workshop on Computing, Conference; COMPUTING")), "Wksp. on Comput., Conf.; Comput."),
+    (lambda: T.shorten_words(S("international workshops")), "int'l wksps."),
+    (lambda: T.letters(S("Čapek Ţurcanu-Łukasz")), "capekturcanuukasz"),
+    (lambda: T.clean_name(S("Berg, Ada, PhD")), "Ada Berg"),
+    (lambda: T.clean_name(S("Ada Berg, Ph.D.")), "Ada Berg"),
+    (lambda: T.drop_math_fallback(S("On $$x+y$$ x y and $$z$$ z rings")), "On $$x+y$$ and $$z$$ rings"),
+    (lambda: T.drop_math_fallback(S("On $$x+y$$ sums")), "On $$x+y$$ sums"),
     (lambda: T.journal_key(S("The Journal of Rings & Things (Print), JRT")), "journal of rings and things"),
     (lambda: sorted_array(T.title_tokens(S("Proceedings of the 15th ACM Conference on Studies of Rings 2016"))), ["conference", "ring", "study"]),
     (lambda: sorted_array(T.title_tokens(S("Proceedings of the Genetic and Evolutionary Computation Conference"), T.ORDINAL_ONLY)), ["computation", "conference", "evolutionary", "genetic"]),

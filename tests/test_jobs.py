@@ -46,6 +46,14 @@ def test_parsers_by_source_isolate_failures(spark):
     def broken(pdf):
         raise ValueError("no table")
 
+    def picky(pdf):
+        if (pdf.payload == "x").any():
+            raise KeyError("x")
+        return pdf.assign(code=pdf.payload, name=str(len(pdf)))
+
+    many = spark.createDataFrame([("p", x) for x in "axb"], "source string, payload string").coalesce(1)
+    ok, failed = records.by_source(many, {"p": picky}, ["code", "name"])
+    assert sorted(map(tuple, ok.collect())) == [("p", "a", "1"), ("p", "b", "1")] and [r.error for r in failed.collect()] == ["KeyError: 'x'"]
     good, bad = records.by_source(df, {"good": lambda pdf: pdf.rename(columns={"payload": "code"}), "bad": broken}, ["code", "name"])
     assert list(map(tuple, good.collect())) == [("good", "a", "")] and bad.collect()[0].error == "ValueError: no table"
 
@@ -57,6 +65,9 @@ def test_tables_of_pages(spark):
     assert df.select(web.visible_text(F.col("html")).alias("t")).collect()[1].t is None
     m = web.metrics(df, "page", "html").collect()[0].metrics
     assert (m["h-index"]["all"], m["h-index"]["recent"]) == (7, 3)
+    twice = "<body><h1>Ada</h1><table><tr><td>h</td><td>7</td><td>3</td></tr><tr><td>H</td><td>8</td><td>4</td></tr></table>" + "".join(f'<span class="year">{y}</span><span class="count">{n}</span>' for y, n in ((2020, 1), (2020, 2), (2021, 3)))
+    r = web.profile(spark.createDataFrame([(1, twice)], "page int, html string"), "page", "html").collect()[0]
+    assert (r["name"], r.by_year, r.metrics["h"]["all"]) == ("Ada", {2020: 1, 2021: 3}, 7)
 
 
 def test_lines_and_words(spark):
@@ -67,6 +78,11 @@ def test_lines_and_words(spark):
     df = spark.createDataFrame([("d", i, c) for i, c in enumerate(cells)], "doc string, pos int, cells array<string>")
     got = web.repeated_headers(df, "doc", "pos", "cells", F.array_contains("cells", "Code"))
     assert [(r.row["Code"], r.row["Name"]) for r in got.orderBy("pos").collect()] == [("CS 1", "Rings"), ("CS 2", "Gears")]
+    same = spark.createDataFrame([("d", 0, ["Code", "Code", None]), ("d", 1, ["a", "b", "c"])], "doc string, pos int, cells array<string>")
+    assert [r.row for r in web.repeated_headers(same, "doc", "pos", "cells", F.array_contains("cells", "Code")).collect()] == [{"Code": "a"}]
+    old_new = spark.createDataFrame([("d", i, c) for i, c in enumerate([["x"], ["CRN", "A"], ["1", "2"], ["Course Section", "B"], ["3", "4"], ["5", "6"]])], "doc string, pos int, cells array<string>")
+    got = web.with_layout(old_new, "doc", "pos", "cells", {"CRN": "old", "Course Section": "new"}).orderBy("pos").collect()
+    assert [(r.cells[0], r.layout, r.header[1]) for r in got] == [("1", "old", "A"), ("3", "new", "B"), ("5", "new", "B")]
     words = spark.createDataFrame([(1, "Rings", 60.0, 90.0, 10.2), (1, "CS", 0.0, 10.0, 10.0), (1, "1", 12.0, 15.0, 10.1)], "page int, text string, x0 double, x1 double, top double")
     bounds = spark.createDataFrame([("code", 0.0, 50.0), ("name", 50.0, 200.0)], "col string, lo double, hi double")
     assert sorted((r.col, r.text) for r in web.word_table(words, bounds).collect()) == [("code", "CS 1"), ("name", "Rings")]
@@ -135,11 +151,12 @@ def test_build_offerings_and_directory(spark):
         ("X", "2024-25", "S", "MA 1", "", "Sums", "", "", ""),
         ("X", "2024-25", "Su", "CS 8", "", "Summer", "", "", ""),
     ]
-    rows = spark.createDataFrame(data, schema)
+    rows = spark.createDataFrame([(*r, i) for i, r in enumerate(data)], schema + ", pos int")
     people = spark.createDataFrame([("ada", "X", "Ada Berg")], "person string, college string, name string")
     out = jobs.build_offerings(rows, people).collect()
     assert [(r.code, r.name) for r in out] == [("CS 9", "Gears"), ("CS 10", "Rings II")]
     assert [(c.on, c.value) for c in out[1].cells] == [(True, "u1"), (True, "u2")] and out[1].instructors == [["ada"], ["ada"]] and out[0].cells[0].on is False
+    assert {r.url for r in out} == {None}
     merged = jobs.merge_offerings(rows, rows.where("term = 'F'").withColumn("course_name", F.lit("New")), rows.columns)
     assert merged.count() == 6 and merged.where("course_name = 'New'").count() == 1
     faculty = spark.createDataFrame([("X", 1, "Ada Berg", "Visiting Professor", "matched", 5), ("X", 2, "Eva Haas", "", "no_match", None)], "college string, pos int, name string, title string, status string, citations int")
@@ -148,6 +165,26 @@ def test_build_offerings_and_directory(spark):
     assert len(d) == 1 and (d[0].members, d[0].trusted, d[0].total) == (2, 1, 5) and d[0].publications[0].venue is None and d[0].courses is None and d[0].faculty[0].category == "visiting"
 
 
+def test_offerings_axis_links_and_pruning(spark):
+    """Expected rows follow the rules: a period of an excluded name alone is no column; a code of two terms of one old year stays; labs go."""
+    schema = "college string, academic_year string, term string, course_code string, course_name string, instructor string, url string, pos int"
+    data = [
+        ("X", "2022-23", "F", " CS 1 ", '"Rings"', "", "a"), ("X", "2022-23", "S", "CS 1", "Rings", "", "a"),  # two periods, long ago
+        ("X", "2022-23", "F", "CS 2", "Gears", "", "b"),  # one period, long ago
+        ("X", "2026-27", "F", "CS 3", "Wheels", "", "c"), ("X", "2026-27", "F", "CS 3", "Wheels, again", "", ""), ("X", "2026-27", "F", "CS 3L", "Wheels", "", ""),
+        ("X", "2026-27", "S", "CS 4", "Senior Thesis", "", ""),  # an excluded name
+        ("X", "2026-27", "F", "CS 5", "Gear Lab", "", ""), ("X", "2026-27", "F", "CS 6", "", "", ""),
+        ("Y", "2026-27", "F", "CS 1", "Sums", "", "same"), ("Y", "2026-27", "F", "CS 2", "Cubes", "", "same"),
+    ]
+    rows = spark.createDataFrame([(*r, i) for i, r in enumerate(data)], schema)
+    people = spark.createDataFrame([], "person string, college string, name string")
+    out = {(r.college, r.code): r for r in jobs.build_offerings(rows, people).collect()}
+    assert sorted(out) == [("X", "CS 1"), ("X", "CS 3"), ("X", "CS 6"), ("Y", "CS 1"), ("Y", "CS 2")]
+    assert [(p.academic_year, p.term) for p in out["X", "CS 1"].axis] == [("2022-23", "F"), ("2022-23", "S"), ("2026-27", "F")]
+    assert [(r.name, r.url) for r in (out["X", "CS 1"], out["X", "CS 3"], out["X", "CS 6"], out["Y", "CS 1"])] == [("Rings", "a"), ("Wheels", "c"), ("", None), ("Sums", None)]
+    assert all(c.value is None for r in out.values() for c in r.cells)
+
+
 def test_search_directory(spark):
     f = spark.createDataFrame([("f1", "X", "Ada Berg", "gears"), ("f2", "X", "Eva Haas", "Berg studies")], "id string, college string, name string, interests string")
     p = spark.createDataFrame([("p1", "X", "Rings", 2020, ["Ada Berg"]), ("p2", "X", "Berg lakes", 2010, ["Eva Haas"])], "id string, college string, title string, year int, matched array<string>")
@@ -180,7 +217,13 @@ def test_ingest_resumes(spark, tmp_path):
         ingest.ingest(stream(), out, cp, ["k"])
     write(2, [("b", 3)])
     ingest.ingest(stream(), out, cp, ["k"])
-    assert sorted((r.k, r.v) for r in spark.read.parquet(out).collect()) == [("a", 1), ("b", 3)]
+    # A later file of a key adds to what is there; only whole partitions replace.
+    assert sorted((r.k, r.v) for r in spark.read.parquet(out).collect()) == [("a", 1), ("b", 2), ("b", 3)]
+    whole, cp2 = str(tmp_path / "whole"), str(tmp_path / "cp2")
+    ingest.ingest(stream().where("v < 3"), whole, cp2, ["k"], replace=True)
+    write(3, [("b", 4)])
+    ingest.ingest(stream().where("v < 3 or v = 4"), whole, cp2, ["k"], replace=True)
+    assert sorted((r.k, r.v) for r in spark.read.parquet(whole).collect()) == [("a", 1), ("b", 4)]
     state = spark.createDataFrame([("a", "", 0), ("b", "rescrape", 1), ("c", "manual_approved", 2)], "k string, status string, v int")
     new = spark.createDataFrame([(k, "matched", 9) for k in "abc"], "k string, status string, v int")
     assert sorted(map(tuple, ingest.reprocess(state, new, ["k"], "status", ["v"]).collect())) == [("a", "matched", 9), ("b", "matched", 9), ("c", "manual_approved", 2)]

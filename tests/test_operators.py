@@ -72,7 +72,12 @@ def test_scored_match_rules(spark):
 def test_trim_shared_edges(spark):
     head, foot = [f"h{i}" for i in range(6)], [f"f{i}" for i in range(5)]
     p = spark.createDataFrame([("g", 1, head + ["a"] + foot), ("g", 2, head + ["b", "c"] + foot), ("g", 3, ["x", "y"]), ("z", 4, head)], "grp string, page int, lines array<string>")
-    assert {r.page: r.lines for r in J.trim_shared_edges(p, "grp", "page", "lines").collect()} == {1: ["a"], 2: ["b", "c"], 3: ["x", "y"], 4: head}
+    # Page 3 is short: the first page, which is compared with the last of its group, stays whole.
+    assert {r.page: r.lines for r in J.trim_shared_edges(p, "grp", "page", "lines").collect()} == {1: head + ["a"] + foot, 2: ["b", "c"], 3: ["x", "y"], 4: head}
+    # Own titles before the header, which stands at another place in each page.
+    offset = [["t1", *head, "a", "a2", *foot], ["t2", "more", *head, "b", *foot], ["t3", *head, "c", "c2", "c3", "c4", "c5"]]
+    q = spark.createDataFrame([("g", i, x) for i, x in enumerate(offset)], "grp string, page int, lines array<string>")
+    assert {r.page: r.lines for r in J.trim_shared_edges(q, "grp", "page", "lines").collect()} == {0: ["a", "a2", *foot], 1: ["b"], 2: ["c", "c2", "c3", "c4", "c5"]}
 
 
 def test_partition_replace_is_idempotent(spark):
@@ -133,6 +138,10 @@ def test_matrix_and_grid(spark):
     d = spark.createDataFrame([("g", "x", 1, "u1"), ("g", "y", 2, None)], "g string, i string, t int, u string")
     got = {r.i: [(c.on, c.value) for c in r.cells] for r in R.offering_matrix(d, "g", "i", F.col("t"), F.col("u")).collect()}
     assert got == {"x": [(True, "u1"), (False, None)], "y": [(False, None), (True, None)]}
+    several = spark.createDataFrame([("g", "x", 1, "v", 2), ("g", "x", 1, "u", 3), ("g", "x", 1, "", 1)], "g string, i string, t int, u string, n int")
+    assert R.offering_matrix(several, "g", "i", F.col("t"), F.col("u"), "n").collect()[0].cells[0].value == "v"
+    days = spark.createDataFrame([(1, 0, ["x", "", ""]), (1, 1, ["Time", "9:00", ""]), (1, 2, ["Mon", "CS1", "stray"]), (1, 3, ["Tue", "", ""])], "t int, r int, cells array<string>")
+    assert rows(R.transposed(days, "t", "r", "cells", ["Mon", "Tue"])) == [(1, "Mon", "9:00", "CS1")]
     grid = spark.createDataFrame([("9:00", "CS101 A CS102 B", "")], "time string, Mon string, Tue string")
     cells = R.split_cell(R.unpivot_grid(grid, ["time"], ["Mon", "Tue"]), "cell")
     assert [r.cell.strip() for r in cells.orderBy("cell").collect()] == ["CS101 A", "CS102 B"]
@@ -145,7 +154,11 @@ def test_matrix_and_grid(spark):
 def test_pruning_and_url_mode(spark):
     d = spark.createDataFrame([("g", "C1", 2015, ""), ("g", "C2", 2022, "u"), ("g", "C2", 2021, "v"), ("g", "C2L", 2022, "")], "g string, c string, y int, u string")
     assert sorted({r.c for r in A.prune_singletons(d, "g", "c", "y", F.lit(2019)).collect()}) == ["C2"]
+    terms = spark.createDataFrame([("g", "C1", 2015, "F"), ("g", "C1", 2015, "S"), ("g", "C2", 2015, "F"), ("g", "C3", 2022, "F")], "g string, c string, y int, t string")
+    assert sorted({r.c for r in A.prune_singletons(terms, "g", "c", "y", F.lit(2019), "t").collect()}) == ["C1", "C3"]  # periods count, not years
     assert rows(A.url_mode(d, "g", "c", "u")) == [("g", "per term")]
+    ranks = spark.createDataFrame([("j", "Q2", 1), ("j", "Q1", 3), ("j", "Q1", 2), ("j", "-", 0), ("k", "", 1)], "k string, q string, n int")
+    assert rows(A.least_by_key(ranks, ["k"], "q", "n")) == [("j", "Q1", 2)]
 
 
 def test_alignment(spark):

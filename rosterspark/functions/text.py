@@ -248,8 +248,8 @@ def strip_flags(c: Column, flags: Sequence[str] = ("Pre", "FYF", "IP", "Y")) ->
 
 def truncate_words(c: Column, n: int) -> Column:
     """At most n characters, cut at a word's end, with an ellipsis; a cut inside $...$ moves before it."""
-    cut = F.regexp_replace(F.substring(c, 1, n), r"\s+\S*$", "")
-    cut = F.when(F.length(F.regexp_replace(cut, r"[^$]", "")) % 2 == 1, F.regexp_replace(cut, r"\s*\$[^$]*$", "")).otherwise(cut)
+    cut = F.regexp_replace(F.substring(c, 1, n), r"\s+\S*\z", "")
+    cut = F.when(F.length(F.regexp_replace(cut, r"[^$]", "")) % 2 == 1, F.regexp_replace(cut, r"\s*\$[^$]*\z", "")).otherwise(cut)
     return F.when(F.length(c) > n, F.concat(cut, F.lit("…"))).otherwise(c)
 
 

@@ -137,6 +137,6 @@ def by_year(df: DataFrame, key: str, year: str, amount: str) -> DataFrame:
     return df.groupBy(key, year).agg(F.sum(amount).alias("n")).groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(year, "n")))).alias("by_year"))
 
 
-def coverage(df: DataFrame, **counts: Column) -> DataFrame:
-    """One row with the number of rows and of those that meet each condition."""
-    return df.agg(F.count("*").alias("rows"), *[F.count_if(c).alias(n) for n, c in counts.items()])
+def coverage(df: DataFrame, *by: str, **counts: Column) -> DataFrame:
+    """The number of rows and of those that meet each condition, for all rows or for each value of the columns `by`."""
+    return df.groupBy(*by).agg(F.count("*").alias("rows"), *[F.count_if(c).alias(n) for n, c in counts.items()])

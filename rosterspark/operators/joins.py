@@ -158,57 +158,51 @@ def map_items(items: Column, table: Column) -> Column:
     return F.array_distinct(F.flatten(F.filter(F.transform(items, lambda i: F.element_at(table, i)), lambda x: x.isNotNull())))
 
 
-def _shared_edges(a: Column, b: Column, block: int) -> tuple[Column, Column]:
-    """What is left of two pages (arrays of lines) without the header and footer that they share; nulls if they share none or are too short.
+def _holds(lines: Column, part: Column, block: int) -> Column:
+    return F.exists(F.sequence(F.lit(1), F.greatest(F.size(lines) - block + 1, F.lit(1))), lambda i: F.slice(lines, i, F.lit(block)) == part)
 
-    A header is known by the `block` lines after the first line of one page, which may stand anywhere in the other; it goes on while lines are equal. A
-    footer is known by the last `block` lines in the same way, backwards. The first line goes with a header or footer.
-    """
-
-    def holds(lines: Column, part: Column) -> Column:
-        return F.exists(F.sequence(F.lit(1), F.greatest(F.size(lines) - block + 1, F.lit(1))), lambda i: F.slice(lines, i, F.lit(block)) == part)
 
-    def run(x: Column, i: Column, y: Column, j: Column) -> Column:
-        """How many lines from the places i and j (from 0) on are equal."""
-        rest = lambda z, k: F.slice(z, k + 1, F.greatest(F.size(z) - k, F.lit(0)))
-        same = F.zip_with(rest(x, i), rest(y, j), lambda p, q: F.coalesce(p == q, F.lit(False)))
-        first = F.array_position(same, False).cast("int")
-        return F.when(first == 0, F.size(same)).otherwise(first - 1)
+def _place(line: Column, lines: Column, start: int) -> Column:
+    """The first place (from 0) of a line from `start` on; the page's end if there is none."""
+    at = F.array_position(F.slice(lines, F.lit(start + 1), F.size(lines)), line).cast("int")
+    return F.when(at > 0, at - 1 + start).otherwise(F.size(lines))
 
-    def place(line: Column, lines: Column, start: int) -> Column:
-        """The first place of a line from `start` on; the page's end if there is none."""
-        at = F.array_position(F.slice(lines, F.lit(start + 1), F.size(lines)), line).cast("int")
-        return F.when(at > 0, at - 1 + start).otherwise(F.size(lines))
 
-    def shared(x: Column, y: Column, start: int) -> tuple[Column, Column, Column, Column]:
-        in_y, in_x = holds(y, F.slice(x, start + 1, block)), holds(x, F.slice(y, start + 1, block))
-        i = F.when(~in_y & in_x, place(F.get(y, F.lit(start)), x, start)).otherwise(F.lit(start))
-        j = F.when(in_y, place(F.get(x, F.lit(start)), y, start)).otherwise(F.lit(start))
-        return in_y | in_x, i, j, F.when(in_y | in_x, run(x, i, y, j)).otherwise(F.lit(0))
+def _run(x: Column, i: Column, y: Column, j: Column) -> Column:
+    """How many lines from the places i and j on are equal."""
+    rest = lambda z, k: F.slice(z, k + 1, F.greatest(F.size(z) - k, F.lit(0)))
+    first = F.array_position(F.zip_with(rest(x, i), rest(y, j), lambda p, q: F.coalesce(p == q, F.lit(False))), False).cast("int")
+    return F.when(first == 0, F.greatest(F.size(x) - i, F.size(y) - j)).otherwise(first - 1)
 
-    head, head_a, head_b, top = shared(a, b, 1)
-    foot, foot_a, foot_b, bottom = shared(F.reverse(a), F.reverse(b), 0)
-    whole = (head_a + top >= F.size(a)) | (head_b + top >= F.size(b))
-    usable = (F.size(a) >= 2 * block) & (F.size(b) >= 2 * block) & (head | foot) & ~whole
 
-    def left(lines: Column, start: Column, end: Column) -> Column:
-        return F.when(usable, F.slice(lines, start + top + 1, F.greatest(F.size(lines) - F.when(foot, end + bottom).otherwise(F.lit(0)) - start - top, F.lit(0))))
-
-    return left(a, head_a, foot_a), left(b, head_b, foot_b)
+def _edge(df: DataFrame, x: str, y: str, name: str, start: int, block: int) -> DataFrame:
+    """name (whether the lists share an edge that begins after `start` lines), name_x and name_y (where it begins), name_n (its lines). A column at a time, so that none is computed twice."""
+    a, b = F.col(x), F.col(y)
+    df = df.withColumns({"xy__": _holds(b, F.slice(a, start + 1, block), block), "yx__": _holds(a, F.slice(b, start + 1, block), block)})
+    df = df.withColumns({f"{name}_x": F.when(~F.col("xy__") & F.col("yx__"), _place(F.get(b, F.lit(start)), a, start)).otherwise(F.lit(start)), f"{name}_y": F.when(F.col("xy__"), _place(F.get(a, F.lit(start)), b, start)).otherwise(F.lit(start)), name: F.col("xy__") | F.col("yx__")})
+    return df.withColumn(f"{name}_n", F.when(F.col(name), _run(a, F.col(f"{name}_x"), b, F.col(f"{name}_y"))).otherwise(F.lit(0))).drop("xy__", "yx__")
 
 
 def trim_shared_edges(pages: DataFrame, group: str, page: str, lines: str, block: int = 5) -> DataFrame:
     """Cuts the header and footer that each page shares with its group's first page, wherever they begin.
 
-    The first page itself is cut by comparison with the group's last one. lines: array<string>. Pages that share nothing, are shorter than two
-    blocks or alone in their group stay as they are.
+    A header is known by the `block` lines after the first line of one page, which may stand anywhere in the other; it goes on while lines are equal. A
+    footer is known by the last `block` lines in the same way, backwards. The first line goes with a header or footer. The first page itself is cut by
+    comparison with the group's last one. lines: array<string>. Pages that share nothing, are shorter than two blocks or alone in their group
+    stay as they are.
     """
-    ends = pages.groupBy(group).agg(F.min(page).alias("ref_page"), F.min_by(F.col(lines), page).alias("ref"), F.max_by(F.col(lines), page).alias("last"))
-    own, mine = F.col(lines), F.col(page) == F.col("ref_page")
-    # The reference side of a comparison: the first page for all others, the last one for the first page.
-    joined = pages.join(ends, group).withColumn("other", F.when(mine, F.col("last")).otherwise(F.col("ref"))).drop("ref", "last")
-    as_first, as_other = _shared_edges(own, F.col("other"), block)[0], _shared_edges(F.col("other"), own, block)[1]
-    return joined.withColumn(lines, F.coalesce(F.when(mine, as_first).otherwise(as_other), own)).select(*pages.columns)
+    ends = pages.groupBy(group).agg(F.min(page).alias("first__"), F.min_by(F.col(lines), page).alias("ref__"), F.max_by(F.col(lines), page).alias("last__"))
+    own = F.col(lines)
+    pairs = pages.join(ends, group).withColumn("mine__", F.col(page) == F.col("first__"))
+    pairs = pairs.withColumns({"a__": F.when(F.col("mine__"), own).otherwise(F.col("ref__")), "b__": F.when(F.col("mine__"), F.col("last__")).otherwise(own)}).drop("ref__", "last__")
+    pairs = _edge(pairs, "a__", "b__", "head__", 1, block).withColumns({"ra__": F.reverse("a__"), "rb__": F.reverse("b__")})
+    pairs = _edge(pairs, "ra__", "rb__", "foot__", 0, block).drop("ra__", "rb__")
+    size = F.size(own)
+    whole = (F.col("head___x") + F.col("head___n") >= F.size("a__")) | (F.col("head___y") + F.col("head___n") >= F.size("b__"))
+    usable = (F.size("a__") >= 2 * block) & (F.size("b__") >= 2 * block) & (F.col("head__") | F.col("foot__")) & ~whole
+    start = F.when(F.col("mine__"), F.col("head___x")).otherwise(F.col("head___y")) + F.col("head___n")
+    end = F.when(F.col("foot__"), F.when(F.col("mine__"), F.col("foot___x")).otherwise(F.col("foot___y")) + F.col("foot___n")).otherwise(F.lit(0))
+    return pairs.withColumn(lines, F.when(usable, F.slice(own, start + 1, F.greatest(size - end - start, F.lit(0)))).otherwise(own)).select(*pages.columns)
 
 
 def in_range(points: DataFrame, bounds: DataFrame, x: str, low: str, high: str) -> DataFrame:

@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Where it is unset: an own one in local mode, an error on a cluster."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return found.rstrip("/") if found else tempfile.mkdtemp(prefix="spark-")
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read again: what is used several times is computed once, and survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def canonical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns in order; those that are missing come as blanks."""
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])

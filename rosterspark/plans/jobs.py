@@ -130,7 +130,8 @@ def build_offerings(rows: DataFrame, people: DataFrame) -> DataFrame:
     """
     blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
     clean = rows.withColumns({"course_code": blank("course_code"), "course_name": F.regexp_replace(blank("course_name"), '^"+|"+$', ""), "url": F.nullif(blank("url"), F.lit("")), "instructor": blank("instructor")})
-    inside = clean.where(P.in_years(F.col("academic_year"), F.col("term")))
+    # Read once; all steps below start from these rows.
+    inside = S.staged(clean.where(P.in_years(F.col("academic_year"), F.col("term"))).select("college", "academic_year", "term", "course_code", "course_name", "instructor", "url", "pos"), "course-rows")
     # The cutoff counts every row of an allowed year and term; the axis those of codes that are dropped later, but not of excluded names.
     cutoff = inside.agg(X.academic_year(F.max(F.substring("academic_year", 1, 4).try_cast("int")) - 3)).scalar()
     kept = inside.where(P.has_prefix(F.col("course_code")) & ~P.is_excluded(F.col("course_name")))
@@ -140,7 +141,7 @@ def build_offerings(rows: DataFrame, people: DataFrame) -> DataFrame:
     latest = F.max_by(F.when(lecture, F.col("course_name")), F.when(lecture, F.struct("academic_year", X.term_rank(F.col("term")), -F.col("pos"))))
     # Codes that have names, but only those of labs, go.
     names = kept.groupBy(*keys).agg(latest.alias("name"), F.bool_or(F.col("course_name") != "").alias("named")).where("name is not null or not named").select(*keys, F.coalesce("name", F.lit("")).alias("name"))
-    pruned = A.prune_singletons(kept, "college", "course_code", "academic_year", cutoff, "term").join(names, keys, "left_semi")
+    pruned = S.staged(A.prune_singletons(kept, "college", "course_code", "academic_year", cutoff, "term").join(names, keys, "left_semi"), "course-rows-kept")
     cells = pruned.groupBy(*keys, period.alias("period")).agg(F.min_by("url", F.when(F.col("url").isNotNull(), F.col("pos"))).alias("url"))
     linked = cells.join(A.url_mode(cells, "college", "course_code", "url"), "college")
     value = F.when(F.col("mode") == "per term", F.col("url")).alias("value")

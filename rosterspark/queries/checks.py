@@ -74,13 +74,13 @@ def top_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, year(o_orderdate)::VARCHAR || CASE WHEN month(o_orderdate) BETWEEN 8 AND 12 THEN '01' WHEN month(o_orderdate) BETWEEN 2 AND 5 THEN '03' WHEN month(o_orderdate) = 1 THEN '02' ELSE '04' END AS code,
+SELECT o_orderkey, (year(o_orderdate) - CASE WHEN month(o_orderdate) < 7 THEN 1 ELSE 0 END)::VARCHAR || CASE WHEN month(o_orderdate) BETWEEN 8 AND 12 THEN '01' WHEN month(o_orderdate) BETWEEN 2 AND 5 THEN '03' WHEN month(o_orderdate) = 1 THEN '02' ELSE '04' END AS code,
   CASE WHEN month(o_orderdate) BETWEEN 8 AND 12 THEN 'F' WHEN month(o_orderdate) BETWEEN 2 AND 5 THEN 'S' WHEN month(o_orderdate) = 1 THEN 'W' ELSE 'Su' END AS term
-FROM orders WHERE month(o_orderdate) BETWEEN 8 AND 12
+FROM orders
 """)
 def term_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Provider codes of the fall terms."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", X.academic_year(X.academic_start(F.col("o_orderdate"))).alias("year"), X.term_of_month(F.col("o_orderdate")).alias("term")).where("term = 'F'")
+    """Provider codes of the terms of orders."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", X.academic_year(X.academic_start(F.col("o_orderdate"))).alias("year"), X.term_of_month(F.col("o_orderdate")).alias("term"))
     return o.select("o_orderkey", X.term_code(F.col("year"), F.col("term"), F.lit("{start}0{n}")).alias("code"), "term")
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields as X
 from ..operators import aggregates as A
 from ..operators import ordered as O
 from ..operators import reshape as R
+from ..operators import tables as S
 from .registry import query, table
 
 
@@ -50,9 +51,10 @@ JOIN items i ON i.grp = a.grp LEFT JOIN seen s ON s.grp = i.grp AND s.code = i.c
 """)
 def offerings_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The item by period matrix of every group, a row for each cell."""
-    o = observations(spark, sf_dir).where(F.col("term").isin("F", "W", "S"))
+    # The small distinct table is computed once; axis and cells both come from it.
+    o = S.staged(observations(spark, sf_dir).where(F.col("term").isin("F", "W", "S")).select("grp", "code", "year", "term").distinct(), "offered")
     period = F.struct(F.col("year"), X.term_rank(F.col("term")).alias("rank"), F.col("term"))
-    matrix = R.offering_matrix(o.select("grp", "code", "year", "term").distinct(), "grp", "code", period)
+    matrix = R.offering_matrix(o, "grp", "code", period)
     cells = matrix.select("grp", "code", F.explode(F.arrays_zip("axis", "cells")).alias("z"))
     return cells.select("grp", "code", "z.axis.year", "z.axis.term", X.term_label(F.col("z.axis.year"), F.col("z.axis.term")).alias("label"), F.col("z.cells.on").alias("offered"))
 
@@ -68,34 +70,36 @@ def offerings_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Width and filled cells of each item's row, and the item's latest name."""
     o = observations(spark, sf_dir).where(F.col("term").isin("F", "W", "S")).withColumn("rank", X.term_rank(F.col("term")))
     period = F.struct("year", "rank")
-    matrix = R.offering_matrix(o.select("grp", "code", "year", "rank").distinct(), "grp", "code", period)
-    names = A.latest(o.withColumn("item", F.struct("grp", "code")), "item", "name", [F.col("start"), F.col("rank")], "pos").select("item.grp", "item.code", F.col("name").alias("latest_name"))
+    # One pass over the observations: each period of an item, and its latest name in that period.
+    seen = S.staged(o.groupBy("grp", "code", "year", "start", "rank").agg(F.min_by("name", "pos").alias("name"), F.min("pos").alias("pos")), "offered")
+    matrix = R.offering_matrix(seen, "grp", "code", period)
+    names = A.latest(seen.withColumn("item", F.struct("grp", "code")), "item", "name", [F.col("start"), F.col("rank")], "pos").select("item.grp", "item.code", F.col("name").alias("latest_name"))
     return matrix.select("grp", "code", F.size("axis").alias("width"), F.size(F.filter("cells", lambda c: c["on"])).cast("long").alias("offered")).join(names, ["grp", "code"])
 
 
 @query(OBSERVATIONS + """
 , cut AS (SELECT max(start) - 3 AS c FROM o),
-stats AS (SELECT grp, code, count(DISTINCT start) AS years, max(start) AS last FROM o GROUP BY 1, 2)
-SELECT s.grp, s.code, s.years::BIGINT AS years, s.last::INT AS last FROM stats s, cut WHERE NOT (s.years = 1 AND s.last < c)
+stats AS (SELECT grp, code, count(DISTINCT (start, term)) AS periods, max(start) AS last FROM o GROUP BY 1, 2)
+SELECT s.grp, s.code, s.periods::BIGINT AS periods, s.last::INT AS last FROM stats s, cut WHERE NOT (s.periods = 1 AND s.last < c)
   AND NOT EXISTS (SELECT 1 FROM stats b WHERE b.grp = s.grp AND b.code || 'L' = s.code)
 """)
 def recent_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items without those offered once and long ago, and without labs of other items."""
-    o = observations(spark, sf_dir).select("grp", "code", "start").distinct()
-    cutoff = o.agg(F.max("start") - 3).first()[0]  # one number
-    return A.prune_singletons(o, "grp", "code", "start", F.lit(cutoff)).groupBy("grp", "code").agg(F.count_distinct("start").alias("years"), F.max("start").alias("last"))
+    """Items without those offered in one period long ago, and without labs of other items."""
+    o = S.staged(observations(spark, sf_dir).select("grp", "code", "start", "term").distinct(), "offered")
+    cutoff = o.agg(F.max("start") - 3).scalar()
+    return A.prune_singletons(o, "grp", "code", "start", cutoff, "term").groupBy("grp", "code").agg(F.count("*").alias("periods"), F.max("start").alias("last"))
 
 
 @query(OBSERVATIONS + """
-SELECT grp, year, term, list_sort(list(DISTINCT person))[1:3] AS first_people, count(DISTINCT person)::BIGINT AS people FROM o WHERE code LIKE 'ECON%' GROUP BY 1, 2, 3
+, axis AS (SELECT DISTINCT grp, year, term FROM o), items AS (SELECT DISTINCT grp, code FROM o), who AS (SELECT grp, code, year, term, list_sort(list(DISTINCT person)) AS people FROM o GROUP BY 1, 2, 3, 4)
+SELECT i.grp, i.code, a.year, a.term, array_to_string(people, ',') AS people FROM items i JOIN axis a USING (grp) LEFT JOIN who w ON w.grp = i.grp AND w.code = i.code AND w.year = a.year AND w.term = a.term
 """)
 def people_per_term(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first people of each period on the group's axis, for one family of items."""
-    o = observations(spark, sf_dir).where(F.col("code").startswith("ECON")).withColumn("item", F.lit("ECON"))
-    cells = R.people_cells(o, "grp", "item", F.struct("year", "term"), "person")
-    axis = R.axis(o, "grp", F.struct("year", "term"))
-    zipped = cells.join(axis, "grp").select("grp", F.explode(F.arrays_zip("axis", "people")).alias("z"))
-    return zipped.select("grp", "z.axis.year", "z.axis.term", F.slice("z.people", 1, 3).alias("first_people"), F.size("z.people").cast("long").alias("people"))
+    """The people of every item in each period of the group's axis; null where it isn't offered."""
+    o = observations(spark, sf_dir).select("grp", "code", "year", "term", "person").distinct()
+    cells = R.people_cells(o, "grp", "code", F.struct("year", "term"), "person")
+    zipped = cells.join(R.axis(o, "grp", F.struct("year", "term")), "grp").select("grp", "code", F.explode(F.arrays_zip("axis", "people")).alias("z"))
+    return zipped.select("grp", "code", "z.axis.year", "z.axis.term", F.array_join(F.col("z.people").cast("array<string>"), ",").alias("people"))
 
 
 @query(OBSERVATIONS + """
@@ -162,11 +166,8 @@ def days_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("user_id", X.days_from_flags([F.col(f"d{i}") for i in range(7)]).alias("days"))
 
 
-@query("""
-WITH c AS (SELECT DISTINCT p_brand FROM part), k AS (SELECT p_brand, regexp_extract(p_brand, '^([A-Za-z]+)', 1) AS head, regexp_extract(p_brand, '([0-9]+)$', 1)::BIGINT AS n FROM c)
-SELECT p_brand, row_number() OVER (ORDER BY lower(head), n, p_brand)::INT AS place FROM k
-""")
+@query("SELECT DISTINCT p_brand, lower(regexp_extract(p_brand, '^([^0-9]+)', 1)) || lpad(regexp_extract(p_brand, '([0-9]+)$', 1), 12, '0') AS key FROM part")
 def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brands in natural order: Brand#2 before Brand#10."""
-    brands = table(spark, sf_dir, "part").select("p_brand").distinct()
-    return brands.withColumn("place", F.row_number().over(Window.orderBy(X.natural_key(F.col("p_brand")), "p_brand")))
+    """Brands with a text that sorts as their natural order does: Brand#2 before Brand#10."""
+    parts = F.transform(X.natural_key(F.col("p_brand")), lambda p: F.when(p["digits"], F.lpad(p["n"].cast("string"), 12, "0")).otherwise(p["text"]))
+    return table(spark, sf_dir, "part").select("p_brand").distinct().select("p_brand", F.array_join(parts, "").alias("key"))

@@ -81,8 +81,8 @@ def heading_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderpriority, count(*)::BIGINT AS rows, count(*) FILTER (WHERE o_orderstatus = 'F')::BIGINT AS done, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1
+SELECT o_orderpriority, count(*)::BIGINT AS rows, count(*) FILTER (WHERE o_orderstatus = 'F')::BIGINT AS done FROM orders GROUP BY 1
 """)
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage of a run by priority."""
-    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("rows"), F.count_if(F.col("o_orderstatus") == "F").alias("done"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return A.coverage(table(spark, sf_dir, "orders"), "o_orderpriority", done=F.col("o_orderstatus") == "F")

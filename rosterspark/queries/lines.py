@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields as X
+from ..functions import constants as K
 from ..operators import aggregates as A
 from ..operators import filters as P
 from ..operators import ordered as O
@@ -56,16 +57,16 @@ def boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.frequent_lines(document_lines(spark, sf_dir), "lang", "doc_id", "line", share=0.05).select("lang", "line", "df")
 
 
-@query(LINES + r"""
-SELECT doc_id, count(*)::BIGINT AS lines, count(*) FILTER (WHERE noise)::BIGINT AS noise FROM (
-  SELECT doc_id, s = '' OR regexp_matches(s, '^\(?\+?[0-9][0-9\s().-]{6,}$') OR regexp_matches(s, '^[\w.+-]+@[\w.-]+\.[a-z]{2,}$') OR regexp_matches(s, '^https?://\S+$')
-    OR regexp_matches(s, '^(menu|search|home|news|events|contact|login)$') OR regexp_matches(s, '^(©.*|copyright.*[0-9]{4}.*|all\s+rights\s+reserved.*)$') AS noise
-  FROM (SELECT doc_id, regexp_replace(lower(trim(line)), '[:.]+$', '') AS s FROM l)) GROUP BY 1
+NOISE = "|".join(f"(?:{p})" for p in K.NOISE_LINES).replace("'", "''")
+
+
+@query(LINES + rf"""
+SELECT doc_id, count(*)::BIGINT AS lines, count(*) FILTER (WHERE s = '' OR regexp_matches(s, '{NOISE}'))::BIGINT AS noise
+FROM (SELECT doc_id, regexp_replace(lower(trim(line)), '[:.]+$', '') AS s FROM l) GROUP BY 1
 """)
 def noise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and noise lines of each document."""
-    patterns = [r"^\(?\+?\d[\d\s().-]{6,}$", r"^[\w.+-]+@[\w.-]+\.[a-z]{2,}$", r"^https?://\S+$", r"^(menu|search|home|news|events|contact|login)$", r"^(©.*|copyright.*\d{4}.*|all\s+rights\s+reserved.*)$"]
-    return document_lines(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(P.is_noise_line(F.col("line"), patterns)).alias("noise"))
+    return document_lines(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(P.is_noise_line(F.col("line"))).alias("noise"))
 
 
 @query(LINES + r"""

@@ -10,6 +10,7 @@ from ..operators import tables as S
 from ..plans import classify
 from ..sources import records
 from ..streaming import ingest
+from .people import named
 from .registry import query, table
 
 
@@ -67,12 +68,12 @@ def with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.with_fallback(c, after, fallback, "c_nationkey")
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type AS course, '' AS section FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) < 50")
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type AS course, '' AS section FROM events")
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads of events as rows; fields that are missing are blank."""
     e = table(spark, sf_dir, "events")
     flat = records.flatten_json(e, "props", "struct<k:bigint,section:string>", {"k": "k", "section": "section"})
-    return flat.where("cast(k as bigint) < 50").select("event_id", F.col("k").cast("bigint").alias("k"), F.col("event_type").alias("course"), "section")
+    return flat.select("event_id", F.col("k").cast("bigint").alias("k"), F.col("event_type").alias("course"), "section")
 
 
 RESPONSE = """
@@ -102,15 +103,18 @@ def cascade_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("doc_id", classify.cascade(F.when(F.col("field") == "Computer Science", F.col("field")), second, F.lit(False)).alias("label"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey % 4 <> 0 OR c_custkey % 100 = 0")
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 4 <> 0 OR c_custkey % 5 IN (0, 2, 3)")
 def verdict_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that a verdict rejects go, unless their link holds a part of the name."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", F.lit("Ada Berg").alias("name"), F.when(F.col("c_custkey") % 100 == 0, "https://x.example/ada").otherwise("https://x.example/zz").alias("url"))
-    verdicts = c.select("c_custkey", (F.col("c_custkey") % 4 != 0).alias("verdict"))
-    return classify.drop_rejected(c, verdicts, "c_custkey").select("c_custkey")
+    """Rows that a verdict rejects go, unless their link ends in digits, holds a part of the name or shares four letters with it."""
+    c = named(table(spark, sf_dir, "customer"), "c_custkey", "c_nationkey")
+    base, k = F.lit("https://x.example/"), F.col("id")
+    kinds = [F.concat(base, F.lower("last")), F.concat(base, F.lit("zz")), F.concat(base, F.lit("u/"), k.cast("string")), F.concat(base, F.lit("q"), F.substring(F.lower(F.concat("first", "last")), 2, 5)), F.concat(base, F.lit("www"))]
+    rows = c.select(k.alias("c_custkey"), F.concat_ws(" ", "first", "last").alias("name"), F.element_at(F.array(*kinds), (k % 5 + 1).cast("int")).alias("url"))
+    verdicts = rows.select("c_custkey", (F.col("c_custkey") % 4 != 0).alias("verdict"))
+    return classify.drop_rejected(rows, verdicts, "c_custkey").select("c_custkey")
 
 
-@query()
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, count(*)::BIGINT AS rows, count(DISTINCT event_id)::BIGINT AS ids, sum(event_id)::BIGINT AS total FROM events GROUP BY 1")
 def resumable_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events ingested as a stream into a table by day, twice; the second run finds nothing new."""
+    """Events ingested as a stream of files into a table by day, twice; the second run finds nothing new."""
     return ingest.ingest_events(spark, sf_dir)

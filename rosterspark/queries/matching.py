@@ -45,8 +45,10 @@ def cascade_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINES = r"""
-WITH q AS (SELECT doc_id AS qid, list_distinct(list_filter(regexp_split_to_array(lower(regexp_extract(text, '^([^\n]*)', 1)), '[^a-z]+'), lambda w: length(w) > 1)) AS tokens FROM documents WHERE lang = 'en'),
-t AS (SELECT item_id AS tid, list_distinct(list_filter(regexp_split_to_array(lower(regexp_extract(text, '^([^\n]*)', 1)), '[^a-z]+'), lambda w: length(w) > 1)) AS tokens FROM benchmark)
+WITH ql AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+tl AS (SELECT item_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM benchmark),
+q AS (SELECT doc_id * 100000 + n - 1 AS qid, list_distinct(list_filter(regexp_split_to_array(lower(line), '[^a-z]+'), lambda w: length(w) > 1)) AS tokens FROM ql),
+t AS (SELECT item_id * 100000 + n - 1 AS tid, list_distinct(list_filter(regexp_split_to_array(lower(line), '[^a-z]+'), lambda w: length(w) > 1)) AS tokens FROM tl)
 """
 
 
@@ -55,31 +57,25 @@ t AS (SELECT item_id AS tid, list_distinct(list_filter(regexp_split_to_array(low
 p AS (SELECT qid, tid, any_value(nq) AS nq, any_value(nt) AS nt, count(*) AS inter FROM qq JOIN tt USING (w) GROUP BY 1, 2),
 s AS (SELECT *, nq + nt - inter AS u FROM p WHERE inter * 2 >= nt AND inter * 10 >= (nq + nt - inter) * 3),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY inter / nt DESC, inter / u DESC, tid) AS r FROM s)
-SELECT qid, tid, inter / nt AS recall, inter / u AS jaccard FROM r WHERE r = 1
+SELECT qid::BIGINT AS qid, tid::BIGINT AS tid, inter / nt AS recall, inter / u AS jaccard FROM r WHERE r = 1
 """)
 def token_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The benchmark line nearest to the first line of each English document, at thresholds that find some."""
-    first = lambda c: F.array_distinct(F.filter(F.split(F.lower(F.regexp_extract(c, r"^([^\n]*)", 1)), "[^a-z]+"), lambda w: F.length(w) > 1))
-    q = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("qid"), first(F.col("text")).alias("tokens"))
-    t = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("tid"), first(F.col("text")).alias("tokens"))
-    return J.token_similarity(q, t, (1, 2), (3, 10))
+    """The benchmark line nearest to each line of each document, at thresholds that find some. Lines have numbers: 100,000 times the text's, from 0."""
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z]+"), lambda w: F.length(w) > 1))
+    lines = lambda df, key, name: df.select(F.col(key).alias("k"), F.posexplode(F.split("text", "\n")).alias("n", "line")).select((F.col("k") * 100_000 + F.col("n")).alias(name), words(F.col("line")).alias("tokens"))
+    return J.token_similarity(lines(table(spark, sf_dir, "documents"), "doc_id", "qid"), lines(table(spark, sf_dir, "benchmark"), "item_id", "tid"), (1, 2), (3, 10))
 
 
 @query("""
-WITH v AS (SELECT DISTINCT p_type || ' journal of ' || p_name AS a FROM part), n AS (SELECT row_number() OVER (ORDER BY a)::INT AS qid, string_split(lower(replace(a, ' of ', ' ')), ' ') AS t FROM v),
-r AS (SELECT DISTINCT 'journal ' || p_name AS b FROM part), m AS (SELECT row_number() OVER (ORDER BY b)::INT AS tid, string_split(b, ' ') AS t FROM r),
+WITH n AS (SELECT min(p_partkey) AS qid, string_split(lower(p_type || ' journal ' || p_name), ' ') AS t FROM part GROUP BY p_type, p_name), m AS (SELECT min(p_partkey) AS tid, string_split('journal ' || p_name, ' ') AS t FROM part GROUP BY p_name),
 h AS (SELECT qid, tid, len(m.t) AS k FROM n JOIN m ON len(m.t) >= 3 AND len(n.t) - len(m.t) BETWEEN 0 AND 1 AND list_has_all(n.t, m.t) AND list_filter(n.t, lambda x: list_contains(m.t, x)) = m.t)
-SELECT qid, arg_min(tid, (-k, tid))::INT AS tid, max(k)::INT AS n FROM h GROUP BY 1
+SELECT qid::BIGINT AS qid, arg_min(tid, (-k, tid))::BIGINT AS tid, max(k)::INT AS n FROM h GROUP BY 1
 """)
 def ordered_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Journals named by type and part, matched with journals named by part."""
-    from pyspark.sql import Window
-
+    """Journals named by type and part, matched with journals named by part; each goes by the key of its first part."""
     parts = table(spark, sf_dir, "part")
-    number = lambda df, c, n: df.distinct().withColumn(n, F.row_number().over(Window.orderBy(c)))
-    a = number(parts.select(F.concat("p_type", F.lit(" journal of "), "p_name").alias("a")), "a", "qid").select("qid", T.journal_tokens(T.journal_key(F.col("a"))).alias("tokens"))
-    b = number(parts.select(F.concat(F.lit("journal "), "p_name").alias("b")), "b", "tid").select("tid", T.journal_tokens(T.journal_key(F.col("b"))).alias("tokens"))
-    return J.ordered_subset(a, b)
+    keyed = lambda c, n: parts.groupBy(c.alias("name")).agg(F.min("p_partkey").alias(n)).select(n, T.journal_tokens(T.journal_key(F.col("name"))).alias("tokens"))
+    return J.ordered_subset(keyed(F.concat("p_type", F.lit(" journal of "), "p_name"), "qid"), keyed(F.concat(F.lit("journal "), "p_name"), "tid"))
 
 
 AREAS = {"red": ["color", "warm"], "blue": ["color", "cold"], "green": ["color"], "small": ["size"], "large": ["size"], "ring": ["round"], "gear": ["round", "machine"], "bolt": ["machine"]}

@@ -34,12 +34,12 @@ def coauthor_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH k AS (SELECT doc_id, source, lang, trim(regexp_replace(lower(regexp_replace(left(text, 200), '\\\\[nt]', ' ', 'g')), '[^a-z0-9]+', ' ', 'g')) AS key FROM documents)
+WITH k AS (SELECT doc_id, source, lang, trim(regexp_replace(lower(regexp_replace(coalesce(text, ''), '\\\\[nt]', ' ', 'g')), '[^a-z0-9]+', ' ', 'g')) AS key FROM documents)
 SELECT arg_min(doc_id, (source, doc_id))::BIGINT AS doc_id, list_sort(list(DISTINCT lang)) AS langs, count(*)::BIGINT AS n FROM k GROUP BY CASE WHEN key <> '' THEN key ELSE 'id:' || doc_id::VARCHAR END
 """)
 def dedup_best_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that begin alike: the one of the first source stays, languages are united."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", F.array("lang").alias("langs"), F.substring("text", 1, 200).alias("head"))
+    """Documents whose whole texts read alike: the one of the first source stays, languages are united."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", F.array("lang").alias("langs"), F.col("text").alias("head"))
     d = d.withColumn("key", X.paper_key(F.col("head"), F.col("doc_id"))).drop("head")
     best = A.dedup_best(d, F.col("key"), [F.col("source"), F.col("doc_id")], merge="langs")
     return best.join(d.groupBy("key").agg(F.count("*").alias("n")), "key").select("doc_id", "langs", "n")
@@ -82,14 +82,13 @@ def group_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT n_nationkey, n_name, list_sort(list(c_custkey)) [1:3] AS first_people, count(c_custkey)::BIGINT AS people FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey GROUP BY 1, 2
+SELECT n_nationkey, n_name, CASE WHEN c_custkey IS NULL THEN NULL ELSE row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) - 1 END::INT AS place, c_custkey, c_name FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey
 """)
 def nested_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations with their customers nested in order; the first and the number of them."""
+    """Nations with their customers nested in order, each member with its place."""
     nested = R.nest(table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "n_nationkey"), "n_nationkey", "c_custkey", ["c_custkey", "c_name"], "people")
     out = J.star(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), "n_nationkey", nested)
-    people = F.coalesce(F.col("people"), F.array().cast(nested.schema["people"].dataType))
-    return out.select("n_nationkey", "n_name", F.transform(F.slice(people, 1, 3), lambda p: p["c_custkey"]).alias("first_people"), F.size(people).cast("long").alias("people"))
+    return out.select("n_nationkey", "n_name", F.posexplode_outer("people").alias("place", "p")).select("n_nationkey", "n_name", "place", "p.c_custkey", "p.c_name")
 
 
 @query("""

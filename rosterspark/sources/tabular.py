@@ -30,8 +30,8 @@ def split_document(df: DataFrame, column: str, schema: T.DataType) -> dict[str,
 
 
 def write_by_key(df: DataFrame, path: str, key: str, columns: Sequence[str]) -> None:
-    """A CSV folder for each value of the key, columns in order."""
-    df.select(key, *[c for c in columns if c != key]).repartition(key).write.mode("overwrite").option("header", True).partitionBy(key).csv(path)
+    """A CSV folder for each value of the key, columns in order, quotes doubled."""
+    df.select(key, *[c for c in columns if c != key]).repartition(key).write.mode("overwrite").options(header=True, escape='"').partitionBy(key).csv(path)
 
 
 def write_document(df: DataFrame, path: str) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -10,15 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import needs_processing
-from ..operators.tables import write_partitions
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Where it is unset: an own one in local mode, an error on a cluster."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return found.rstrip("/") if found else tempfile.mkdtemp(prefix="spark-")
+from ..operators.tables import shared_dir, write_partitions
 
 
 def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:

@@ -8,9 +8,15 @@ chosen node lies in an article (or main) element, the whole element is the conte
 Left out wherever it stands: menus, page headers and footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments, known by element, role, or words of class and id.
 
-A page is parsed by one regular expression over its tags into a small tree. Missing end tags are closed as HTML closes them:
-a block ends an open p, li ends li, and an end tag closes everything opened inside its element. Elements that are left out
-stand on the same stack as the others and close by the same rules.
+A page is cut into tags and text from left to right, by a regular expression that never goes back (time grows with the page, whatever it holds): quotes
+part attribute values only where HTML reads a value, a tag or comment without an end takes the rest of the page. The tags build a small
+tree. Missing end tags are closed as HTML closes them: a block ends an open p, li ends li, and an end tag closes everything opened inside its
+element. Elements that are left out stand on the same stack as the others and close by the same rules. What is nested deeper than MOST_DEEP
+levels is read as standing side by side there, as browsers do.
+
+A class or id marks an element if all words of one of its names are words of boilerplate and layout, one of boilerplate at least: ad-slot-2 and
+siteFooter do, search-engine and related-work don't. Of an article's header its headings,
+divisions and paragraphs (a lead) belong to the text, loose bylines and dates don't; other headers are left out.
 """
 
 from __future__ import annotations
@@ -20,20 +26,33 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+from .common import texts_in_small_batches
+
+WHITE = r" \t\n\f\r"
+NAME = rf"[^{WHITE}/>][^{WHITE}/>=]*+"
+EQUALS = rf"[{WHITE}]*+=[{WHITE}]*+"
+UNQUOTED = rf"[^{WHITE}>\"'][^{WHITE}>]*+"
+#: White space, or a name with its value; a value that begins with a quote must end with it.
+IN_TAG = rf"""[{WHITE}/]++|{NAME}(?:{EQUALS}(?:"[^"]*+"|'[^']*+'|{UNQUOTED}|(?=>))|(?!{EQUALS}))"""
+#: A comment, what HTML reads as one, a tag (groups: end tag, name, attributes), or a tag that doesn't end.
+TAG = re.compile(rf"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|(?:[!?]|/(?![a-zA-Z>]))[^>]*+(?:>|\Z)|/>|(/?+)([a-zA-Z][^{WHITE}/>]*+)((?:{IN_TAG})*+)>|/?[a-zA-Z].*)", re.S)
+ATTRIBUTE = re.compile(rf"""({NAME})(?:{EQUALS}(?:"([^"]*+)"|'([^']*+)'|({UNQUOTED})?))?+""")
 SPACE = re.compile(r"\s+")
+MOST_DEEP = 512
 
 # Element names of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp"}
+RAW_ENDS = {name: re.compile(rf"</{name}(?=[{WHITE}/>])", re.I) for name in RAW}
 DROPPED = {"nav", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "title", "head", "menu", "dialog", "button", "select", "option", "textarea", "svg", "canvas", "object", "audio", "video", "xmp"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+OF_A_HEADER = HEADINGS | {"div", "hgroup", "p"}
 BLOCKS = HEADINGS | {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 ENDS_ITS_LIKE = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th", "caption"}, "td": {"td", "th", "caption"}, "th": {"td", "th", "caption"},
@@ -57,8 +76,16 @@ BOILERPLATE = {
     "notice", "notices", "popup", "promo", "promoted", "promotion", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget",
 }
 
+#: Words that say where or what kind of a box an element is.
+LAYOUT = {
+    "alert", "area", "article", "articles", "bar", "block", "body", "bottom", "box", "btn", "button", "center", "col", "column", "container", "content", "count", "desktop", "entry", "field", "fixed", "form",
+    "global", "group", "header", "heading", "icon", "icons", "inner", "input", "is", "item", "items", "js", "large", "left", "link", "links", "list", "main", "message", "mobile", "module", "more", "outer", "overlay",
+    "page", "panel", "policy", "post", "posts", "primary", "reader", "readers", "region", "reply", "right", "row", "secondary", "section", "site", "slot", "small", "stories", "sticky", "text", "thread", "title", "toggle",
+    "top", "unit", "user", "wrap", "wrapper", "zone",
+}
 #: A class that begins so tells of the layout (no-sidebar, has-comments), not of the element's own content.
 ABOUT_LAYOUT = {"no", "has", "with", "without"}
+WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
 class Node:
@@ -77,16 +104,23 @@ def marked(name: str, attributes: str, in_article: bool) -> bool:
         return True
     if attributes and name not in ("html", "body", "article", "main"):
         for m in ATTRIBUTE.finditer(attributes):
-            key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if key == "hidden" or key == "aria-hidden" and value == "true":
+            key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+                return True
+            if key in ("class", "id", "role") and any(names_boilerplate(one, in_article) for one in value.split()):
                 return True
-            for one in value.split() if key != "aria-hidden" else ():
-                words = re.split(r"[^a-z0-9]+", one)
-                if words[0] not in ABOUT_LAYOUT and (not BOILERPLATE.isdisjoint(words) or "header" in words and not in_article):
-                    return True
     return False
 
 
+@lru_cache(maxsize=4096)
+def names_boilerplate(name: str, in_article: bool) -> bool:
+    words = [w.lower() for w in WORDS.findall(name)]
+    if not words or words[0] in ABOUT_LAYOUT:
+        return False
+    some = not BOILERPLATE.isdisjoint(words) or "header" in words and not in_article
+    return some and all(w in BOILERPLATE or w in LAYOUT or w.isdigit() for w in words)
+
+
 def parse(page: str) -> Node:
     """The tree of what may be content; marked elements are left out while it is built."""
     root = Node("body")
@@ -116,8 +150,8 @@ def parse(page: str) -> Node:
         if stack[-1].name == "head" and name not in IN_HEAD:
             close(stack, within, len(stack) - 1)
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            end = RAW_ENDS[name].search(page, at)
+            at = TAG.match(page, end.start()).end() if end else len(page)
             continue
         if name in ("html", "body"):
             continue
@@ -133,6 +167,8 @@ def parse(page: str) -> Node:
             if name in ("br", "hr") and not skipped:
                 stack[-1].children.append(Node("hr") if name == "hr" else " ")
             continue
+        if len(stack) > MOST_DEEP:
+            close(stack, within, len(stack) - 1)
         node = Node(name, skipped)
         if not skipped:
             stack[-1].children.append(node)
@@ -256,7 +292,7 @@ def blocks(nodes: list[Node]) -> list[str]:
                 if block := x.name in BLOCKS:
                     flush()
                     rest.append(None)
-                inner = x.children if x.name != "header" else [c for c in x.children if isinstance(c, Node) and c.name in HEADINGS | {"div", "hgroup"}]
+                inner = x.children if x.name != "header" else [c for c in x.children if isinstance(c, Node) and c.name in OF_A_HEADER]
                 rest.extend(reversed(inner))
                 if block and not x.children:
                     flush()
@@ -282,11 +318,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = [main_text(h) for h in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["id", "link", "text", "n_chars"])
+            texts = [main_text(h) for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["id", "link", "text", "n_chars"])
 
+    texts_in_small_batches(pages.sparkSession)
     kinds = [pages.schema[c].dataType.simpleString() for c in (id_col, url_col)]
     out = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("link"), F.col(html_col).alias("html")).mapInArrow(run, f"id {kinds[0]}, link {kinds[1]}, text string, n_chars long")
     return out.withColumnsRenamed({"id": id_col, "link": url_col})

@@ -1,25 +1,28 @@
 """Approximate nearest neighbours by shifted space-filling curves.
 
 Vectors are projected onto `dims` random orthogonal directions, shifted and cut into a grid; a Hilbert curve orders the grid's
-cells. Several such orderings are made. Each is cut into ranges of keys that hold a like share of the rows (Spark's partitions of
-that curve); a query looks through the range that its own key falls in and the one on either side, all of them are reranked by
+cells. Several such orderings are made. Spark cuts each into ranges of keys that hold about `block` rows (quantiles of all rows' keys); a
+query looks through the ranges beside its own key, a window of `window` of the curve's rows, all of them are reranked by
 their distance in the original space, and the curves' results are merged.
 
-Ranges, directions and the grid are fitted on a bounded sample (`sample` rows); every row is indexed. A window is a
-share of the rows, alike at every size: of data without structure (nearest neighbours hardly nearer than others) the
-defaults look through about 80 percent of the rows for a recall above 0.95; fewer curves or narrower windows do for clustered data.
+Directions and the grid are fitted on a bounded sample (`sample` rows); every row is indexed. A window is a share of the rows, alike at every
+size: of data without structure (nearest neighbours hardly nearer than others) the defaults look through two thirds of the rows for
+a recall above 0.9; fewer curves or narrower windows do for clustered data.
 
-Equal vectors are one entry with their smallest ids, so a vector that fills a third of the table is one row of each curve.
+Equal vectors are one entry, named by its smallest id, so a vector that fills a third of the table is one row of each curve. Distances are
+sums of exactly rounded squares, so equal ones compare as equal and go by the smaller id, in every cut.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import staged
 from .exact_topk import matrix, usable
@@ -50,9 +53,9 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Curves:
-    """Directions, shifts, grid and the keys at which ranges begin, for every curve."""
+    """Directions, shifts and grid of every curve."""
 
-    def __init__(self, sample: np.ndarray, curves: int, dims: int, bits: int, ranges: int, seed: int):
+    def __init__(self, sample: np.ndarray, curves: int, dims: int, bits: int, seed: int):
         random, width = np.random.default_rng(seed), sample.shape[1]
         self.bits, dims = bits, min(dims, width)
         self.parts = []
@@ -63,18 +66,15 @@ class Curves:
             axes = turn[:, at : at + dims]
             low, high = np.quantile(sample @ axes, [0.005, 0.995], axis=0)
             self.parts.append((axes, low, np.maximum(high - low, 1e-12), random.random(dims)))
-        self.starts = [np.quantile(k, np.arange(1, ranges) / ranges, method="lower") for k in self.keys(sample)]
 
-    def keys(self, x: np.ndarray) -> Iterator[np.ndarray]:
-        """The grid is half as wide again as the sample, so that the shift has room."""
+    def keys(self, x: np.ndarray) -> np.ndarray:
+        """A row of keys for each vector. The grid is half as wide again as the sample, so that the shift has room."""
         top = (1 << self.bits) - 1
+        found = []
         for axes, low, span, shift in self.parts:
             grid = ((x @ axes - low) / span + shift / 2) / 1.5 * (top + 1)
-            yield hilbert_keys(np.clip(grid, 0, top).astype(np.int64), self.bits)
-
-    def ranges(self, x: np.ndarray) -> np.ndarray:
-        """Range number by curve (rows) and vector (columns)."""
-        return np.stack([np.searchsorted(s, k, side="right") for s, k in zip(self.starts, self.keys(x), strict=True)])
+            found.append(hilbert_keys(np.clip(grid, 0, top).astype(np.int64), self.bits))
+        return np.stack(found, axis=1)
 
 
 def smallest(df: DataFrame, by: str, k: int) -> DataFrame:
@@ -85,62 +85,87 @@ def smallest(df: DataFrame, by: str, k: int) -> DataFrame:
     return few.select(by, "id").withColumn("r", second).where(F.col("r") <= k).drop("r")
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = 24, dims: int = 8, bits: int = 4, ranges: int = 40, sample: int = 8192, block: int = 4096, seed: int = 7, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(points: np.ndarray, data: np.ndarray, names: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each point the k rows of smallest (distance, name): their places and distances."""
+    far = (data**2).sum(axis=1)[None, :] - 2 * (points @ data.T)
+    out = []
+    for row, point in zip(far, points, strict=True):
+        at = np.arange(len(row))
+        if len(row) > k:
+            # These distances are rounded: whatever may belong to the first k is measured again.
+            edge = np.partition(row, k - 1)[k - 1]
+            at = np.flatnonzero(row <= edge + 1e-11 * (1 + abs(edge) + (point**2).sum()))
+        exact = np.sqrt([math.fsum(gaps) for gaps in ((data[at] - point) ** 2).tolist()])
+        order = np.lexsort((names[at], exact))[:k]
+        out.append((at[order], exact[order]))
+    return out
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = 16, dims: int = 8, bits: int = 4, window: float = 0.075, sample: int = 8192, block: int = 2048, most_ranges: int = 4096, seed: int = 7, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k nearest rows found for every query (all candidates, if fewer), never the query's own row.
 
-    is_query: a condition on the column `id`. ranges: a window is three of so many ranges of a curve. block: rows of a range in one
-    task, about. Out: query_id, rank from 1, vec_id, score (Euclidean distance in double precision on the original vectors),
-    ties to the smaller id. Vectors that are null, zero, or hold null or non-finite components take no part, nor rows without an id
-    or with another length than the most common. Repeated rows (same id, same vector) count once. An empty table gives no rows.
+    is_query: a condition on the column `id`. window: share of a curve's rows that a query looks through, about. block: rows of a range of
+    keys, about, while a curve has at most most_ranges ranges. Out: query_id, rank from 1, vec_id, score (Euclidean distance in double
+    precision on the original vectors), ties to the smaller id. Vectors that are null, zero, or hold null or non-finite components take no part, nor
+    rows without an id or with another length than the most common. Repeated rows (same id, same vector) count once. An empty table gives no rows.
     """
-    v = F.transform("v", lambda x: x + F.lit(0.0))  # -0.0 reads as 0.0
+    spark = vectors.sparkSession
+    single = isinstance(getattr(vectors.schema[vector_col].dataType, "elementType", None), T.FloatType)
+    kind = "array<float>" if single else "array<double>"
+    v = F.transform("v", lambda x: x + F.lit(0.0)).cast(kind)  # -0.0 reads as 0.0; floats stay floats
     rows = usable(vectors, id_col, vector_col).select("id", v.alias("v")).where(F.exists("v", lambda x: x != 0))
     entry = F.concat_ws("-", F.xxhash64("v"), F.xxhash64(F.lit("b"), "v"))
     data = staged(rows.withColumn("entry", entry).withColumn("is_query", is_query), "curve-rows")
     members = staged(smallest(data.select("entry", "id").distinct(), "entry", k + 1), "curve-members")
-    # One entry for each vector; queried tells whether a query has it.
-    entries = staged(data.groupBy("entry").agg(F.first("v").alias("v"), F.max("is_query").alias("queried")), "curve-entries")
+    # One entry for each vector, with its smallest id; queried tells whether a query has it.
+    entries = staged(data.groupBy("entry").agg(F.min("id").alias("least"), F.max("is_query").alias("queried"), F.first("v").alias("v")), "curve-entries")
     chosen = entries.orderBy(F.xxhash64("entry"), "entry").limit(sample).select("v").toPandas()
     if not len(chosen):
-        return data.sparkSession.createDataFrame([], OUT)
-    fitted = Curves(matrix(chosen.v), curves, dims, bits, ranges, seed)
+        return spark.createDataFrame([], OUT)
+    fitted = Curves(matrix(chosen.v), curves, dims, bits, seed)
+    n = entries.count()
+    # A range holds several times the rows that are asked for, so that small tables are searched whole.
+    ranges = max(1, min(most_ranges, max(math.ceil(3 / window), math.ceil(n / block)), n // (4 * (k + 1))))
+    reach = max(1, round((window * ranges - 1) / 2))
 
     def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             if len(part):
-                yield part.drop(columns="v").assign(entry=part.entry.astype(object), ranges=list(fitted.ranges(matrix(part.v)).T.astype("i4")), v=part.v)
-
-    placed = staged(entries.mapInPandas(place, "entry string, queried boolean, ranges array<int>, v array<double>"), "curve-ranges")
-    on_curve = placed.select("entry", "queried", "v", F.posexplode("ranges").alias("curve", "at"))
-    sizes = on_curve.groupBy("curve", "at").count().collect()  # at most curves * ranges rows
-    blocks = F.create_map(*[F.lit(int(x)) for r in sizes for x in (r.curve * ranges + r.at, -(-r["count"] // block))])
-    count = lambda curve, at: F.coalesce(F.element_at(blocks, curve * ranges + at), F.lit(0))
-    held = on_curve.select("entry", "v", "curve", "at", F.pmod(F.xxhash64("entry"), count(F.col("curve"), F.col("at"))).cast("int").alias("block"))
-    near = F.explode(F.filter(F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1), lambda a: (a >= 0) & (a < ranges)))
-    looked = on_curve.where("queried").select("entry", "v", "curve", near.alias("at")).withColumn("blocks", count(F.col("curve"), F.col("at"))).where("blocks > 0")
-    queries = looked.select("entry", "v", "curve", "at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+                yield part.drop(columns="v").assign(entry=part.entry.astype(object), keys=list(fitted.keys(matrix(part.v))), v=part.v)
+
+    placed = staged(entries.mapInPandas(place, f"entry string, least long, queried boolean, keys array<bigint>, v {kind}"), "curve-keys")
+    cuts = F.percentile_approx("key", [i / ranges for i in range(1, ranges)] or [1.0], 10 * ranges)
+    ends = placed.select(F.posexplode("keys").alias("curve", "key")).groupBy("curve").agg(cuts.alias("ends"))
+    starts = {r.curve: np.array(r.ends)[: ranges - 1] for r in ends.collect()}  # `ranges` numbers a curve
+
+    @F.pandas_udf("array<int>")
+    def range_of(keys: pd.Series) -> pd.Series:
+        rows = np.array(keys.tolist(), dtype=np.int64).reshape(len(keys), -1)
+        return pd.Series(list(np.stack([np.searchsorted(starts[c], rows[:, c], side="left") for c in range(rows.shape[1])], axis=1).astype("i4")))
+
+    on_curve = placed.select("entry", "least", "queried", "v", F.posexplode(range_of("keys")).alias("curve", "at"))
+    # Ranges are crowded where very many vectors share a key; those are cut into blocks by a hash.
+    sizes = staged(on_curve.groupBy("curve", "at").agg(F.ceil(F.count("*") / (2 * block)).cast("int").alias("blocks")), "curve-sizes")
+    cut = F.broadcast(sizes)  # a row for each range
+    held = on_curve.join(cut, ["curve", "at"]).select("entry", "least", "v", "curve", "at", F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int").alias("block"))
+    window_of = F.explode(F.sequence(F.greatest(F.col("at") - reach, F.lit(0)), F.least(F.col("at") + reach, F.lit(ranges - 1))))
+    looked = on_curve.where("queried").select("entry", "v", "curve", window_of.alias("at")).join(cut, ["curve", "at"])
+    queries = looked.select(*[F.col(c).alias(c) for c in ("entry", "v", "curve", "at")], F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
 
     def rerank(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        found = []
         if len(q) and len(x):
-            data_matrix, names = matrix(x.v), x.entry.to_numpy(dtype=object)
-            squares = (data_matrix**2).sum(axis=1)
+            points, data_matrix, least, names = matrix(q.v), matrix(x.v), x.least.to_numpy(), x.entry.to_numpy(dtype=object)
             for start in range(0, len(q), 256):
-                part = q.iloc[start : start + 256]
-                points = matrix(part.v)
-                far = squares[None, :] - 2 * (points @ data_matrix.T)
-                keep = min(2 * k + 2, len(x))  # more than are wanted, as these distances are rounded
-                at = np.argpartition(far, keep - 1, axis=1)[:, :keep]
-                exact = np.sqrt(((data_matrix[at] - points[:, None, :]) ** 2).sum(axis=2))
-                order = np.argsort(exact, axis=1, kind="stable")[:, : k + 1]
-                out.append((np.repeat(part.entry.to_numpy(dtype=object), order.shape[1]), names[np.take_along_axis(at, order, 1)].ravel(), np.take_along_axis(exact, order, 1).ravel()))
-        query, entry, score = (np.concatenate(c) for c in zip(*out, strict=True)) if out else ([], [], [])
-        return pd.DataFrame({"query": pd.Series(query, dtype=object), "entry": pd.Series(entry, dtype=object), "score": pd.Series(score, dtype=float)})
+                for own, (at, score) in zip(q.entry.to_numpy(dtype=object)[start : start + 256], nearest(points[start : start + 256], data_matrix, least, k + 1), strict=True):
+                    found.append((np.full(len(at), own, dtype=object), names[at], least[at], score))
+        query, entry, least, score = (np.concatenate(c) for c in zip(*found, strict=True)) if found else ([], [], [], [])
+        return pd.DataFrame({"query": pd.Series(query, dtype=object), "entry": pd.Series(entry, dtype=object), "least": pd.Series(least, dtype="int64"), "score": pd.Series(score, dtype=float)})
 
     keys = ["curve", "at", "block"]
-    found = queries.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(rerank, "query string, entry string, score double")
-    best = F.row_number().over(Window.partitionBy("query").orderBy("score", "entry"))
-    merged = found.groupBy("query", "entry").agg(F.min("score").alias("score")).withColumn("r", best).where(F.col("r") <= k + 1).drop("r")
+    found = queries.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(rerank, "query string, entry string, least long, score double")
+    best = F.row_number().over(Window.partitionBy("query").orderBy("score", "least", "entry"))
+    merged = found.groupBy("query", "entry").agg(F.min("score").alias("score"), F.first("least").alias("least")).withColumn("r", best).where(F.col("r") <= k + 1).drop("r", "least")
     asked = data.where("is_query").select(F.col("id").alias("query_id"), F.col("entry").alias("query")).distinct()
     # A vector that many queries share has at most k + 1 results, each with at most k + 1 ids.
     results = merged.join(members, "entry").join(asked, "query").where(F.col("query_id") != F.col("id"))

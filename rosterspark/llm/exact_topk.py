@@ -1,11 +1,14 @@
 """Exact top-k search by a Voronoi join.
 
-Data go to their nearest pivot. Each pivot's cell is summarised: its rows, its radius, and the distances of the rows
-nearest to the pivot. From the summaries alone, every query gets a lower bound for its k-th best score (a row at distance r
-from pivot p scores at least <q,p> - |q| r) and every cell an upper bound (<q,p> + |q| radius); a query is replicated only to the cells
-whose upper bound reaches its lower bound. Cells are cut into blocks of rows by a hash, so a crowded cell is many tasks; each
+Data go to their nearest pivot; the number of pivots grows with the root of the table. Each pivot's cell is summarised: its rows, its radius
+around the pivot, its greatest norm, and its least and greatest value in each dimension. A query is solved in its best cell first (that of the
+pivot with the greatest inner product), which gives a lower bound for its k-th best score. From the summaries every other cell has an upper
+bound, the least of three: <q,p> + |q| radius, |q| times the greatest norm, and the sum of each dimension's better end; a query is replicated
+only to the cells whose upper bound reaches its lower bound. Cells are cut into blocks of rows by a hash, so a crowded cell is many tasks; each
 block is solved by one matrix product and keeps k rows a query; the blocks' results are ranked last.
 
+How many cells remain depends on the data: of clustered vectors few, of vectors without structure in many dimensions all (see replication()).
+
 Scores are integer inner products of floor(scale * x), computed in float64 while every partial sum is exact there, else in
 Python integers; those beyond a long count as the greatest (least) one. Vectors that are null or hold null or non-finite components take no part, nor do vectors of another length
 than the most common one (the shorter on ties), nor rows without an id. Ties go to the smaller id. Repeated rows (same id, same vector) count once.
@@ -13,6 +16,7 @@ than the most common one (the shorter on ties), nor rows without an id. Ties go
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import staged
 
 OUT = "query_id long, rank int, vec_id long, score long"
+#: Up to so many dimensions the summaries hold each dimension's ends, an aggregate each.
+MOST_BOXED = 256
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -56,76 +62,137 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, pivots: int = 64, block: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+class Cells:
+    """Pivots and the summaries of their cells. What is broadcast is this: it grows with the number of pivots."""
+
+    def __init__(self, centres: np.ndarray, rows: list, block: int):
+        self.cell, n = np.array([r.cell for r in rows], dtype=np.int32), np.array([r.n for r in rows])
+        self.centres, self.blocks = centres[self.cell], -(-n // block)
+        self.radius, self.norm = (np.array([r[c] for r in rows]) for c in ("radius", "norm"))
+        self.low, self.high = (np.array([r[c] for r in rows]) for c in ("low", "high"))
+        self.boxed = self.low.shape[1] > 0
+
+    def best(self, q: np.ndarray) -> np.ndarray:
+        """The place of each query's best cell."""
+        return (q @ self.centres.T).argmax(axis=1)
+
+    def upper(self, q: np.ndarray) -> np.ndarray:
+        """The most that a row of a cell (columns) can score with a query (rows), with room for rounding."""
+        length = np.sqrt((q**2).sum(axis=1))[:, None]
+        least = np.minimum(q @ self.centres.T + length * self.radius[None, :], length * self.norm[None, :])
+        if self.boxed:
+            least = np.minimum(least, np.maximum(q, 0) @ self.high.T + np.minimum(q, 0) @ self.low.T)
+        return least + 1e-9 * (1 + np.abs(least)) + 1e-9 * length * (self.norm + self.radius)[None, :]
+
+    def copies(self, part: pd.DataFrame, row: np.ndarray, place: np.ndarray) -> pd.DataFrame:
+        """A row for each block of the cells that a query goes to."""
+        times = self.blocks[place]
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        at = np.repeat(row, times)
+        return pd.DataFrame({"id": part.id.to_numpy()[at], "v": part.v.to_numpy()[at], "cell": np.repeat(self.cell[place], times), "block": nth.astype("i4")})
+
+
+COPIES = "id long, v array<double>, cell int, block int"
+
+
+class VoronoiJoin:
+    """The rows in their cells, the cells' summaries, and the copies of queries that go to them."""
+
+    def __init__(self, vectors: DataFrame, is_query: Column, k: int, scale: float, pivots: int | None, block: int, id_col: str, vector_col: str):
+        v = F.transform("v", lambda x: F.floor(x * F.lit(float(scale))).cast("double"))
+        self.k, self.spark = k, vectors.sparkSession
+        data = staged(usable(vectors, id_col, vector_col).select("id", v.alias("v"), is_query.alias("is_query")).where(F.forall("v", lambda x: F.abs(x) < 2.0**62)).dropDuplicates(["id", "v"]), "topk-data")
+        many = pivots or max(64, math.isqrt(data.count()))
+        chosen = data.select("id", "v").orderBy(F.xxhash64("id", F.lit("pivot")), "id").limit(many).collect()
+        self.empty = not chosen
+        if self.empty:
+            return
+        centres = np.unique(np.array([r.v for r in chosen]), axis=0)
+        norms = (centres**2).sum(axis=1)
+
+        def assign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                x = matrix(part.v)
+                cell = (norms[None, :] - 2 * (x @ centres.T)).argmin(axis=1) if len(x) else np.zeros(0, dtype=int)
+                yield part.assign(cell=cell.astype("i4"), far=np.sqrt(((x - centres[cell]) ** 2).sum(axis=1)) if len(x) else np.zeros(0), norm=np.sqrt((x**2).sum(axis=1)))
+
+        self.placed = staged(data.mapInPandas(assign, "id long, v array<double>, is_query boolean, cell int, far double, norm double"), "topk-cells")
+        boxed = range(centres.shape[1] if centres.shape[1] <= MOST_BOXED else 0)
+        ends = [F.array(*[f(F.col("v")[i]) for i in boxed]).cast("array<double>").alias(name) for name, f in (("low", F.min), ("high", F.max))]
+        summary = self.placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius"), F.max("norm").alias("norm"), *ends)
+        self.cells = Cells(centres, summary.orderBy("cell").collect(), block)
+        counts = self.spark.createDataFrame(pd.DataFrame({"cell": self.cells.cell, "blocks": self.cells.blocks.astype("i4")}), "cell int, blocks int")
+        self.rows = self.placed.select("id", "v", "cell").join(F.broadcast(counts), "cell").select("id", "v", "cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+        self.queries = self.placed.where("is_query").select("id", "v")
+        cells = self.cells
+
+        def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                if len(part):
+                    yield cells.copies(part, np.arange(len(part)), cells.best(matrix(part.v)))
+
+        def others(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in parts:
+                if len(part):
+                    q = matrix(part.v)
+                    reach = cells.upper(q) >= part.bound.to_numpy()[:, None]
+                    reach[np.arange(len(part)), cells.best(q)] = False
+                    yield cells.copies(part, *np.nonzero(reach))
+
+        self.found_first = staged(self.solved(self.queries.mapInPandas(first, COPIES)), "topk-first")
+        # The k-th best so far; a query with fewer results has no bound. Repeated ids of different vectors are one query each.
+        place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        bounds = self.found_first.withColumn("place", place).where(F.col("place") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("bound"))
+        several = self.queries.groupBy("id").count().where("count > 1").select("id")
+        bounds = bounds.join(several, "id", "left_anti")
+        asked = self.queries.join(bounds, "id", "left").na.fill({"bound": float("-inf")})
+        self.replicas = asked.select("id", "v", "bound").mapInPandas(others, COPIES)
+
+    def solved(self, queries: DataFrame) -> DataFrame:
+        k = self.k
+
+        def solve(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+            query, vec, score = [], [], []
+            if len(q) and len(x):
+                ids, data_matrix = x.id.to_numpy(), matrix(x.v)
+                for start in range(0, len(q), 256):
+                    part = q.iloc[start : start + 256]
+                    for own, scores in zip(part.id.to_numpy(), products(matrix(part.v), data_matrix), strict=True):
+                        others = np.flatnonzero(ids != own)
+                        at = others[best(scores[others], ids[others], k)]
+                        query.append(np.full(len(at), own))
+                        vec.append(ids[at])
+                        score.append(scores[at])
+            joined = lambda parts: np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+            return pd.DataFrame({"query_id": joined(query), "vec_id": joined(vec), "score": joined(score)})
+
+        return queries.groupBy("cell", "block").cogroup(self.rows.groupBy("cell", "block")).applyInPandas(solve, "query_id long, vec_id long, score long")
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, pivots: int | None = None, block: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k rows of highest inner product of every query (all, if fewer), never the query's own row.
 
-    is_query: a condition on the column `id`. pivots: how many rows, chosen by a hash, become pivots (what is broadcast: pivots and cell
-    summaries). block: rows of a cell in one task, about. Out: query_id, rank from 1, vec_id, score. An empty table gives no rows.
+    is_query: a condition on the column `id`. pivots: how many rows, chosen by a hash, become pivots (the root of the number of rows, 64 at
+    least, if not given). block: rows of a cell in one task, about. Out: query_id, rank from 1, vec_id, score. An empty table gives no rows.
     """
-    v = F.transform("v", lambda x: F.floor(x * F.lit(float(scale))).cast("double"))
-    data = staged(usable(vectors, id_col, vector_col).select("id", v.alias("v"), is_query.alias("is_query")).where(F.forall("v", lambda x: F.abs(x) < 2.0**62)).dropDuplicates(["id", "v"]), "topk-data")
-    chosen = data.select("id", "v").orderBy(F.xxhash64("id", F.lit("pivot")), "id").limit(pivots).collect()
-    if not chosen:
-        return data.sparkSession.createDataFrame([], OUT)
-    centres = np.array([r.v for r in chosen])
-    norms = (centres**2).sum(axis=1)
-
-    def assign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            x = matrix(part.v)
-            cell = (norms[None, :] - 2 * (x @ centres.T)).argmin(axis=1) if len(x) else np.zeros(0, dtype=int)
-            yield part.assign(cell=cell.astype("i4"), far=np.sqrt(((x - centres[cell]) ** 2).sum(axis=1)) if len(x) else np.zeros(0))
-
-    placed = staged(data.mapInPandas(assign, "id long, v array<double>, is_query boolean, cell int, far double"), "topk-cells")
-    near = F.row_number().over(Window.partitionBy("cell", "part").orderBy("far"))
-    # The k + 1 nearest ids of each cell, found in 64 parts of it first; one more, as a query's own rows don't count.
-    few = placed.groupBy("cell", "id").agg(F.min("far").alias("far")).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(64))).withColumn("r", near).where(F.col("r") <= k + 1)
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).join(few.groupBy("cell").agg(F.slice(F.sort_array(F.collect_list(F.struct("far", "id"))), 1, k + 1).alias("near")), "cell").orderBy("cell").collect()
-    summary = pd.DataFrame([(r.cell, r.n, r.radius) for r in cells], columns=["cell", "n", "radius"])
-    blocks = (summary.n.to_numpy() + block - 1) // block
-    close = [(i, d.far, d.id) for i, r in enumerate(cells) for d in r.near]
-    close_cell, close_far, close_id = (np.array(x) for x in zip(*close, strict=True))
-    held = centres[summary.cell.to_numpy()]
-
-    def replicate(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            q = matrix(part.v)
-            if not len(q):
-                continue
-            inner, length = q @ held.T, np.sqrt((q**2).sum(axis=1))
-            slack = 1e-6 * (1 + np.abs(inner).max() + length.max() * summary.radius.max())  # rounding never drops a cell
-            lower = inner[:, close_cell] - length[:, None] * close_far[None, :]
-            lower[part.id.to_numpy()[:, None] == close_id[None, :]] = -np.inf  # the query's own rows
-            lower.sort(axis=1)
-            bound = lower[:, -k] if lower.shape[1] >= k else np.full(len(q), -np.inf)
-            row, cell = np.nonzero(inner + length[:, None] * summary.radius.to_numpy()[None, :] >= bound[:, None] - slack)
-            times = blocks[cell]
-            at = np.repeat(row, times)
-            nth = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-            yield pd.DataFrame({"id": part.id.to_numpy()[at], "v": part.v.to_numpy()[at], "cell": summary.cell.to_numpy()[np.repeat(cell, times)].astype("i4"), "block": nth.astype("i4")})
-
-    queries = placed.where("is_query").select("id", "v").mapInPandas(replicate, "id long, v array<double>, cell int, block int")
-    count = F.create_map(*[F.lit(int(x)) for c, b in zip(summary.cell, blocks, strict=True) for x in (c, b)])
-    rows = placed.select("id", "v", "cell", F.pmod(F.xxhash64("id"), F.element_at(count, F.col("cell"))).cast("int").alias("block"))
-
-    def solve(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(q) and len(x):
-            ids = x.id.to_numpy()
-            data_matrix = matrix(x.v)
-            for start in range(0, len(q), 256):
-                part = q.iloc[start : start + 256]
-                for own, scores in zip(part.id.to_numpy(), products(matrix(part.v), data_matrix), strict=True):
-                    others = np.flatnonzero(ids != own)
-                    at = others[best(scores[others], ids[others], k)]
-                    out.append(pd.DataFrame({"query_id": own, "vec_id": ids[at], "score": scores[at]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    found = queries.groupBy("cell", "block").cogroup(rows.groupBy("cell", "block")).applyInPandas(solve, "query_id long, vec_id long, score long")
+    join = VoronoiJoin(vectors, is_query, k, scale, pivots, block, id_col, vector_col)
+    if join.empty:
+        return vectors.sparkSession.createDataFrame([], OUT)
+    found = join.found_first.unionByName(join.solved(join.replicas))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def replication(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, pivots: int | None = None, block: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> float:
+    """The share of all (query, cell) pairs that search() solves."""
+    join = VoronoiJoin(vectors, is_query, k, scale, pivots, block, id_col, vector_col)
+    if join.empty:
+        return 0.0
+    queries = join.queries.count()
+    pairs = join.replicas.where("block = 0").count() + queries
+    return pairs / max(1, queries * len(join.cells.cell))
+
+
 #: DuckDB SQL for search() with the defaults and queries divisible by 50.
 SQL = """
 WITH v AS (

@@ -73,7 +73,7 @@ def tokenizer_json(tokens: list[bytes], pattern: str) -> str:
 class Codec:
     """Encodes and decodes in one Python worker. Words seen before come from a cache that is emptied when full."""
 
-    def __init__(self, spec: str, word_wise: bool, cache_size: int = 120_000):
+    def __init__(self, spec: str, word_wise: bool, cache_size: int = 60_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 

@@ -197,14 +197,14 @@ def short(fold: bytes) -> bytes:
 BITMAP_WORDS = 1 << 17
 
 
-def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs with the column `marked`: true for every id of `ids` (one column) and, by chance, a few others.
+def marked(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """docs with the column `marked`: true for every key of `ids` (one column) and, by chance, a few others.
 
     The bitmap is at most BITMAP_WORDS rows, so it is broadcast and no text moves.
     """
     bit = lambda c: F.pmod(F.xxhash64(c, F.lit("bit")), F.lit(64 * BITMAP_WORDS))
     bits = ids.select(bit(F.col(ids.columns[0])).alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
-    here = docs.withColumn("bit", bit(F.col("doc_id"))).withColumn("word", F.expr("bit div 64"))
+    here = docs.withColumn("bit", bit(F.col(key))).withColumn("word", F.expr("bit div 64"))
     found = here.join(F.broadcast(bits), "word", "left").withColumn("marked", F.coalesce(F.expr("shiftright(bits, cast(bit % 64 as int)) & 1L") == 1, F.lit(False)))
     return found.drop("bit", "word", "bits")
 
@@ -212,7 +212,7 @@ def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose sets reach the similarity, compared exactly; the texts of a pair travel to it."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    texts = _marked(docs.select("doc_id", "text"), needed).where("marked").drop("marked")
+    texts = marked(docs.select("doc_id", "text"), needed).where("marked").drop("marked")
     both = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +273,7 @@ def link_groups(docs: DataFrame, words: int = 4, percent: int = 85, block: int =
     equal = staged(some.select("doc_id", "print").join(copied, "print").where("doc_id <> rep"), "equal-sets")
     reps = staged(some.join(equal, ["doc_id", "print"], "left_anti").drop("print"), "set-reps")
     # Only documents that are copies of another are looked up among the representatives; the others are their own.
-    seen = _marked(docs.where("doc_id is not null").select("doc_id", "text"), equal.select("doc_id"))
+    seen = marked(docs.where("doc_id is not null").select("doc_id", "text"), equal.select("doc_id"))
     own = seen.where("not marked").select("doc_id", "text")
     texts = own.unionByName(seen.where("marked").join(reps.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text"))
     own_texts = docs.where("doc_id is not null").select("doc_id", "text")

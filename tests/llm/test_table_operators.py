@@ -96,6 +96,38 @@ def test_curve_search_edges(spark):
     assert [tuple(r) for r in curve_search.search(df, F.lit(True)).orderBy("query_id").collect()] == [(2, 1, 3, 1.0), (3, 1, 2, 1.0)]
 
 
+def test_curve_search_ties_go_to_the_smaller_id(spark):
+    rows = [(0, [0.2] * 40, "")] + [(i + 1, [float(i == j) for j in range(40)], "") for i in range(40)]
+    got = curve_search.search(spark.createDataFrame(rows, V), F.col("id") == 0, block=8).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == list(range(1, 11)) and len({r.score for r in got}) == 1
+
+
+def test_curve_search_recall_on_the_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [r for r in df.select("vec_id", "embedding").collect() if r.embedding and all(x is not None and np.isfinite(x) for x in r.embedding) and any(r.embedding)]
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], dtype=np.float64)
+    got = {}
+    for r in curve_search.search(df, F.col("id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for q in np.flatnonzero(ids % 100 == 0):
+        far = np.where(ids == ids[q], np.inf, ((x - x[q]) ** 2).sum(axis=1))
+        hits, total = hits + len(got[ids[q]] & set(ids[np.lexsort((ids, far))[:10]].tolist())), total + 10
+    assert hits / total >= 0.9
+
+
+def test_voronoi_bounds_prune_clustered_vectors(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 16)) * 5
+    x = (centres[np.arange(2000) % 40] + rng.normal(size=(2000, 16)) * 0.05).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), "") for i, v in enumerate(x)], V)
+    assert exact_topk.replication(df, F.col("id") % 50 == 0, pivots=64) < 0.3
+    whole = np.floor(x.astype(np.float64) * 256)
+    for r in exact_topk.search(df, F.col("id") % 50 == 0, pivots=64).where("rank = 5").collect():
+        scores = np.delete(whole @ whole[r.query_id], r.query_id)
+        assert r.score == int(np.sort(scores)[-5])
+
+
 def brute_groups(rows, words=4, percent=85):
     sets = {}
     for i, t in rows:

@@ -1,8 +1,11 @@
 """HTML text, tokens, languages, toxicity and pseudo-likelihood: edge cases, and brute force or held-out accuracy."""
 
 import hashlib
+import math
 import random
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -115,6 +118,70 @@ def test_left_out_elements_with_omitted_end_tags(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>a</p><a title=it's>b</a></article>", "a\nb"),
+        ('<p>a<p class="x>Hello', "a"),  # a quote that doesn't end takes the rest
+        ("a < b <3 <p>c</p", "a < b <3\nc"),
+        ("<p>a<!-- x --!>b<!-->c</>d</3>e<?php x ?>f", "abcdef"),
+        ("<p>x<a href=>y</a> <b =x>z</b>", "xy z"),
+        ('<p data-id="ad" title="class=ad">x</p>', "x"),
+        ("<script>a</scriptx></script >t", "t"),
+        ('<article><p class="search-engine">a<p class="related-work">b<p class="ad-slot-2">c<p class=siteFooter>d</article>', "a\nb"),
+        ("<article><header><h1>T</h1><p>lead</header><p>b</article>", "T\nlead\nb"),
+    ],
+)
+def test_tags_as_html_reads_them(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<a b='" * 180_000, "<!-- " * 250_000, "<script>" + "</script " * 120_000, "<" * 1_000_000, "<a" + " b" * 500_000])
+def test_a_page_of_a_megabyte_takes_seconds(page):
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 2
+
+
+def plain_density(node, body_share):
+    """(characters, link characters, tags, link tags, density) by recursion over what the node holds."""
+    c = lc = t = lt = 0
+    for x in node.children:
+        if isinstance(x, str):
+            c += len(" ".join(x.split()))
+        else:
+            a, b, d, e = plain_density(x, body_share)[:4]
+            c, lc, t, lt = c + a, lc + b, t + d + 1, lt + e + (x.name == "a")
+    if node.name == "a":
+        lc = c
+    if not c:
+        return c, lc, t, lt, 0.0
+    tags, links = max(1, t), max(1, lt)
+    base = math.log(c / max(1, c - lc) * lc + body_share * c + math.e)
+    return c, lc, t, lt, c / tags * max(0.0, math.log(max(1e-9, c / max(1, lc) * tags / links)) / base)
+
+
+def test_densities_and_the_chosen_subtree_of_pages_without_article():
+    rng = random.Random(9)
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randrange(2, 7)):
+            words = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(n))
+            parts.append(f"<div>{''.join(rng.choice([f'<p>{words(rng.randrange(1, 60))}</p>', f'<a href=x>{words(2)}</a>', f'<div><p>{words(9)}</p></div>']) for _ in range(rng.randrange(1, 6)))}</div>")
+        root = html_text.parse("".join(parts))
+        nodes = html_text.in_order(root)
+        html_text.measure(nodes)
+        c, lc = plain_density(root, 0.0)[:2]
+        share = lc / max(1, c)
+        for node in nodes:
+            assert node.density == pytest.approx(plain_density(node, share)[4])
+        sums = [sum(plain_density(x, share)[4] for x in node.children if not isinstance(x, str)) for node in nodes]
+        again = html_text.parse("".join(parts))
+        best = html_text.in_order(again)[max(range(len(nodes)), key=lambda k: (sums[k], -k))]
+        chosen = html_text.content(again)
+        assert best in chosen or any(best in html_text.in_order(x) for x in chosen)
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>é  b</p>", 0), (1, "u", "<p>é  b</p>", 0), (None, None, None, 0)], "page_id long, url string, html string, text int")
     assert sorted(map(tuple, html_text.extract(df).collect()), key=str) == sorted([(1, "u", "é b", 3), (1, "u", "é b", 3), (None, None, "", 0)], key=str)
@@ -252,6 +319,24 @@ def test_shuffled_and_invented_words_score_below_text(spark):
     assert all(0.95 < p <= 1 for p in shares.values())
 
 
+def test_held_out_perplexity_beats_a_unigram_model(spark):
+    rng = random.Random(8)
+    subjects, verbs, things = (["".join(rng.choice("abcdefghijklmnopr") for _ in range(5)) + e for _ in range(20)] for e in ("ant", "ide", "ory"))
+    text = lambda: " ".join(f"the {rng.choice(subjects)} will {rng.choice(verbs)} a {rng.choice(things)} ." for _ in range(20))
+    seen, held_out = [text() for _ in range(150)], [text() for _ in range(20)]
+    words, weights = masked_lm.learn(documents(spark, seen), frequent=5, buckets=8)
+    counts = Counter(w for t in seen for w in t.split())
+    unigram = np.mean([np.log(counts[w] / sum(counts.values())) for t in held_out for w in t.split()])
+    r = masked_lm.score(documents(spark, held_out), words, weights, 5, 8).agg((F.sum("log_prob") / F.sum("n_tokens")).alias("x")).first()
+    assert np.exp(-r.x) < 0.7 * np.exp(-unigram)
+
+
+def test_a_model_depends_on_the_documents_alone(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    models = [masked_lm.learn(docs.repartition(n), shard_tokens=1 << 14) for n in (1, 6)]
+    assert models[0][0] == models[1][0] and np.allclose(models[0][1], models[1][1], atol=1e-5)
+
+
 def test_training_raises_the_likelihood(spark):
     docs = spark.createDataFrame([(i, "the cat sat on the mat . " * 40) for i in range(40)], "doc_id long, text string")
     mean = lambda model: masked_lm.score(docs, *model).agg(F.avg("per_token")).first()[0]

@@ -39,12 +39,18 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     text_key = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
     keyed = docs.withColumn("key", F.coalesce(F.col("doc_id"), text_key))
     groups = near_duplicates.link_groups(keyed.withColumn("doc_id", F.col("key")))
-    kept = staged(groups.where("component_id = doc_id or component_id is null").groupBy(F.col("doc_id").alias("key")).agg(F.count("*").alias("n"), F.max("component_id").isNull().alias("alone")), "kept-keys")
-    once = keyed.join(kept.where("n = 1"), "key", "left_semi").select(COLUMNS)
+    found = staged(groups.select(F.col("doc_id").alias("key"), F.col("component_id").alias("component")), "groups")
+    kept = found.where("component = key or component is null").groupBy("key").agg(F.count("*").alias("n"), F.max("component").isNull().alias("alone"))
+    # Most keys stand once and are kept: their texts stay where they are. Those of other keys, and a few by chance, are joined.
+    others = found.where("component <> key").select("key").unionByName(kept.where("n > 1").select("key"))
+    seen = near_duplicates.marked(keyed, others, "key")
+    sure = seen.where("not marked").select(COLUMNS)
+    rest = seen.where("marked").drop("marked")
+    once = rest.join(kept.where("n = 1"), "key", "left_semi").select(COLUMNS)
     # Copies shrink to one in the tasks that read them.
-    again = keyed.join(kept.where("n > 1"), "key").withColumn("hash", F.xxhash64("text"))
+    again = rest.join(kept.where("n > 1"), "key").withColumn("hash", F.xxhash64("text"))
     best = again.groupBy("key", F.when(F.col("alone"), F.col("hash")).alias("own")).agg(F.min_by(F.struct(*COLUMNS), F.struct("hash", *COLUMNS)).alias("row"))
-    return once.unionByName(best.select("row.*"))
+    return sure.unionByName(once).unionByName(best.select("row.*"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

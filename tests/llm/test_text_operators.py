@@ -319,6 +319,17 @@ def test_shuffled_and_invented_words_score_below_text(spark):
     assert all(0.95 < p <= 1 for p in shares.values())
 
 
+def test_terms_of_many_words_equal_those_of_each():
+    random = np.random.default_rng(5)
+    words = masked_lm.Words(["the"], {"known": -2.5}, random.normal(size=40), random.normal(size=(256, 256)))
+    given = ["the", "known", "x", "é\0ñ", "\ud800", "w" * 3000, *(f"made{k}" for k in range(50))]
+    classes = [1, *(2 + k % 38 for k in range(len(given) - 1))]
+    expected = [words.term(w, c) for w, c in zip(given, classes, strict=True)]
+    for at_once in (1, 7, 1000):
+        assert np.allclose(words.each_term(given, classes, at_once), expected, rtol=1e-12)
+    assert words.each_term([], []) == []
+
+
 def test_held_out_perplexity_beats_a_unigram_model(spark):
     rng = random.Random(8)
     subjects, verbs, things = (["".join(rng.choice("abcdefghijklmnopr") for _ in range(5)) + e for _ in range(20)] for e in ("ant", "ide", "ory"))

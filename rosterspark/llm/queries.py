@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, curve_search, exact_topk, html_text, language_id, masked_lm, mixing, near_duplicates, token_counts, toxicity
+from . import bpe, curve_search, exact_topk, html_text, language_id, masked_lm, merkle, mixing, near_duplicates, token_counts, toxicity
 from .common import in_training, table
 
 
@@ -58,6 +58,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, *toxicity.learn(docs, table(spark, sf_dir, "labels"))).select("doc_id", (~in_training()).alias("held_out"), "score", "predicted")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_curve_search": op2_curve_search,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_topk": op8_exact_topk,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard": near_duplicates.SQL, "op8_exact_topk": exact_topk.SQL, "op9_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard": near_duplicates.SQL, "op8_exact_topk": exact_topk.SQL, "op9_mixing": mixing.SQL, "op11_merkle_manifest": merkle.SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, curve_search, exact_topk, html_text, language_id, masked_lm, merkle, mixing, near_duplicates, token_counts, toxicity
+from . import bpe, curve_search, exact_topk, html_text, language_id, masked_lm, merkle, mixing, near_duplicates, quality, reversed_search, token_counts, toxicity
 from .common import in_training, table
 
 
@@ -62,6 +62,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.rate(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_curve_search": op2_curve_search,
@@ -74,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_lexical_search": op13_lexical_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard": near_duplicates.SQL, "op8_exact_topk": exact_topk.SQL, "op9_mixing": mixing.SQL, "op11_merkle_manifest": merkle.SQL}
+ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard": near_duplicates.SQL, "op8_exact_topk": exact_topk.SQL, "op9_mixing": mixing.SQL, "op11_merkle_manifest": merkle.SQL, "op13_lexical_search": reversed_search.SQL}

@@ -273,7 +273,7 @@ def anchored(line: Column, anchor: str = r"\d{1,2}:\d{2}\s*-\s*\d{1,2}:\d{2}(?:\
 
 def authors_of(authorships: Column) -> Column:
     """array<struct<name,id,affiliations>> of nested records, affiliations each once."""
-    return F.transform(authorships, lambda a: F.struct(a["author"]["display_name"].alias("name"), last_segment(a["author"]["id"]).alias("id"), F.array_distinct(F.transform(a["institutions"], lambda i: i["display_name"])).alias("affiliations")))
+    return F.transform(authorships, lambda a: F.struct(a["author"]["display_name"].alias("name"), last_segment(a["author"]["id"]).alias("id"), F.array_distinct(F.filter(F.transform(a["institutions"], lambda i: i["display_name"]), lambda n: F.coalesce(n, F.lit("")) != "")).alias("affiliations")))
 
 
 def findings_parent(venue: Column) -> Column:

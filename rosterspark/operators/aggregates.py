@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
+
 
 def dedup_best(df: DataFrame, key: Column, order: Sequence[Column], merge: str | None = None) -> DataFrame:
     """One row for each key, the first by `order`; `merge`: an array column whose items are united over the group, sorted."""
@@ -99,10 +101,10 @@ def prune_singletons(df: DataFrame, group: str, code: str, year: str, cutoff: Co
     return df.join(kept, [group, code], "left_semi").join(bases, (F.col(group) == F.col("base_group")) & (F.col(code) == F.col("base")), "left_anti")
 
 
-def least_by_key(df: DataFrame, keys: Sequence[str], value: str, position: str, ignored: Sequence[str] = ("", "-")) -> DataFrame:
-    """Of each key the least value that counts (a journal's best quartile) and the first position that has it."""
-    best = df.where(~F.coalesce(F.col(value), F.lit("")).isin(list(ignored))).groupBy(*keys).agg(F.min(F.struct(value, position)).alias("best"))
-    return best.select(*keys, f"best.{value}", f"best.{position}")
+def best_by_key(df: DataFrame, keys: Sequence[str], value: str, position: str, order: Sequence[str] = K.QUARTILE_ORDER) -> DataFrame:
+    """The row of each key whose value comes first in `order` (a journal's best quartile), the first by position on ties; values that aren't listed come last."""
+    place = F.array_position(F.array(*[F.lit(x) for x in order]), F.coalesce(F.col(value), F.lit("")))
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in df.columns if c not in keys]), F.struct(F.when(place > 0, place).otherwise(len(order) + 1), position)).alias("row")).select(*keys, "row.*")
 
 
 def url_mode(df: DataFrame, group: str, code: str, url: str) -> DataFrame:

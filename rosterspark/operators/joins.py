@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import staged
+
 #: A table that is broadcast holds at most so many rows; beyond that Spark joins by shuffles.
 BROADCAST_ROWS = 50_000
 
@@ -111,25 +113,57 @@ def cascade(df: DataFrame, key: str, matchers: Sequence[Callable[[DataFrame], Da
     return reduce(DataFrame.unionByName, found)
 
 
+def _sets(df: DataFrame, key: str, least: int) -> DataFrame:
+    """Each different token set once: sig, tokens, n and the least key that has it."""
+    sets = df.select(key, F.array_sort(F.array_distinct("tokens")).alias("tokens")).where(F.size("tokens") >= least)
+    return sets.withColumn("sig", F.md5(F.array_join("tokens", "\x00"))).groupBy("sig").agg(F.any_value("tokens").alias("tokens"), F.min(key).alias(key)).withColumn("n", F.size("tokens"))
+
+
+def similar_candidates(queries: DataFrame, titles: DataFrame, recall: tuple[int, int], jaccard: tuple[int, int]) -> DataFrame:
+    """Pairs of token sets (q_sig, t_sig; sets as `_sets` gives them) that may reach recall and Jaccard; none that do are missing.
+
+    Tokens are ordered from rare to frequent. Two sets that share enough share one of the first tokens of both (as many as each may miss, and one more), so only
+    those are joined, among sets of fitting sizes. The shared ones are counted where they meet, and what follows them bounds the rest; no set moves yet.
+    """
+    titles = titles.select(F.col("sig").alias("t_sig"), "tokens", F.col("n").alias("nt"))
+    listed = titles.select("t_sig", "nt", F.explode("tokens").alias("token"))
+    order = F.struct(F.col("df"), F.col("token"))
+    frequency = small(listed.groupBy("token").agg(F.count("*").alias("df")), 500_000)
+    up = lambda x, part: F.ceil(x * part[0] / part[1]).cast("int")
+    # At least so many tokens of a set are shared: recall for titles; a Jaccard of x needs x of the larger set, so also of either.
+    title_needs = F.greatest(up(F.col("nt"), recall), up(F.col("nt"), jaccard))
+    query_needs = up(F.col("nq"), jaccard)
+    prefix = lambda ordered, missing, n, need: F.posexplode(F.slice(ordered, 1, F.greatest(n - need + 1 - missing, F.lit(0)))).alias("at", "token")
+    sort = F.transform(F.array_sort(F.collect_list(order)), lambda s: s["token"])
+    t = listed.join(frequency, "token").groupBy("t_sig", "nt").agg(sort.alias("ordered")).select("t_sig", "nt", prefix(F.col("ordered"), F.lit(0), F.col("nt"), title_needs))
+    # Tokens that no title has are the rarest of all: they take up places but can't be shared.
+    q = queries.select(F.col("sig").alias("q_sig"), F.col("n").alias("nq"), F.explode("tokens").alias("token")).join(frequency, "token").groupBy("q_sig", "nq").agg(sort.alias("ordered"))
+    q = q.withColumn("missing", F.col("nq") - F.size("ordered")).where(F.size("ordered") >= query_needs)
+    q = q.select("q_sig", "nq", "missing", prefix(F.col("ordered"), F.col("missing"), F.col("nq"), query_needs)).withColumn("at", F.col("at") + F.col("missing")).drop("missing")
+    fit = (F.col("nq") * jaccard[0] <= F.col("nt") * jaccard[1]) & (F.col("nt") * jaccard[0] <= F.col("nq") * jaccard[1])
+    met = q.withColumnRenamed("at", "q_at").join(t.withColumnRenamed("at", "t_at"), "token").where(fit)
+    counted = met.groupBy("q_sig", "t_sig", "nq", "nt").agg(F.count("*").alias("shared"), F.max("q_at").alias("q_at"), F.max("t_at").alias("t_at"))
+    most = F.col("shared") + F.least(F.col("nq") - F.col("q_at"), F.col("nt") - F.col("t_at")) - 1
+    both = (F.col("nq") + F.col("nt")) * jaccard[0]
+    return counted.where((most * (jaccard[0] + jaccard[1]) >= both) & (most * recall[1] >= F.col("nt") * recall[0])).select("q_sig", "t_sig")
+
+
 def token_similarity(queries: DataFrame, titles: DataFrame, recall: tuple[int, int] = (4, 5), jaccard: tuple[int, int] = (13, 20), least: int = 2) -> DataFrame:
     """The title nearest to each query by their token sets, if it reaches recall (share of the title's tokens) and Jaccard.
 
-    queries: qid, tokens. titles: tid, tokens; ties go to the smaller tid. Exact: a title that reaches the recall shares one of its
-    rarest tokens, as many as the recall lets it miss and one more (prefix filter); only those are joined, then sets are compared in whole numbers.
+    queries: qid, tokens. titles: tid, tokens; ties go to the smaller tid. Equal sets are compared once; candidates come from the rare tokens of both
+    sides (see `similar_candidates`) and are then compared in whole numbers.
     """
-    q = queries.where(F.size("tokens") >= least)
-    t = titles.where(F.size("tokens") >= least).withColumn("n", F.size("tokens"))
-    spread = t.select("tid", F.explode("tokens").alias("token"))
-    frequency = spread.groupBy("token").agg(F.count("*").alias("df"))
-    ranked = spread.join(frequency, "token").groupBy("tid").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "token"))), lambda s: s["token"]).alias("rare"))
-    need = F.ceil(F.col("n") * recall[0] / recall[1])
-    prefix = t.join(ranked, "tid").select("tid", F.explode(F.slice("rare", 1, (F.col("n") - need + 1).cast("int"))).alias("token"))
-    pairs = q.select("qid", F.explode("tokens").alias("token")).join(prefix, "token").select("qid", "tid").distinct()
-    both = pairs.join(q.select("qid", F.col("tokens").alias("a")), "qid").join(t.select("tid", F.col("tokens").alias("b")), "tid")
+    sized = queries.select("qid", F.array_sort(F.array_distinct("tokens")).alias("tokens")).where(F.size("tokens") >= least)
+    owners = sized.select("qid", F.md5(F.array_join("tokens", "\x00")).alias("q_sig"))
+    q, t = _sets(queries, "qid", least), _sets(titles, "tid", least)
+    pairs = similar_candidates(q, t, recall, jaccard)
+    both = pairs.join(t.select(F.col("sig").alias("t_sig"), "tid", F.col("tokens").alias("b")), "t_sig").join(q.select(F.col("sig").alias("q_sig"), F.col("tokens").alias("a")), "q_sig")
     shared = both.withColumn("inter", F.size(F.array_intersect("a", "b"))).withColumn("union", F.size("a") + F.size("b") - F.col("inter")).withColumn("n", F.size("b"))
     fits = (F.col("inter") * recall[1] >= F.col("n") * recall[0]) & (F.col("inter") * jaccard[1] >= F.col("union") * jaccard[0])
-    scored = shared.where(fits).select("qid", "tid", (F.col("inter") / F.col("n")).alias("recall"), (F.col("inter") / F.col("union")).alias("jaccard"))
-    return scored.groupBy("qid").agg(F.max(F.struct("recall", "jaccard", (-F.col("tid")).alias("order"))).alias("best")).select("qid", (-F.col("best.order")).alias("tid"), F.col("best.recall").alias("recall"), F.col("best.jaccard").alias("jaccard"))
+    scored = shared.where(fits).select("q_sig", "tid", (F.col("inter") / F.col("n")).alias("recall"), (F.col("inter") / F.col("union")).alias("jaccard"))
+    best = scored.groupBy("q_sig").agg(F.max(F.struct("recall", "jaccard", (-F.col("tid")).alias("order"))).alias("best"))
+    return owners.join(best, "q_sig").select("qid", (-F.col("best.order")).alias("tid"), F.col("best.recall").alias("recall"), F.col("best.jaccard").alias("jaccard"))
 
 
 def _in_order(needle: Column, hay: Column) -> Column:
@@ -158,8 +192,15 @@ def map_items(items: Column, table: Column) -> Column:
     return F.array_distinct(F.flatten(F.filter(F.transform(items, lambda i: F.element_at(table, i)), lambda x: x.isNotNull())))
 
 
-def _holds(lines: Column, part: Column, block: int) -> Column:
-    return F.exists(F.sequence(F.lit(1), F.greatest(F.size(lines) - block + 1, F.lit(1))), lambda i: F.slice(lines, i, F.lit(block)) == part)
+def _blocks(lines: Column, block: int) -> Column:
+    """The hashes of all runs of `block` lines, by their place."""
+    return F.transform(F.sequence(F.lit(1), F.size(lines) - block + 1), lambda i: F.xxhash64(F.slice(lines, i, F.lit(block))))
+
+
+def _holds(lines: Column, blocks: Column, part: Column, block: int) -> Column:
+    """Whether the lines hold the part, looked up by its hash and then compared."""
+    at = F.array_position(blocks, F.xxhash64(part)).cast("int")
+    return (at > 0) & (F.slice(lines, F.greatest(at, F.lit(1)), F.lit(block)) == part)
 
 
 def _place(line: Column, lines: Column, start: int) -> Column:
@@ -176,9 +217,9 @@ def _run(x: Column, i: Column, y: Column, j: Column) -> Column:
 
 
 def _edge(df: DataFrame, x: str, y: str, name: str, start: int, block: int) -> DataFrame:
-    """name (whether the lists share an edge that begins after `start` lines), name_x and name_y (where it begins), name_n (its lines). A column at a time, so that none is computed twice."""
+    """name (whether the lists share an edge that begins after `start` lines), name_x and name_y (where it begins), name_n (its lines). x and y have their blocks beside them (x_blocks)."""
     a, b = F.col(x), F.col(y)
-    df = df.withColumns({"xy__": _holds(b, F.slice(a, start + 1, block), block), "yx__": _holds(a, F.slice(b, start + 1, block), block)})
+    df = df.withColumns({"xy__": _holds(b, F.col(f"{y}_blocks"), F.slice(a, start + 1, block), block), "yx__": _holds(a, F.col(f"{x}_blocks"), F.slice(b, start + 1, block), block)})
     df = df.withColumns({f"{name}_x": F.when(~F.col("xy__") & F.col("yx__"), _place(F.get(b, F.lit(start)), a, start)).otherwise(F.lit(start)), f"{name}_y": F.when(F.col("xy__"), _place(F.get(a, F.lit(start)), b, start)).otherwise(F.lit(start)), name: F.col("xy__") | F.col("yx__")})
     return df.withColumn(f"{name}_n", F.when(F.col(name), _run(a, F.col(f"{name}_x"), b, F.col(f"{name}_y"))).otherwise(F.lit(0))).drop("xy__", "yx__")
 
@@ -186,23 +227,25 @@ def _edge(df: DataFrame, x: str, y: str, name: str, start: int, block: int) -> D
 def trim_shared_edges(pages: DataFrame, group: str, page: str, lines: str, block: int = 5) -> DataFrame:
     """Cuts the header and footer that each page shares with its group's first page, wherever they begin.
 
-    A header is known by the `block` lines after the first line of one page, which may stand anywhere in the other; it goes on while lines are equal. A
-    footer is known by the last `block` lines in the same way, backwards. The first line goes with a header or footer. The first page itself is cut by
-    comparison with the group's last one. lines: array<string>. Pages that share nothing, are shorter than two blocks or alone in their group
-    stay as they are.
+    A header is known by the `block` lines after the first line of one page, which may stand anywhere in the other (hashes of all such runs are made once a
+    page); it goes on while lines are equal. A footer is known by the last `block` lines in the same way, backwards. The first line goes with a header or
+    footer. The first page itself is cut by its comparison with the first of the others, by `page`, that shares an edge with it. lines: array<string>; page: a key.
+    Pages that share nothing, are shorter than two blocks or alone in their group stay as they are.
     """
-    ends = pages.groupBy(group).agg(F.min(page).alias("first__"), F.min_by(F.col(lines), page).alias("ref__"), F.max_by(F.col(lines), page).alias("last__"))
-    own = F.col(lines)
-    pairs = pages.join(ends, group).withColumn("mine__", F.col(page) == F.col("first__"))
-    pairs = pairs.withColumns({"a__": F.when(F.col("mine__"), own).otherwise(F.col("ref__")), "b__": F.when(F.col("mine__"), F.col("last__")).otherwise(own)}).drop("ref__", "last__")
-    pairs = _edge(pairs, "a__", "b__", "head__", 1, block).withColumns({"ra__": F.reverse("a__"), "rb__": F.reverse("b__")})
-    pairs = _edge(pairs, "ra__", "rb__", "foot__", 0, block).drop("ra__", "rb__")
-    size = F.size(own)
+    long = pages.where(F.size(lines) >= 2 * block)
+    first = pages.groupBy(F.col(group).alias("group__")).agg(F.min(page).alias("first__"))
+    with_blocks = lambda df, name: df.withColumn(f"{name}r__", F.reverse(f"{name}__")).withColumns({f"{name}___blocks": _blocks(F.col(f"{name}__"), block), f"{name}r___blocks": _blocks(F.col(f"{name}r__"), block)})
+    ref = long.join(first, (F.col(page) == F.col("first__")) & F.col(group).eqNullSafe(F.col("group__"))).select("group__", "first__", F.col(lines).alias("a__"))
+    pairs = with_blocks(long.withColumn("b__", F.col(lines)), "b").join(with_blocks(ref, "a"), F.col(group).eqNullSafe(F.col("group__"))).where(F.col(page) != F.col("first__"))
+    pairs = _edge(_edge(pairs, "a__", "b__", "head__", 1, block), "ar__", "br__", "foot__", 0, block)
     whole = (F.col("head___x") + F.col("head___n") >= F.size("a__")) | (F.col("head___y") + F.col("head___n") >= F.size("b__"))
-    usable = (F.size("a__") >= 2 * block) & (F.size("b__") >= 2 * block) & (F.col("head__") | F.col("foot__")) & ~whole
-    start = F.when(F.col("mine__"), F.col("head___x")).otherwise(F.col("head___y")) + F.col("head___n")
-    end = F.when(F.col("foot__"), F.when(F.col("mine__"), F.col("foot___x")).otherwise(F.col("foot___y")) + F.col("foot___n")).otherwise(F.lit(0))
-    return pairs.withColumn(lines, F.when(usable, F.slice(own, start + 1, F.greatest(size - end - start, F.lit(0)))).otherwise(own)).select(*pages.columns)
+    cut = lambda c, side: F.struct((F.col(f"head___{side}") + F.col("head___n")).alias("start"), F.when(F.col("foot__"), F.col(f"foot___{side}") + F.col("foot___n")).otherwise(F.lit(0)).alias("end"))
+    cuts = staged(pairs.where((F.col("head__") | F.col("foot__")) & ~whole).select("group__", "first__", F.col(page).alias("page__"), cut("a__", "x").alias("ref"), cut("b__", "y").alias("own")), "page-edges")
+    firsts = cuts.groupBy("group__", "first__").agg(F.min_by("ref", "page__").alias("cut__")).withColumnRenamed("first__", "page__")
+    found = cuts.select("group__", "page__", F.col("own").alias("cut__")).unionByName(firsts)
+    joined = pages.join(found, F.col(group).eqNullSafe(F.col("group__")) & (F.col(page) == F.col("page__")), "left")
+    kept = F.slice(lines, F.col("cut__.start") + 1, F.greatest(F.size(lines) - F.col("cut__.end") - F.col("cut__.start"), F.lit(0)))
+    return joined.withColumn(lines, F.when(F.col("cut__").isNull(), F.col(lines)).otherwise(kept)).select(*pages.columns)
 
 
 def in_range(points: DataFrame, bounds: DataFrame, x: str, low: str, high: str) -> DataFrame:
@@ -211,15 +254,19 @@ def in_range(points: DataFrame, bounds: DataFrame, x: str, low: str, high: str)
 
 
 def coauthor_classes(authors: DataFrame, own: str, peers: DataFrame, roster: DataFrame) -> DataFrame:
-    """faculty, student, other or external for each author (paper, author, inst, last) of an institution's papers (column `own`).
-
-    roster: inst, last. peers: inst. """
-    known = roster.select(F.col("inst").alias("r_inst"), F.col("last").alias("r_last"), F.lit(True).alias("known")).distinct()
-    peer = peers.select(F.col("inst").alias("p_inst"), F.lit(True).alias("peer")).distinct()
-    joined = authors.join(known, (F.col("inst") == F.col("r_inst")) & (F.col("last") == F.col("r_last")), "left").join(peer, F.col("inst") == F.col("p_inst"), "left")
-    same = F.col("inst") == F.col(own)
-    kind = F.when(same & F.col("known"), "faculty").when(same, "student").when(F.col("peer"), "other").otherwise("external")
-    return joined.withColumn("kind", kind).drop("r_inst", "r_last", "known", "p_inst", "peer")
+    """authors with kind: one of faculty, student, other or external for each author, whatever the number of their institutions.
+
+    authors: a different row for each author of a paper, with `own` (the institution whose papers these are), insts array, names array<string> (what those are
+    called) and last. An author of the own institution is faculty if the roster (inst, last) has the surname there, else a student; others belong to a
+    peer (name) if one of their institutions does, else they are external, as those without any institution are.
+    """
+    known = roster.select(F.col("inst").alias(own), "last", F.lit(True).alias("known__")).distinct()
+    peer = small(peers.select(F.col("name").alias("peer__")).distinct())
+    spread = authors.select("*", F.explode_outer("names").alias("name__"))
+    seen = spread.join(peer, F.trim("name__") == F.col("peer__"), "left").groupBy(*authors.columns).agg(F.count("peer__").alias("peers__"))
+    same = F.coalesce(F.array_contains("insts", F.col(own)), F.lit(False))
+    kind = F.when(same & F.col("known__"), "faculty").when(same, "student").when(F.col("peers__") > 0, "other").otherwise("external")
+    return seen.join(known, [own, "last"], "left").select(*authors.columns, kind.alias("kind"))
 
 
 def labelled(df: DataFrame, codes: DataFrame, code: str, label: str) -> DataFrame:

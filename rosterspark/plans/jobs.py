@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -17,82 +17,137 @@ from ..operators import ordered as O
 from ..operators import reshape as R
 from ..operators import tables as S
 from ..sources.web import visible_text
+from . import search as Q
 
 
-def clean_pages(pages: DataFrame, keywords: Sequence[str] = ("research", "interests", "publications")) -> DataFrame:
+def clean_pages(pages: DataFrame, keywords: Sequence[str] = K.PAGE_KEYWORDS, ending: str = ".edu") -> DataFrame:
     """Text of people's pages (college, name, url, html) without what the pages of a site share and without noise lines.
 
-    Out: college, name, url, text (null where nothing is left).
+    Headers and footers are cut on the college's own hosts (by their ending), among the pages of its largest folder, or folders of equal size, if that holds two pages or
+    more; all other pages keep theirs. Then lines stay that follow a mention of the person's first or last name or of a key word; pages without any keep all.
+    Lines that repeat on many pages of the college go last. Out: college, name, url, text (null where nothing is left). A url is one page.
     """
-    text = pages.select("college", "name", "url", X.page_group(F.col("url")).alias("site"), visible_text(F.col("html")).alias("text")).where("text is not null")
-    trimmed = J.trim_shared_edges(text.withColumn("lines", F.split("text", "\n")), "site", "url", "lines")
-    lines = trimmed.select("college", "name", "url", F.posexplode("lines").alias("pos", "line"))
-    parts = F.filter(T.tokens(F.lower("name")), lambda t: F.length(t) >= 2)  # blank parts of a name match nothing
-    hit = F.lower("line").rlike("|".join(keywords)) | F.exists(parts, lambda p: F.contains(F.lower("line"), p))
-    near = O.near_hits(lines.where(F.length("line") > 0), "url", "pos", hit).where(~P.is_noise_line(F.col("line")) & ~P.has_multiple_fields(F.col("line")))
-    own = A.drop_frequent_lines(near, "college", "url", "line")
-    joined = own.groupBy("url").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda s: s["line"]), "\n").alias("text"))
+    text = pages.select("college", "name", "url", X.page_group(F.col("url")).alias("site"), visible_text(F.col("html")).alias("text")).where("text is not null").withColumn("lines", F.split("text", "\n")).drop("text")
+    text = S.staged(text, "page-lines")
+    own = text.where(P.is_campus_page(F.col("url"), ending) & (X.path(F.col("url")).rlike("[^/]")))
+    largest = A.largest_groups(own, "college", "site").select("college", "site")
+    inside = own.join(largest, ["college", "site"], "left_semi")
+    trimmed = J.trim_shared_edges(inside.withColumn("folder", F.struct("college", "site")), "folder", "url", "lines").drop("folder").unionByName(text.join(inside.select("college", "url").distinct(), ["college", "url"], "left_anti"))
+    lines = trimmed.select("college", "name", "url", F.posexplode("lines").alias("pos", "line")).where(F.length("line") > 0)
+    words = T.tokens(F.lower("name"))
+    parts = F.filter(F.array(F.try_element_at(words, F.lit(1)), F.try_element_at(words, F.lit(-1))), lambda t: F.length(t) >= 2)  # blank parts of a name match nothing
+    hit = F.lower("line").rlike("|".join(keywords)) | F.coalesce(F.exists(parts, lambda p: F.contains(F.lower("line"), p)), F.lit(False))
+    near = O.near_hits(lines, "url", "pos", hit).where(~P.is_noise_line(F.col("line")) & ~P.has_multiple_fields(F.col("line")))
+    rare = A.drop_frequent_lines(near, "college", "url", "line")
+    joined = rare.groupBy("url").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda s: s["line"]), "\n").alias("text"))
     return pages.select("college", "name", "url").join(joined, "url", "left").select("college", "name", "url", "text")
 
 
+#: What works may lack, with their types.
+WORK_FIELDS = {
+    "doi": "string", "cited_by_count": "int", "primary_location": "struct<landing_page_url:string,raw_source_name:string,source:struct<id:string,display_name:string,type:string>>",
+    "topics": "array<struct<display_name:string,subfield:struct<display_name:string>>>",
+}
+
+
 def link_publications(works: DataFrame, roster: DataFrame, peers: DataFrame) -> DataFrame:
-    """Works (id, title, type, publication_year, authorships...) with the people of a roster (name, college, inst, pos) who wrote them.
+    """Works (id, title, type, publication_year, authorships and WORK_FIELDS) with the people of a roster (name, college, inst, pos) who wrote them.
 
-    A person matches by institution, surname and initial. Of a college's works with one title the best stays: articles before preprints,
-    earlier years first; matched names are united. Co-authors are classed against the roster and the peer institutions (inst).
+    A person matches an author of their institution by surname and initial. Of a college's works with one title the best stays, by type (K.WORK_RANK), then
+    the earlier year, then id; the matched names of all of them are united. The best work's other authors are its co-authors, each in one class (see
+    J.coauthor_classes; peers: name), in the order of the authors. An author who matches isn't a co-author; one without id is known by the place in the list.
     """
-    spread = works.select("id", "title", "type", F.col("publication_year").alias("year"), "cited_by_count", F.explode("authorships").alias("a"))
-    authors = spread.select("id", "title", "type", "year", "cited_by_count", F.col("a.author.display_name").alias("author"), F.explode("a.institutions.ror").alias("inst"))
-    authors = authors.withColumn("k", T.name_key("author")).select("*", "k.last", "k.initial").drop("k")
-    people = roster.withColumn("k", T.name_key(F.col("name"))).where("k is not null").select("name", "college", "inst", "pos", "k.last", "k.initial")
-    keyed = people.groupBy("inst", "last", "initial").agg(F.max_by(F.struct("name", "college"), "pos").alias("p"))
-    matched = authors.join(keyed, ["inst", "last", "initial"]).groupBy("id", "p.college").agg(F.array_sort(F.collect_set("p.name")).alias("matched"))
-    rank = F.when(F.col("type") == "article", 0).when(F.col("type") == "preprint", 2).otherwise(1)
-    rows = works.select("id", "title", "type", F.col("publication_year").alias("year"), "cited_by_count").join(matched, "id")
+    works = works.withColumns({c: F.lit(None).cast(t) for c, t in WORK_FIELDS.items() if c not in works.columns})
+    named = F.col("a.author.display_name")
+    institutions = F.coalesce("a.institutions", F.array().cast("array<struct<ror:string,display_name:string>>"))
+    authors = works.select("id", F.posexplode("authorships").alias("at", "a")).select(
+        "id", "at", named.alias("name"), F.coalesce(F.nullif(F.col("a.author.id"), F.lit("")), F.concat(F.lit("at "), "at")).alias("author"),
+        F.transform(institutions, lambda i: i["ror"]).alias("insts"), F.transform(institutions, lambda i: i["display_name"]).alias("names"), T.name_key(named).alias("k"),
+        F.coalesce(F.lower(F.try_element_at(T.tokens(named), F.lit(-1))), F.lit("")).alias("last"),
+    )
+    people = roster.withColumn("k", T.name_key(F.col("name"))).where("k is not null")
+    keyed = people.groupBy("inst", "k").agg(F.max_by(F.struct("name", "college"), "pos").alias("p"))
+    found = authors.where("k is not null").select("id", "author", "k", F.explode(F.array_distinct("insts")).alias("inst")).join(keyed, ["inst", "k"])
+    matched = found.groupBy("id", "inst", "p.college").agg(F.array_sort(F.collect_set("p.name")).alias("matched"), F.collect_set("author").alias("own"))
+    order = F.element_at(F.create_map(*[F.lit(x) for pair in K.WORK_RANK.items() for x in pair]), F.col("type"))
+    rows = works.select("id", "title", "type", F.col("publication_year").alias("year")).join(matched, "id")
     key = F.struct("college", X.paper_key(F.col("title"), F.col("id")).alias("k"))
-    best = A.dedup_best(rows, key, [rank, F.coalesce("year", F.lit(9999)), F.col("id")], merge="matched")
-    homes = roster.select("college", F.col("inst").alias("home")).distinct()
-    kinds = J.coauthor_classes(best.select("id", "college").join(homes, "college").join(authors.select("id", "author", "inst", "last"), "id"), "home", peers, people.select("inst", "last"))
-    listed = lambda k: F.array_sort(F.collect_set(F.when(F.col("kind") == k, F.col("author")))).alias(f"{k}_coauthors")
-    return best.join(kinds.groupBy("id", "college").agg(*[listed(k) for k in ("student", "faculty", "other", "external")]), ["id", "college"], "left")
-
-
-def tag_venues(publications: DataFrame, rules: Sequence[tuple[str, str, Sequence[str], Sequence[str]]], conferences: DataFrame, journals: DataFrame) -> DataFrame:
-    """Publications (venue) with acronym and area by rules, conference rank and journal quartile.
-
-    conferences: acronym, title, rank, pos. journals: title, quartile, pos. Ranks come by the rule's acronym, one in parentheses, the
-    title's tokens, or the parent of a findings volume; quartiles by equal normal forms or ordered subsets. Each step sees only venues left by those before.
+    best = A.dedup_best(rows, key, [F.coalesce(order, F.lit(1)), F.coalesce("year", F.lit(9999)), F.col("id")], merge="matched")
+    co = best.select("id", "college", F.col("inst").alias("home"), "own").join(authors.drop("k"), "id").where(~F.array_contains("own", F.col("author")))
+    surnames = roster.select("inst", F.lower(F.try_element_at(T.tokens(F.col("name")), F.lit(-1))).alias("last"))
+    classed = J.coauthor_classes(co.select("id", "college", "home", "at", "name", "insts", "names", "last"), "home", peers, surnames)
+    kinds = ("student", "faculty", "other", "external")
+    listed = lambda k: F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.struct("at", "name")))), lambda s: s["name"]).alias(f"{k}_coauthors")
+    lists = classed.groupBy("id", "college").agg(*[listed(k) for k in kinds])
+    filled = lambda c: F.array_distinct(F.filter(c, lambda x: F.coalesce(x, F.lit("")) != ""))
+    place = F.col("primary_location")
+    about = works.select(
+        "id", "cited_by_count", X.work_url(F.col("doi"), place).alias("url"), X.work_venue(place).alias("venue"), F.coalesce(place["source"]["id"], F.lit("")).alias("venue_url"), X.work_venue_type(place).alias("venue_type"),
+        filled(F.transform("topics", lambda t: t["display_name"])).alias("topics"), filled(F.transform("topics", lambda t: t["subfield"]["display_name"])).alias("subfields"), X.authors_of(F.col("authorships")).alias("authors"),
+    )
+    none = F.array().cast("array<string>")
+    out = best.drop("own", "inst").join(lists, ["id", "college"], "left").join(about, "id")
+    return out.withColumns({f"{k}_coauthors": F.coalesce(f"{k}_coauthors", none) for k in kinds})
+
+
+def tag_venues(
+    publications: DataFrame, rules: Sequence[tuple[str, str, Sequence[str], Sequence[str]]], conferences: DataFrame, journals: DataFrame, ranked_as: dict[str, str] = K.RANKED_AS, curated: dict[str, str] = K.CURATED_QUARTILES
+) -> DataFrame:
+    """Publications (venue, venue_type) with acronym, area and listed (by rules), conference rank with its link, and journal quartile with ISSN and link.
+
+    conferences: acronym, title, rank, pos and, if known, url. journals: title, quartile, pos and, if known, issn and url. Ranks come by the rule's acronym (as
+    `ranked_as` calls it in the list), by one in parentheses, or by the title's tokens; each step sees only venues left by those before. Journals and book series
+    whose name isn't that of a conference have no rank by title. A rank's acronym fills in where no rule gave one; after that, findings volumes take their parent's
+    rank and name. Quartiles are for journals: by equal normal forms, or ordered subsets; of several entries of a journal the best counts, "-" is a value
+    like others, and curated journals stand in for those that the list lacks. What isn't found is null.
     """
-    venues = publications.select("venue").where("coalesce(venue, '') <> ''").distinct().withColumn("tag", J.first_rule(F.col("venue"), rules))
+    publications = publications.withColumns({"venue_type": F.lit(None).cast("string")} if "venue_type" not in publications.columns else {})
+    conferences = conferences.withColumns({"url": F.lit(None).cast("string")} if "url" not in conferences.columns else {})
+    journals = journals.withColumns({c: F.lit(None).cast("string") for c in ("issn", "url") if c not in journals.columns})
+    kind = F.col("venue_type")
+    venues = publications.where("coalesce(venue, '') <> ''").groupBy("venue").agg(
+        F.coalesce(F.bool_or(kind == "journal"), F.lit(False)).alias("journal"), F.coalesce(F.bool_or(kind.isin("journal", "book series")), F.lit(False)).alias("serial"),
+    )
+    # Different venues are far fewer than publications; they are tagged once and read by every step.
+    venues = S.staged(venues.withColumn("tag", J.first_rule(F.col("venue"), rules)), "venues")
+    link = F.col("venue").startswith("http")
     rank = F.element_at(F.create_map(*[F.lit(x) for p in K.RANK_ORDER.items() for x in p]), F.col("rank"))
-    ranks = A.best_entry_keys(conferences, "acronym", "title", [rank, F.col("pos")])
-    titles = conferences.select(F.col("pos").alias("tid"), T.title_tokens(F.col("title")).alias("tokens"))
-    by_key = lambda df, acronym: df.withColumn("key", acronym).join(ranks.select("key", F.col("rank").alias("match")), "key")
+    ranks = S.staged(A.best_entry_keys(conferences, "acronym", "title", [rank, F.col("pos")]).select("key", "title", "pos", F.struct(F.col("key").alias("acronym"), "rank", F.col("url").alias("rank_url")).alias("match")), "venue-ranks")
+    by_key = lambda df, acronym: df.withColumn("key", acronym).join(ranks.select("key", "match"), "key")
     tagged = lambda df: df.join(venues, "venue")
+    renamed = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in ranked_as.items() for x in p]), F.col("tag.label")), F.col("tag.label")) if ranked_as else F.col("tag.label")
+    in_brackets = F.nullif(F.rtrim(F.regexp_extract("venue", r"\(([A-Z][A-Za-z&/+\-]{1,15})(?:[\s\-]*\d{0,4})?\)", 1)), F.lit(""))
+    titles = ranks.select(F.col("pos").alias("tid"), T.title_tokens(F.col("title")).alias("tokens"))
 
     def by_title(df: DataFrame) -> DataFrame:
-        spread = df.select("venue", F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), T.title_tokens(F.col("venue"), p).alias("tokens")) for n, p in enumerate((T.ANY_WORD, T.ORDINAL_ONLY))])).alias("v"))
+        fits = tagged(df).where(~link & ~(F.col("serial") & ~F.col("venue").rlike(K.CONFERENCE_WORDS)))
+        spread = fits.select("venue", F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), T.title_tokens(F.col("venue"), p).alias("tokens")) for n, p in enumerate((T.ANY_WORD, T.ORDINAL_ONLY))])).alias("v"))
         hits = J.token_similarity(spread.select(F.struct("venue", "v.variant").alias("qid"), "v.tokens"), titles)
         one = hits.groupBy("qid.venue").agg(F.max_by("tid", F.struct("recall", "jaccard", -F.col("qid.variant"), -F.col("tid"))).alias("tid"))
-        return one.join(conferences.select(F.col("pos").alias("tid"), F.col("rank").alias("match")), "tid")
-
-    steps = [
-        lambda df: by_key(tagged(df), F.col("tag.label")),
-        lambda df: by_key(df, F.nullif(F.regexp_extract("venue", r"\(([A-Z][A-Za-z&/+\-]{1,15})(?:[\s\-]*\d{0,4})?\)", 1), F.lit(""))),
-        by_title,
-        lambda df: by_key(df, X.findings_parent(F.col("venue"))),
-    ]
-    core = J.cascade(venues, "venue", steps).select("venue", F.col("match").alias("rank"))
-    keyed = journals.withColumn("key", T.journal_key(F.col("title")))
-    best = A.least_by_key(keyed, ["key"], "quartile", "pos").withColumnRenamed("pos", "tid")
-    exact = lambda df: df.withColumn("key", T.journal_key(F.col("venue"))).join(best.select("key", F.col("quartile").alias("match")), "key")
+        return one.join(ranks.select(F.col("pos").alias("tid"), "match"), "tid")
+
+    steps = [lambda df: by_key(tagged(df).where("tag is not null"), renamed), lambda df: by_key(df.where(~link), in_brackets), by_title]
+    core = J.cascade(venues, "venue", steps).select("venue", F.col("match").alias("core"))
+    parent = F.upper(X.findings_parent(F.col("venue")))
+    own = F.coalesce("tag.label", "core.acronym")
+    parents = ranks.select(F.col("key").alias("parent"), F.col("match").alias("above"))
+    named = venues.join(core, "venue", "left").withColumn("parent", F.when(own.isNull(), parent)).join(parents, "parent", "left")
+    volume = F.col("above").isNotNull() | F.coalesce(F.col("parent").isin(K.FINDINGS_PARENTS), F.lit(False))
+    acronym = F.when(volume, F.concat("parent", F.lit(" (Findings)"))).otherwise(own)
+    named = named.select("venue", acronym.alias("acronym"), F.col("tag.area").alias("area"), F.col("tag").isNotNull().alias("listed"), F.coalesce("core.rank", "above.rank").alias("rank"), F.coalesce("core.rank_url", "above.rank_url").alias("rank_url"))
+
+    spark = publications.sparkSession
+    fillers = spark.createDataFrame([(key, quartile, (1 << 40) + n) for n, (key, quartile) in enumerate(curated.items())], "key string, quartile string, pos long")
+    keyed = journals.select(T.journal_key(F.col("title")).alias("key"), "quartile", F.col("pos").cast("long").alias("pos"), "issn", "url")
+    best = S.staged(A.with_fillers(A.best_by_key(keyed, ["key"], "quartile", "pos"), fillers, ["key"]).select("key", F.col("pos").alias("tid"), F.struct("quartile", "issn", F.col("url").alias("journal_url")).alias("match")), "journal-ranks")
+    exact = lambda df: df.withColumn("key", T.journal_key(F.col("venue"))).join(best.select("key", "match"), "key")
 
     def subset(df: DataFrame) -> DataFrame:
         hits = J.ordered_subset(df.select(F.col("venue").alias("qid"), T.journal_tokens(T.journal_key(F.col("venue"))).alias("tokens")), best.select("tid", T.journal_tokens(F.col("key")).alias("tokens")))
-        return hits.join(best, "tid").select(F.col("qid").alias("venue"), F.col("quartile").alias("match"))
+        return hits.join(best, "tid").select(F.col("qid").alias("venue"), "match")
 
-    sjr = J.cascade(venues, "venue", [exact, subset]).select("venue", F.col("match").alias("quartile"))
-    return publications.join(venues.select("venue", F.col("tag.label").alias("acronym"), F.col("tag.area").alias("area")), "venue", "left").join(core, "venue", "left").join(sjr, "venue", "left")
+    sjr = J.cascade(venues.where("journal"), "venue", [exact, subset]).select("venue", "match.quartile", "match.issn", "match.journal_url")
+    return publications.join(named, "venue", "left").join(sjr, "venue", "left")
 
 
 def resolve_ids(papers: DataFrame, roster: DataFrame) -> DataFrame:
@@ -173,19 +228,12 @@ def build_directory(colleges: DataFrame, faculty: DataFrame, publications: DataF
     return J.star(totals, "college", filled(colleges), nest(people, "pos", "faculty"), nest(filled(publications), "pos", "publications"), nest(filled(courses), "pos", "courses"))
 
 
-def search_directory(faculty: DataFrame, publications: DataFrame, courses: DataFrame, words: Sequence[str], years: tuple[int, int] | None = None) -> DataFrame:
-    """Ids found by all words: people by name or interests, papers by title, courses by name, and what found people wrote and teach.
+def search_directory(colleges: DataFrame, faculty: DataFrame, publications: DataFrame, courses: DataFrame, words: Sequence[str], **facets: object) -> DataFrame:
+    """What all words find in the tables of a directory: kind, id, paths. Tables and rules: see `search`; facets: see `search.shown`.
 
-    A hit by name leads to papers and courses, one by interests doesn't. Out: id, paths.
+    Looks through all texts; for many searches, write the directory with its postings once (`search.write_directory`) and search what is read back.
     """
-    hit: Column = lambda *c: P.contains_all(X.search_text(*c), [w.lower() for w in words])
-    path = lambda df, name: df.select(F.col("id").cast("string").alias("id"), F.lit(name).alias("path"))
-    papers = publications.where(F.col("year").between(*years)) if years else publications
-    named = faculty.where(hit("name"))
-    people = named.select("college", F.col("name").alias("person"))
-    wrote = papers.withColumn("person", F.explode("matched")).join(people, ["college", "person"], "left_semi")
-    teach = courses.withColumn("person", F.explode("instructors")).join(people, ["college", "person"], "left_semi")
-    return S.search_paths(path(named, "name"), path(faculty.where(hit("interests")), "interests"), path(papers.where(hit("title")), "title"), path(courses.where(hit("name")), "course"), path(wrote, "by person"), path(teach, "taught by person"))
+    return Q.search(Q.directory(colleges, faculty, publications, courses), words, **facets)
 
 
 def sectionise_lines(lines: DataFrame, start: str, stop: str, heading: str, record: str) -> DataFrame:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import fields as X
+from ..operators import tables as S
 from ..plans import jobs
+from ..plans import search as Q
 from .courses import OBSERVATIONS, observations
 from .pages import PAIRS, VISIBLE
 from .people import SUPPLIERS, named
@@ -18,12 +24,18 @@ HOST = r"regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1))
 
 
 @query(rf"""
-WITH p AS (SELECT page_id, {HOST} AS college, split_part(regexp_extract(html, '<h1>(.*?)</h1>', 1), ' ', 1) AS name, {VISIBLE} AS text FROM pages),
-l AS (SELECT *, college AS site, string_split(text, chr(10)) AS own FROM p WHERE text IS NOT NULL),
-g AS (SELECT site, min(page_id) AS first, arg_min(own, page_id) AS ref, arg_max(own, page_id) AS last FROM l GROUP BY 1),
-pairs AS (SELECT l.*, page_id = first AS mine, CASE WHEN page_id = first THEN own ELSE ref END AS a, CASE WHEN page_id = first THEN last ELSE own END AS b FROM l JOIN g USING (site)) {PAIRS},
-spread AS (SELECT page_id, college, name, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM trimmed),
-hits AS (SELECT *, (regexp_matches(lower(line), 'research|interests|publications') OR length(name) >= 2 AND contains(lower(line), lower(name)))::INT AS hit FROM spread),
+WITH p AS (SELECT page_id, {HOST} AS site, regexp_extract({HOST}, '([a-z]+)$', 1) AS college, split_part(regexp_extract(html, '<h1>(.*?)</h1>', 1), ' ', 1) AS name, {VISIBLE} AS text FROM pages),
+l AS (SELECT *, string_split(text, chr(10)) AS own FROM p WHERE text IS NOT NULL),
+sizes AS (SELECT college, site, count(*) AS n, max(count(*)) OVER (PARTITION BY college) AS most FROM l WHERE site LIKE '%.example.com' GROUP BY 1, 2),
+large AS (SELECT college, site FROM sizes WHERE n = most AND n >= 2),
+inside AS (SELECT l.* FROM l JOIN large USING (college, site)),
+g AS (SELECT college, site, min(page_id) AS first, arg_min(own, page_id) AS ref FROM inside GROUP BY 1, 2),
+pairs AS (SELECT inside.*, ref AS a, own AS b FROM inside JOIN g USING (college, site) WHERE page_id <> first) {PAIRS},
+firsts AS (SELECT college, site, arg_min(ref_lines, page_id) AS lines FROM trimmed WHERE ok GROUP BY 1, 2),
+cleaned AS (SELECT page_id, lines FROM trimmed UNION ALL SELECT g.first, coalesce(firsts.lines, g.ref) FROM g LEFT JOIN firsts USING (college, site)),
+every AS (SELECT l.page_id, l.college, l.name, coalesce(cleaned.lines, l.own) AS lines FROM l LEFT JOIN cleaned USING (page_id)),
+spread AS (SELECT page_id, college, name, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM every),
+hits AS (SELECT *, (regexp_matches(lower(line), 'area|research|interest|courses|teaching|paper|publication') OR length(name) >= 2 AND contains(lower(line), lower(name)))::INT AS hit FROM spread WHERE length(line) > 0),
 near AS (SELECT *, max(hit) OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS close, max(hit) OVER (PARTITION BY page_id) AS any_hit FROM hits),
 kept AS (SELECT page_id, college, line, pos FROM near WHERE (close = 1 OR any_hit = 0) AND NOT (regexp_replace(lower(trim(line)), '[:.]+$', '') = '' OR regexp_matches(regexp_replace(lower(trim(line)), '[:.]+$', ''), '{NOISE}'))
   AND NOT (len(string_split(line, ' ')) < 8 AND len(regexp_extract_all(line, '(Mathematics|Statistics|Computer Science)')) > 1)),
@@ -34,85 +46,116 @@ texts AS (SELECT page_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM ke
 SELECT p.page_id, p.college, p.name, texts.text FROM p LEFT JOIN texts USING (page_id)
 """)
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as people's pages of their host, which is one folder: text without what pages share, noise, and lines far from what is looked for."""
+    """Pages as people's pages; hosts are folders, their last parts (of which one is the colleges' own) colleges: text without what pages share, noise, and lines far from what is looked for."""
     p = table(spark, sf_dir, "pages")
     name = F.substring_index(F.regexp_extract("html", "<h1>(.*?)</h1>", 1), " ", 1)
-    url = F.concat(F.lit("https://"), X.host(F.col("url")), F.lit("/p"), F.lpad(F.col("page_id").cast("string"), 12, "0"))
-    out = jobs.clean_pages(p.select(X.host(F.col("url")).alias("college"), name.alias("name"), url.alias("url"), "html"))
+    host = X.host(F.col("url"))
+    url = F.concat(F.lit("https://"), host, F.lit("/p"), F.lpad(F.col("page_id").cast("string"), 12, "0"))
+    out = jobs.clean_pages(p.select(F.regexp_extract(host, "([a-z]+)$", 1).alias("college"), name.alias("name"), url.alias("url"), "html"), ending=".example.com")
     return out.select(F.regexp_extract("url", r"/p(\d+)$", 1).cast("long").alias("page_id"), "college", "name", "text")
 
 
 WORK_ROWS = f"""
 WITH {SUPPLIERS},
-o AS (SELECT o_orderkey, 'W' || lpad(o_orderkey::VARCHAR, 9, '0') AS id, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'On ' || o_orderpriority || ' ' || (o_orderkey % 200)::VARCHAR END AS title,
-        CASE o_orderkey % 3 WHEN 0 THEN 'article' WHEN 1 THEN 'preprint' ELSE 'book' END AS type, year(o_orderdate)::INT AS year FROM orders),
-a AS (SELECT DISTINCT o.id, s.first || ' ' || s.last AS author, s.grp AS inst, lower(s.last) AS last, lower(left(s.first, 1)) AS initial FROM lineitem JOIN o ON l_orderkey = o_orderkey JOIN s ON s.id = l_suppkey),
 roster AS (SELECT s.*, first || ' ' || last AS name FROM s JOIN supplier ON s.id = s_suppkey WHERE s_acctbal > 3000)
 """
 
 
 def works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as nested works: the suppliers of their lines are the authors, nations the institutions."""
+    """Orders as nested works: the suppliers of their lines are the authors, nations their institutions: two, one or none."""
     s = named(table(spark, sf_dir, "supplier"), "s_suppkey", "s_nationkey")
-    inst = F.col("grp").cast("string")
-    author = F.struct(F.struct(F.concat(F.lit("https://o.example/A"), F.col("l_suppkey").cast("string")).alias("id"), F.concat_ws(" ", "first", "last").alias("display_name")).alias("author"), F.array(F.struct(inst.alias("ror"), inst.alias("display_name"))).alias("institutions"))
-    by_work = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct().join(s.withColumnRenamed("id", "l_suppkey"), "l_suppkey").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(author)).alias("authorships"))
+    place = lambda n: F.struct(n.cast("string").alias("ror"), F.concat(F.lit(" N"), n.cast("string")).alias("display_name"))
+    none = F.array().cast("array<struct<ror:string,display_name:string>>")
+    # One author in seven has no id.
+    link = F.when(F.col("l_suppkey") % 7 > 0, F.concat(F.lit("https://o.example/A"), F.col("l_suppkey").cast("string")))
+    at = F.when(F.col("l_suppkey") % 13 == 0, none).when(F.col("l_suppkey") % 5 == 0, F.array(place(F.col("grp")), place((F.col("grp") + 1) % 25))).otherwise(F.array(place(F.col("grp"))))
+    author = F.struct(F.col("l_suppkey").alias("pos"), F.struct(F.struct(link.alias("id"), F.concat_ws(" ", "first", "last").alias("display_name")).alias("author"), at.alias("institutions")).alias("a"))
+    by_work = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct().join(s.withColumnRenamed("id", "l_suppkey"), "l_suppkey").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(F.array_sort(F.collect_list(author)), lambda x: x["a"]).alias("authorships"))
     k = F.col("o_orderkey")
     title = F.when(k % 11 != 0, F.concat(F.lit("On "), "o_orderpriority", F.lit(" "), (k % 200).cast("string")))
-    kind = F.when(k % 3 == 0, "article").when(k % 3 == 1, "preprint").otherwise("book")
+    kind = F.when(k % 5 == 0, "article").when(k % 5 == 1, "preprint").when(k % 5 == 2, "dataset").when(k % 5 == 3, "book-chapter").otherwise("report")
+    text = k.cast("string")
+    source = F.when(k % 4 > 0, F.struct(F.concat(F.lit("s"), (k % 9).cast("string")).alias("id"), F.when(k % 4 > 1, F.concat(F.lit("Venue "), (k % 9).cast("string"))).alias("display_name"), F.when(k % 2 == 0, "journal").alias("type")))
+    location = F.when(k % 6 > 0, F.struct(F.concat(F.lit("https://l.example/"), text).alias("landing_page_url"), F.lit("raw venue").alias("raw_source_name"), source.alias("source")))
+    topic = lambda n: F.struct(F.concat(F.lit("T"), n.cast("string")).alias("display_name"), F.struct(F.when(n % 2 == 0, F.concat(F.lit("S"), n.cast("string"))).alias("display_name")).alias("subfield"))
     o = table(spark, sf_dir, "orders").join(by_work, "o_orderkey")
-    return o.select(F.concat(F.lit("W"), F.lpad(k.cast("string"), 9, "0")).alias("id"), title.alias("title"), kind.alias("type"), F.year("o_orderdate").alias("publication_year"), F.col("o_totalprice").cast("int").alias("cited_by_count"), "authorships")
+    return o.select(
+        F.concat(F.lit("W"), F.lpad(text, 9, "0")).alias("id"), F.when(k % 3 == 0, F.concat(F.lit("https://d.example/"), text)).alias("doi"), title.alias("title"), kind.alias("type"), F.year("o_orderdate").alias("publication_year"),
+        F.col("o_totalprice").cast("int").alias("cited_by_count"), "authorships", location.alias("primary_location"), F.array(topic(k % 3), topic(k % 4)).alias("topics"),
+    )
 
 
 @query(WORK_ROWS + """
-, keyed AS (SELECT grp AS inst, lower(last) AS last, lower(left(first, 1)) AS initial, arg_max(name, id) AS name FROM roster GROUP BY 1, 2, 3),
-m AS (SELECT DISTINCT a.id, a.inst AS college, keyed.name FROM a JOIN keyed USING (inst, last, initial)),
-r AS (SELECT m.id, m.college, list(m.name) AS names, any_value(o.title) AS title, any_value(o.year) AS year, any_value(CASE o.type WHEN 'article' THEN 0 WHEN 'preprint' THEN 2 ELSE 1 END) AS rank FROM m JOIN o USING (id) GROUP BY 1, 2),
-k AS (SELECT *, CASE WHEN title IS NULL THEN id ELSE trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) END AS key FROM r),
-b AS (SELECT college, key, arg_min(id, (rank, year, id)) AS id, arg_min(title, (rank, year, id)) AS title, list_sort(list_distinct(flatten(list(names)))) AS matched FROM k GROUP BY 1, 2),
-c AS (SELECT b.id, b.college, a.author, CASE WHEN a.inst = b.college THEN CASE WHEN EXISTS (SELECT 1 FROM roster WHERE roster.grp = a.inst AND lower(roster.last) = a.last) THEN 'faculty' ELSE 'student' END
-        WHEN n_regionkey < 3 THEN 'other' ELSE 'external' END AS kind FROM b JOIN a USING (id) JOIN nation ON n_nationkey = a.inst)
-SELECT b.id, ('N' || b.college) AS college, b.title, array_to_string(b.matched, '|') AS matched, string_agg(DISTINCT author, '|' ORDER BY author) FILTER (WHERE kind = 'student') AS student, string_agg(DISTINCT author, '|' ORDER BY author) FILTER (WHERE kind = 'faculty') AS faculty,
-       string_agg(DISTINCT author, '|' ORDER BY author) FILTER (WHERE kind = 'other') AS other, string_agg(DISTINCT author, '|' ORDER BY author) FILTER (WHERE kind = 'external') AS external
-FROM b JOIN c USING (id, college) GROUP BY 1, 2, 3, 4
+, i AS (SELECT s.id AS sid, grp, s.first || ' ' || s.last AS name, lower(s.last) AS last, lower(left(s.first, 1)) AS initial, CASE WHEN s.id % 13 = 0 THEN [] WHEN s.id % 5 = 0 THEN [grp, (grp + 1) % 25] ELSE [grp] END AS insts FROM s),
+o AS (SELECT o_orderkey AS k, 'W' || lpad(o_orderkey::VARCHAR, 9, '0') AS id, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'On ' || o_orderpriority || ' ' || (o_orderkey % 200)::VARCHAR END AS title, year(o_orderdate)::INT AS year, [0, 2, 2, 1, 1][o_orderkey % 5 + 1] AS rank FROM orders),
+a AS (SELECT DISTINCT o.k, o.id, i.* FROM lineitem JOIN o ON l_orderkey = o.k JOIN i ON i.sid = l_suppkey),
+keyed AS (SELECT grp AS inst, lower(last) AS last, lower(left(first, 1)) AS initial, arg_max(name, id) AS name FROM roster GROUP BY 1, 2, 3),
+m AS (SELECT x.id, x.inst AS college, x.sid, keyed.name FROM (SELECT *, unnest(insts) AS inst FROM a) x JOIN keyed USING (inst, last, initial)),
+r AS (SELECT m.id, m.college, list(DISTINCT m.name) AS names, list(DISTINCT m.sid) AS sids FROM m GROUP BY 1, 2),
+w AS (SELECT r.*, o.k, o.title, o.year, o.rank, CASE WHEN o.title IS NULL THEN o.id ELSE trim(regexp_replace(lower(o.title), '[^a-z0-9]+', ' ', 'g')) END AS key FROM r JOIN o USING (id)),
+b AS (SELECT college, key, arg_min(id, (rank, year, id)) AS id, arg_min(k, (rank, year, id)) AS k, arg_min(title, (rank, year, id)) AS title, arg_min(sids, (rank, year, id)) AS sids, list_sort(list_distinct(flatten(list(names)))) AS matched FROM w GROUP BY 1, 2),
+peers AS (SELECT list(n_nationkey) AS peers FROM nation WHERE n_regionkey < 3),
+c AS (SELECT b.id, b.college, a.name, a.sid, CASE WHEN list_contains(a.insts, b.college) THEN CASE WHEN EXISTS (SELECT 1 FROM roster WHERE roster.grp = b.college AND lower(roster.last) = a.last) THEN 'faculty' ELSE 'student' END
+        WHEN list_has_any(a.insts, peers) THEN 'other' ELSE 'external' END AS kind FROM b JOIN a USING (id), peers WHERE NOT list_contains(b.sids, a.sid)),
+l AS (SELECT id, college, string_agg(name, '|' ORDER BY sid) FILTER (WHERE kind = 'student') AS student, string_agg(name, '|' ORDER BY sid) FILTER (WHERE kind = 'faculty') AS faculty,
+        string_agg(name, '|' ORDER BY sid) FILTER (WHERE kind = 'other') AS other, string_agg(name, '|' ORDER BY sid) FILTER (WHERE kind = 'external') AS external FROM c GROUP BY 1, 2)
+SELECT b.id, ('N' || b.college) AS college, b.title, array_to_string(b.matched, '|') AS matched, student, faculty, other, external,
+  CASE WHEN k % 3 = 0 THEN 'https://d.example/' || k WHEN k % 6 > 0 THEN 'https://l.example/' || k ELSE '' END AS url,
+  CASE WHEN k % 6 = 0 THEN '' WHEN k % 4 > 1 THEN 'Venue ' || (k % 9) ELSE 'raw venue' END AS venue, CASE WHEN k % 6 > 0 AND k % 4 > 0 AND k % 2 = 0 THEN 'journal' ELSE '' END AS venue_type,
+  array_to_string(list_distinct_in_order, '|') AS topics, array_to_string(list_filter(list_distinct_in_order, lambda t: t IN ('T0', 'T2')), '|') AS topics_even
+FROM (SELECT *, CASE WHEN k % 3 = k % 4 THEN ['T' || (k % 3)] ELSE ['T' || (k % 3), 'T' || (k % 4)] END AS list_distinct_in_order FROM b) b LEFT JOIN l USING (id, college)
 """)
 def link_publications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders linked with the suppliers of good standing who wrote them, the best of each title for each nation, with co-authors by kind."""
+    """Orders linked with the suppliers of good standing who wrote them, the best of each title for each nation, with co-authors by kind and the work's own fields."""
     s = named(table(spark, sf_dir, "supplier").where("s_acctbal > 3000"), "s_suppkey", "s_nationkey")
     inst = F.col("grp").cast("string")
     roster = s.select(F.concat_ws(" ", "first", "last").alias("name"), F.concat(F.lit("N"), inst).alias("college"), inst.alias("inst"), F.col("id").alias("pos"))
-    peers = table(spark, sf_dir, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").cast("string").alias("inst"))
+    peers = table(spark, sf_dir, "nation").where("n_regionkey < 3").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("name"))
     out = jobs.link_publications(works(spark, sf_dir), roster, peers)
     joined = lambda c: F.nullif(F.array_join(c, "|"), F.lit(""))
-    return out.select("id", "college", "title", joined("matched").alias("matched"), *[joined(f"{k}_coauthors").alias(k) for k in ("student", "faculty", "other", "external")])
+    shown = F.array_join(F.transform("subfields", lambda x: F.replace(x, F.lit("S"), F.lit("T"))), "|").alias("topics_even")
+    return out.select("id", "college", "title", joined("matched").alias("matched"), *[joined(f"{k}_coauthors").alias(k) for k in ("student", "faculty", "other", "external")], "url", "venue", "venue_type", F.array_join("topics", "|").alias("topics"), shown)
 
 
 @query(r"""
-WITH w AS (SELECT p_partkey, p_name, array_to_string([upper(left(w, 1)) || substr(w, 2) FOR w IN string_split(p_name, ' ')], ' ') AS shown, upper(array_to_string([left(w, 3) FOR w IN string_split(p_name, ' ')], '')) AS acronym FROM part),
-names AS (SELECT p_name, ['A*', 'A', 'B', 'C'][((row_number() OVER (ORDER BY p_name) - 1) % 4 + 1)::INT] AS rank, 'Q' || ((row_number() OVER (ORDER BY p_name) - 1) % 4 + 1)::VARCHAR AS quartile FROM (SELECT DISTINCT p_name FROM part))
-SELECT p_partkey, CASE WHEN p_partkey % 5 < 4 AND p_name LIKE '%widget' THEN acronym END AS acronym, CASE WHEN p_partkey % 5 < 4 AND p_name LIKE '%widget' THEN 'Widgets' END AS area,
-  CASE WHEN p_partkey % 5 < 3 OR p_partkey % 5 = 3 AND p_name LIKE '%widget' THEN rank END AS rank, CASE WHEN p_partkey % 5 = 3 THEN quartile END AS quartile
-FROM w JOIN names USING (p_name)
+WITH n AS (SELECT p_name, min(p_partkey) AS pos, length(p_name) AS len, array_to_string([upper(left(w, 1)) || substr(w, 2) FOR w IN string_split(p_name, ' ')], ' ') AS shown, upper(array_to_string([left(w, 3) FOR w IN string_split(p_name, ' ')], '')) AS acronym FROM part GROUP BY p_name),
+e AS (SELECT *, ['A*', 'A', 'B', 'C'][len % 4 + 1] AS rank, CASE WHEN len % 5 = 0 THEN '-' ELSE 'Q' || (len % 4 + 1) END AS quartile, p_name LIKE '%widget' AS ruled FROM n),
+-- The best entry of an acronym keeps it, others are known by acronym and title: names that begin alike share one.
+k AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY acronym ORDER BY len % 4, pos) = 1 THEN acronym ELSE acronym || ' (Conference on ' || shown || ' Systems)' END AS key FROM e),
+p AS (SELECT p_partkey, p_partkey % 8 AS kind, k.* FROM part JOIN k USING (p_name)),
+f AS (SELECT p.*, CASE WHEN p.ruled AND kind < 6 AND kind <> 4 THEN 'WIDGETS' END AS label, h.rank AS head_rank, h.shown AS head FROM p JOIN k h ON h.acronym = p.acronym AND h.key = h.acronym)
+SELECT p_partkey,
+  CASE WHEN label IS NOT NULL THEN label WHEN kind = 0 THEN key WHEN kind = 1 THEN acronym WHEN kind = 2 THEN acronym || ' (Findings)' WHEN kind = 5 AND len % 2 = 1 THEN 'DAY' || pos END AS acronym,
+  CASE WHEN label IS NOT NULL THEN 'Widgets' END AS area, label IS NOT NULL AND kind <> 4 AS listed,
+  CASE WHEN label IS NOT NULL THEN 'A' WHEN kind = 0 THEN rank WHEN kind IN (1, 2) THEN head_rank WHEN kind = 5 AND len % 2 = 1 THEN 'B' END AS rank,
+  CASE WHEN label IS NOT NULL THEN 'r/W' WHEN kind = 0 THEN 'r/' || shown WHEN kind IN (1, 2) THEN 'r/' || head END AS rank_url,
+  CASE WHEN kind = 3 AND len % 2 = 0 OR kind = 6 THEN quartile WHEN kind = 7 THEN 'Q1' END AS quartile, CASE WHEN kind = 3 AND len % 2 = 0 OR kind = 6 THEN 'i' || pos END AS issn
+FROM f
 """)
 def tag_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts' names as venues: proceedings, titles with acronyms, findings and journals, tagged by rules and ranked."""
+    """Parts' names as venues of each kind, tagged by a rule and ranked: proceedings, acronyms in brackets, findings, journals (as such and called otherwise), a link, days and letters."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    shown, acronym = F.initcap("p_name"), F.upper(F.array_join(F.transform(F.split("p_name", " "), lambda w: F.substring(w, 1, 3)), ""))
-    title = F.concat(F.lit("Conference on "), shown, F.lit(" Systems"))
+    parts = lambda f: F.transform(F.split("p_name", " "), f)
+    shown, acronym, size = F.initcap("p_name"), F.upper(F.array_join(parts(lambda w: F.substring(w, 1, 3)), "")), F.length("p_name")
+    title, text = F.concat(F.lit("Conference on "), shown, F.lit(" Systems")), lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y for y in x])
+    journal = F.when(size % 2 == 0, "journal")
     kinds = [
-        F.concat(F.lit("Proceedings of the 5th "), title), F.concat(title, F.lit(" ("), acronym, F.lit(")")), F.concat(F.lit("Findings of the "), shown, F.lit(" Society: "), acronym),
-        F.concat(F.lit("IEEE/ACM Transactions on "), shown, F.lit(" Networking")), F.lit("https://x.example/venue"),
+        (text("Proceedings of the 5th ", title), F.lit("journal")), (text(title, " (", acronym, " 2020)"), F.lit("conference")), (text("Findings of the ", shown, " Society: ", acronym), F.lit("conference")),
+        (text("IEEE/ACM Transactions on ", shown, " Networking"), journal), (F.lit("https://x.example/venue"), F.lit("repository")), (text(shown, " Days"), F.coalesce(journal, F.lit("conference"))),
+        (text(shown, " Letters"), F.lit("journal")), (F.lit("Nature"), F.lit("journal")),
     ]
-    venue = F.element_at(F.array(*kinds), (F.col("p_partkey") % 5 + 1).cast("int"))
-    # One row for each of the few names of parts.
-    names = p.select("p_name").distinct().orderBy("p_name").collect()
-    known = spark.createDataFrame([(r.p_name, n, ("A*", "A", "B", "C")[n % 4], f"Q{n % 4 + 1}") for n, r in enumerate(names)], "p_name string, pos int, rank string, quartile string")
-    conferences = known.select(acronym.alias("acronym"), title.alias("title"), "rank", "pos")
-    journals = known.select(F.concat(F.lit("IEEE Transactions on "), shown, F.lit(" Networking")).alias("title"), "quartile", "pos").unionByName(known.select(F.concat(shown, F.lit(" Letters")).alias("title"), F.lit("-").alias("quartile"), F.col("pos")))
-    labels = {r.p_name: "".join(w[:3] for w in r.p_name.split(" ")).upper() for r in names}
-    rules = [(label, "Widgets", [rf"\b{name}\b"], []) for name, label in labels.items() if name.endswith("widget")]
-    out = jobs.tag_venues(p.select("p_partkey", venue.alias("venue")), rules, conferences, journals)
-    return out.select("p_partkey", "acronym", "area", "rank", "quartile")
+    picked = F.element_at(F.array(*[F.struct(v.alias("venue"), t.alias("venue_type")) for v, t in kinds]), (F.col("p_partkey") % 8 + 1).cast("int"))
+    known = p.groupBy("p_name").agg(F.min("p_partkey").alias("pos"))
+    rank = F.element_at(F.array(*[F.lit(r) for r in ("A*", "A", "B", "C")]), size % 4 + 1)
+    days = known.select(F.concat(F.lit("DAY"), F.col("pos").cast("string")).alias("acronym"), text(shown, " Days").alias("title"), F.lit("B").alias("rank"), (F.col("pos") + 10_000_000).alias("pos"), F.lit(None).cast("string").alias("url"))
+    widgets = spark.range(1).select(F.lit("WID").alias("acronym"), F.lit("Widgets").alias("title"), F.lit("A").alias("rank"), F.lit(-1).cast("long").alias("pos"), F.lit("r/W").alias("url"))
+    conferences = known.select(acronym.alias("acronym"), title.alias("title"), rank.alias("rank"), "pos", text("r/", shown).alias("url")).unionByName(days).unionByName(widgets)
+    quartile = F.when(size % 5 == 0, "-").otherwise(F.concat(F.lit("Q"), (size % 4 + 1).cast("string")))
+    listed = lambda name, shift: known.select(name.alias("title"), quartile.alias("quartile"), (F.col("pos") + shift).alias("pos"), F.concat(F.lit("i"), F.col("pos").cast("string")).alias("issn"))
+    journals = listed(text("IEEE Transactions on ", shown, " Networking"), 0).unionByName(listed(text(shown, " Letters, LTR"), 20_000_000))
+    rules = [("WIDGETS", "Widgets", [r"\bwidget\b"], [r"\bletters$"])]
+    out = jobs.tag_venues(p.select("p_partkey", picked.alias("v")).select("p_partkey", "v.*"), rules, conferences, journals, {"WIDGETS": "WID"})
+    return out.select("p_partkey", "acronym", "area", F.coalesce("listed", F.lit(False)).alias("listed"), "rank", "rank_url", "quartile", "issn")
 
 
 @query(WORK_ROWS + """
@@ -248,30 +291,100 @@ def build_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("college", "state", "members", "trusted", "total", "f.name", "f.category", *[F.when(F.col(x) < 0, 0).otherwise(F.col(x)).alias(x) for x in ("papers", "placed", "courses")])
 
 
-@query(WORK_ROWS + """
-, person AS (SELECT s.*, lower(first || ' ' || last) AS name, first || ' ' || last AS shown, s_acctbal > 5000 AS rings FROM s JOIN supplier ON s_suppkey = s.id),
-hit AS (SELECT * FROM person WHERE contains(name, 'berg') AND contains(name, 'a')),
-paper AS (SELECT o.id, o.title, o.year, a.author, a.inst FROM o JOIN a USING (id) WHERE year BETWEEN 1996 AND 2000),
-course AS (SELECT p_partkey, p_name, 'p' || p_partkey AS id, s.first || ' ' || s.last AS teacher, s.grp FROM part JOIN s ON s.id = p_partkey % (SELECT count(*) FROM supplier)),
+#: Searches, each with what it is there for: a name, a college or its region, a paper's venue, an outside author, a course, interests, and words that find nothing.
+SEARCHES = (("berg", "A"), ("NATION_3", "america"), ("venue 7", "urgent"), ("gomez", "ada", "nation_1"), ("widget", "c1"), ("rings", "elena"), ("no such", "word"))
+#: Facets of papers that the searches leave out or ask for.
+YEARS, HIDDEN, TOPICS, NOT_TOPICS = (1994, None), (("journal", "Q4"), ("other", "preprint")), ("T0", "T1", "T2"), ("T9",)
+
+SEARCH_SQL = f"""
+WITH {SUPPLIERS},
+words AS (SELECT unnest([{", ".join(str(n) for n in range(len(SEARCHES)))}]) AS n, unnest({[[w.lower() for w in some] for some in SEARCHES]}) AS ws),
+college AS (SELECT n_nationkey AS grp, n_name AS college, lower(n_name || ' ' || r_name) AS text FROM nation JOIN region ON n_regionkey = r_regionkey),
+every AS (SELECT s.id, s.grp, first || ' ' || last AS name, s_acctbal FROM s JOIN supplier ON s_suppkey = s.id),
+person AS (SELECT 's' || e.id AS id, e.id AS pos, grp, college, name, CASE WHEN e.id % 3 = 0 THEN '' ELSE 'Professor' END AS title, CASE WHEN e.id % 4 = 0 THEN 'Bergs and rings' ELSE 'gears' END AS interests FROM every e JOIN college USING (grp) WHERE s_acctbal > 3000),
+latest AS (SELECT grp, name, arg_max(id, pos) AS id FROM person GROUP BY 1, 2),
+latest_lower AS (SELECT grp, lower(name) AS name, arg_max(id, pos) AS id FROM person GROUP BY 1, 2),
+wrote AS (SELECT DISTINCT l_orderkey AS k, l_suppkey AS sid, grp, name, s_acctbal > 3000 AS own FROM lineitem JOIN every ON every.id = l_suppkey),
+paper AS (
+  SELECT 'W' || k || '@' || grp AS id, k, grp, CASE WHEN k % 11 = 0 THEN '' ELSE 'On ' || o_orderpriority || ' ' || (k % 200) END AS title, CASE WHEN k % 5 = 0 THEN NULL ELSE 'Venue ' || (k % 30) END AS venue, year(o_orderdate) AS year,
+         CASE k % 3 WHEN 0 THEN 'conference' WHEN 1 THEN 'journal' ELSE CASE k % 4 WHEN 0 THEN 'book' WHEN 1 THEN 'preprint' ELSE 'report' END END AS pub_type, CASE WHEN k % 3 < 2 THEN 'Q' || (k % 4 + 1) END AS ranking
+  FROM (SELECT DISTINCT k, grp FROM wrote WHERE own) JOIN orders ON o_orderkey = k),
+shown AS (SELECT * FROM paper WHERE year >= {YEARS[0]} AND NOT (pub_type = 'journal' AND ranking = 'Q4') AND NOT pub_type = 'preprint' AND k % 7 > 0 AND k % 10 < 9 AND (k % 4 < 3 OR k % 10 < 3)),
+course AS (SELECT 'c' || p_partkey AS id, e.grp, 'C' || p_size AS code, p_name AS name, e.name AS teacher FROM part JOIN every e ON e.id = p_partkey % (SELECT count(*) FROM supplier) + 1),
+all_in AS (SELECT len(list_filter(ws, lambda w: NOT contains(college.text, w))) = 0 AS hit, n, grp, college FROM college, words),
+hit_college AS (SELECT n, grp, college FROM all_in WHERE hit),
+hit_name AS (SELECT n, p.id, p.grp, p.name FROM person p, words WHERE len(list_filter(ws, lambda w: NOT contains(lower(p.name), w))) = 0),
+hit_interest AS (SELECT n, p.id, p.grp FROM person p, words WHERE len(list_filter(ws, lambda w: NOT contains(lower(concat_ws(' ', p.name, nullif(p.title, ''), p.interests, p.college)), w))) = 0 AND (n, p.id) NOT IN (SELECT (n, id) FROM hit_name)),
+hit_title AS (SELECT n, p.id, p.k, p.grp FROM shown p, words WHERE len(list_filter(ws, lambda w: NOT contains(lower(concat_ws(' ', nullif(p.title, ''), p.venue)), w))) = 0),
+-- Names and affiliations of authors are few, so they are searched once each.
+author AS (SELECT n, w.grp AS author_grp, w.name FROM (SELECT DISTINCT grp, name FROM wrote) w JOIN college c USING (grp), words WHERE len(list_filter(ws, lambda x: NOT contains(lower(w.name || ' ' || c.college), x))) = 0),
+own_name AS (SELECT n, w.name FROM (SELECT DISTINCT name FROM wrote WHERE own) w, words WHERE len(list_filter(ws, lambda x: NOT contains(lower(w.name), x))) = 0),
+hit_author AS (SELECT DISTINCT a.n, p.id, p.grp FROM shown p JOIN wrote w ON w.k = p.k JOIN author a ON a.author_grp = w.grp AND a.name = w.name
+  WHERE NOT EXISTS (SELECT 1 FROM wrote m JOIN own_name o ON o.name = m.name WHERE m.k = p.k AND m.grp = p.grp AND m.own AND o.n = a.n)),
+hit_course AS (SELECT n, c.* FROM course c, words WHERE len(list_filter(ws, lambda w: NOT contains(lower(c.code || ' ' || c.name), w))) = 0),
 paths AS (
-  SELECT 's' || id AS id, 'name' AS path FROM hit UNION SELECT 's' || id, 'interests' FROM person WHERE rings AND id % 4 = 0
-  UNION SELECT id, 'title' FROM paper WHERE contains(lower(title), 'berg') AND contains(lower(title), 'a') UNION SELECT id, 'course' FROM course WHERE p_partkey % 9 = 0
-  UNION SELECT paper.id, 'by person' FROM paper JOIN hit ON hit.shown = paper.author AND hit.grp = paper.inst
-  UNION SELECT course.id, 'taught by person' FROM course JOIN hit ON hit.shown = course.teacher AND hit.grp = course.grp)
-SELECT id, list_sort(list(DISTINCT path)) AS paths FROM paths GROUP BY 1
-""")
-def search_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the words "berg" and "a" find among suppliers, orders of some years and parts, and by which paths."""
+  SELECT n, 'college' AS kind, college AS id, 'college' AS path FROM hit_college
+  UNION SELECT n, 'person', p.id, 'member' FROM hit_college JOIN person p USING (grp) UNION SELECT n, 'paper', p.id, 'member' FROM hit_college JOIN shown p USING (grp) UNION SELECT n, 'course', c.id, 'member' FROM hit_college JOIN course c USING (grp)
+  UNION SELECT n, 'person', id, 'name' FROM hit_name UNION SELECT n, 'person', id, 'interests' FROM hit_interest UNION SELECT n, 'paper', id, 'title' FROM hit_title UNION SELECT n, 'paper', id, 'author' FROM hit_author UNION SELECT n, 'course', id, 'course' FROM hit_course
+  UNION SELECT h.n, 'paper', p.id, 'by person' FROM hit_name h JOIN latest_lower l ON l.id = h.id JOIN wrote w ON w.own AND w.grp = l.grp AND lower(w.name) = l.name JOIN shown p ON p.k = w.k AND p.grp = w.grp
+  UNION SELECT h.n, 'course', c.id, 'taught by person' FROM hit_name h JOIN latest l ON l.id = h.id JOIN course c ON c.grp = l.grp AND c.teacher = l.name
+  UNION SELECT h.n, 'person', l.id, 'of a paper' FROM hit_title h JOIN wrote w ON w.own AND w.k = h.k AND w.grp = h.grp JOIN latest l ON l.grp = w.grp AND l.name = w.name
+  UNION SELECT h.n, 'person', l.id, 'of a course' FROM hit_course h JOIN latest l ON l.grp = h.grp AND l.name = h.teacher
+  UNION SELECT n, 'college', college, 'inside' FROM (SELECT n, grp FROM hit_name UNION SELECT n, grp FROM hit_interest UNION SELECT n, grp FROM hit_title UNION SELECT n, grp FROM hit_author UNION SELECT n, grp FROM hit_course) JOIN college USING (grp))
+SELECT n::INT AS search, kind, id, array_to_string(list_sort(list(DISTINCT path)), '|') AS paths FROM paths GROUP BY 1, 2, 3
+"""
+
+
+def directory(spark: SparkSession, sf_dir: str) -> Q.Directory:
+    """Nations as colleges in regions, suppliers in good standing as people, orders as a row for each nation of their people with all authors, parts as courses."""
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    colleges = n.select(F.col("n_name").alias("college"), F.col("r_name").alias("state"))
     s = named(table(spark, sf_dir, "supplier"), "s_suppkey", "s_nationkey").join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), "s_acctbal"), "id")
-    college, name, k = F.col("grp").cast("string"), F.concat_ws(" ", "first", "last"), F.col("id")
-    interests = F.when((F.col("s_acctbal") > 5000) & (k % 4 == 0), "Bergs and rings").otherwise("gears")
-    faculty = s.select(F.concat(F.lit("s"), k.cast("string")).alias("id"), college.alias("college"), name.alias("name"), interests.alias("interests"))
-    w = works(spark, sf_dir).select("id", "title", F.col("publication_year").alias("year"), F.explode("authorships").alias("a"))
-    papers = w.groupBy("id", "title", "year", F.col("a.institutions")[0]["ror"].alias("college")).agg(F.collect_set("a.author.display_name").alias("matched"))
-    teacher = s.select(k.alias("teacher"), college.alias("college"), F.array(name).alias("instructors"))
-    n = table(spark, sf_dir, "supplier").count()
-    courses = table(spark, sf_dir, "part").withColumn("teacher", F.col("p_partkey") % n).join(teacher, "teacher").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"), "college", F.when(F.col("p_partkey") % 9 == 0, F.concat(F.lit("Bergs, a course on "), "p_name")).otherwise(F.translate("p_name", "abcd", "")).alias("name"), "instructors")
-    return jobs.search_directory(faculty, papers, courses, ["Berg", "a"], (1996, 2000))
+    every = s.join(n.select(F.col("n_nationkey").alias("grp"), F.col("n_name").alias("college")), "grp").select("id", "grp", "college", F.concat_ws(" ", "first", "last").alias("name"), (F.col("s_acctbal") > 3000).alias("own"))
+    sid = F.col("id").cast("string")
+    faculty = every.where("own").select(
+        F.concat(F.lit("s"), sid).alias("id"), "college", "name", F.when(F.col("id") % 3 == 0, "").otherwise("Professor").alias("title"),
+        F.when(F.col("id") % 4 == 0, "Bergs and rings").otherwise("gears").alias("interests"), F.col("id").alias("pos"),
+    )
+    wrote = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_suppkey").alias("id")).distinct().join(every, "id")
+    # A row for each college of the paper's people, with its own people; all authors beside it.
+    rows = wrote.where("own").groupBy("k", "grp", "college").agg(F.collect_set("name").alias("matched"))
+    authors = wrote.groupBy("k").agg(F.collect_set(F.struct("name", F.col("college").alias("affiliation"))).alias("authors"))
+    k = F.col("k")
+    kind = F.when(k % 3 == 0, "conference").when(k % 3 == 1, "journal").when(k % 4 == 0, "book").when(k % 4 == 1, "preprint").otherwise("report")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_orderpriority", F.year("o_orderdate").alias("year"))
+    publications = rows.join(authors, "k").join(o, "k").select(
+        F.concat(F.lit("W"), k.cast("string"), F.lit("@"), F.col("grp").cast("string")).alias("id"), "college",
+        F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("On "), "o_orderpriority", F.lit(" "), (k % 200).cast("string"))).alias("title"),
+        F.when(k % 5 != 0, F.concat(F.lit("Venue "), (k % 30).cast("string"))).alias("venue"), "year", kind.alias("pub_type"),
+        F.when(k % 3 < 2, F.concat(F.lit("Q"), (k % 4 + 1).cast("string"))).alias("ranking"),
+        # Some have no topics, some one that is left out.
+        F.when(k % 7 > 0, F.array(F.concat(F.lit("T"), (k % 4).cast("string")), F.concat(F.lit("T"), (k % 10).cast("string")))).alias("subfields"), "matched", "authors",
+    )
+    people = table(spark, sf_dir, "supplier").count()
+    teacher = every.select(F.col("id").alias("teacher"), "college", F.array("name").alias("instructors"))
+    courses = table(spark, sf_dir, "part").withColumn("teacher", F.col("p_partkey") % people + 1).join(teacher, "teacher").select(F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("id"), "college", F.concat(F.lit("C"), F.col("p_size").cast("string")).alias("code"), F.col("p_name").alias("name"), "instructors")
+    return Q.directory(colleges, faculty, publications, courses)
+
+
+def _searches(d: Q.Directory) -> DataFrame:
+    found = [Q.search(d, words, years=YEARS, exclude=HIDDEN, subfields=TOPICS, not_subfields=NOT_TOPICS).select(F.lit(n).alias("search"), "kind", "id", F.array_join("paths", "|").alias("paths")) for n, words in enumerate(SEARCHES)]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(SEARCH_SQL)
+def search_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What several searches find by a look through all texts: by college and region, name, interests, title and venue, outside author and course, under facets, with what hits lead to."""
+    d = directory(spark, sf_dir)
+    return _searches(replace(d, texts=S.staged(d.texts, "search-texts"), edges=S.staged(d.edges, "search-edges"), papers=S.staged(d.papers, "search-papers")))
+
+
+@query(SEARCH_SQL)
+def search_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same searches over a written directory, whose postings of trigrams say which texts to look into."""
+    path = f"{S.shared_dir(spark)}/directory-{uuid.uuid4().hex}"
+    Q.write_directory(directory(spark, sf_dir), path)
+    return _searches(Q.read_directory(spark, path))
 
 
 @query("""

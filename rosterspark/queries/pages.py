@@ -33,7 +33,7 @@ def url_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", X.host(u).alias("host"), X.page_group(u).alias("grp"), X.last_segment(u).alias("last"))
 
 
-#: Two lists of lines without the header and footer that they share (b is cut as the one that is compared with a).
+#: Pairs of a group's first page (a) and another one (b): their lines without the header and footer that they share, and whether they share any.
 PAIRS = """
 , cut AS (
   SELECT *, a[2:6] AS ha, b[2:6] AS hb, list_reverse(a) AS ra, list_reverse(b) AS rb FROM pairs),
@@ -51,8 +51,8 @@ runs AS (
 usable AS (
   SELECT *, len(a) >= 10 AND len(b) >= 10 AND (h_ab OR h_ba OR f_ab OR f_ba) AND NOT (i - 1 + top >= len(a) OR j - 1 + top >= len(b)) AS ok FROM runs),
 trimmed AS (
-  SELECT *, CASE WHEN NOT ok THEN own WHEN mine THEN a[i + top : len(a) - CASE WHEN f_ab OR f_ba THEN fi - 1 + bottom ELSE 0 END]
-         ELSE b[j + top : len(b) - CASE WHEN f_ab OR f_ba THEN fj - 1 + bottom ELSE 0 END] END AS lines FROM usable)
+  SELECT *, CASE WHEN ok THEN a[i + top : len(a) - CASE WHEN f_ab OR f_ba THEN fi - 1 + bottom ELSE 0 END] END AS ref_lines,
+         CASE WHEN NOT ok THEN own ELSE b[j + top : len(b) - CASE WHEN f_ab OR f_ba THEN fj - 1 + bottom ELSE 0 END] END AS lines FROM usable)
 """
 
 
@@ -126,12 +126,14 @@ def page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(rf"""
 WITH l AS (SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)), '^www\.', '') AS host, string_split({VISIBLE}, chr(10)) AS own FROM pages),
-g AS (SELECT host, min(page_id) AS first, arg_min(own, page_id) AS ref, arg_max(own, page_id) AS last FROM l WHERE own IS NOT NULL GROUP BY 1),
-pairs AS (SELECT l.*, page_id = first AS mine, CASE WHEN page_id = first THEN own ELSE ref END AS a, CASE WHEN page_id = first THEN last ELSE own END AS b FROM l JOIN g USING (host) WHERE own IS NOT NULL) {PAIRS}
+g AS (SELECT host, min(page_id) AS first, arg_min(own, page_id) AS ref FROM l WHERE own IS NOT NULL GROUP BY 1),
+pairs AS (SELECT l.*, ref AS a, own AS b FROM l JOIN g USING (host) WHERE own IS NOT NULL AND page_id <> first) {PAIRS},
+firsts AS (SELECT host, arg_min(ref_lines, page_id) AS lines FROM trimmed WHERE ok GROUP BY 1)
 SELECT page_id, host, array_to_string(lines, chr(10)) AS text FROM trimmed
+UNION ALL SELECT g.first, g.host, array_to_string(coalesce(firsts.lines, g.ref), chr(10)) FROM g LEFT JOIN firsts USING (host)
 """)
 def header_footer_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of a host without the lines that they share with its first page at top and bottom."""
+    """Pages of a host without the lines that they share with its first page at top and bottom; the first one as compared with the first that shares any."""
     p = table(spark, sf_dir, "pages").select("page_id", X.host(F.col("url")).alias("host"), F.split(web.visible_text(F.col("html")), "\n").alias("lines")).where("lines is not null")
     return J.trim_shared_edges(p, "host", "page_id", "lines").select("page_id", "host", F.array_join("lines", "\n").alias("text"))
 

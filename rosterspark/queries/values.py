@@ -214,7 +214,7 @@ def best_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best quartile of each journal of several files; curated rows fill in the journals that those lack."""
     size = F.col("p_size")
     journals = table(spark, sf_dir, "part").where(size > 10).select(F.col("p_name").alias("title"), F.when(size % 5 == 4, "-").otherwise(F.concat(F.lit("Q"), (size % 5 + 1).cast("string"))).alias("quartile"), F.col("p_partkey").alias("pos"))
-    main = A.least_by_key(journals, ["title"], "quartile", "pos").select("title", "quartile")
+    main = A.best_by_key(journals, ["title"], "quartile", "pos").select("title", "quartile")
     fillers = table(spark, sf_dir, "part").select(F.col("p_name").alias("title"), F.lit("-").alias("quartile")).distinct()
     return A.with_fillers(main, fillers, ["title"])
 

@@ -14,22 +14,25 @@ from .registry import query, table
 
 
 @query("""
-WITH a AS (SELECT DISTINCT l_orderkey AS paper, l_suppkey AS author, s_nationkey AS inst, c_nationkey AS home FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
-k AS (SELECT s_nationkey AS inst, s_suppkey AS author FROM supplier WHERE s_acctbal > 3000), p AS (SELECT n_nationkey AS inst FROM nation WHERE n_regionkey < 3)
+WITH a AS (SELECT DISTINCT l_orderkey AS paper, l_suppkey AS author, CASE WHEN s_suppkey % 13 = 0 THEN [] WHEN s_suppkey % 5 = 0 THEN [s_nationkey, (s_nationkey + 1) % 25] ELSE [s_nationkey] END AS insts, c_nationkey AS home
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
+k AS (SELECT s_nationkey AS inst, s_suppkey AS author FROM supplier WHERE s_acctbal > 3000), p AS (SELECT list(n_nationkey) AS peers FROM nation WHERE n_regionkey < 3)
 SELECT kind, count(*)::BIGINT AS n, count(DISTINCT paper)::BIGINT AS papers FROM (
-  SELECT a.paper, CASE WHEN a.inst = a.home AND k.author IS NOT NULL THEN 'faculty' WHEN a.inst = a.home THEN 'student' WHEN p.inst IS NOT NULL THEN 'other' ELSE 'external' END AS kind
-  FROM a LEFT JOIN k ON a.inst = k.inst AND a.author = k.author LEFT JOIN p ON a.inst = p.inst) GROUP BY 1
+  SELECT a.paper, CASE WHEN list_contains(insts, home) AND k.author IS NOT NULL THEN 'faculty' WHEN list_contains(insts, home) THEN 'student' WHEN list_has_any(insts, peers) THEN 'other' ELSE 'external' END AS kind
+  FROM a LEFT JOIN k ON a.home = k.inst AND a.author = k.author, p) GROUP BY 1
 """)
 def coauthor_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Authors of an order by their nation against the customer's."""
+    """Authors of an order by their nations (two, one or none) against the customer's."""
     lines, orders = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers, suppliers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), table(spark, sf_dir, "supplier")
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    insts = suppliers.select("s_suppkey", F.when(k % 13 == 0, F.array().cast("array<int>")).when(k % 5 == 0, F.array(n, (n + 1) % 25)).otherwise(F.array(n)).alias("insts"))
     authors = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customers, F.col("o_custkey") == F.col("c_custkey")).join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(F.col("l_orderkey").alias("paper"), F.col("l_suppkey").alias("last"), F.col("s_nationkey").alias("inst"), F.col("c_nationkey").alias("home")).distinct()
+        lines.distinct().join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customers, F.col("o_custkey") == F.col("c_custkey")).join(insts, F.col("l_suppkey") == k)
+        .select(F.col("l_orderkey").alias("paper"), F.col("l_suppkey").alias("last"), "insts", F.col("insts").cast("array<string>").alias("names"), F.col("c_nationkey").alias("home"))
     )
     roster = suppliers.where("s_acctbal > 3000").select(F.col("s_nationkey").alias("inst"), F.col("s_suppkey").alias("last"))
-    peers = table(spark, sf_dir, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("inst"))
+    peers = table(spark, sf_dir, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").cast("string").alias("name"))
     return J.coauthor_classes(authors, "home", peers, roster).groupBy("kind").agg(F.count("*").alias("n"), F.count_distinct("paper").alias("papers"))
 
 

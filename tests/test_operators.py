@@ -72,12 +72,17 @@ def test_scored_match_rules(spark):
 def test_trim_shared_edges(spark):
     head, foot = [f"h{i}" for i in range(6)], [f"f{i}" for i in range(5)]
     p = spark.createDataFrame([("g", 1, head + ["a"] + foot), ("g", 2, head + ["b", "c"] + foot), ("g", 3, ["x", "y"]), ("z", 4, head)], "grp string, page int, lines array<string>")
-    # Page 3 is short: the first page, which is compared with the last of its group, stays whole.
-    assert {r.page: r.lines for r in J.trim_shared_edges(p, "grp", "page", "lines").collect()} == {1: head + ["a"] + foot, 2: ["b", "c"], 3: ["x", "y"], 4: head}
+    # Page 3 is short and shares nothing: the first page is cut by the comparison with page 2.
+    assert {r.page: r.lines for r in J.trim_shared_edges(p, "grp", "page", "lines").collect()} == {1: ["a"], 2: ["b", "c"], 3: ["x", "y"], 4: head}
     # Own titles before the header, which stands at another place in each page.
     offset = [["t1", *head, "a", "a2", *foot], ["t2", "more", *head, "b", *foot], ["t3", *head, "c", "c2", "c3", "c4", "c5"]]
     q = spark.createDataFrame([("g", i, x) for i, x in enumerate(offset)], "grp string, page int, lines array<string>")
-    assert {r.page: r.lines for r in J.trim_shared_edges(q, "grp", "page", "lines").collect()} == {0: ["a", "a2", *foot], 1: ["b"], 2: ["c", "c2", "c3", "c4", "c5"]}
+    assert {r.page: r.lines for r in J.trim_shared_edges(q, "grp", "page", "lines").collect()} == {0: ["a", "a2"], 1: ["b"], 2: ["c", "c2", "c3", "c4", "c5"]}
+    # Pages 1 and 2 share a header, 3 and 4 none with page 1, though 3 and 4 are long.
+    other = lambda x: [f"{x}{i}" for i in range(14)]
+    r = spark.createDataFrame([("g", 1, ["t", *head, *other("a")]), ("g", 3, other("c")), ("g", 4, other("d")), ("g", 2, ["u", *head, *other("b")]), (None, 1, ["t", *head, "x", "y", "z", "w"]), (None, 2, ["t", *head, "p", "q", "r"])], "grp string, page int, lines array<string>")
+    got = {(x.grp, x.page): x.lines for x in J.trim_shared_edges(r, "grp", "page", "lines").collect()}
+    assert got == {("g", 1): other("a"), ("g", 2): other("b"), ("g", 3): other("c"), ("g", 4): other("d"), (None, 1): ["x", "y", "z", "w"], (None, 2): ["p", "q", "r"]}
 
 
 def test_partition_replace_is_idempotent(spark):
@@ -158,7 +163,9 @@ def test_pruning_and_url_mode(spark):
     assert sorted({r.c for r in A.prune_singletons(terms, "g", "c", "y", F.lit(2019), "t").collect()}) == ["C1", "C3"]  # periods count, not years
     assert rows(A.url_mode(d, "g", "c", "u")) == [("g", "per term")]
     ranks = spark.createDataFrame([("j", "Q2", 1), ("j", "Q1", 3), ("j", "Q1", 2), ("j", "-", 0), ("k", "", 1)], "k string, q string, n int")
-    assert rows(A.least_by_key(ranks, ["k"], "q", "n")) == [("j", "Q1", 2)]
+    assert rows(A.best_by_key(ranks, ["k"], "q", "n")) == [("j", "Q1", 2), ("k", "", 1)]
+    dashes = spark.createDataFrame([("j", "", 1), ("j", "-", 2), ("j", "odd", 0)], "k string, q string, n int")
+    assert rows(A.best_by_key(dashes, ["k"], "q", "n")) == [("j", "-", 2)]  # a dash is a value, better than none
 
 
 def test_alignment(spark):

@@ -9,9 +9,10 @@ block is solved by one matrix product and keeps k rows a query; the blocks' resu
 
 How many cells remain depends on the data: of clustered vectors few, of vectors without structure in many dimensions all (see replication()).
 
-Scores are integer inner products of floor(scale * x), computed in float64 while every partial sum is exact there, else in
-Python integers; those beyond a long count as the greatest (least) one. Vectors that are null or hold null or non-finite components take no part, nor do vectors of another length
-than the most common one (the shorter on ties), nor rows without an id. Ties go to the smaller id. Repeated rows (same id, same vector) count once.
+Scores are integer inner products of floor(scale * x), computed in float64 while every partial sum is exact there, for rows with larger numbers in Python
+integers; scores beyond a long count as the greatest (least) one, and such scores rank among each other by id. Every finite vector takes part, whatever
+its size. Vectors that are null or hold null or non-finite components take no part, nor do vectors of another length than the most common one (the shorter
+on ties), nor rows without an id. Ties go to the smaller id. Repeated rows (same id, same vector) count once.
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ from pyspark.sql import functions as F
 from .common import staged
 
 OUT = "query_id long, rank int, vec_id long, score long"
+#: The greatest double.
+MOST = 1.7976931348623157e308
+#: Bytes of an array of rows by pivots that a task holds.
+ARRAY_BYTES = 32 << 20
 #: Up to so many dimensions the summaries hold each dimension's ends, an aggregate each.
 MOST_BOXED = 256
 
@@ -44,13 +49,22 @@ def matrix(v: pd.Series) -> np.ndarray:
     return np.array(v.tolist(), dtype=np.float64).reshape(len(v), -1) if len(v) else np.zeros((0, 0))
 
 
+def whole(x: np.ndarray) -> np.ndarray:
+    """The same numbers as Python integers."""
+    return np.array([[int(v) for v in row] for row in x], dtype=object).reshape(x.shape)
+
+
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers, held within the range of a long."""
-    if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1] < 2**53:
-        return (q @ x.T).astype(np.int64)
-    most = 2**63 - 1
-    exact = [[sum(a * b for a, b in zip(map(int, r), map(int, s), strict=True)) for s in x] for r in q]
-    return np.array([[min(most, max(-most, s)) for s in r] for r in exact], dtype=np.int64)
+    """Exact inner products of whole numbers, held within the range of a long; rows with large numbers are worked out in Python integers."""
+    most, safe = 2**63 - 1, 2.0**26 / math.sqrt(max(1, q.shape[1]))
+    large_q, large_x = np.abs(q).max(axis=1, initial=0) >= safe, np.abs(x).max(axis=1, initial=0) >= safe
+    out = (np.where(large_q[:, None], 0, q) @ np.where(large_x[:, None], 0, x).T).astype(np.int64)
+    held = lambda exact: np.clip(exact, -most, most).astype(np.int64)
+    if large_q.any():
+        out[large_q] = held(whole(q[large_q]) @ whole(x).T)
+    if large_x.any():
+        out[:, large_x] = held(whole(q) @ whole(x[large_x]).T)
+    return out
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -82,7 +96,8 @@ class Cells:
         least = np.minimum(q @ self.centres.T + length * self.radius[None, :], length * self.norm[None, :])
         if self.boxed:
             least = np.minimum(least, np.maximum(q, 0) @ self.high.T + np.minimum(q, 0) @ self.low.T)
-        return least + 1e-9 * (1 + np.abs(least)) + 1e-9 * length * (self.norm + self.radius)[None, :]
+        bound = least + 1e-9 * (1 + np.abs(least)) + 1e-9 * length * (self.norm + self.radius)[None, :]
+        return np.where(np.isnan(bound), np.inf, bound)  # beyond the range of doubles nothing bounds a cell
 
     def copies(self, part: pd.DataFrame, row: np.ndarray, place: np.ndarray) -> pd.DataFrame:
         """A row for each block of the cells that a query goes to."""
@@ -99,9 +114,11 @@ class VoronoiJoin:
     """The rows in their cells, the cells' summaries, and the copies of queries that go to them."""
 
     def __init__(self, vectors: DataFrame, is_query: Column, k: int, scale: float, pivots: int | None, block: int, id_col: str, vector_col: str):
-        v = F.transform("v", lambda x: F.floor(x * F.lit(float(scale))).cast("double"))
+        # From 2**52 on doubles are whole numbers; floor() would hold them within a long. What passes the greatest double counts as that.
+        scaled = lambda x: F.greatest(F.least(x * F.lit(float(scale)), F.lit(MOST)), F.lit(-MOST))
+        v = F.transform("v", lambda x: F.when(F.abs(scaled(x)) < 2.0**52, F.floor(scaled(x)).cast("double")).otherwise(scaled(x)))
         self.k, self.spark = k, vectors.sparkSession
-        data = staged(usable(vectors, id_col, vector_col).select("id", v.alias("v"), is_query.alias("is_query")).where(F.forall("v", lambda x: F.abs(x) < 2.0**62)).dropDuplicates(["id", "v"]), "topk-data")
+        data = staged(usable(vectors, id_col, vector_col).select("id", v.alias("v"), is_query.alias("is_query")).dropDuplicates(["id", "v"]), "topk-data")
         many = pivots or max(64, math.isqrt(data.count()))
         chosen = data.select("id", "v").orderBy(F.xxhash64("id", F.lit("pivot")), "id").limit(many).collect()
         self.empty = not chosen
@@ -110,8 +127,15 @@ class VoronoiJoin:
         centres = np.unique(np.array([r.v for r in chosen]), axis=0)
         norms = (centres**2).sum(axis=1)
 
-        def assign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """Batches so small that an array of their rows by the pivots stays within ARRAY_BYTES."""
+            rows = max(1, ARRAY_BYTES // (8 * len(centres)))
             for part in parts:
+                for at in range(0, len(part), rows):
+                    yield part.iloc[at : at + rows]
+
+        def assign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in cut(parts):
                 x = matrix(part.v)
                 cell = (norms[None, :] - 2 * (x @ centres.T)).argmin(axis=1) if len(x) else np.zeros(0, dtype=int)
                 yield part.assign(cell=cell.astype("i4"), far=np.sqrt(((x - centres[cell]) ** 2).sum(axis=1)) if len(x) else np.zeros(0), norm=np.sqrt((x**2).sum(axis=1)))
@@ -127,12 +151,12 @@ class VoronoiJoin:
         cells = self.cells
 
         def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for part in parts:
+            for part in cut(parts):
                 if len(part):
                     yield cells.copies(part, np.arange(len(part)), cells.best(matrix(part.v)))
 
         def others(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for part in parts:
+            for part in cut(parts):
                 if len(part):
                     q = matrix(part.v)
                     reach = cells.upper(q) >= part.bound.to_numpy()[:, None]

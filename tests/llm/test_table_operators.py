@@ -64,6 +64,25 @@ def test_exact_topk_few_rows_and_large_numbers(spark):
     assert [tuple(r) for r in exact_topk.search(small, F.lit(True)).orderBy("query_id").collect()] == [(1, 1, 2, n * n - 512 * 512), (2, 1, 1, n * n - 512 * 512)]
 
 
+@pytest.mark.parametrize("kind", ["array<float>", "array<double>"])
+def test_exact_topk_keeps_every_finite_vector(spark, kind):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4)]) for i in range(60)]
+    rows += [(100, [3e16, 1.0, 0.0, -1.0]), (101, [3e16, -2.0, 0.5, 0.0]), (102, [1.0, 3e16, 0.0, 0.0]), (103, [-1e30, 1e30, 1.0, 2.0]), (104, [1.5, 1e18, 0.0, 0.0])]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    if kind == "array<double>":
+        rows += [(105, [1e308, 0.0, 0.0, 0.0]), (106, [-1e308, 1.0, 0.0, 0.0])]
+    most = 2**63 - 1
+    scaled = {i: [int(np.floor(np.clip(np.float64(256) * x, -exact_topk.MOST, exact_topk.MOST))) for x in v] for i, v in rows}
+    want = []
+    for q, a in scaled.items():
+        scores = sorted((-max(-most, min(most, sum(x * y for x, y in zip(a, b, strict=True)))), i) for i, b in scaled.items() if i != q)
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:5], 1)]
+    with np.errstate(all="ignore"):
+        got = exact_topk.search(spark.createDataFrame(rows, f"vec_id long, embedding {kind}"), F.lit(True), pivots=8, block=16)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_hilbert_curve_steps_to_neighbours():
     for dims, bits in ((2, 4), (3, 3)):
         cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), axis=-1).reshape(-1, dims)

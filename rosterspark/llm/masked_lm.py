@@ -7,8 +7,7 @@ between. Within a class, the words of the vocabulary (some thousands) have their
 such words times the probability of its spelling, byte after byte. A document's score is the sum of the log-probabilities of all of its
 tokens, each masked in turn.
 
-Words are counted over all documents, and one in `stride` tokens of every document trains, between neighbours that are all read: each of the
-`rounds` takes its part of them. Documents are dealt to shards of about `shard_tokens` tokens by a hash; each shard trains a network of its own in
+Words are counted over all documents, and every token of every document trains once: each of the `rounds` takes its part of them (`stride` can thin them out). Documents are dealt to shards of about `shard_tokens` tokens by a hash; each shard trains a network of its own in
 numpy, from the last round's weights, and Spark averages the networks by their tokens. So what is gathered grows with the corpus, a model depends on
 the documents alone and not on Spark's partitions, and network and vocabulary, the only things that are broadcast or reach the driver, have a fixed size.
 """
@@ -236,7 +235,7 @@ def shards(docs: DataFrame, words: list[str], buckets: int, tokens: int, shard_t
     return staged(packed.repartition(min(many, 3 * spark.sparkContext.defaultParallelism)), "lm-shards")
 
 
-def learn(docs: DataFrame, frequent: int = 95, buckets: int = 32, hidden: int = 16, stride: int = 2, rounds: int = 3, rate: float = 0.1, seed: int = 3, size: int = 8192, shard_tokens: int = 1 << 20) -> tuple[list[str], np.ndarray]:
+def learn(docs: DataFrame, frequent: int = 95, buckets: int = 32, hidden: int = 16, stride: int = 1, rounds: int = 3, rate: float = 0.1, seed: int = 3, size: int = 8192, shard_tokens: int = 1 << 20) -> tuple[list[str], np.ndarray]:
     """Vocabulary and network weights. Null texts teach nothing; repeated rows count as often as they stand there.
 
     A shard is held by one task: about a byte for each of shard_tokens tokens, whatever the corpus.

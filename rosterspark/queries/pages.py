@@ -10,11 +10,11 @@ from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators import filters as P
 from ..operators import joins as J
-from ..sources import web
+from ..sources import markup, web
 from .registry import query, table
 
 
-#: SQL of web.visible_text over the column html. The tables' pages hide nothing by an attribute.
+#: SQL of web.visible_text over the column html, for pages like those of the tables, which hide nothing by an attribute.
 _SPACE = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 _SHOWN = "regexp_replace(regexp_replace(html, '(?is)<!--.*?-->|" + "|".join(rf"<{t}\b.*?</{t}\s*>" for t in ("script", "style", "noscript", "template", "head")) + "', '', 'g'), '<[^>]+>', chr(10), 'g')"
 _UNESCAPED = "x"
@@ -152,3 +152,49 @@ def largest_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tag_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with a title, and their characters outside of tags."""
     return table(spark, sf_dir, "pages").select("page_id", (F.regexp_extract("html", "<title>(.*?)</title>", 1) != "").alias("titled"), F.length(F.regexp_replace("html", "<[^>]+>", "")).alias("chars"))
+
+
+_LIST = "list_transform(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1), lambda x: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '\\s+', ' ', 'g')))"
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose list items stand in a table inside a table: cells that span, rows and cells without end tags, a hidden row, a script."""
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract_all("html", F.lit("(?is)<li[^>]*>(.*?)</li>"), 1).alias("items"))
+    inner = F.array_join(F.transform("items", lambda x, i: F.concat(F.lit("<tr><td>"), x, F.lit("<td>n"), i.cast("string"))), "")
+    key = F.col("page_id").cast("string")
+    html = F.concat(
+        F.lit("<body><table><tr><th colspan=2>Head</th><th rowspan='3'>Side</th></tr><tr hidden><td>gone<table><tr><td>gone</table></tr><tr><td>A<td>B<tr><td>"), key, F.lit("</td><td>at <b>once</b> <table class=\"<td>\">"), inner,
+        F.lit("</table> after</td><td>end</td></tr></table><script>var x = '<table><tr><td>no</td></tr></table>'</script><table><tr><td>last"),
+    )
+    return p.select("page_id", html.alias("html"))
+
+
+@query(f"""
+WITH p AS (SELECT page_id, {_LIST} AS items FROM pages),
+i AS (SELECT page_id, unnest(items) AS item, generate_subscripts(items, 1) - 1 AS n FROM p),
+whole AS (SELECT page_id, trim(regexp_replace('at once ' || coalesce(string_agg(item || ' n' || n, ' ' ORDER BY n), '') || ' after', '\\s+', ' ', 'g')) AS text FROM p LEFT JOIN i USING (page_id) GROUP BY 1)
+SELECT page_id, 0 AS "table", 0 AS "row", 'Head|Head|Side' AS cells FROM p UNION ALL SELECT page_id, 0, 1, 'A|B|Side' FROM p
+UNION ALL SELECT page_id, 0, 2, page_id || '|' || text || '|Side|end' FROM whole UNION ALL SELECT page_id, 1, n, item || '|n' || n FROM i
+UNION ALL SELECT page_id, 2, 0, 'last' FROM p
+""")
+def table_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of nested tables, with spanning cells in every column that they cover."""
+    out = markup.grid(markup.tables(_tables(spark, sf_dir), "page_id", "html"), "page_id")
+    return out.select("page_id", "table", "row", F.array_join("cells", "|").alias("cells"))
+
+
+@query(f"""
+WITH p AS (SELECT page_id, {_LIST} AS items FROM pages), i AS (SELECT page_id, unnest(items) AS item, generate_subscripts(items, 1) - 1 AS n FROM p)
+SELECT page_id, 2 AS "row", 1 AS "col", string_agg(CASE WHEN item <> '' THEN item || ' ' ELSE '' END || 'n' || n, '; ' ORDER BY n) AS joined FROM i GROUP BY 1
+""")
+def nested_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What tables inside cells hold, row by row in one text."""
+    return markup.inner_rows(markup.tables(_tables(spark, sf_dir), "page_id", "html"), "page_id").select("page_id", "row", "col", "joined")
+
+
+@query(f"SELECT page_id, {VISIBLE} AS text FROM (SELECT page_id, replace(html, '<article>', '<article><a>link</a> <p>shown</p>') AS html FROM pages)")
+def hidden_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of pages with hidden parts that nest, links and classes that only speak of hiding, and an input that is hidden."""
+    more = "<article><div hidden><div>a</div>b<br>c</div><p style=\"color: red; DISPLAY : none\"><b>d</b></p><a href=\"/hidden/x\" title=\"a > b\">link</a><input type=hidden><p class=hidden aria-hidden=true>shown</p><!-- <p>e</p> -->"
+    pages = table(spark, sf_dir, "pages").select("page_id", F.replace("html", F.lit("<article>"), F.lit(more)).alias("html"))
+    return pages.select("page_id", markup.visible_text(F.col("html")).alias("text"))

@@ -7,16 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACES, collapse, first_of_each, plain_text, unescape
+from ..functions.text import collapse, first_of_each, plain_text
+from .markup import row_lists, visible_text  # noqa: F401  what a page shows belongs to this module's readers too
 
 
-def visible_text(html: Column) -> Column:
-    """Text outside of scripts, styles, comments and hidden parts, a line for each text node; null without a body."""
-    c = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>", "")
-    c = F.regexp_replace(c, r"(?is)<(\w+)[^>]*(?:\bhidden\b|display:\s*none)[^>]*>.*?</\1\s*>", "")
-    lines = F.transform(F.split(F.regexp_replace(c, "<[^>]+>", "\n"), "\n"), lambda x: F.trim(F.regexp_replace(unescape(x), SPACES, " ")))
-    return F.when(html.rlike("(?i)<body"), F.array_join(F.filter(lines, lambda x: x != ""), "\n"))
-
 
 def cells(df: DataFrame, page: str, html: str, pattern: str = r"(?is)<t[dh][^>]*>(.*?)</t[dh]>") -> DataFrame:
     """page, pos, cell: the pieces that the pattern's group finds, as text."""
@@ -24,10 +18,8 @@ def cells(df: DataFrame, page: str, html: str, pattern: str = r"(?is)<t[dh][^>]*
 
 
 def table_rows(df: DataFrame, page: str, html: str, least: int = 1) -> DataFrame:
-    """page, pos, cells: rows of tables with at least so many cells."""
-    rows = df.select(page, F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)).alias("pos", "row"))
-    found = F.transform(F.regexp_extract_all("row", F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1), plain_text)
-    return rows.select(page, "pos", found.alias("cells")).where(F.size("cells") >= least)
+    """page, pos, cells: rows of tables, nested ones too, with at least so many cells of their own."""
+    return df.select(page, F.posexplode(row_lists(F.col(html))).alias("pos", "cells")).where(F.size("cells") >= least)
 
 
 def metrics(df: DataFrame, page: str, html: str) -> DataFrame:

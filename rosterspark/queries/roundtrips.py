@@ -11,7 +11,7 @@ from pyspark.sql import types as Ty
 from ..operators import reshape as R
 from ..operators import tables as S
 from ..sources import records, tabular, web
-from ..streaming import ingest
+from ..streaming import ingest, keyed
 from .registry import query, table
 
 
@@ -175,19 +175,30 @@ def reprocess_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = folder(spark, "reprocess")
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
     state = e.select("user_id").distinct().select("user_id", F.when(F.col("user_id") % 4 == 0, "manual_approved").otherwise("").alias("status"), F.lit(None).cast("long").alias("result"))
-    state.write.parquet(f"{root}/state-0")
+    keyed.write_state(state, f"{root}/state", ["user_id"], 8)
     arrived = e.where("event_type = 'purchase'").select("user_id", F.lit("matched").alias("status"), F.col("event_id").alias("result"), (F.col("event_id") % 3).alias("part"))
-    version = [0]
-
-    def write(df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{root}/state-{version[0] + 1}")
-        version[0] += 1
-
     for part in range(3):
         arrived.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema("user_id long, status string, result long").parquet(f"{root}/in")
-        ingest.reprocess_stream(stream, lambda: spark.read.parquet(f"{root}/state-{version[0]}"), write, f"{root}/checkpoint", ["user_id"], "status", ["result"], "result")
-    return spark.read.parquet(f"{root}/state-{version[0]}")
+        keyed.reprocess_stream(stream, f"{root}/state", f"{root}/checkpoint", ["user_id"], "status", ["result"], "result", 8)
+    return spark.read.parquet(f"{root}/state").drop(keyed.BUCKET)
+
+
+@query("""
+WITH v AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_id % 10 = 0 THEN 3 WHEN event_id % 5 = 0 THEN 2 ELSE 1 END AS version FROM events)
+SELECT day, count(*)::BIGINT AS rows, sum(version)::BIGINT AS versions, sum(event_id)::BIGINT AS total, 1::BIGINT AS files FROM v GROUP BY 1
+""")
+def keyed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by day from a stream of files in which some come two or three times, each time as a later version, not in order; rows, versions and files of every day of the table."""
+    root = folder(spark, "keyed")
+    versions = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(3), F.lit(1), F.lit(2))).when(F.col("event_id") % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    events = table(spark, sf_dir, "events").select("event_id", "ts", F.explode(versions).alias("version"))
+    events.repartition(6, "event_id", "version").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    for _ in range(2):  # the second run finds nothing new
+        keyed.merge_stream(stream, f"{root}/table", f"{root}/checkpoint", ["day"], ["event_id"], "version", derive=lambda df: df.withColumn("day", F.date_format("ts", "yyyy-MM-dd")))
+    out = spark.read.schema("event_id long, ts timestamp, version int, day string").parquet(f"{root}/table").withColumn("file", F.col("_metadata.file_path"))
+    return out.groupBy("day").agg(F.count("*").alias("rows"), F.sum("version").alias("versions"), F.sum("event_id").alias("total"), F.count_distinct("file").alias("files"))
 
 
 PARSED = """

@@ -47,16 +47,6 @@ def reprocess(state: DataFrame, arrived: DataFrame, keys: Sequence[str], status:
     return joined.select(*[updated[c].alias(c) if c in updated else F.col(c) for c in state.columns])
 
 
-def reprocess_stream(stream: DataFrame, read: Callable[[], DataFrame], write: Callable[[DataFrame, int], None], checkpoint: str, keys: Sequence[str], status: str, columns: Sequence[str], order: str) -> None:
-    """Results that arrive as a stream go into the state table batch by batch; of several results of a key in a batch the last by `order` counts."""
-
-    def handle(df: DataFrame, batch: int) -> None:
-        latest = df.groupBy(*keys).agg(F.max_by(F.struct(status, *columns), order).alias("r")).select(*keys, "r.*")
-        write(reprocess(read(), latest, keys, status, columns), batch)
-
-    run_available(stream, handle, checkpoint)
-
-
 def event_files(spark: SparkSession, sf_dir: str, root: str, files: int = 6) -> DataFrame:
     """A stream over the events, dealt to files by their ids, a file a batch."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")

@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -141,20 +142,27 @@ class Network:
         """One pass of stochastic gradient steps, scaled by each weight's past gradients, which are returned."""
         past = past or [np.full_like(p, 1e-3) for p in (self.tables, self.bias, self.out, self.prior)]
         order = np.random.default_rng(seed).permutation(len(windows))
-        one = np.eye(len(self.prior), dtype=np.float32)
         for at in range(0, len(order), batch):
-            w = windows[order[at : at + batch]].astype(np.int64)
-            context, target = w[:, [0, 1, 3, 4]].T, w[:, 2]
+            w = windows[order[at : at + batch]]
+            context, target = [w[:, k] for k in (0, 1, 3, 4)], w[:, 2].astype(np.int64)
             h = self.hidden(context)
-            p = h @ self.out + self.prior
-            p -= p.max(axis=1, keepdims=True)
+            p = h @ self.out
+            p += self.prior
+            # As in log_probabilities(): only beyond this bound exp() could overflow.
+            if (np.abs(self.out).sum(axis=0) + np.abs(self.prior)).max() > 80:
+                p -= p.max(axis=1, keepdims=True)
             np.exp(p, out=p)
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(target)), target] -= 1
-            p /= len(target)
+            p *= (1 / (len(target) * (p @ np.ones(p.shape[1], dtype=np.float32))))[:, None]
+            p[np.arange(len(target)), target] -= np.float32(1 / len(target))
             back = (p @ self.out.T) * (1 - h * h)
-            tables = np.stack([one[c].T @ back for c in context])
-            for weight, slope, seen in zip((self.tables, self.bias, self.out, self.prior), (tables, back.sum(axis=0), h.T @ p, p.sum(axis=0)), past, strict=True):
+            tables = np.zeros_like(self.tables)
+            for k, c in enumerate(context):
+                # Rows of one class stand together, so that each class is one sum; sorting bytes takes a pass.
+                near = np.argsort(c, kind="stable")
+                found = c[near]
+                starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+                tables[k][found[starts]] = np.add.reduceat(back[near], starts, axis=0)
+            for weight, slope, seen in zip((self.tables, self.bias, self.out, self.prior), (tables, back.sum(axis=0), h.T @ p, np.ones(len(p), dtype=np.float32) @ p), past, strict=True):
                 seen += slope * slope
                 weight -= rate * slope / np.sqrt(seen)
         return past
@@ -288,7 +296,7 @@ def score(docs: DataFrame, words: list[str], weights: np.ndarray, frequent: int
                     own = Reader(sent.value[0], buckets)
                 texts = [(t or "").lower().split() for t in part.column(1).to_pylist()]
                 sizes = np.array([len(t) for t in texts])
-                read = np.fromiter((own[w] for t in texts for w in t), dtype=np.int64, count=sizes.sum())
+                read = np.fromiter(map(own.__getitem__, chain.from_iterable(texts)), dtype=np.int64, count=sizes.sum())
                 starts = REACH + np.cumsum(sizes + REACH) - sizes - REACH
                 held = np.arange(len(read)) + np.repeat(REACH * np.arange(1, len(texts) + 1), sizes)
                 flat, each = np.zeros(len(read) + REACH * (len(texts) + 1), dtype=np.uint8), np.zeros(len(read) + REACH * (len(texts) + 1) + 1)

@@ -100,22 +100,6 @@ def gap_fill(c: Column, other: Column) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), other)
 
 
-CODE_GRAMMARS = (
-    r"^([A-Z]{2,5})[-*\s]?(\d{4})([A-Z])(?:-\w+)?$",  # CSCI0145A-F25
-    r"^([A-Z]{2,5})[-*\s.]?(\d{2,4}[A-Z]?)[-*.\s]+([A-Z]?\d{1,3}[A-Z]?|[A-Z])$",  # CSC-201-01, COMP*121-01, CSCI 201.001
-    r"^([A-Z]{2,5})[-*\s]?(\d{2,4})()$",  # COSC120
-)
-
-
-def split_code(c: Column, grammars: Sequence[str] = CODE_GRAMMARS) -> Column:
-    """struct(code, section): the first grammar that fits; a lone L is Lab; else the whole string as code."""
-    out = F.struct(F.trim(c).alias("code"), F.lit("").alias("section"))
-    for g in reversed(grammars):
-        section = F.regexp_extract(c, g, 3)
-        out = F.when(c.rlike(g), F.struct(F.concat(F.regexp_extract(c, g, 1), F.lit(" "), F.regexp_extract(c, g, 2)).alias("code"), F.when(section == "L", "Lab").otherwise(section).alias("section"))).otherwise(out)
-    return out
-
-
 def pad_digits(c: Column, n: int) -> Column:
     """Leading zeros before a number (and its letter) up to n digits."""
     digits = F.regexp_extract(c, r"^(\d+)", 1)
@@ -151,15 +135,6 @@ def term_label(year: Column, term: Column) -> Column:
     return F.when(term == "", F.concat(start, F.lit("-"), end)).otherwise(F.concat(term, F.when(term.isin("W", "S", "Su"), end).otherwise(start)))
 
 
-def parse_term(label: Column) -> Column:
-    """struct(year, term) of "Fall 2026", "2026 Spring" or "Spring 2026-27": a fall begins its year, other terms end it."""
-    low = F.lower(label)
-    term = F.when(low.rlike("fall|autumn"), "F").when(low.rlike("winter|january|jan term|j-term"), "W").when(F.contains(low, F.lit("spring")), "S").when(F.contains(low, F.lit("summer")), "Su")
-    span, single = F.regexp_extract(low, r"((?:19|20)\d{2})\s*[-/]\s*(?:20)?\d{2}", 1), F.regexp_extract(low, r"((?:19|20)\d{2})", 1)
-    start = F.when(span != "", span.try_cast("int")).when(term == "F", single.try_cast("int")).otherwise(single.try_cast("int") - 1)
-    return F.when(term.isNotNull() & (single != ""), F.struct(academic_year(start).alias("year"), term.alias("term")))
-
-
 def _clock(h: Column, m: Column) -> Column:
     return F.concat(F.lpad(h.cast("string"), 2, "0"), F.lit(":"), F.lpad(m.cast("string"), 2, "0"))
 
@@ -170,9 +145,9 @@ def _parts(c: Column) -> tuple[Column, Column, Column]:
 
 
 def to_24h(c: Column) -> Column:
-    """12:40 PM as 12:40, 1 pm as 13:00; null if it is no time."""
+    """12:40 PM as 12:40, 1 pm as 13:00; null if it is no time, as 25:00, 9:75 am or 13:00 pm aren't."""
     h, m, half = _parts(c)
-    return F.when(h.isNotNull(), _clock(F.when((half == "p") & (h < 12), h + 12).when((half == "a") & (h == 12), 0).otherwise(h), m))
+    return F.when((m < 60) & F.when(half == "", h < 24).otherwise(h.between(1, 12)), _clock(F.when((half == "p") & (h < 12), h + 12).when((half == "a") & (h == 12), 0).otherwise(h), m))
 
 
 def military_to_12h(c: Column) -> Column:
@@ -220,10 +195,16 @@ def days_from_flags(flags: Sequence[Column], names: Sequence[str] = WEEK) -> Col
     return F.concat_ws("", *[F.when(f, n) for f, n in zip(flags, names, strict=False)])
 
 
+DAY_TOKEN = r"(?:mon|tues|wednes|thurs|fri|satur|sun)days?|tues|thurs?|mon|tue|wed|thu|fri|sat|sun|mo|tu|we|th|fr|sa|su|[mtwrfsu]"
+_DAY_NAME = r"(?i)\b((?:mon|tues|wednes|thurs|fri|satur|sun)days?|mon|tues?|wed|thu(?:rs?)?|fri|sat|sun)\b"
+
+
 def days_from_text(c: Column) -> Column:
-    """MoWeFr or names of days as M T W R F S U letters in the order given."""
-    table = F.create_map(*[F.lit(x) for pair in zip(("mo", "tu", "we", "th", "fr", "sa", "su"), WEEK, strict=True) for x in pair])
-    return F.array_join(F.transform(F.regexp_extract_all(F.lower(c), F.lit("(mo|tu|we|th|fr|sa|su)[a-z]*?(?=mo|tu|we|th|fr|sa|su|[^a-z]|$)"), 1), lambda d: F.element_at(table, d)), "")
+    """Days as M T W R F S U letters in the order given: letters (MWF), pairs (MoWeFr, TTh), names, with or without separators; of other texts the names of days in them, else blank."""
+    table = F.create_map(*[F.lit(x) for pair in [*zip(("mo", "tu", "we", "th", "fr", "sa", "su"), WEEK, strict=True), *((d.lower(), d) for d in WEEK)] for x in pair])
+    letters = lambda found: F.array_join(F.transform(found, lambda d: F.element_at(table, F.substring(F.lower(d), 1, 2))), "")
+    whole = c.rlike(rf"(?i)^[\s,;/&.\-]*(?:(?:{DAY_TOKEN})(?:and|[\s,;/&.\-])*)+$")
+    return F.when(whole, letters(F.regexp_extract_all(F.regexp_replace(c, "(?i)\\band\\b", " "), F.lit(f"(?i)({DAY_TOKEN})"), 1))).otherwise(letters(F.regexp_extract_all(c, F.lit(_DAY_NAME), 1)))
 
 
 def days_from_mask(c: Column) -> Column:

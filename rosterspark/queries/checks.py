@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields as X
+from ..functions import grammars as G
 from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators import filters as P
@@ -104,7 +105,7 @@ def publication_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def code_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes and sections put together and split again."""
     written = F.concat(F.substring(F.upper("p_type"), 1, 4), F.lit("-"), X.pad_digits(F.col("p_size").cast("string"), 3), F.lit("-"), F.lpad((F.col("p_partkey") % 30).cast("string"), 2, "0"))
-    return table(spark, sf_dir, "part").select("p_partkey", X.split_code(written).alias("s")).select("p_partkey", "s.code", "s.section")
+    return table(spark, sf_dir, "part").select("p_partkey", G.split_code(written).alias("s")).select("p_partkey", "s.code", "s.section")
 
 
 @query("SELECT o_custkey, max(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS F, max(o_totalprice) FILTER (WHERE o_orderstatus = 'O') AS O FROM orders GROUP BY 1")
@@ -139,3 +140,64 @@ def venue_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "part").select("p_name").distinct()
     venue = F.concat(F.lit("Proceedings of the 2nd ACM "), "p_name")
     return names.select("p_name", F.lit("PROCEEDINGS").alias("kind"), F.array_sort(T.title_tokens(venue, T.ORDINAL_ONLY)).alias("tokens"))
+
+
+@query("""
+WITH p AS (SELECT p_partkey, p_size, p_partkey % 1000 AS n, lpad((p_partkey % 1000)::VARCHAR, 3, '0') AS d, chr((65 + p_size % 20)::INT) AS x, p_partkey % 9 AS kind FROM part)
+SELECT p_partkey, CASE kind WHEN 0 THEN 'CSC-' || d WHEN 1 THEN 'CSC ' || d WHEN 2 THEN 'CSC ' || d WHEN 3 THEN 'CSC ' || d || x WHEN 4 THEN 'CS ' || d WHEN 5 THEN 'CSC ' || d WHEN 6 THEN 'CSCI ' || d WHEN 7 THEN 'CPS ' || d ELSE 'CMSCH' || d END AS code,
+  CASE kind WHEN 0 THEN '0' || p_size WHEN 1 THEN 'B' || p_size WHEN 2 THEN x WHEN 3 THEN p_size::VARCHAR WHEN 4 THEN '00' || (p_size % 10) WHEN 5 THEN '' WHEN 6 THEN CASE WHEN p_size % 2 = 0 THEN x ELSE '' END
+    WHEN 7 THEN CASE WHEN p_size % 3 = 0 THEN 'Lab' WHEN x = 'L' THEN 'Lab' ELSE x END ELSE '00' || x END AS section FROM p
+""")
+def codes_by_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Course codes as nine kinds of sources write them, split by the style of each."""
+    k, d, size = F.col("p_partkey"), F.lpad((F.col("p_partkey") % 1000).cast("string"), 3, "0"), F.col("p_size").cast("string")
+    x = F.char(65 + F.col("p_size") % 20)
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    written = [
+        ("dashed", text("CSC-", d, "-0", size)), ("starred", text("CSC*", d, "*B", size)), ("named", text("CSC-", d, "-", x)), ("spaced", text(" CSC ", d, x, "  ", size)), ("dotted", text("CS ", d, " .00", (F.col("p_size") % 10).cast("string"))),
+        ("joined", text("CSC", d, " ")), ("dated", text("CSCI", d, F.when(F.col("p_size") % 2 == 0, x).otherwise(""), "-F25")), ("lettered", text("CPS", d, " ", F.when(F.col("p_size") % 3 == 0, "l").otherwise(x))), ("registered", text("CMSCH", d, "00", x)),
+    ]
+    pick = F.element_at(F.array(*[F.struct(F.lit(s).alias("style"), w.alias("written")) for s, w in written]), (k % 9 + 1).cast("int"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", pick.alias("p")).select("p_partkey", "p.*")
+    split = G.by_style(F.col("style"), [s for s, _ in written], lambda s: G.split_code(F.col("written"), s))
+    return rows.select("p_partkey", split.alias("s")).select("p_partkey", "s.code", "s.section")
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, o_orderkey % 8 AS kind, year(o_orderdate)::INT AS y FROM orders),
+s AS (SELECT *, CASE WHEN kind IN (0, 3, 6) THEN y ELSE y - 1 END AS start, ['F', 'W', 'S', 'F', 'S', 'Su', 'F', 'Su'][kind + 1] AS term FROM o)
+SELECT o_orderkey, start || '-' || lpad(((start + 1) % 100)::VARCHAR, 2, '0') AS year, term, CASE term WHEN 'F' THEN start || '90' WHEN 'W' THEN (start + 1) || '10' WHEN 'S' THEN (start + 1) || '20' ELSE (start + 1) || '65' END AS code,
+  start || '-' || lpad(((start + 1) % 100)::VARCHAR, 2, '0') || ' ' || term AS back FROM s
+""")
+def terms_by_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of order dates as eight kinds of sources write them, read by the style of each, as a provider's codes and back."""
+    k, y = F.col("o_orderkey"), F.year("o_orderdate")
+    s, before, two = y.cast("string"), (y - 1).cast("string"), lambda n: F.lpad((n % 100).cast("string"), 2, "0")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    written = [
+        ("any", text("Fall Term ", s)), ("any", text(s, " - Interim")), ("two terms", text("Winter ", before, "-", s)), ("church", text("Advent ", s)), ("church", text("Easter Semester ", s)), ("short", text("SUM1 ", s)),
+        ("any", text("term term-Fall", s)), ("any", text(before, "/", two(y), " Maymester")),
+    ]
+    pick = F.element_at(F.array(*[F.struct(F.lit(st).alias("style"), w.alias("written")) for st, w in written]), (k % 8 + 1).cast("int"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", pick.alias("p")).select("o_orderkey", "p.*")
+    read = G.by_style(F.col("style"), sorted({st for st, _ in written}), lambda st: G.parse_term(F.col("written"), st))
+    coded = G.once(read, lambda t: F.struct(t["year"].alias("year"), t["term"].alias("term"), G.term_code(t["year"], t["term"], "tens").alias("code")))
+    back = lambda code: G.once(G.parse_term_code(code, "tens"), lambda t: F.concat(t["year"], F.lit(" "), t["term"]))
+    return rows.select("o_orderkey", G.once(coded, lambda t: F.struct(t["year"].alias("year"), t["term"].alias("term"), t["code"].alias("code"), back(t["code"]).alias("back"))).alias("r")).select("o_orderkey", "r.*")
+
+
+@query("""
+WITH e AS (SELECT event_id, isodow(ts)::INT AS d, event_id % 7 AS kind FROM events)
+SELECT event_id, CASE WHEN kind = 6 THEN '' WHEN kind = 5 THEN substr('MTWRFSU', d, 1) WHEN d = 1 THEN 'MW' WHEN d = 2 THEN 'TR' WHEN d = 3 THEN 'MWF' WHEN d = 4 THEN 'R' WHEN d = 5 THEN 'TF' WHEN d = 6 THEN 'SU' ELSE 'MTWRF' END AS days FROM e
+""")
+def day_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of events as letters, pairs, names, lists, masks and in a sentence; what names no day is blank."""
+    spelled = [
+        ("MW", "MoWe", "Monday, Wednesday", "M, W", ".M.W..."), ("TTh", "TuTh", "Tuesday/Thursday", "T, Th", "..T.R.."), ("MWF", "MoWeFr", "Mon Wed & Fri", "M/W/F", ".M.W.F."), ("R", "Th", "Thursdays", "Thu", "....R.."),
+        ("TF", "TuFr", "tues and fri", "t; f", "..T..F."), ("SaSu", "SaSu", "Saturday-Sunday", "Sat, Sun", "S.....U"), ("MTWThF", "MoTuWeThFr", "Mon., Tue., Wed., Thurs., Fri.", "m t w r f", ".MTWRF."),
+    ]
+    table_ = F.array(*[F.array(*[F.lit(x) for x in some]) for some in spelled])
+    d, kind = F.weekday("ts") + 1, F.col("event_id") % 7
+    sentence = F.concat(F.lit("meets on "), F.date_format("ts", "EEEE"), F.lit(" at most"))
+    text = F.when(kind == 6, "TBA").when(kind == 5, sentence).otherwise(F.element_at(F.element_at(table_, d), (F.least(kind, F.lit(4)) + 1).cast("int")))
+    return table(spark, sf_dir, "events").select("event_id", G.by_style(F.when(kind == 4, "mask"), ["mask"], lambda s: G.days(text, s)).alias("days"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields as X
+from ..functions import grammars as G
 from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators import filters as P
@@ -98,7 +99,7 @@ def term_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
     s = y.cast("string")
     label = by_rest(F.col("o_orderkey"), text("Fall ", s), text(s, " January Term"), text("SUMMER ", s), text("Spring ", s, "-", F.lpad(((y + 1) % 100).cast("string"), 2, "0")), text("Term ", s))
-    parsed = X.parse_term(label)
+    parsed = G.parse_term(label)
     return table(spark, sf_dir, "orders").select("o_orderkey", F.when(parsed.isNotNull(), F.concat(parsed["year"], F.lit(" "), parsed["term"])).alias("parsed"))
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterspark.functions import fields as X
+from rosterspark.functions import grammars as G
 from rosterspark.functions import text as T
 from rosterspark.operators import filters as P
 
@@ -99,11 +100,11 @@ CASES = [
     (lambda: X.page_group(S("https://www.x.example/people/ada/index.html")), "x.example/people"),
     (lambda: X.first_listed(S("['https://a.example', 'b']")), "https://a.example"),
     (lambda: X.first_listed(S("[broken")), None),
-    (lambda: X.split_code(S("CPS121 L")), ("CPS 121", "Lab")),
-    (lambda: X.split_code(S("CSCI0145A-F25")), ("CSCI 0145", "A")),
-    (lambda: X.split_code(S("CSCI 201.001")), ("CSCI 201", "001")),
-    (lambda: X.split_code(S("CSC-201-01")), ("CSC 201", "01")),
-    (lambda: X.split_code(S("COSC120")), ("COSC 120", "")),
+    (lambda: G.split_code(S("CPS121 L")), ("CPS 121", "Lab")),
+    (lambda: G.split_code(S("CSCI0145A-F25")), ("CSCI 0145", "A")),
+    (lambda: G.split_code(S("CSCI 201.001")), ("CSCI 201", "001")),
+    (lambda: G.split_code(S("CSC-201-01")), ("CSC 201", "01")),
+    (lambda: G.split_code(S("COSC120")), ("COSC 120", "")),
     (lambda: X.pad_digits(S("5L"), 3), "005L"),
     (lambda: X.academic_year(S(2025)), "2025-26"),
     (lambda: X.academic_year(S(1999)), "1999-00"),
@@ -111,10 +112,10 @@ CASES = [
     (lambda: X.term_label(S("2021-22"), S("S")), "S22"),
     (lambda: X.term_label(S("2021-22"), S("F")), "F21"),
     (lambda: X.term_label(S("2021-22"), S("")), "21-22"),
-    (lambda: X.parse_term(S("Fall 2026")), ("2026-27", "F")),
-    (lambda: X.parse_term(S("Spring 2027")), ("2026-27", "S")),
-    (lambda: X.parse_term(S("Spring 2026-27")), ("2026-27", "S")),
-    (lambda: X.parse_term(S("whenever")), None),
+    (lambda: G.parse_term(S("Fall 2026")), ("2026-27", "F")),
+    (lambda: G.parse_term(S("Spring 2027")), ("2026-27", "S")),
+    (lambda: G.parse_term(S("Spring 2026-27")), ("2026-27", "S")),
+    (lambda: G.parse_term(S("whenever")), None),
     (lambda: X.to_24h(S("12:40 PM")), "12:40"),
     (lambda: X.to_24h(S("12:05 am")), "00:05"),
     (lambda: X.to_24h(S("noon")), None),

@@ -17,6 +17,9 @@ COLUMNS = {
     8: {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
     9: {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
     10: {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    11: {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+    12: {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
+    13: {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
 }
 
 
@@ -31,10 +34,10 @@ def test_columns_and_rows(spark, name):
     df = QUERIES[name](spark, SF)
     kinds = dict(df.dtypes)
     assert COLUMNS[n].items() <= kinds.items()
-    table = {1: "pages", 2: None, 8: None}.get(n, "documents")
+    table = {1: "pages", 2: None, 8: None, 13: None}.get(n, "documents")
     if table:
         assert df.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
 def test_registered():
-    assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries()) and len(QUERIES) == 10
+    assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries()) and len(QUERIES) == 13

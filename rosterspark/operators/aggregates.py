@@ -122,6 +122,28 @@ def mark_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
     return df.withColumn("repeated", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) > 1)
 
 
+def candidate_scores(items: DataFrame, page: str, candidate: str, place: str) -> DataFrame:
+    """How well each candidate of a page finds people, from what it finds: items of page, candidate, place (which candidate comes first), name, titled, link.
+
+    An item is valid with a name and a title. The score, compared from left to right: different names, the share of valid items with a link in tenths (to the nearest, half to
+    even), minus repeated names, minus items that aren't valid, minus all items.
+    """
+    good = F.col("name").isNotNull() & F.coalesce("titled", F.lit(False))
+    seen = items.groupBy(page, candidate).agg(
+        F.min(place).alias(place), F.count("*").alias("size"), F.count_if(good).alias("valid"), F.count_distinct(F.when(good, F.col("name"))).alias("unique"), F.count_if(good & F.col("link").isNotNull()).alias("linked"),
+    )
+    tenths = F.when(F.col("valid") > 0, F.bround(F.col("linked") / F.col("valid") * 10).cast("int")).otherwise(0)
+    score = F.struct(F.col("unique"), tenths.alias("tenths"), (F.col("unique") - F.col("valid")).alias("repeats"), (F.col("valid") - F.col("size")).alias("wasted"), (-F.col("size")).alias("small"))
+    return seen.select(page, candidate, place, score.alias("score"))
+
+
+def best_scored(items: DataFrame, page: str, candidate: str, place: str) -> DataFrame:
+    """The candidate of greatest score of each page, the first of equal ones; pages whose best finds less than two people, or one without a link, have none."""
+    scored = candidate_scores(items, page, candidate, place)
+    enough = (F.col("score.unique") > 1) | ((F.col("score.unique") == 1) & (F.col("score.tenths") > 0))
+    return scored.where(enough).groupBy(page).agg(F.max_by(F.struct(candidate, "score"), F.struct("score", -F.col(place))).alias("best")).select(page, f"best.{candidate}", "best.score")
+
+
 def best_candidate(df: DataFrame, page: str, candidate: str, score: Sequence[Column]) -> DataFrame:
     """Of each page the candidate of greatest score, the first by name on ties."""
     return keep_first(df, [page], [*[s.desc() for s in score], candidate])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import numbered
+
 
 def axis(df: DataFrame, group: str, period: Column) -> DataFrame:
     """The sorted periods of each group."""
@@ -57,9 +59,9 @@ def split_cell(df: DataFrame, cell: str, code: str = r"[A-Z]{2,4}\d{3}") -> Data
     return df.withColumn(cell, F.explode(F.filter(F.split(cell, rf"(?={code})"), lambda s: F.trim(s) != "")))
 
 
-def columns_of(df: DataFrame, key: str, name: str, value: str, wanted: Sequence[str]) -> DataFrame:
-    """A table of names and values as columns; the first value of a name counts."""
-    return df.groupBy(key).pivot(name, list(wanted)).agg(F.first(value, ignorenulls=True))
+def columns_of(df: DataFrame, key: str, name: str, value: str, wanted: Sequence[str], position: str) -> DataFrame:
+    """A table of names and values as columns; the first value of a name that isn't null counts, by position."""
+    return df.groupBy(key).pivot(name, list(wanted)).agg(F.min_by(value, F.when(F.col(value).isNotNull(), F.col(position))))
 
 
 def legend(df: DataFrame, cell: str, position: str, pair: str = r"([A-Z]{2,4}\d{3}):\s*([^;]+)") -> DataFrame:
@@ -73,3 +75,24 @@ def nest(df: DataFrame, group: str, position: str, columns: Sequence[str], name:
     """The rows of each group as an array of structs, in order."""
     rows = F.transform(F.array_sort(F.collect_list(F.struct(F.col(position).alias("at__"), *columns))), lambda s: F.struct(*[s[c].alias(c) for c in columns]))
     return df.groupBy(group).agg(rows.alias(name))
+
+
+def nest_chunks(df: DataFrame, group: str, position: str, columns: Sequence[str], name: str, most: int = 10_000) -> DataFrame:
+    """The rows of each group as arrays of at most so many structs, in order: group, chunk (from 0), first (the place of its first row), and the array.
+
+    No row of the result, and no task, holds more of a group than a chunk, whatever its size.
+    """
+    rows = numbered(df.select(group, position, *[c for c in columns if c not in (group, position)]), [position, *[c for c in columns if c != position]], group, "place__")
+    chunked = rows.withColumn("chunk", F.floor(F.col("place__") / most))
+    items = F.transform(F.array_sort(F.collect_list(F.struct("place__", *columns))), lambda s: F.struct(*[s[c].alias(c) for c in columns]))
+    return chunked.groupBy(group, "chunk").agg(F.min("place__").alias("first"), items.alias(name))
+
+
+def chunk_manifest(chunks: DataFrame, group: str, name: str) -> DataFrame:
+    """What puts chunks together: each group with its number of chunks and of rows."""
+    return chunks.groupBy(group).agg(F.count("*").alias("chunks"), F.sum(F.size(name)).alias("rows"))
+
+
+def unchunked(chunks: DataFrame, group: str, name: str) -> DataFrame:
+    """The rows again, with their places in the group."""
+    return chunks.select(group, "first", F.posexplode(name).alias("at__", "item__")).select(group, (F.col("first") + F.col("at__")).alias("place"), "item__.*")

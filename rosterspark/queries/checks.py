@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from ..operators import filters as P
 from ..operators import joins as J
 from ..operators import ordered as O
 from ..operators import reshape as R
+from ..operators import tables as S
 from ..sources import web
 from .registry import query, table
 
@@ -108,11 +111,10 @@ def code_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", G.split_code(written).alias("s")).select("p_partkey", "s.code", "s.section")
 
 
-@query("SELECT o_custkey, max(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS F, max(o_totalprice) FILTER (WHERE o_orderstatus = 'O') AS O FROM orders GROUP BY 1")
+@query("SELECT o_custkey, arg_min(o_totalprice, o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS F, arg_min(o_totalprice, o_orderkey) FILTER (WHERE o_orderstatus = 'O') AS O FROM orders GROUP BY 1")
 def columns_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names and values as columns: each customer's greatest order by status."""
-    top = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.max("o_totalprice").alias("v"))
-    return R.columns_of(top, "o_custkey", "o_orderstatus", "v", ["F", "O"])
+    """Names and values as columns: each customer's first order by status."""
+    return R.columns_of(table(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", "o_totalprice", ["F", "O"], "o_orderkey")
 
 
 @query("SELECT s_suppkey, name AS day, value AS cell FROM (UNPIVOT (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE '' END AS Mon, s_nationkey::VARCHAR AS Tue FROM supplier) ON Mon, Tue INTO NAME name VALUE value) WHERE value <> ''")
@@ -201,3 +203,39 @@ def day_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentence = F.concat(F.lit("meets on "), F.date_format("ts", "EEEE"), F.lit(" at most"))
     text = F.when(kind == 6, "TBA").when(kind == 5, sentence).otherwise(F.element_at(F.element_at(table_, d), (F.least(kind, F.lit(4)) + 1).cast("int")))
     return table(spark, sf_dir, "events").select("event_id", G.by_style(F.when(kind == 4, "mask"), ["mask"], lambda s: G.days(text, s)).alias("days"))
+
+
+@query("""
+WITH i AS (SELECT p_brand, p_type, p_name, p_size % 4 > 0 AND p_name NOT LIKE 'cold%' AS good, p_partkey % 3 > 0 AS linked FROM part),
+k AS (SELECT p_brand, p_type, count(*) AS size, count(*) FILTER (WHERE good) AS valid, count(DISTINCT p_name) FILTER (WHERE good) AS uniq, count(*) FILTER (WHERE good AND linked) AS links FROM i GROUP BY 1, 2),
+s AS (SELECT *, CASE WHEN valid > 0 THEN round_even(links / valid * 10, 0)::INT ELSE 0 END AS tenths FROM k),
+r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY uniq DESC, tenths DESC, uniq - valid DESC, valid - size DESC, size, p_type) AS r FROM s WHERE uniq > 1 OR uniq = 1 AND tenths > 0)
+SELECT p_brand, p_type, uniq AS "unique", tenths, valid - uniq AS repeats, size - valid AS wasted FROM r WHERE r = 1
+""")
+def scored_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each brand the type that names most parts, from the parts themselves: names, links, repeats and waste."""
+    p = table(spark, sf_dir, "part")
+    order = p.select("p_type").distinct().select("p_type", F.col("p_type").alias("place"))
+    name = F.when(~F.col("p_name").startswith("cold"), F.col("p_name"))
+    items = O.numbered(order, ["place"], place="n").select("p_type", F.col("n").alias("place")).join(p, "p_type").select("p_brand", "p_type", "place", name.alias("name"), (F.col("p_size") % 4 > 0).alias("titled"), F.when(F.col("p_partkey") % 3 > 0, "u").alias("link"))
+    best = A.best_scored(items, "p_brand", "p_type", "place")
+    return best.select("p_brand", "p_type", "score.unique", "score.tenths", (-F.col("score.repeats")).alias("repeats"), (-F.col("score.wasted")).alias("wasted"))
+
+
+@query("SELECT c_custkey, c_acctbal, (row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) - 1)::BIGINT AS place FROM customer QUALIFY place BETWEEN 60 AND 79")
+def later_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fourth page of a sorted table, without sorting it into one partition."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", (-F.col("c_acctbal")).alias("key"))
+    return O.page(rows, ["key", "c_custkey"], 3).drop("key")
+
+
+@query("""
+WITH c AS (SELECT c_nationkey, c_custkey, c_name, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1)::BIGINT AS place, count(*) OVER (PARTITION BY c_nationkey) AS n FROM customer)
+SELECT c_nationkey, c_custkey, c_name, place, ((n + 36) // 37)::BIGINT AS chunks, n::BIGINT AS rows FROM c
+""")
+def nested_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers nested by nation in documents of at most 37, written and read again, with the manifest that puts them together."""
+    path = f"{S.shared_dir(spark)}/chunks-{uuid.uuid4().hex}"
+    R.nest_chunks(table(spark, sf_dir, "customer"), "c_nationkey", "c_custkey", ["c_custkey", "c_name"], "people", 37).write.json(path)
+    back = spark.read.schema("c_nationkey int, chunk long, first long, people array<struct<c_custkey:long,c_name:string>>").json(path)
+    return R.unchunked(back, "c_nationkey", "people").join(R.chunk_manifest(back, "c_nationkey", "people"), "c_nationkey")

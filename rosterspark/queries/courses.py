@@ -166,8 +166,12 @@ def days_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("user_id", X.days_from_flags([F.col(f"d{i}") for i in range(7)]).alias("days"))
 
 
-@query("SELECT DISTINCT p_brand, lower(regexp_extract(p_brand, '^([^0-9]+)', 1)) || lpad(regexp_extract(p_brand, '([0-9]+)$', 1), 12, '0') AS key FROM part")
+@query("""
+WITH b AS (SELECT DISTINCT p_brand, lower(regexp_extract(p_brand, '^([^0-9]+)', 1)) || lpad(regexp_extract(p_brand, '([0-9]+)$', 1), 12, '0') AS key FROM part)
+SELECT p_brand, key, (row_number() OVER (ORDER BY key) - 1)::BIGINT AS place FROM b
+""")
 def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brands with a text that sorts as their natural order does: Brand#2 before Brand#10."""
+    """Brands with a text that sorts as their natural order does, Brand#2 before Brand#10, and their places in it."""
     parts = F.transform(X.natural_key(F.col("p_brand")), lambda p: F.when(p["digits"], F.lpad(p["n"].cast("string"), 12, "0")).otherwise(p["text"]))
-    return table(spark, sf_dir, "part").select("p_brand").distinct().select("p_brand", F.array_join(parts, "").alias("key"))
+    brands = table(spark, sf_dir, "part").select("p_brand").distinct().select("p_brand", F.array_join(parts, "").alias("key"), X.natural_key(F.col("p_brand")).alias("natural"))
+    return O.numbered(brands, ["natural"]).drop("natural")

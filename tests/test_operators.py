@@ -150,8 +150,8 @@ def test_matrix_and_grid(spark):
     grid = spark.createDataFrame([("9:00", "CS101 A CS102 B", "")], "time string, Mon string, Tue string")
     cells = R.split_cell(R.unpivot_grid(grid, ["time"], ["Mon", "Tue"]), "cell")
     assert [r.cell.strip() for r in cells.orderBy("cell").collect()] == ["CS101 A", "CS102 B"]
-    kv = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "a", "z")], "k int, n string, v string")
-    assert rows(R.columns_of(kv, "k", "n", "v", ["a", "b"]), "k") == [(1, "x", "y"), (2, "z", None)]
+    kv = spark.createDataFrame([(1, "a", "w", 3), (1, "a", "x", 2), (1, "a", None, 1), (1, "b", "y", 4), (2, "a", "z", 5)], "k int, n string, v string, p int").repartition(3)
+    assert rows(R.columns_of(kv, "k", "n", "v", ["a", "b"], "p"), "k") == [(1, "x", "y"), (2, "z", None)]
     notes = spark.createDataFrame([(1, "CS101: Rings; CS102: Gears"), (2, "CS101: Other")], "p int, c string")
     assert rows(R.legend(notes, "c", "p"), "code") == [("CS101", "Rings"), ("CS102", "Gears")]
 
@@ -179,3 +179,61 @@ def test_uncovered_blank_term_covers_year(spark):
     done = spark.createDataFrame([("g", "2020-21", ""), ("g", "2021-22", "F")], "g string, y string, t string")
     new = spark.createDataFrame([("g", "2020-21", "S"), ("g", "2021-22", "F"), ("g", "2021-22", "S")], "g string, y string, t string")
     assert rows(J.uncovered(new, done, "y", "t", "g").select("y", "t")) == [("2021-22", "S")]
+
+
+def test_blocks_hand_on_what_they_have_seen(spark):
+    rng = random.Random(5)
+    data = [(d, p, rng.choice(["# h", "x", "y", "start", "stop"])) for d in ("a", "b", None) for p in range(60)]
+    df = spark.createDataFrame(data, "doc string, pos int, line string").repartition(5)
+    head, start, stop = F.col("line") == "# h", F.col("line") == "start", F.col("line") == "stop"
+    for block in (1, 7, 1000):
+        carried = {(r.doc, r.pos): r.at for r in O.carry_forward(df, "doc", "pos", head, block, at=F.when(F.col("pos") % 3 > 0, F.col("pos"))).collect()}
+        inside = {(r.doc, r.pos) for r in O.section(df, "doc", "pos", start, stop, block).collect()}
+        folded = {(r.doc, r.head): (r.line, r.rows) for r in O.fold_continuations(df, "doc", "pos", head, "line", block=block).collect()}
+        want_carried, want_inside, want_folded = {}, set(), {}
+        for doc in ("a", "b", None):
+            at, is_in, now = None, False, None
+            for d, p, line in data:
+                if d != doc:
+                    continue
+                at = (p if p % 3 else None) if line == "# h" else at
+                want_carried[d, p] = at
+                is_in = True if line == "start" else False if line == "stop" else is_in
+                if is_in and line != "start":
+                    want_inside.add((d, p))
+                now = p if line == "# h" else now
+                if now is not None:
+                    want_folded.setdefault((d, now), []).append(line)
+        assert carried == want_carried and inside == want_inside
+        assert folded == {k: ("; ".join(dict.fromkeys(v)), len(v)) for k, v in want_folded.items()}
+
+
+def test_places_and_pages(spark):
+    rng = random.Random(6)
+    data = [(rng.choice(["g", "h", None]), rng.randint(0, 50), i) for i in range(300)]
+    df = spark.createDataFrame(data, "grp string, k int, i int").repartition(7)
+    got = sorted((r.place, r.k, r.i) for r in O.numbered(df, ["k", "i"]).collect())
+    assert got == [(n, k, i) for n, (k, i) in enumerate(sorted((k, i) for _, k, i in data))]
+    inner = {(r.grp, r.i): r.place for r in O.numbered(df, ["k", "i"], "grp").collect()}
+    for g in ("g", "h", None):
+        assert [inner[g, i] for _, i in sorted((k, i) for x, k, i in data if x == g)] == list(range(sum(x == g for x, _, _ in data)))
+    assert [r.i for r in O.page(df, ["i"], 2, 20).orderBy("place").collect()] == list(range(40, 60))
+    assert O.numbered(df.limit(0), ["k"]).collect() == [] and O.page(df, ["i"], 99).collect() == []
+
+
+def test_chunks_are_bounded_and_come_together(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise("rare").alias("g"), F.col("id").alias("pos"), F.concat(F.lit("n"), "id").alias("name"))
+    chunks = R.nest_chunks(df, "g", "pos", ["name"], "people", 64)
+    assert max(len(r.people) for r in chunks.collect()) == 64
+    assert rows(R.chunk_manifest(chunks, "g", "people"), "g") == [("hot", 15, 900), ("rare", 2, 100)]
+    assert [r.name for r in R.unchunked(chunks, "g", "people").where("g = 'hot'").orderBy("place").collect()] == [f"n{i}" for i in range(1000) if i % 10]
+
+
+def test_candidates_from_their_items(spark):
+    items = [("p", c, n, name, title, link) for n, (c, found) in enumerate({"row": [("Ada", True, None), ("Ada", True, "u")], "card": [("Ada", True, "u"), ("Bo", True, None), (None, True, "u")], "wide": [("Ada", True, "u"), ("Bo", True, None), ("Cy", False, "u"), (None, None, None)]}.items()) for name, title, link in found]
+    items += [("q", "one", 0, "Ada", True, None), ("r", "one", 0, "Ada", True, "u"), ("s", "b", 1, "Ada", True, "u"), ("s", "b", 1, "Bo", True, "u"), ("s", "a", 2, "Eva", True, "u"), ("s", "a", 2, "Cy", True, "u")]
+    df = spark.createDataFrame(items, "page string, cand string, n int, name string, titled boolean, link string")
+    scores = {r.cand: tuple(r.score) for r in A.candidate_scores(df.where("page = 'p'"), "page", "cand", "n").collect()}
+    assert scores == {"row": (1, 5, -1, 0, -2), "card": (2, 5, 0, -1, -3), "wide": (2, 5, 0, -2, -4)}
+    # One person without a link is too little; of equal ones the first counts.
+    assert {r.page: r.cand for r in A.best_scored(df, "page", "cand", "n").collect()} == {"p": "card", "r": "one", "s": "b"}

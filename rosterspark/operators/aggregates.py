@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 
 
-def dedup_best(df: DataFrame, key: Column, order: Sequence[Column], merge: str | None = None) -> DataFrame:
-    """One row for each key, the first by `order`; `merge`: an array column whose items are united over the group, sorted."""
-    keyed = df.withColumn("key__", key)
-    best = keyed.groupBy("key__").agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("row"), *([F.array_sort(F.array_distinct(F.flatten(F.collect_list(merge)))).alias("merged__")] if merge else []))
-    out = best.select("row.*", *(["merged__"] if merge else []))
-    return out.withColumn(merge, F.col("merged__")).drop("merged__") if merge else out
+def dedup_best(df: DataFrame, key: Column, order: Sequence[Column], merge: str | None = None, count: str | None = None) -> DataFrame:
+    """One row for each key, the first by `order`; `merge`: an array column whose items are united over the group, sorted; `count`: how many rows the key has."""
+    more = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(merge)))).alias("merged__")] if merge else []
+    best = df.withColumn("key__", key).groupBy("key__").agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("row"), *more, *([F.count("*").alias(count)] if count else []))
+    kept = [F.col("merged__").alias(c) if c == merge else F.col(f"row.{c}").alias(c) for c in df.columns]
+    return best.select(*kept, *([count] if count else []))
 
 
 def dominant(df: DataFrame, key: str, value: str, position: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from .ordered import numbered
 
 
@@ -64,11 +65,18 @@ def columns_of(df: DataFrame, key: str, name: str, value: str, wanted: Sequence[
     return df.groupBy(key).pivot(name, list(wanted)).agg(F.min_by(value, F.when(F.col(value).isNotNull(), F.col(position))))
 
 
-def legend(df: DataFrame, cell: str, position: str, pair: str = r"([A-Z]{2,4}\d{3}):\s*([^;]+)") -> DataFrame:
-    """(code, title) pairs found in cells; the first title of a code wins."""
-    codes, titles = (F.regexp_extract_all(cell, F.lit(pair), k) for k in (1, 2))
-    found = df.select(position, F.posexplode(F.arrays_zip(codes.alias("code"), titles.alias("title"))).alias("nth", "pair__")).select(position, "nth", "pair__.code", F.trim("pair__.title").alias("title"))
-    return found.withColumn("n", F.row_number().over(Window.partitionBy("code").orderBy(position, "nth"))).where("n = 1").select("code", "title")
+def legend(df: DataFrame, cell: str, position: str, code: str = K.LEGEND_CODE, ends: Sequence[str] = K.LEGEND_ENDS, entry: str = r"\(") -> DataFrame:
+    """(code, title) pairs found in cells; the first title of a code wins.
+
+    A title stands between its code and whatever begins first after it: one of `ends`, such as the next code, a time or a place. Cells that look like entries of the
+    schedule itself (`entry`) are none of the key; nor is a code without a title, or one with a section in its place.
+    """
+    pair = rf"\b({code})\b:?\s*(.*?)\s*(?=(?:{'|'.join(ends)})|$)"
+    text = F.regexp_replace(cell, r"\s+", " ")
+    codes, titles = (F.regexp_extract_all(text, F.lit(pair), k) for k in (1, 2))
+    found = df.where(~F.col(cell).rlike(entry)).select(position, F.posexplode(F.arrays_zip(codes.alias("code"), titles.alias("title"))).alias("nth", "pair__")).select(position, "nth", "pair__.code", F.trim("pair__.title").alias("title"))
+    kept = found.where((F.col("title") != "") & ~F.substring_index("title", " ", 1).rlike(K.SECTION_CODE))
+    return kept.groupBy("code").agg(F.min_by("title", F.struct(position, "nth")).alias("title"))
 
 
 def nest(df: DataFrame, group: str, position: str, columns: Sequence[str], name: str) -> DataFrame:

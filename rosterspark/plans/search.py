@@ -114,6 +114,17 @@ def _bucket(gram: str) -> int:
     return zlib.crc32(gram.encode()) % BUCKETS
 
 
+def _shelf(c: Column) -> Column:
+    return (F.crc32(c.cast("binary")) % BUCKETS).cast("int")
+
+
+def _near(df: DataFrame, nodes: DataFrame, node: str = "node") -> DataFrame:
+    """df, of a stored table only the folders in which the nodes' rows lie (as many as BUCKETS at most)."""
+    if "shelf" not in df.columns:
+        return df
+    return df.where(F.col("shelf").isin([r.shelf for r in nodes.select(_shelf(F.col(node)).alias("shelf")).distinct().collect()])).drop("shelf")
+
+
 def with_postings(d: Directory) -> Directory:
     """The directory with postings of its texts: a row for each different gram of a text, and how many texts hold each gram."""
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("text") - GRAM + 1), lambda i: F.substring(F.col("text"), i, F.lit(GRAM))))
@@ -126,12 +137,13 @@ TABLES = ("texts", "edges", "papers", "postings", "grams")
 
 
 def write_directory(d: Directory, path: str) -> None:
-    """All tables below path; postings lie in folders by bucket, so that a search reads only those of its grams."""
-    for name in ("texts", "edges", "papers"):
-        getattr(d, name).write.mode("overwrite").parquet(f"{path}/{name}")
-    d = with_postings(replace(d, texts=d.texts.sparkSession.read.parquet(f"{path}/texts")))
-    # Each folder is written by a few tasks; a gram's rows are spread over them.
-    d.postings.repartition("bucket", F.pmod(F.xxhash64("node"), F.lit(4))).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    """All tables below path, in folders by bucket of the node that they are looked up by, postings by that of their gram; so a search reads only what its grams and hits lead to."""
+    for name, key in (("texts", "node"), ("edges", "src"), ("papers", "node")):
+        shelved = getattr(d, name).withColumn("shelf", _shelf(F.col(key)))
+        # Small folders meet in a task, large ones are cut into several.
+        shelved.hint("rebalance", "shelf").write.mode("overwrite").partitionBy("shelf").parquet(f"{path}/{name}")
+    d = with_postings(replace(d, texts=d.texts.sparkSession.read.parquet(f"{path}/texts").drop("shelf")))
+    d.postings.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     d.grams.write.mode("overwrite").parquet(f"{path}/grams")
 
 
@@ -146,19 +158,20 @@ def hits(d: Directory, words: Sequence[str]) -> DataFrame:
     postings, need a look into all texts.
     """
     words = list(dict.fromkeys(w.lower() for w in words if w))
-    found = d.texts.where(P.contains_all(F.col("text"), words)).select("node", "field", "part", "college")
+    look = lambda texts: texts.where(P.contains_all(F.col("text"), words)).select("node", "field", "part", "college")
     grams = {w: [w[i : i + GRAM] for i in range(len(w) - GRAM + 1)] for w in words if len(w) >= GRAM}
     if d.postings is None or d.grams is None or not grams:
-        return found.drop("part").distinct()
+        return look(d.texts).drop("part").distinct()
     wanted = sorted({g for some in grams.values() for g in some})
     # As many rows as the words have grams.
     counts = dict(tuple(r) for r in d.grams.where(F.col("gram").isin(wanted)).collect())
     if len(counts) < len(wanted):
-        return found.drop("part").limit(0)
+        return look(d.texts.limit(0)).drop("part")
     rare = sorted({g for some in grams.values() for g in sorted(set(some), key=lambda g: (counts[g], g))[:RAREST]})
     listed = d.postings.where(F.col("bucket").isin(sorted({_bucket(g) for g in rare})) & F.col("gram").isin(rare))
     likely = listed.groupBy("node", "field", "part").agg(F.count("*").alias("held")).where(F.col("held") == len(rare)).drop("held")
-    return found.join(likely, ["node", "field", "part"]).drop("part").distinct()
+    likely = S.staged(likely, "search-likely")
+    return look(_near(d.texts, likely)).join(likely, ["node", "field", "part"]).drop("part").distinct()
 
 
 def shown(papers: DataFrame, years: tuple[int | None, int | None] = (None, None), include: Sequence[tuple[str, str]] = (), exclude: Sequence[tuple[str, str]] = (), subfields: Sequence[str] = (), not_subfields: Sequence[str] = ()) -> DataFrame:
@@ -171,12 +184,12 @@ def search(d: Directory, words: Sequence[str], **facets: object) -> DataFrame:
     none = d.texts.sparkSession.createDataFrame([], "kind string, id string, paths array<string>")
     if not any(words):
         return none
-    visible = shown(d.papers, **facets)
     is_paper = F.col("node").startswith("paper:")
 
     def allowed(df: DataFrame) -> DataFrame:
         """df without papers that are hidden; an inner join, in which the few hits can be broadcast, not the papers."""
-        return df.where(~is_paper).unionByName(df.where(is_paper).join(visible, "node").select(*df.columns))
+        papers = df.where(is_paper)
+        return df.where(~is_paper).unionByName(papers.join(shown(_near(d.papers, papers), **facets), "node").select(*df.columns))
 
     hit = S.staged(hits(d, words), "search-hits")
     own = hit.where("field = 'matched'").select("node").distinct()
@@ -185,7 +198,7 @@ def search(d: Directory, words: Sequence[str], **facets: object) -> DataFrame:
     interests = hit.where("field = 'interests'").join(names, "node", "left_anti")
     seeds = S.staged(allowed(reduce(DataFrame.unionByName, [hit.where(F.col("field").isin("college", "name", "title", "course")), interests, others])), "search-seeds")
     follow = F.explode(F.element_at(F.create_map(*[x for field, ways in RULES.items() for x in (F.lit(field), F.array(*[F.struct(F.lit(how).alias("how"), F.lit(path).alias("path")) for how, path in ways]))]), F.col("field")))
-    led = seeds.select(F.col("node").alias("src"), follow.alias("way")).select("src", "way.how", "way.path").join(d.edges, ["src", "how"]).select(F.col("dst").alias("node"), "path")
+    led = seeds.select(F.col("node").alias("src"), follow.alias("way")).select("src", "way.how", "way.path").join(_near(d.edges, seeds), ["src", "how"]).select(F.col("dst").alias("node"), "path")
     inside = seeds.where("field <> 'college'").select(_node("college", "college").alias("node"), F.lit("inside").alias("path")).distinct()
     paths = S.search_paths(*[df.withColumnRenamed("node", "id") for df in (seeds.select("node", F.col("field").alias("path")), allowed(led), inside)])
     return paths.select(F.substring_index("id", ":", 1).alias("kind"), F.expr("substring(id, instr(id, ':') + 1)").alias("id"), "paths")

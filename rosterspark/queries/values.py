@@ -221,15 +221,20 @@ def best_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH c AS (SELECT s_suppkey, 'CS' || (100 + s_suppkey % 7) AS a, 'MA' || (200 + s_suppkey % 5) AS b, s_name FROM supplier)
-SELECT s_suppkey, code, first_value(s_name || ' of ' || code) OVER (PARTITION BY code ORDER BY s_suppkey) AS title FROM (SELECT s_suppkey, a AS code, s_name FROM c UNION ALL SELECT s_suppkey, b, s_name FROM c)
+WITH c AS (SELECT s_suppkey, s_suppkey % 4 AS kind, 'CS' || (100 + s_suppkey % 7) AS a, 'MA' || (200 + s_suppkey % 5) || 'L' AS b, s_name FROM supplier),
+t AS (SELECT s_suppkey, 0 AS nth, a AS code, s_name || ' of rings' AS title FROM c WHERE kind = 0 UNION ALL SELECT s_suppkey, 1, b, s_name || CASE kind WHEN 3 THEN ' of gears' ELSE '' END FROM c WHERE kind <> 2),
+l AS (SELECT code, arg_min(title, (s_suppkey, nth)) AS title FROM t GROUP BY 1)
+SELECT s_suppkey, code, title FROM (SELECT s_suppkey, a AS code FROM c UNION ALL SELECT s_suppkey, left(b, 5) FROM c) JOIN l USING (code)
+UNION ALL SELECT s_suppkey, code, title FROM (SELECT s_suppkey, b AS code FROM c) JOIN l USING (code)
 """)
 def grid_legend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells that hold two codes, cut before each, with the first title that the legend's cells give a code."""
+    """Cells that hold several codes, cut before each, with the first title that the cells of the key give a code: titles up to a time, a day or another code, sections in a title's place, entries of the schedule."""
     s, k = table(spark, sf_dir, "supplier"), F.col("s_suppkey")
-    a, b = F.concat(F.lit("CS"), (100 + k % 7).cast("string")), F.concat(F.lit("MA"), (200 + k % 5).cast("string"))
-    cells = R.split_cell(s.select("s_suppkey", F.concat(a, F.lit(" "), b).alias("cell")), "cell").select("s_suppkey", F.trim("cell").alias("code"))
-    notes = s.select("s_suppkey", F.concat(a, F.lit(": "), "s_name", F.lit(" of "), a, F.lit("; "), b, F.lit(": "), "s_name", F.lit(" of "), b).alias("cell"))
+    a, b = F.concat(F.lit("CS"), (100 + k % 7).cast("string")), F.concat(F.lit("MA"), (200 + k % 5).cast("string"), F.lit("L"))
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) and p != "s_name" else p for p in parts])
+    cells = R.split_cell(s.select("s_suppkey", F.concat(a, F.lit(" "), b, F.lit(" "), F.substring(b, 1, 5)).alias("cell")), "cell").select("s_suppkey", F.trim("cell").alias("code"))
+    kinds = [text(a, ": ", "s_name", " of\n rings; ", b, " ", "s_name", " 10:00-10:50"), text(a, " L06 ", "s_name", " ", b, ": ", "s_name", " Monday 9"), text(a, " ", "s_name", " (Hall 1) ", b, " ", "s_name"), text(a, " ", b, ": ", "s_name", " of gears")]
+    notes = s.select("s_suppkey", F.element_at(F.array(*kinds), (k % 4 + 1).cast("int")).alias("cell"))
     return cells.join(R.legend(notes, "cell", "s_suppkey"), "code").select("s_suppkey", "code", "title")
 
 

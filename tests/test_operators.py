@@ -154,6 +154,11 @@ def test_matrix_and_grid(spark):
     assert rows(R.columns_of(kv, "k", "n", "v", ["a", "b"], "p"), "k") == [(1, "x", "y"), (2, "z", None)]
     notes = spark.createDataFrame([(1, "CS101: Rings; CS102: Gears"), (2, "CS101: Other")], "p int, c string")
     assert rows(R.legend(notes, "c", "p"), "code") == [("CS101", "Rings"), ("CS102", "Gears")]
+    grid = [
+        "CS110 Rings and Gears CS111L Knots Time Monday", "CS112 L06 Someone CS113 9:00-9:50", "CS114 Loops (Hall 1)", "CS115 Data\nStructures 11:10 am", "CS115 Later", "CS116", "CS117 A Study of A", "xCS118 No CS119 Time", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(grid)), "p int, c string")
+    assert rows(R.legend(df, "c", "p"), "code") == [("CS110", "Rings and Gears"), ("CS111L", "Knots"), ("CS115", "Data Structures")]
 
 
 def test_pruning_and_url_mode(spark):

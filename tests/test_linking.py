@@ -1,5 +1,7 @@
 """Linking of publications and tagging of venues: rows written by hand from what the jobs are meant to do."""
 
+import pytest
+
 from rosterspark.functions import constants as K
 from rosterspark.operators import joins as J
 from rosterspark.plans import jobs
@@ -14,59 +16,59 @@ def author(name, *insts, link=True):
     return ((f"https://o.example/{name}" if link else None, name), [(i, i.upper()) for i in insts])
 
 
-def linked(spark, works, peers=("Y", "PEER")):
-    rows = [(w["id"], w.get("doi"), w.get("title"), w.get("type"), w.get("year"), 1, w["authors"], w.get("place"), w.get("topics")) for w in works]
+def work(i, title, kind, year, *authors, **more):
+    return {"id": i, "title": title, "type": kind, "year": year, "authors": list(authors), **more}
+
+
+ADA, FRIEND = author("Ada Berg", "x"), lambda i: author(f"Friend {i}", "z")
+MANY = [
+    author("Zoe Student", "x"), author("A. Berg", "x"), author("Carl Berg", "x"), author("Two Places", "z", "x"), author("Eva Haas", "z", "y"), author("No Place"), author("Abe Out", "z"),
+    author("Un Known", "z", link=False), author("Mono", "x"), author("Own Too", "y", "x"),
+]
+LINKED = [
+    work("a1", "Alone", "article", 2020, ADA), work("m1", "Many", "article", 2020, *MANY), work("b1", "Both", "article", 2020, ADA, author("Eva Haas", "y")),
+    # Of one title each: which stays?
+    work("d3", "On Rings", "dataset", 2019, ADA), work("d4", "On  rings!", "report", 2021, ADA), work("e1", "Gears", "preprint", 2010, ADA), work("e2", "Gears", "article", 2021, ADA), work("e3", "Gears", "book-chapter", 2001, ADA),
+    work("f1", "Knots", "article", None, ADA), work("f2", "Knots", "article", 2021, ADA), work("f3", "Knots", "article", 2021, ADA), work("g1", "Loops", "preprint", 2019, ADA, FRIEND("g1")), work("g2", "Loops", "article", 2020, author("B. Costa", "x"), FRIEND("g2")),
+    work("u1", None, "article", 2020, ADA), work("u2", "", "article", 2020, ADA),
+    work("w1", "A", None, None, ADA, doi="d1", place=("l1", "raw", ("s1", "Journal", "journal")), topics=[("T1", ("S1",)), ("T1", ("S2",)), (None, None), ("T2", ("S1",))]),
+    work("w2", "B", None, None, author("Ada Berg", "x", "x"), author("Out", "z"), doi="", place=("l2", "raw", None)), work("w3", "C", None, None, ADA), work("n1", "Nobody", "article", 2020, author("Abe Out", "z")),
+]
+
+
+@pytest.fixture(scope="module")
+def linked(spark):
+    rows = [(w["id"], w.get("doi"), w["title"], w["type"], w["year"], 1, w["authors"], w.get("place"), w.get("topics")) for w in LINKED]
     roster = spark.createDataFrame([("Ada Berg", "X", "x", 1), ("Bea Costa", "X", "x", 2), ("Mono", "X", "x", 3), ("Eva Haas", "Y", "y", 4)], "name string, college string, inst string, pos int")
-    out = jobs.link_publications(spark.createDataFrame(rows, WORKS), roster, spark.createDataFrame([(p,) for p in peers], "name string"))
+    out = jobs.link_publications(spark.createDataFrame(rows, WORKS), roster, spark.createDataFrame([("Y",), ("PEER",)], "name string"))
     return {(r.id, r.college): r for r in out.collect()}
 
 
-def test_matched_people_are_no_coauthors(spark):
-    out = linked(spark, [{"id": "w1", "title": "Alone", "type": "article", "year": 2020, "authors": [author("Ada Berg", "x")]}])
-    r = out["w1", "X"]
+def test_which_works_stay(linked):
+    # Datasets stand with preprints, behind all else but those; untitled works stay apart.
+    assert set(linked) == {(i, "X") for i in ("a1", "m1", "b1", "d4", "e2", "f2", "g2", "u1", "u2", "w1", "w2", "w3")} | {("b1", "Y")}
+    assert linked["g2", "X"].matched == ["Ada Berg", "Bea Costa"] and linked["g2", "X"].external_coauthors == ["Friend g2"]
+
+
+def test_matched_people_are_no_coauthors(linked):
+    r = linked["a1", "X"]
     assert r.matched == ["Ada Berg"] and r.faculty_coauthors == r.student_coauthors == r.other_coauthors == r.external_coauthors == []
 
 
-def test_one_class_an_author_in_their_order(spark):
-    authors = [
-        author("Zoe Student", "x"), author("A. Berg", "x"), author("Carl Berg", "x"), author("Two Places", "z", "x"), author("Eva Haas", "z", "y"), author("No Place"), author("Abe Out", "z"),
-        author("Un Known", "z", link=False), author("Mono", "x"), author("Own Too", "y", "x"),
-    ]
-    r = linked(spark, [{"id": "w1", "title": "Many", "type": "article", "year": 2020, "authors": authors}])["w1", "X"]
+def test_one_class_an_author_in_their_order(linked):
+    r = linked["m1", "X"]
     assert r.matched == ["Ada Berg"]
     # Carl has the surname of one of the roster, Mono's only name is on it; other people of the institution are students, whatever else they belong to.
     assert r.faculty_coauthors == ["Carl Berg", "Mono"] and r.student_coauthors == ["Zoe Student", "Two Places", "Own Too"]
     assert r.other_coauthors == ["Eva Haas"] and r.external_coauthors == ["No Place", "Abe Out", "Un Known"]
 
 
-def test_a_paper_of_two_colleges_is_seen_from_both(spark):
-    out = linked(spark, [{"id": "w1", "title": "Both", "type": "article", "year": 2020, "authors": [author("Ada Berg", "x"), author("Eva Haas", "y")]}])
-    assert out["w1", "X"].other_coauthors == ["Eva Haas"] and out["w1", "Y"].external_coauthors == ["Ada Berg"]
-    assert linked(spark, [{"id": "w1", "authors": [author("Ada Berg", "x"), author("Eva Haas", "y")]}], peers=(" X", "Y"))["w1", "X"].other_coauthors == ["Eva Haas"]
-
-
-def test_which_work_of_a_title_stays(spark):
-    of = lambda i, kind, year, who="Ada Berg", title="On Rings": {"id": i, "title": title, "type": kind, "year": year, "authors": [author(who, "x"), author(f"Friend {i}", "z")]}
-    # Datasets stand with preprints, behind all else but those.
-    assert set(linked(spark, [of("w3", "dataset", 2019), of("w4", "report", 2021, title="On  rings!")])) == {("w4", "X")}
-    assert set(linked(spark, [of("w1", "preprint", 2010), of("w2", "article", 2021), of("w3", "book-chapter", 2001)])) == {("w2", "X")}
-    assert set(linked(spark, [of("w1", "article", None), of("w2", "article", 2021), of("w3", "article", 2021)])) == {("w2", "X")}
-    out = linked(spark, [of("w1", "preprint", 2019), of("w2", "article", 2020, "B. Costa")])["w2", "X"]
-    assert out.matched == ["Ada Berg", "Bea Costa"] and out.external_coauthors == ["Friend w2"]
-    # Untitled works stay apart.
-    assert set(linked(spark, [of("w1", "article", 2020, title=None), of("w2", "article", 2020, title="")])) == {("w1", "X"), ("w2", "X")}
-
-
-def test_a_work_keeps_its_fields(spark):
-    who = [author("Ada Berg", "x")]
-    out = linked(
-        spark,
-        [
-            {"id": "w1", "doi": "d1", "title": "A", "authors": who, "place": ("l1", "raw", ("s1", "Journal", "journal")), "topics": [("T1", ("S1",)), ("T1", ("S2",)), (None, None), ("T2", ("S1",))]},
-            {"id": "w2", "doi": "", "title": "B", "authors": [author("Ada Berg", "x", "x"), author("Out", "z")], "place": ("l2", "raw", None)}, {"id": "w3", "title": "C", "authors": who},
-        ],
-    )
-    one, two, three = out["w1", "X"], out["w2", "X"], out["w3", "X"]
+def test_a_paper_of_two_colleges_is_seen_from_both(linked):
+    assert linked["b1", "X"].other_coauthors == ["Eva Haas"] and linked["b1", "Y"].external_coauthors == ["Ada Berg"]
+
+
+def test_a_work_keeps_its_fields(linked):
+    one, two, three = linked["w1", "X"], linked["w2", "X"], linked["w3", "X"]
     assert (one.url, one.venue, one.venue_url, one.venue_type, one.topics, one.subfields) == ("d1", "Journal", "s1", "journal", ["T1", "T2"], ["S1", "S2"])
     assert (two.url, two.venue, two.venue_url, two.venue_type, two.topics) == ("l2", "raw", "", "", None)
     assert [tuple(a) for a in two.authors] == [("Ada Berg", "Ada Berg", ["X"]), ("Out", "Out", ["Z"])]
@@ -84,46 +86,50 @@ JOURNALS = [("IEEE Transactions on Ring Networking", "Q2", 1, "i1"), ("Ring Lett
 RULES = [("RING", "Theory", [r"\bring theory\b"], ["workshop"]), ("Oakland", "Security", [r"security and privacy"], [])]
 
 
-def tags(spark, *venues):
-    conferences = spark.createDataFrame(CONFERENCES, "acronym string, title string, rank string, pos int, url string")
-    journals = spark.createDataFrame(JOURNALS, "title string, quartile string, pos int, issn string")
-    rows = spark.createDataFrame([(n, v, t) for n, (v, t) in enumerate(venues)], "n int, venue string, venue_type string")
-    out = {r.n: r for r in jobs.tag_venues(rows, RULES, conferences, journals).collect()}
-    return [out[n] for n in range(len(venues))]
+VENUES = {
+    "rule": ("Ring Theory 2020", "conference"), "workshop": ("Workshop on Ring Theory and Knots", "conference"), "bracket": ("Some Meeting (GEAR 21)", "repository"), "title": ("Proceedings of the 5th Symposium on Gear Systems", "journal"),
+    "renamed": ("IEEE Security and Privacy", None), "link": ("https://x.example/(GEAR)", "conference"), "conference days": ("Gear Days", "conference"), "journal days": ("Knot Days", "journal"), "series days": ("Loop Days", "book series"),
+    "both days": ("Bolt Days", "journal"), "both again": ("Bolt Days", "conference"), "quartile of a conference": ("Rod Studies", "conference"), "quartile of a repository": ("Nature", "repository"), "ordered": ("IEEE/ACM Transactions on Ring Networking", "journal"),
+    "other order": ("Studies Gear", "journal"), "best": ("Gear Studies", "journal"), "dash": ("Ring Letters", "journal"), "own": ("science", "journal"), "curated": ("ACM SIGPLAN Notices", "journal"),
+    "acl": ("Findings of the Association for Computational Linguistics: ACL", "conference"), "emnlp": ("Findings of the Association for Computational Linguistics: EMNLP", None), "gear": ("Findings of the Society: GEAR", None), "none": ("Findings of the Society: OTHER", None), "blank": ("", "journal"), "missing": (None, None),
+}
+
+
+@pytest.fixture(scope="module")
+def tags(spark):
+    days = [(f"D{n}", f"{x} Days", "C", 10 + n, None) for n, x in enumerate(("Knot", "Loop", "Bolt"))]
+    conferences = spark.createDataFrame([*CONFERENCES, *days], "acronym string, title string, rank string, pos int, url string")
+    journals = spark.createDataFrame([*JOURNALS, ("Rod Studies", "Q1", 8, "i8"), ("Science", "Q4", 9, "i9")], "title string, quartile string, pos int, issn string")
+    rows = spark.createDataFrame([(n, *v) for n, v in VENUES.items()], "n string, venue string, venue_type string")
+    found = jobs.tag_venues(rows, RULES, conferences, journals).collect()
+    assert len(found) == len(VENUES)
+    return {r.n: r for r in found}
 
 
-def test_ranks_by_rule_bracket_and_title(spark):
-    rule, workshop, bracket, title, renamed, link = tags(
-        spark, ("Ring Theory 2020", "conference"), ("Workshop on Ring Theory and Knots", "conference"), ("Some Meeting (GEAR 21)", "repository"), ("Proceedings of the 5th Symposium on Gear Systems", "journal"), ("IEEE Security and Privacy", None), ("https://x.example/(GEAR)", "conference")
-    )
+def test_ranks_by_rule_bracket_and_title(tags):
+    rule, workshop, bracket = tags["rule"], tags["workshop"], tags["bracket"]
     assert (rule.acronym, rule.area, rule.listed, rule.rank, rule.rank_url) == ("RING", "Theory", True, "A*", "u1")
     assert (workshop.acronym, workshop.listed, workshop.rank) == (None, False, None)
     # What no rule names takes the acronym of its rank.
     assert (bracket.acronym, bracket.listed, bracket.rank, bracket.rank_url) == ("GEAR", False, "B", "u2")
-    assert (title.acronym, title.rank) == ("GEAR", "B")
-    assert (renamed.acronym, renamed.rank) == ("Oakland", "A*")
-    assert (link.acronym, link.rank) == (None, None)
+    assert (tags["title"].acronym, tags["title"].rank) == ("GEAR", "B") and (tags["renamed"].acronym, tags["renamed"].rank) == ("Oakland", "A*")
+    assert [(tags[n].acronym, tags[n].rank) for n in ("link", "blank", "missing")] == [(None, None)] * 3
 
 
-def test_journals_have_no_rank_by_title_and_only_journals_have_quartiles(spark):
-    as_conference, as_journal = tags(spark, ("Gear Days", "conference"), ("x", None))[0], tags(spark, ("Gear Days", "journal"))[0]
-    assert (as_conference.rank, as_conference.acronym) == ("C", "GEAR (Gear Days)") and (as_journal.rank, as_journal.acronym) == (None, None)
-    assert tags(spark, ("Gear Days", "book series"))[0].rank is None
+def test_journals_have_no_rank_by_title_and_only_journals_have_quartiles(tags):
+    assert (tags["conference days"].rank, tags["conference days"].acronym) == ("C", "GEAR (Gear Days)")
     # A venue that is a journal in one row is one in all.
-    assert [r.rank for r in tags(spark, ("Gear Days", "journal"), ("Gear Days", "conference"))] == [None, None]
-    conference, repository, journal, other = tags(spark, ("Gear Studies", "conference"), ("Nature", "repository"), ("IEEE/ACM Transactions on Ring Networking", "journal"), ("Studies Gear", "journal"))
-    assert conference.quartile is None and repository.quartile is None and other.quartile is None
-    assert (journal.quartile, journal.issn) == ("Q2", "i1")
+    assert [tags[n].rank for n in ("journal days", "series days", "both days", "both again")] == [None] * 4
+    assert [tags[n].quartile for n in ("quartile of a conference", "quartile of a repository", "other order", "conference days")] == [None] * 4
+    assert (tags["ordered"].quartile, tags["ordered"].issn) == ("Q2", "i1")
 
 
-def test_best_quartile_dashes_and_curated_journals(spark):
-    best, dash, own, curated = tags(spark, ("Gear Studies", "journal"), ("Ring Letters", "journal"), ("nature", "journal"), ("ACM SIGPLAN Notices", "journal"))
-    assert (best.quartile, best.issn) == ("Q1", "i5") and (dash.quartile, dash.issn) == ("-", "i2")
-    assert (own.quartile, own.issn) == ("Q4", "i6") and (curated.quartile, curated.issn) == ("Q3", None)
+def test_best_quartile_dashes_and_curated_journals(tags):
+    assert (tags["best"].quartile, tags["best"].issn) == ("Q1", "i5") and (tags["dash"].quartile, tags["dash"].issn) == ("-", "i2")
+    assert (tags["own"].quartile, tags["own"].issn) == ("Q4", "i9") and (tags["curated"].quartile, tags["curated"].issn) == ("Q3", None)
     assert len(K.CURATED_QUARTILES) == 24
 
 
-def test_findings(spark):
-    acl, emnlp, gear, none = tags(spark, ("Findings of the Association for Computational Linguistics: ACL", "conference"), ("Findings of the Association for Computational Linguistics: EMNLP", None), ("Findings of the Society: GEAR", None), ("Findings of the Society: OTHER", None))
-    assert (acl.acronym, acl.rank, acl.rank_url) == ("ACL (Findings)", "A", "u4") and (emnlp.acronym, emnlp.rank) == ("EMNLP (Findings)", None)
-    assert (gear.acronym, gear.rank) == ("GEAR (Findings)", "B") and (none.acronym, none.rank) == (None, None)
+def test_findings(tags):
+    assert (tags["acl"].acronym, tags["acl"].rank, tags["acl"].rank_url) == ("ACL (Findings)", "A", "u4") and (tags["emnlp"].acronym, tags["emnlp"].rank) == ("EMNLP (Findings)", None)
+    assert (tags["gear"].acronym, tags["gear"].rank) == ("GEAR (Findings)", "B") and (tags["none"].acronym, tags["none"].rank) == (None, None)

@@ -15,7 +15,7 @@ element. Elements that are left out stand on the same stack as the others and cl
 levels is read as standing side by side there, as browsers do.
 
 A class or id marks an element if all words of one of its names are words of boilerplate and layout, one of boilerplate at least: ad-slot-2 and
-siteFooter do, search-engine and related-work don't. Of an article's header its headings,
+siteFooter do, search-engine and related-work don't. Plurals count as their singulars, and names that advert services give their boxes (adsbygoogle) as adverts. Of an article's header its headings,
 divisions and paragraphs (a lead) belong to the text, loose bylines and dates don't; other headers are left out.
 """
 
@@ -71,20 +71,22 @@ SCOPES = {"ul", "ol", "dl", "table", "body", "article", "section", "div", "main"
 
 #: Words of class, id or role that mark what isn't the article.
 BOILERPLATE = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "commentlist", "complementary", "consent",
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "commentlist", "complementary", "consent",
     "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr", "hidden", "login", "masthead", "menu", "menubar", "modal", "nav", "navbar", "navigation", "newsletter",
     "notice", "notices", "popup", "promo", "promoted", "promotion", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget",
 }
 
 #: Words that say where or what kind of a box an element is.
 LAYOUT = {
-    "alert", "area", "article", "articles", "bar", "block", "body", "bottom", "box", "btn", "button", "center", "col", "column", "container", "content", "count", "desktop", "entry", "field", "fixed", "form",
+    "area", "article", "articles", "bar", "block", "body", "bottom", "box", "btn", "button", "center", "col", "column", "container", "content", "count", "desktop", "entry", "fb", "field", "fixed", "form",
     "global", "group", "header", "heading", "icon", "icons", "inner", "input", "is", "item", "items", "js", "large", "left", "link", "links", "list", "main", "message", "mobile", "module", "more", "outer", "overlay",
     "page", "panel", "policy", "post", "posts", "primary", "reader", "readers", "region", "reply", "right", "row", "secondary", "section", "site", "slot", "small", "stories", "sticky", "text", "thread", "title", "toggle",
     "top", "unit", "user", "wrap", "wrapper", "zone",
 }
 #: A class that begins so tells of the layout (no-sidebar, has-comments), not of the element's own content.
 ABOUT_LAYOUT = {"no", "has", "with", "without"}
+#: Words that begin so are names of advert services' boxes.
+ADVERTS = ("adsby", "adslot", "adunit", "adcontainer", "adwrap")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -112,9 +114,18 @@ def marked(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _known(word: str) -> str:
+    """A word as the lists have it: plurals by their singular, names of advert boxes as an advert."""
+    if word.startswith(ADVERTS):
+        return "advert"
+    if word.endswith("s") and word not in BOILERPLATE and word not in LAYOUT and (word[:-1] in BOILERPLATE or word[:-1] in LAYOUT):
+        return word[:-1]
+    return word
+
+
 @lru_cache(maxsize=4096)
 def names_boilerplate(name: str, in_article: bool) -> bool:
-    words = [w.lower() for w in WORDS.findall(name)]
+    words = [_known(w.lower()) for w in WORDS.findall(name)]
     if not words or words[0] in ABOUT_LAYOUT:
         return False
     some = not BOILERPLATE.isdisjoint(words) or "header" in words and not in_article

@@ -129,6 +129,7 @@ def test_left_out_elements_with_omitted_end_tags(page, text):
         ('<p data-id="ad" title="class=ad">x</p>', "x"),
         ("<script>a</scriptx></script >t", "t"),
         ('<article><p class="search-engine">a<p class="related-work">b<p class="ad-slot-2">c<p class=siteFooter>d</article>', "a\nb"),
+        ('<article><p>a<ins class="adsbygoogle">b</ins><div class="share-buttons">c</div><div class="alert">d</div><div class="fb-comments">e</div><div class="AdUnit_3">f</div><p class="address">g<p class="adverbs">h</article>', "a\ng\nh"),
         ("<article><header><h1>T</h1><p>lead</header><p>b</article>", "T\nlead\nb"),
     ],
 )

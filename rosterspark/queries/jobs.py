@@ -286,9 +286,10 @@ def build_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     papers = table(spark, sf_dir, "orders").join(c.select(F.col("c_custkey").alias("o_custkey"), "college"), "o_custkey").select("college", F.col("o_orderkey").alias("pos"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).otherwise("").alias("venue"))
     courses = spark.createDataFrame([], "college string, pos long, name string")
     d = jobs.build_directory(colleges, faculty, papers, courses)
-    size = lambda c: F.coalesce(F.size(F.filter("publications", c)), F.lit(0)).cast("long")
-    rows = d.where("members > 0").select("college", "state", "members", "trusted", "total", F.explode("faculty").alias("f"), size(lambda p: F.lit(True)).alias("papers"), size(lambda p: p["venue"].isNotNull()).alias("placed"), F.when(F.col("courses").isNull(), 0).otherwise(F.size("courses")).cast("long").alias("courses"))
-    return rows.select("college", "state", "members", "trusted", "total", "f.name", "f.category", *[F.when(F.col(x) < 0, 0).otherwise(F.col(x)).alias(x) for x in ("papers", "placed", "courses")])
+    size = lambda c: F.greatest(F.size(c), F.lit(0)).cast("long")
+    # Papers are counted before people become rows, so no person's row carries all papers of the college.
+    counted = d.where("members > 0").select("college", "state", "members", "trusted", "total", "faculty", size("publications").alias("papers"), size(F.filter("publications", lambda p: p["venue"].isNotNull())).alias("placed"), size("courses").alias("courses"))
+    return counted.select("college", "state", "members", "trusted", "total", F.explode("faculty").alias("f"), "papers", "placed", "courses").select("college", "state", "members", "trusted", "total", "f.name", "f.category", "papers", "placed", "courses")
 
 
 #: Searches, each with what it is there for: a name, a college or its region, a paper's venue, an outside author, a course, interests, and words that find nothing.

@@ -1,7 +1,7 @@
 """Search of a directory: words find texts, and what they find leads on over typed edges.
 
-A directory is four tables: texts that can be found (a row for each node and field), edges between nodes, the facets of papers, and, for
-repeated searches, postings of the texts' trigrams. Nodes are written kind:id. One equi-join of the hits with the edges applies all rules at once;
+A directory is three tables: texts that can be found (a row for each node and field), edges between nodes and the facets of papers. For repeated
+searches, each different text is kept once, with postings of its trigrams, and the rows of texts only say which one they hold. Nodes are written kind:id. One equi-join of the hits with the edges applies all rules at once;
 which edges a hit may follow depends on the field that was hit:
 
     college or state    the college, all its people and courses and its shown papers
@@ -41,11 +41,15 @@ GRAM, BUCKETS, RAREST = 3, 64, 2
 
 @dataclass(frozen=True)
 class Directory:
-    """texts: node, field, part, college, text. edges: src, how, dst. papers: node, year, group, value, subfields. postings: bucket, gram, node, field, part. grams: gram, n."""
+    """texts: node, field, part, college, text. edges: src, how, dst. papers: node, year, group, value, subfields.
+
+    With postings, texts hold the id of their text instead of it. strings: tid, text. postings: bucket, gram, tid. grams: gram, n.
+    """
 
     texts: DataFrame
     edges: DataFrame
     papers: DataFrame
+    strings: DataFrame | None = None
     postings: DataFrame | None = None
     grams: DataFrame | None = None
 
@@ -91,14 +95,14 @@ def directory(colleges: DataFrame, faculty: DataFrame, publications: DataFrame,
     named = people.where("coalesce(name, '') <> ''")
     by_name = named.groupBy("college", "name").agg(F.max_by("node", "pos").alias("person"))
     by_lower = named.groupBy("college", F.lower("name").alias("name")).agg(F.max_by("node", "pos").alias("person"))
-    mentions = lambda df, items, name: df.select("college", "node", F.explode(items).alias("who")).select("college", "node", name.alias("name")).distinct()
+    mentions = lambda df, items: df.select("college", "node", F.explode(F.array_distinct(items)).alias("name"))
     edge = lambda df, src, how, dst: df.select(F.col(src).alias("src"), F.lit(how).alias("how"), F.col(dst).alias("dst"))
-    teachers = mentions(taught, "instructors", col("who")).join(by_name, ["college", "name"])
+    teachers = mentions(taught, col("instructors")).join(by_name, ["college", "name"])
     member = lambda df: df.select(_node("college", "college").alias("src"), F.lit("member").alias("how"), F.col("node").alias("dst"))
     edges = [
         member(people), member(papers), member(taught),
-        edge(mentions(papers, "matched", F.lower("who")).join(by_lower, ["college", "name"]), "person", "wrote", "node"),
-        edge(mentions(papers, "matched", col("who")).join(by_name, ["college", "name"]), "node", "written by", "person"),
+        edge(mentions(papers, F.transform("matched", F.lower)).join(by_lower, ["college", "name"]), "person", "wrote", "node"),
+        edge(mentions(papers, col("matched")).join(by_name, ["college", "name"]), "node", "written by", "person"),
         edge(teachers, "person", "teaches", "node"), edge(teachers, "node", "taught by", "person"),
     ]
     venue = col("pub_type").isin("conference", "journal")
@@ -125,25 +129,38 @@ def _near(df: DataFrame, nodes: DataFrame, node: str = "node") -> DataFrame:
     return df.where(F.col("shelf").isin([r.shelf for r in nodes.select(_shelf(F.col(node)).alias("shelf")).distinct().collect()])).drop("shelf")
 
 
-def with_postings(d: Directory) -> Directory:
-    """The directory with postings of its texts: a row for each different gram of a text, and how many texts hold each gram."""
+def _identified(d: Directory) -> tuple[DataFrame, DataFrame]:
+    """Texts with the id (a hash of 128 bits) of what they say, and each different text once."""
+    texts = d.texts.withColumn("tid", F.unhex(F.md5("text")))
+    return texts.select("node", "field", "college", "tid"), texts.select("text").distinct().select(F.unhex(F.md5("text")).alias("tid"), "text")
+
+
+def _indexed(d: Directory) -> Directory:
+    """The directory with postings of its different texts: a row for each different gram of a text, and how many of them hold each gram."""
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("text") - GRAM + 1), lambda i: F.substring(F.col("text"), i, F.lit(GRAM))))
-    postings = d.texts.where(F.length("text") >= GRAM).select(F.explode(grams).alias("gram"), "node", "field", "part")
+    postings = d.strings.where(F.length("text") >= GRAM).select(F.explode(grams).alias("gram"), "tid")
     postings = postings.withColumn("bucket", (F.crc32(F.col("gram").cast("binary")) % BUCKETS).cast("int"))
     return replace(d, postings=postings, grams=postings.groupBy("gram").agg(F.count("*").alias("n")))
 
 
-TABLES = ("texts", "edges", "papers", "postings", "grams")
+def with_postings(d: Directory) -> Directory:
+    """The directory with each different text once, and its postings."""
+    texts, strings = _identified(d)
+    return _indexed(replace(d, texts=texts, strings=strings))
+
+
+TABLES = ("texts", "edges", "papers", "strings", "postings", "grams")
 
 
 def write_directory(d: Directory, path: str) -> None:
-    """All tables below path, in folders by bucket of the node that they are looked up by, postings by that of their gram; so a search reads only what its grams and hits lead to."""
-    for name, key in (("texts", "node"), ("edges", "src"), ("papers", "node")):
-        shelved = getattr(d, name).withColumn("shelf", _shelf(F.col(key)))
-        # Small folders meet in a task, large ones are cut into several.
-        shelved.hint("rebalance", "shelf").write.mode("overwrite").partitionBy("shelf").parquet(f"{path}/{name}")
-    d = with_postings(replace(d, texts=d.texts.sparkSession.read.parquet(f"{path}/texts").drop("shelf")))
-    d.postings.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    """All tables below path, in folders by bucket of the node or text that they are looked up by, postings by that of their gram; so a search reads only what its grams and hits lead to."""
+    spark = d.texts.sparkSession
+    texts, strings = _identified(d)
+    for name, df, key in (("texts", texts, "tid"), ("strings", strings, "tid"), ("edges", d.edges, "src"), ("papers", d.papers, "node")):
+        # Small folders meet in a task, large ones are cut into several; equal keys lie together, where they take little room.
+        df.withColumn("shelf", _shelf(F.col(key))).hint("rebalance", "shelf").sortWithinPartitions("shelf", key).write.mode("overwrite").partitionBy("shelf").parquet(f"{path}/{name}")
+    d = _indexed(replace(d, strings=spark.read.parquet(f"{path}/strings").drop("shelf")))
+    d.postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "gram").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     d.grams.write.mode("overwrite").parquet(f"{path}/grams")
 
 
@@ -154,24 +171,29 @@ def read_directory(spark: SparkSession, path: str) -> Directory:
 def hits(d: Directory, words: Sequence[str]) -> DataFrame:
     """Texts (node, field, college) that contain all words, in any case.
 
-    With postings, only texts that hold the rarest grams of each word are read and looked into; words shorter than a gram, and directories without
-    postings, need a look into all texts.
+    With postings, only different texts that hold the rarest grams of each word are read and looked into; words shorter than a gram, and directories
+    without postings, need a look into all of them.
     """
     words = list(dict.fromkeys(w.lower() for w in words if w))
-    look = lambda texts: texts.where(P.contains_all(F.col("text"), words)).select("node", "field", "part", "college")
+    look = lambda df: df.where(P.contains_all(F.col("text"), words))
+    own = ("node", "field", "college")
+    if d.strings is None or d.postings is None or d.grams is None:
+        return look(d.texts).select(*own).distinct()
     grams = {w: [w[i : i + GRAM] for i in range(len(w) - GRAM + 1)] for w in words if len(w) >= GRAM}
-    if d.postings is None or d.grams is None or not grams:
-        return look(d.texts).drop("part").distinct()
-    wanted = sorted({g for some in grams.values() for g in some})
-    # As many rows as the words have grams.
-    counts = dict(tuple(r) for r in d.grams.where(F.col("gram").isin(wanted)).collect())
-    if len(counts) < len(wanted):
-        return look(d.texts.limit(0)).drop("part")
-    rare = sorted({g for some in grams.values() for g in sorted(set(some), key=lambda g: (counts[g], g))[:RAREST]})
-    listed = d.postings.where(F.col("bucket").isin(sorted({_bucket(g) for g in rare})) & F.col("gram").isin(rare))
-    likely = listed.groupBy("node", "field", "part").agg(F.count("*").alias("held")).where(F.col("held") == len(rare)).drop("held")
-    likely = S.staged(likely, "search-likely")
-    return look(_near(d.texts, likely)).join(likely, ["node", "field", "part"]).drop("part").distinct()
+    if grams:
+        wanted = sorted({g for some in grams.values() for g in some})
+        # As many rows as the words have grams.
+        counts = dict(tuple(r) for r in d.grams.where(F.col("gram").isin(wanted)).collect())
+        if len(counts) < len(wanted):
+            return d.texts.limit(0).select(*own)
+        rare = sorted({g for some in grams.values() for g in sorted(set(some), key=lambda g: (counts[g], g))[:RAREST]})
+        listed = d.postings.where(F.col("bucket").isin(sorted({_bucket(g) for g in rare})) & F.col("gram").isin(rare))
+        likely = S.staged(listed.groupBy("tid").agg(F.count("*").alias("held")).where(F.col("held") == len(rare)).select("tid"), "search-likely")
+        found = look(_near(d.strings, likely, "tid")).join(likely, "tid").select("tid")
+    else:
+        found = look(d.strings).select("tid")
+    found = S.staged(found, "search-found")
+    return _near(d.texts, found, "tid").join(found, "tid").select(*own).distinct()
 
 
 def shown(papers: DataFrame, years: tuple[int | None, int | None] = (None, None), include: Sequence[tuple[str, str]] = (), exclude: Sequence[tuple[str, str]] = (), subfields: Sequence[str] = (), not_subfields: Sequence[str] = ()) -> DataFrame:

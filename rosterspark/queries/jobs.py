@@ -347,14 +347,18 @@ def directory(spark: SparkSession, sf_dir: str) -> Q.Directory:
         F.concat(F.lit("s"), sid).alias("id"), "college", "name", F.when(F.col("id") % 3 == 0, "").otherwise("Professor").alias("title"),
         F.when(F.col("id") % 4 == 0, "Bergs and rings").otherwise("gears").alias("interests"), F.col("id").alias("pos"),
     )
-    wrote = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_suppkey").alias("id")).distinct().join(every, "id")
-    # A row for each college of the paper's people, with its own people; all authors beside it.
-    rows = wrote.where("own").groupBy("k", "grp", "college").agg(F.collect_set("name").alias("matched"))
-    authors = wrote.groupBy("k").agg(F.collect_set(F.struct("name", F.col("college").alias("affiliation"))).alias("authors"))
+    wrote = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_suppkey").alias("id")).join(every, "id")
+    # A row for each college of the paper's people, with its own people; all authors beside it. Each paper's authors meet once.
+    by_paper = wrote.groupBy("k").agg(F.collect_set(F.struct("grp", "college", "name", "own")).alias("w"))
+    homes = F.array_distinct(F.transform(F.filter("w", lambda x: x["own"]), lambda x: F.struct(x["grp"].alias("grp"), x["college"].alias("college"))))
+    rows = by_paper.select("k", "w", F.explode(homes).alias("home")).select(
+        "k", "home.grp", "home.college", F.array_distinct(F.transform(F.filter("w", lambda x: x["own"] & (x["grp"] == F.col("home.grp"))), lambda x: x["name"])).alias("matched"),
+        F.array_distinct(F.transform("w", lambda x: F.struct(x["name"].alias("name"), x["college"].alias("affiliation")))).alias("authors"),
+    )
     k = F.col("k")
     kind = F.when(k % 3 == 0, "conference").when(k % 3 == 1, "journal").when(k % 4 == 0, "book").when(k % 4 == 1, "preprint").otherwise("report")
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_orderpriority", F.year("o_orderdate").alias("year"))
-    publications = rows.join(authors, "k").join(o, "k").select(
+    publications = rows.join(o, "k").select(
         F.concat(F.lit("W"), k.cast("string"), F.lit("@"), F.col("grp").cast("string")).alias("id"), "college",
         F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("On "), "o_orderpriority", F.lit(" "), (k % 200).cast("string"))).alias("title"),
         F.when(k % 5 != 0, F.concat(F.lit("Venue "), (k % 30).cast("string"))).alias("venue"), "year", kind.alias("pub_type"),
@@ -362,6 +366,8 @@ def directory(spark: SparkSession, sf_dir: str) -> Q.Directory:
         # Some have no topics, some one that is left out.
         F.when(k % 7 > 0, F.array(F.concat(F.lit("T"), (k % 4).cast("string")), F.concat(F.lit("T"), (k % 10).cast("string")))).alias("subfields"), "matched", "authors",
     )
+    # Texts, edges and facets all come from these rows, which are joined once.
+    publications = S.staged(publications, "directory-papers")
     people = table(spark, sf_dir, "supplier").count()
     teacher = every.select(F.col("id").alias("teacher"), "college", F.array("name").alias("instructors"))
     courses = table(spark, sf_dir, "part").withColumn("teacher", F.col("p_partkey") % people + 1).join(teacher, "teacher").select(F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("id"), "college", F.concat(F.lit("C"), F.col("p_size").cast("string")).alias("code"), F.col("p_name").alias("name"), "instructors")

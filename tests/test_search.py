@@ -99,3 +99,13 @@ def test_postings_find_what_a_look_finds(spark):
     for words in (["abc"], ["ab", "bca"], ["aaaa", "b"]):
         want = {n for n, t in texts.items() if all(w in t for w in words)}
         assert {r.node for r in search.hits(p, words).where("field = 'name'").collect()} == want == {r.node for r in search.hits(d, words).where("field = 'name'").collect()}
+
+
+def test_a_text_of_many_nodes_is_posted_once(spark):
+    """Postings grow with the different texts, not with the rows that hold them."""
+    faculty = spark.createDataFrame([(f"f{i}", "X", "Ada Berg", i) for i in range(50)], "id string, college string, name string, pos int")
+    none = spark.createDataFrame([], "id string, college string, title string")
+    d = search.directory(spark.createDataFrame([("X",)], "college string"), faculty, none, spark.createDataFrame([], "id string, college string, name string"))
+    p = search.with_postings(d)
+    assert p.postings.where("gram = 'ada'").count() == 2 and p.strings.count() == 3  # the name, the name with its college, and the college
+    assert search.hits(p, ["ada"]).where("field = 'name'").count() == search.hits(p, ["a"]).where("field = 'name'").count() == 50

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import plain_text
+from ..operators.tables import staged
+
+#: Payloads that fail alone are remembered up to so many a source and task.
+MOST_KNOWN = 10_000
 
 
 def flatten_json(df: DataFrame, payload: str, schema: str, fields: Mapping[str, str], where: Column | None = None, keep: Sequence[str] | None = None) -> DataFrame:
@@ -31,7 +35,8 @@ def by_source(df: DataFrame, parsers: Mapping[str, Callable[[pd.DataFrame], pd.D
     """Rows by each source's own parser; what a parser can't read goes to a second table with the reason.
 
     df has source and payload. Parsers turn a frame of a source's rows into a frame with the columns (missing ones are blank). They get all of a
-    source's rows in a batch at once; only if that fails, the rows one by one, so that a bad row is alone in its failure.
+    source's rows in a batch at once; where that fails, halves of them, down to the row that fails alone. A payload that failed alone fails wherever it comes
+    again in the partition, without another try. Sources without a parser fail as they are.
     """
     names = list(columns)
 
@@ -40,23 +45,45 @@ def by_source(df: DataFrame, parsers: Mapping[str, Callable[[pd.DataFrame], pd.D
         out.insert(0, "error", None)
         return out
 
+    def failed(errors: Sequence[str]) -> pd.DataFrame:
+        return pd.DataFrame({"error": list(errors), **{c: "" for c in names}}, dtype=object)
+
+    def read(source: str, rows: pd.DataFrame, known: dict[str, str]) -> Iterator[pd.DataFrame]:
+        """The rows' results; known: payloads that fail alone, with the reason."""
+        parts = [rows]
+        while parts:
+            part = parts.pop()
+            if known:
+                bad = part.payload.isin(known)
+                if bad.any():
+                    yield failed([known[x] for x in part.payload[bad]])
+                    part = part[~bad]
+            if part.empty:
+                continue
+            try:
+                yield parsed(source, part.reset_index(drop=True))
+            except Exception as e:
+                if len(part) > 1:
+                    parts += [part.iloc[len(part) // 2 :], part.iloc[: len(part) // 2]]
+                    continue
+                reason = f"{type(e).__name__}: {e}"
+                if len(known) < MOST_KNOWN:
+                    known[part.payload.iloc[0]] = reason
+                yield failed([reason])
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, dict[str, str]] = {}
         for part in parts:
             for source, rows in part.groupby("source", sort=False, dropna=False):
-                found = []
-                try:
-                    found.append(parsed(source, rows.reset_index(drop=True)))
-                except Exception:
-                    for k in range(len(rows)):
-                        try:
-                            found.append(parsed(source, rows.iloc[k : k + 1].reset_index(drop=True)))
-                        except Exception as e:
-                            found.append(pd.DataFrame([[f"{type(e).__name__}: {e}", *[""] * len(names)]], columns=["error", *names], dtype=object))
-                for one in found:
-                    one.insert(0, "source", source)
-                yield pd.concat(found).astype(object)
-
-    result = df.select("source", "payload").mapInPandas(run, ", ".join(f"`{c}` string" for c in ("source", "error", *names)))
+                if source in parsers:
+                    found = pd.concat(list(read(source, rows, known.setdefault(source, {}))))
+                else:
+                    found = failed([f"KeyError: {source!r}"] * len(rows))
+                found.insert(0, "source", source)
+                yield found.astype(object)
+
+    # Both tables come from one reading.
+    result = staged(df.select("source", "payload").mapInPandas(run, ", ".join(f"`{c}` string" for c in ("source", "error", *names))), "parsed")
     return result.where("error is null").drop("error"), result.where("error is not null").select("source", "error")
 
 

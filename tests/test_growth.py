@@ -3,6 +3,7 @@
 from oracle import SF
 
 from rosterspark.queries import QUERIES
+from rosterspark.sources import records
 
 
 def optimized(df):
@@ -13,3 +14,19 @@ def test_directory_people_carry_no_papers(spark):
     """A college's papers are counted before its people become rows; else each person's row holds all of them."""
     above, _, below = optimized(QUERIES["build_directory"](spark, SF)).partition("Generate explode(faculty")
     assert "publications" in below and "publications" not in above
+
+
+def test_a_bad_payload_does_not_make_its_batch_single_rows(spark):
+    """The reading of good rows doesn't fall back to rows one by one; each bad row still comes with its reason, null payloads and sources too."""
+    data = [("p", None if n % 21 == 0 else "x" if n % 7 == 0 else str(n)) for n in range(2100)] + [(None, "a"), ("q", "b")]
+
+    def picky(pdf):
+        if pdf.payload.isin(["x", None]).any():
+            raise ValueError("bad")
+        return pdf.assign(code=pdf.payload, name=str(len(pdf)))
+
+    good, bad = records.by_source(spark.createDataFrame(data, "source string, payload string").coalesce(1), {"p": picky}, ["code", "name"])
+    got = good.collect()
+    assert sorted(int(r.code) for r in got) == [n for n in range(2100) if n % 7] and max(int(r.name) for r in got) > 500
+    errors = [tuple(r) for r in bad.collect()]
+    assert errors.count(("p", "ValueError: bad")) == 300 and len(errors) == 302 and ("q", "KeyError: 'q'") in errors

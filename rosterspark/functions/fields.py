@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -144,10 +144,25 @@ def _parts(c: Column) -> tuple[Column, Column, Column]:
     return F.regexp_extract(c, pattern, 1).try_cast("int"), F.coalesce(F.regexp_extract(c, pattern, 2).try_cast("int"), F.lit(0)), F.lower(F.regexp_extract(c, pattern, 3))
 
 
+def _once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with c computed once, however often f uses it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
+def _read_time(c: Column, f: Callable[[Column, Column, Column], Column]) -> Column:
+    """f of the hour, minute and half (a, p or blank) of a time."""
+
+    def parts(x: Column) -> Column:
+        h, m, half = _parts(x)
+        return F.struct(h.alias("h"), m.alias("m"), half.alias("half"))
+
+    return _once(_once(c, parts), lambda t: f(t["h"], t["m"], t["half"]))
+
+
 def to_24h(c: Column) -> Column:
     """12:40 PM as 12:40, 1 pm as 13:00; null if it is no time, as 25:00, 9:75 am or 13:00 pm aren't."""
-    h, m, half = _parts(c)
-    return F.when((m < 60) & F.when(half == "", h < 24).otherwise(h.between(1, 12)), _clock(F.when((half == "p") & (h < 12), h + 12).when((half == "a") & (h == 12), 0).otherwise(h), m))
+    hour = lambda h, half: F.when((half == "p") & (h < 12), h + 12).when((half == "a") & (h == 12), 0).otherwise(h)
+    return _read_time(c, lambda h, m, half: F.when((m < 60) & F.when(half == "", h < 24).otherwise(h.between(1, 12)), _clock(hour(h, half), m)))
 
 
 def military_to_12h(c: Column) -> Column:
@@ -174,18 +189,21 @@ def seconds_clock(seconds: Column) -> Column:
 def time_range(c: Column) -> Column:
     """3:00-4:15pm as 15:00-16:15: the suffix counts for both ends, the start flips to morning if the range would run backwards."""
     pattern = r"(?i)^\s*(\d{1,2}(?::\d{2})?)\s*([ap]m)?\s*[-–]\s*(\d{1,2}(?::\d{2})?)\s*([ap]m)?\s*$"
-    part = lambda i: F.regexp_extract(c, pattern, i)
-    own = F.when(part(2) != "", part(2)).otherwise(part(4))
-    other = F.when(F.lower(own) == "pm", "am").otherwise("pm")
-    end = to_24h(F.concat(part(3), F.when(part(4) != "", part(4)).otherwise(part(2))))
-    start = to_24h(F.concat(part(1), own))
-    return F.when(c.rlike(pattern), F.concat(F.when((start > end) & (part(2) == ""), to_24h(F.concat(part(1), other))).otherwise(start), F.lit("-"), end))
+    parts = lambda x: F.when(x.rlike(pattern), F.struct(*[F.regexp_extract(x, pattern, i).alias(n) for i, n in enumerate(("start", "half", "end", "last"), 1)]))
+
+    def read(p: Column) -> Column:
+        own = F.when(p["half"] != "", p["half"]).otherwise(p["last"])
+        other = F.when(F.lower(own) == "pm", "am").otherwise("pm")
+        end = to_24h(F.concat(p["end"], F.when(p["last"] != "", p["last"]).otherwise(p["half"])))
+        both = F.struct(to_24h(F.concat(p["start"], own)).alias("start"), end.alias("end"))
+        return _once(both, lambda t: F.concat(F.when((t["start"] > t["end"]) & (p["half"] == ""), to_24h(F.concat(p["start"], other))).otherwise(t["start"]), F.lit("-"), t["end"]))
+
+    return _once(_once(c, parts), read)
 
 
 def infer_half(c: Column) -> Column:
     """Times without am or pm: 1-7 and 12 are pm, 8-11 am, 0:00 is blank."""
-    h, m, _ = _parts(c)
-    return F.when((h == 0) & (m == 0), "").when(h.between(1, 7), _clock(h + 12, m)).otherwise(_clock(h, m))
+    return _read_time(c, lambda h, m, _: F.when((h == 0) & (m == 0), "").when(h.between(1, 7), _clock(h + 12, m)).otherwise(_clock(h, m)))
 
 
 WEEK = ("M", "T", "W", "R", "F", "S", "U")

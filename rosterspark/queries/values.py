@@ -118,7 +118,8 @@ def time_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = F.when(F.col("event_type") == "click", " ").otherwise(F.col("event_type"))
     bare = F.concat((F.col("h") % 12).cast("string"), F.lit(":"), F.lpad(F.col("m").cast("string"), 2, "0"))
     days = X.days_from_indexes(F.array("d", "d"))
-    return e.select("event_id", span.alias("span"), X.meeting(days, span, place).alias("slot"), X.infer_half(bare).alias("guessed"), X.hhmm(F.date_format("ts", "HHmm")).alias("plain"), X.days_from_text(F.date_format("ts", "EEE")).alias("letters"))
+    e = e.withColumn("span", span)
+    return e.select("event_id", "span", X.meeting(days, F.col("span"), place).alias("slot"), X.infer_half(bare).alias("guessed"), X.hhmm(F.date_format("ts", "HHmm")).alias("plain"), X.days_from_text(F.date_format("ts", "EEE")).alias("letters"))
 
 
 @query("""

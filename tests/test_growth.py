@@ -30,3 +30,9 @@ def test_a_bad_payload_does_not_make_its_batch_single_rows(spark):
     assert sorted(int(r.code) for r in got) == [n for n in range(2100) if n % 7] and max(int(r.name) for r in got) > 500
     errors = [tuple(r) for r in bad.collect()]
     assert errors.count(("p", "ValueError: bad")) == 300 and len(errors) == 302 and ("q", "KeyError: 'q'") in errors
+
+
+def test_times_are_read_once(spark):
+    """The parts of a time are found once and then used, instead of being found again at each use."""
+    df = QUERIES["time_ranges"](spark, SF)
+    assert optimized(df).count("regexp_extract(") < 30

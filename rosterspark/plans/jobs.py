@@ -231,9 +231,10 @@ def build_directory(colleges: DataFrame, faculty: DataFrame, publications: DataF
 def search_directory(colleges: DataFrame, faculty: DataFrame, publications: DataFrame, courses: DataFrame, words: Sequence[str], **facets: object) -> DataFrame:
     """What all words find in the tables of a directory: kind, id, paths. Tables and rules: see `search`; facets: see `search.shown`.
 
-    Looks through all texts; for many searches, write the directory with its postings once (`search.write_directory`) and search what is read back.
+    Looks through all texts of what the facets show; for many searches, give them together (`search.search_each`), or write the directory with its postings
+    once (`search.write_directory`) and search what is read back.
     """
-    return Q.search(Q.directory(colleges, faculty, publications, courses), words, **facets)
+    return Q.search(Q.directory(colleges, faculty, Q.shown_publications(publications, **facets), courses), words)
 
 
 def sectionise_lines(lines: DataFrame, start: str, stop: str, heading: str, record: str) -> DataFrame:

@@ -35,6 +35,8 @@ RULES = {
     "title": [("written by", "of a paper")],
     "course": [("taught by", "of a course")],
 }
+#: What publications may lack, with their types.
+PAPER_FIELDS = {"venue": "string", "acronym": "string", "year": "int", "pub_type": "string", "ranking": "string", "subfields": "array<string>", "matched": "array<string>", "authors": "array<struct<name:string,affiliation:string>>"}
 #: Letters of a gram; folders of the posting table; rarest grams of each word that are looked up.
 GRAM, BUCKETS, RAREST = 3, 64, 2
 
@@ -63,6 +65,14 @@ def _filled(df: DataFrame, **types: str) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in types.items() if c not in df.columns})
 
 
+def _facets() -> dict[str, Column]:
+    """year, group, value and subfields of a publication, as facets name them."""
+    kind = F.col("pub_type")
+    venue = kind.isin("conference", "journal")
+    value = F.when(venue, F.coalesce("ranking", F.lit(""))).when(kind == "book", "other").otherwise(kind)
+    return {"year": F.col("year"), "group": F.when(venue, kind).otherwise("other"), "value": value, "subfields": F.col("subfields")}
+
+
 def directory(colleges: DataFrame, faculty: DataFrame, publications: DataFrame, courses: DataFrame) -> Directory:
     """The tables of a search.
 
@@ -72,10 +82,7 @@ def directory(colleges: DataFrame, faculty: DataFrame, publications: DataFrame,
     """
     colleges = _filled(colleges, state="string").select(_node("college", "college").alias("node"), "college", "state")
     people = _filled(faculty, title="string", interests="string", pos="long").withColumn("node", _node("person"))
-    papers = _filled(
-        publications, venue="string", acronym="string", year="int", pub_type="string", ranking="string", subfields="array<string>", matched="array<string>",
-        authors="array<struct<name:string,affiliation:string>>",
-    ).withColumn("node", _node("paper"))
+    papers = _filled(publications, **PAPER_FIELDS).withColumn("node", _node("paper"))
     taught = _filled(courses, code="string", instructors="array<string>").withColumn("node", _node("course"))
 
     def text(df: DataFrame, field: str, *columns: Column) -> DataFrame:
@@ -105,11 +112,7 @@ def directory(colleges: DataFrame, faculty: DataFrame, publications: DataFrame,
         edge(mentions(papers, col("matched")).join(by_name, ["college", "name"]), "node", "written by", "person"),
         edge(teachers, "person", "teaches", "node"), edge(teachers, "node", "taught by", "person"),
     ]
-    venue = col("pub_type").isin("conference", "journal")
-    facets = papers.select(
-        "node", "year", F.when(venue, col("pub_type")).otherwise("other").alias("group"),
-        F.when(venue, F.coalesce("ranking", F.lit(""))).when(col("pub_type") == "book", "other").otherwise(col("pub_type")).alias("value"), "subfields",
-    )
+    facets = papers.select("node", *[c.alias(name) for name, c in _facets().items()])
     union = lambda parts: reduce(DataFrame.unionByName, parts)
     return Directory(union(texts).where("text <> ''"), union(edges), facets)
 
@@ -174,53 +177,86 @@ def hits(d: Directory, words: Sequence[str]) -> DataFrame:
     With postings, only different texts that hold the rarest grams of each word are read and looked into; words shorter than a gram, and directories
     without postings, need a look into all of them.
     """
-    words = list(dict.fromkeys(w.lower() for w in words if w))
-    look = lambda df: df.where(P.contains_all(F.col("text"), words))
-    own = ("node", "field", "college")
+    return _hits(d, [words]).drop("search")
+
+
+def _lowered(words: Sequence[str]) -> list[str]:
+    return list(dict.fromkeys(w.lower() for w in words if w))
+
+
+def _hits(d: Directory, searches: Sequence[Sequence[str]]) -> DataFrame:
+    """The hits of several searches, with their numbers: search, node, field, college. Searches without words find nothing."""
+    own = ("search", "node", "field", "college")
+    asked = {n: _lowered(words) for n, words in enumerate(searches) if any(words)}
     if d.strings is None or d.postings is None or d.grams is None:
-        return look(d.texts).select(*own).distinct()
-    grams = {w: [w[i : i + GRAM] for i in range(len(w) - GRAM + 1)] for w in words if len(w) >= GRAM}
-    if grams:
-        wanted = sorted({g for some in grams.values() for g in some})
-        # As many rows as the words have grams.
-        counts = dict(tuple(r) for r in d.grams.where(F.col("gram").isin(wanted)).collect())
-        if len(counts) < len(wanted):
-            return d.texts.limit(0).select(*own)
-        rare = sorted({g for some in grams.values() for g in sorted(set(some), key=lambda g: (counts[g], g))[:RAREST]})
-        listed = d.postings.where(F.col("bucket").isin(sorted({_bucket(g) for g in rare})) & F.col("gram").isin(rare))
-        likely = S.staged(listed.groupBy("tid").agg(F.count("*").alias("held")).where(F.col("held") == len(rare)).select("tid"), "search-likely")
-        found = look(_near(d.strings, likely, "tid")).join(likely, "tid").select("tid")
-    else:
-        found = look(d.strings).select("tid")
-    found = S.staged(found, "search-found")
+        # One look through all texts serves all searches. A generated text is made once, not again in each condition.
+        texts = d.texts.select("node", "field", "college", F.explode(F.array("text")).alias("text"))
+        some = {n: P.contains_all(F.col("text"), words) for n, words in asked.items()}
+        found = texts.where(reduce(lambda a, b: a | b, some.values())) if some else texts.limit(0)
+        numbers = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in some.items()])) if some else F.array().cast("array<int>")
+        return found.select(F.explode(numbers).alias("search"), "node", "field", "college").distinct()
+    found = S.staged(reduce(DataFrame.unionByName, [_posted(d, words).select(F.lit(n).alias("search"), "tid") for n, words in asked.items()]), "search-found")
     return _near(d.texts, found, "tid").join(found, "tid").select(*own).distinct()
 
 
-def shown(papers: DataFrame, years: tuple[int | None, int | None] = (None, None), include: Sequence[tuple[str, str]] = (), exclude: Sequence[tuple[str, str]] = (), subfields: Sequence[str] = (), not_subfields: Sequence[str] = ()) -> DataFrame:
-    """Papers of a year range, of included and not of excluded facets (group, value), with one of some subfields and none of others."""
-    return papers.where(P.in_facets(F.col("group"), F.col("value"), F.col("year"), include, exclude, years) & P.tagged(F.col("subfields"), subfields, not_subfields)).select("node")
+def _posted(d: Directory, words: Sequence[str]) -> DataFrame:
+    """Ids (tid) of the stored texts that contain all words."""
+    look = lambda df: df.where(P.contains_all(F.col("text"), words))
+    grams = {w: [w[i : i + GRAM] for i in range(len(w) - GRAM + 1)] for w in words if len(w) >= GRAM}
+    if not grams:
+        return look(d.strings).select("tid")
+    wanted = sorted({g for some in grams.values() for g in some})
+    # As many rows as the words have grams.
+    counts = dict(tuple(r) for r in d.grams.where(F.col("gram").isin(wanted)).collect())
+    if len(counts) < len(wanted):
+        return d.strings.limit(0).select("tid")
+    rare = sorted({g for some in grams.values() for g in sorted(set(some), key=lambda g: (counts[g], g))[:RAREST]})
+    listed = d.postings.where(F.col("bucket").isin(sorted({_bucket(g) for g in rare})) & F.col("gram").isin(rare))
+    likely = S.staged(listed.groupBy("tid").agg(F.count("*").alias("held")).where(F.col("held") == len(rare)).select("tid"), "search-likely")
+    return look(_near(d.strings, likely, "tid")).join(likely, "tid").select("tid")
+
+
+def _is_shown(of: dict[str, Column], years: tuple[int | None, int | None] = (None, None), include: Sequence[tuple[str, str]] = (), exclude: Sequence[tuple[str, str]] = (), subfields: Sequence[str] = (), not_subfields: Sequence[str] = ()) -> Column:
+    return P.in_facets(of["group"], of["value"], of["year"], include, exclude, years) & P.tagged(of["subfields"], subfields, not_subfields)
+
+
+def shown(papers: DataFrame, **facets: object) -> DataFrame:
+    """Papers of a year range (years), of included and not of excluded facets (group, value), with one of some subfields and none of others (not_subfields)."""
+    return papers.where(_is_shown({c: F.col(c) for c in ("year", "group", "value", "subfields")}, **facets)).select("node")
+
+
+def shown_publications(publications: DataFrame, **facets: object) -> DataFrame:
+    """The same of a directory's publications (see `directory`): a search under these facets needs no texts and edges of others."""
+    rows = _filled(publications, **{c: PAPER_FIELDS[c] for c in ("year", "pub_type", "ranking", "subfields")})
+    return rows.where(_is_shown(_facets(), **facets)).select(*publications.columns)
 
 
 def search(d: Directory, words: Sequence[str], **facets: object) -> DataFrame:
     """What the words find, each node once: kind, id, paths. facets: as `shown` takes them. Without words nothing is found."""
-    none = d.texts.sparkSession.createDataFrame([], "kind string, id string, paths array<string>")
-    if not any(words):
-        return none
+    return search_each(d, [words], **facets).drop("search")
+
+
+def search_each(d: Directory, searches: Sequence[Sequence[str]], **facets: object) -> DataFrame:
+    """What each of several searches finds under the same facets: search (its number, from 0), kind, id, paths. The tables are read for all of them at once."""
+    if not any(any(words) for words in searches):
+        return d.texts.sparkSession.createDataFrame([], "search int, kind string, id string, paths array<string>")
     is_paper = F.col("node").startswith("paper:")
 
     def allowed(df: DataFrame) -> DataFrame:
         """df without papers that are hidden; an inner join, in which the few hits can be broadcast, not the papers."""
+        if not facets:
+            return df.where("node is not null")
         papers = df.where(is_paper)
         return df.where(~is_paper).unionByName(papers.join(shown(_near(d.papers, papers), **facets), "node").select(*df.columns))
 
-    hit = S.staged(hits(d, words), "search-hits")
-    own = hit.where("field = 'matched'").select("node").distinct()
-    others = hit.where("field = 'author'").join(own, "node", "left_anti")
-    names = hit.where("field = 'name'").select("node")
-    interests = hit.where("field = 'interests'").join(names, "node", "left_anti")
+    hit = S.staged(_hits(d, searches), "search-hits")
+    own = hit.where("field = 'matched'").select("search", "node").distinct()
+    others = hit.where("field = 'author'").join(own, ["search", "node"], "left_anti")
+    names = hit.where("field = 'name'").select("search", "node")
+    interests = hit.where("field = 'interests'").join(names, ["search", "node"], "left_anti")
     seeds = S.staged(allowed(reduce(DataFrame.unionByName, [hit.where(F.col("field").isin("college", "name", "title", "course")), interests, others])), "search-seeds")
     follow = F.explode(F.element_at(F.create_map(*[x for field, ways in RULES.items() for x in (F.lit(field), F.array(*[F.struct(F.lit(how).alias("how"), F.lit(path).alias("path")) for how, path in ways]))]), F.col("field")))
-    led = seeds.select(F.col("node").alias("src"), follow.alias("way")).select("src", "way.how", "way.path").join(_near(d.edges, seeds), ["src", "how"]).select(F.col("dst").alias("node"), "path")
-    inside = seeds.where("field <> 'college'").select(_node("college", "college").alias("node"), F.lit("inside").alias("path")).distinct()
-    paths = S.search_paths(*[df.withColumnRenamed("node", "id") for df in (seeds.select("node", F.col("field").alias("path")), allowed(led), inside)])
-    return paths.select(F.substring_index("id", ":", 1).alias("kind"), F.expr("substring(id, instr(id, ':') + 1)").alias("id"), "paths")
+    led = seeds.select("search", F.col("node").alias("src"), follow.alias("way")).select("search", "src", "way.how", "way.path").join(_near(d.edges, seeds), ["src", "how"]).select("search", F.col("dst").alias("node"), "path")
+    inside = seeds.where("field <> 'college'").select("search", _node("college", "college").alias("node"), F.lit("inside").alias("path")).distinct()
+    paths = S.search_paths(*[df.withColumn("id", F.struct("search", "node")).select("id", "path") for df in (seeds.select("search", "node", F.col("field").alias("path")), allowed(led), inside)])
+    return paths.select("id.search", F.substring_index("id.node", ":", 1).alias("kind"), F.expr("substring(id.node, instr(id.node, ':') + 1)").alias("id"), "paths")

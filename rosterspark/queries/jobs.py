@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import fields as X
+from ..operators import joins as J
 from ..operators import tables as S
 from ..plans import jobs
 from ..plans import search as Q
@@ -296,6 +296,7 @@ def build_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
 SEARCHES = (("berg", "A"), ("NATION_3", "america"), ("venue 7", "urgent"), ("gomez", "ada", "nation_1"), ("widget", "c1"), ("rings", "elena"), ("no such", "word"))
 #: Facets of papers that the searches leave out or ask for.
 YEARS, HIDDEN, TOPICS, NOT_TOPICS = (1994, None), (("journal", "Q4"), ("other", "preprint")), ("T0", "T1", "T2"), ("T9",)
+FACETS = {"years": YEARS, "exclude": HIDDEN, "subfields": TOPICS, "not_subfields": NOT_TOPICS}
 
 SEARCH_SQL = f"""
 WITH {SUPPLIERS},
@@ -336,8 +337,8 @@ SELECT n::INT AS search, kind, id, array_to_string(list_sort(list(DISTINCT path)
 """
 
 
-def directory(spark: SparkSession, sf_dir: str) -> Q.Directory:
-    """Nations as colleges in regions, suppliers in good standing as people, orders as a row for each nation of their people with all authors, parts as courses."""
+def directory(spark: SparkSession, sf_dir: str, **facets: object) -> Q.Directory:
+    """Nations as colleges in regions, suppliers in good standing as people, orders (which the facets show) as a row for each nation of their people with all authors, parts as courses."""
     n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     colleges = n.select(F.col("n_name").alias("college"), F.col("r_name").alias("state"))
     s = named(table(spark, sf_dir, "supplier"), "s_suppkey", "s_nationkey").join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), "s_acctbal"), "id")
@@ -347,13 +348,14 @@ def directory(spark: SparkSession, sf_dir: str) -> Q.Directory:
         F.concat(F.lit("s"), sid).alias("id"), "college", "name", F.when(F.col("id") % 3 == 0, "").otherwise("Professor").alias("title"),
         F.when(F.col("id") % 4 == 0, "Bergs and rings").otherwise("gears").alias("interests"), F.col("id").alias("pos"),
     )
-    wrote = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_suppkey").alias("id")).join(every, "id")
+    wrote = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_suppkey").alias("id")).join(J.small(every, 500_000), "id")
     # A row for each college of the paper's people, with its own people; all authors beside it. Each paper's authors meet once.
     by_paper = wrote.groupBy("k").agg(F.collect_set(F.struct("grp", "college", "name", "own")).alias("w"))
-    homes = F.array_distinct(F.transform(F.filter("w", lambda x: x["own"]), lambda x: F.struct(x["grp"].alias("grp"), x["college"].alias("college"))))
-    rows = by_paper.select("k", "w", F.explode(homes).alias("home")).select(
-        "k", "home.grp", "home.college", F.array_distinct(F.transform(F.filter("w", lambda x: x["own"] & (x["grp"] == F.col("home.grp"))), lambda x: x["name"])).alias("matched"),
-        F.array_distinct(F.transform("w", lambda x: F.struct(x["name"].alias("name"), x["college"].alias("affiliation")))).alias("authors"),
+    own = F.filter("w", lambda x: x["own"])
+    homes = F.array_distinct(F.transform(own, lambda x: F.struct(x["grp"].alias("grp"), x["college"].alias("college"))))
+    authors = F.array_distinct(F.transform("w", lambda x: F.struct(x["name"].alias("name"), x["college"].alias("affiliation"))))
+    rows = by_paper.select("k", authors.alias("authors"), own.alias("own"), F.explode(homes).alias("home")).select(
+        "k", "home.grp", "home.college", F.array_distinct(F.transform(F.filter("own", lambda x: x["grp"] == F.col("home.grp")), lambda x: x["name"])).alias("matched"), "authors"
     )
     k = F.col("k")
     kind = F.when(k % 3 == 0, "conference").when(k % 3 == 1, "journal").when(k % 4 == 0, "book").when(k % 4 == 1, "preprint").otherwise("report")
@@ -367,23 +369,21 @@ def directory(spark: SparkSession, sf_dir: str) -> Q.Directory:
         F.when(k % 7 > 0, F.array(F.concat(F.lit("T"), (k % 4).cast("string")), F.concat(F.lit("T"), (k % 10).cast("string")))).alias("subfields"), "matched", "authors",
     )
     # Texts, edges and facets all come from these rows, which are joined once.
-    publications = S.staged(publications, "directory-papers")
+    publications = S.staged(Q.shown_publications(publications, **facets), "directory-papers")
     people = table(spark, sf_dir, "supplier").count()
     teacher = every.select(F.col("id").alias("teacher"), "college", F.array("name").alias("instructors"))
     courses = table(spark, sf_dir, "part").withColumn("teacher", F.col("p_partkey") % people + 1).join(teacher, "teacher").select(F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("id"), "college", F.concat(F.lit("C"), F.col("p_size").cast("string")).alias("code"), F.col("p_name").alias("name"), "instructors")
     return Q.directory(colleges, faculty, publications, courses)
 
 
-def _searches(d: Q.Directory) -> DataFrame:
-    found = [Q.search(d, words, years=YEARS, exclude=HIDDEN, subfields=TOPICS, not_subfields=NOT_TOPICS).select(F.lit(n).alias("search"), "kind", "id", F.array_join("paths", "|").alias("paths")) for n, words in enumerate(SEARCHES)]
-    return reduce(DataFrame.unionByName, found)
+def _searches(d: Q.Directory, **facets: object) -> DataFrame:
+    return Q.search_each(d, SEARCHES, **facets).select("search", "kind", "id", F.array_join("paths", "|").alias("paths"))
 
 
 @query(SEARCH_SQL)
 def search_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What several searches find by a look through all texts: by college and region, name, interests, title and venue, outside author and course, under facets, with what hits lead to."""
-    d = directory(spark, sf_dir)
-    return _searches(replace(d, texts=S.staged(d.texts, "search-texts"), edges=S.staged(d.edges, "search-edges"), papers=S.staged(d.papers, "search-papers")))
+    """What several searches find by one look through all texts: by college and region, name, interests, title and venue, outside author and course, under facets, with what hits lead to."""
+    return _searches(directory(spark, sf_dir, **FACETS))
 
 
 @query(SEARCH_SQL)
@@ -391,7 +391,7 @@ def search_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same searches over a written directory, whose postings of trigrams say which texts to look into."""
     path = f"{S.shared_dir(spark)}/directory-{uuid.uuid4().hex}"
     Q.write_directory(directory(spark, sf_dir), path)
-    return _searches(Q.read_directory(spark, path))
+    return _searches(Q.read_directory(spark, path), **FACETS)
 
 
 @query("""

@@ -5,6 +5,7 @@ import random
 from oracle import SF
 
 from rosterspark.operators import joins as J
+from rosterspark.plans import search
 from rosterspark.queries import QUERIES
 from rosterspark.sources import records
 
@@ -64,3 +65,16 @@ def test_coauthors_are_not_grouped_by_all_columns(spark):
     out = J.coauthor_classes(rows, "home", spark.createDataFrame([("Z",)], "name string"), spark.createDataFrame([("x", "a")], "inst string, last string"))
     assert [r.kind for r in out.orderBy("at").collect()] == ["external", "other"] * 3
     assert "Aggregate [paper" not in optimized(out)
+
+
+def test_searches_look_through_shown_texts_once(spark):
+    """Several searches read the texts together, of shown papers alone; each finds what it finds by itself."""
+    people = spark.createDataFrame([(f"f{n}", "X", f"Ada Berg{n}") for n in range(9)], "id string, college string, name string")
+    papers = spark.createDataFrame([(f"p{n}", "X", "Berg1 lakes", 2000 + n, [f"Ada Berg{n}"]) for n in range(9)], "id string, college string, title string, year int, matched array<string>")
+    tables = spark.createDataFrame([("X",)], "college string"), people, papers, spark.createDataFrame([], "id string, college string, name string")
+    d, asked = search.directory(*tables), (["berg1"], [], ["ada", "Berg"], ["lakes"], ["no"])
+    shown = search.directory(*tables[:2], search.shown_publications(papers, years=(2004, None)), tables[3])
+    got = {(r.search, r.kind, r.id, *r.paths) for r in search.search_each(shown, asked).collect()}
+    assert got == {(n, r.kind, r.id, *r.paths) for n, words in enumerate(asked) for r in search.search(d, words, years=(2004, None)).collect()} and len(got) > 20
+    looks = optimized(search._hits(shown, asked))
+    assert looks.count("Join") == 0 and looks.count("written") == 0 and search.shown_publications(papers, years=(2004, None)).count() == 5

@@ -58,22 +58,31 @@ def link_publications(works: DataFrame, roster: DataFrame, peers: DataFrame) ->
     J.coauthor_classes; peers: name), in the order of the authors. An author who matches isn't a co-author; one without id is known by the place in the list.
     """
     works = works.withColumns({c: F.lit(None).cast(t) for c, t in WORK_FIELDS.items() if c not in works.columns})
+    # Works may come from a long plan; they, their authors and the best works are read several times, but made once.
+    works = S.staged(works.select("id", "title", "type", "publication_year", "authorships", *WORK_FIELDS), "works")
     named = F.col("a.author.display_name")
     institutions = F.coalesce("a.institutions", F.array().cast("array<struct<ror:string,display_name:string>>"))
-    authors = works.select("id", F.posexplode("authorships").alias("at", "a")).select(
-        "id", "at", named.alias("name"), F.coalesce(F.nullif(F.col("a.author.id"), F.lit("")), F.concat(F.lit("at "), "at")).alias("author"),
+    titled = works.select("id", "title", "type", F.col("publication_year").alias("year"), X.paper_key(F.col("title"), F.col("id")).alias("key"), "authorships")
+    spread = titled.select("id", "title", "type", "year", "key", F.posexplode("authorships").alias("at", "a"))
+    authors = spread.select(
+        "id", "title", "type", "year", "key", "at", named.alias("name"), F.coalesce(F.nullif(F.col("a.author.id"), F.lit("")), F.concat(F.lit("at "), "at")).alias("author"),
         F.transform(institutions, lambda i: i["ror"]).alias("insts"), F.transform(institutions, lambda i: i["display_name"]).alias("names"), T.name_key(named).alias("k"),
         F.coalesce(F.lower(F.try_element_at(T.tokens(named), F.lit(-1))), F.lit("")).alias("last"),
     )
+    authors = S.staged(authors, "work-authors")
     people = roster.withColumn("k", T.name_key(F.col("name"))).where("k is not null")
     keyed = people.groupBy("inst", "k").agg(F.max_by(F.struct("name", "college"), "pos").alias("p"))
-    found = authors.where("k is not null").select("id", "author", "k", F.explode(F.array_distinct("insts")).alias("inst")).join(keyed, ["inst", "k"])
-    matched = found.groupBy("id", "inst", "p.college").agg(F.array_sort(F.collect_set("p.name")).alias("matched"), F.collect_set("author").alias("own"))
+    # A row for each match: what they have in common is united in one grouping, that of the titles.
+    found = authors.where("k is not null").select("id", "title", "type", "year", "key", "k", F.explode(F.array_distinct("insts")).alias("inst")).join(keyed, ["inst", "k"])
+    rows = found.select("id", "title", "type", "year", "key", "p.college", "inst", F.array("p.name").alias("matched"))
     order = F.element_at(F.create_map(*[F.lit(x) for pair in K.WORK_RANK.items() for x in pair]), F.col("type"))
-    rows = works.select("id", "title", "type", F.col("publication_year").alias("year")).join(matched, "id")
-    key = F.struct("college", X.paper_key(F.col("title"), F.col("id")).alias("k"))
-    best = A.dedup_best(rows, key, [F.coalesce(order, F.lit(1)), F.coalesce("year", F.lit(9999)), F.col("id")], merge="matched")
-    co = best.select("id", "college", F.col("inst").alias("home"), "own").join(authors.drop("k"), "id").where(~F.array_contains("own", F.col("author")))
+    best = A.dedup_best(rows, F.struct("college", "key"), [F.coalesce(order, F.lit(1)), F.coalesce("year", F.lit(9999)), F.col("id"), F.col("inst")], merge="matched")
+    best = S.staged(best.drop("key"), "linked-works")
+    matches = F.array_contains("insts", F.col("home")) & (F.col("p.college") == F.col("college"))
+    met = best.select("id", "college", F.col("inst").alias("home")).join(authors.select("id", "at", "name", "author", "insts", "names", "k", "last"), "id").join(keyed.withColumnRenamed("inst", "home"), ["home", "k"], "left")
+    met = S.staged(met.withColumn("own", F.coalesce(matches, F.lit(False))).drop("k", "p"), "linked-authors")
+    # An author who matches at one place of the list is none at others.
+    co = met.where("not own").join(met.where("own").select("id", "college", "author").distinct(), ["id", "college", "author"], "left_anti")
     surnames = roster.select("inst", F.lower(F.try_element_at(T.tokens(F.col("name")), F.lit(-1))).alias("last"))
     classed = J.coauthor_classes(co.select("id", "college", "home", "at", "name", "insts", "names", "last"), "home", peers, surnames)
     kinds = ("student", "faculty", "other", "external")
@@ -81,13 +90,14 @@ def link_publications(works: DataFrame, roster: DataFrame, peers: DataFrame) ->
     lists = classed.groupBy("id", "college").agg(*[listed(k) for k in kinds])
     filled = lambda c: F.array_distinct(F.filter(c, lambda x: F.coalesce(x, F.lit("")) != ""))
     place = F.col("primary_location")
-    about = works.select(
-        "id", "cited_by_count", X.work_url(F.col("doi"), place).alias("url"), X.work_venue(place).alias("venue"), F.coalesce(place["source"]["id"], F.lit("")).alias("venue_url"), X.work_venue_type(place).alias("venue_type"),
+    about = [
+        "cited_by_count", X.work_url(F.col("doi"), place).alias("url"), X.work_venue(place).alias("venue"), F.coalesce(place["source"]["id"], F.lit("")).alias("venue_url"), X.work_venue_type(place).alias("venue_type"),
         filled(F.transform("topics", lambda t: t["display_name"])).alias("topics"), filled(F.transform("topics", lambda t: t["subfield"]["display_name"])).alias("subfields"), X.authors_of(F.col("authorships")).alias("authors"),
-    )
+    ]
     none = F.array().cast("array<string>")
-    out = best.drop("own", "inst").join(lists, ["id", "college"], "left").join(about, "id")
-    return out.withColumns({f"{k}_coauthors": F.coalesce(f"{k}_coauthors", none) for k in kinds})
+    out = best.drop("inst").join(lists, ["id", "college"], "left").withColumns({f"{k}_coauthors": F.coalesce(f"{k}_coauthors", none) for k in kinds})
+    # Fields are derived for the works that are left.
+    return out.join(works.select("id", "authorships", *WORK_FIELDS), "id").select(*out.columns, *about)
 
 
 def tag_venues(

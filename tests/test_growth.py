@@ -3,9 +3,10 @@
 import random
 
 from oracle import SF
+from pyspark.sql import functions as F
 
 from rosterspark.operators import joins as J
-from rosterspark.plans import search
+from rosterspark.plans import jobs, search
 from rosterspark.queries import QUERIES
 from rosterspark.sources import records
 
@@ -78,3 +79,21 @@ def test_searches_look_through_shown_texts_once(spark):
     assert got == {(n, r.kind, r.id, *r.paths) for n, words in enumerate(asked) for r in search.search(d, words, years=(2004, None)).collect()} and len(got) > 20
     looks = optimized(search._hits(shown, asked))
     assert looks.count("Join") == 0 and looks.count("written") == 0 and search.shown_publications(papers, years=(2004, None)).count() == 5
+
+
+def test_works_are_made_once(spark):
+    """Linking makes its works once, however often it reads them; an author who matches at one place of a work is its co-author at none."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(title):
+        made.add(1)
+        return title
+
+    shape = "id string, title string, type string, publication_year int, authorships array<struct<author:struct<id:string,display_name:string>,institutions:array<struct<ror:string,display_name:string>>>>"
+    lists = [(("A1", "Ada Berg"), [("r", "X")]), (("A2", "Bo Haas"), [("r", "X")]), (("A1", "A. Berg-Costa"), [("q", "Y")])]
+    data = spark.createDataFrame([(f"W{n}", f"T{n % 3}", "article", 2000 + n, lists) for n in range(9)], shape)
+    roster = spark.createDataFrame([("Ada Berg", "X", "r", 1)], "name string, college string, inst string, pos int")
+    works = data.withColumn("title", F.udf(seen, "string")("title"))
+    out = jobs.link_publications(works, roster, spark.createDataFrame([("Y",)], "name string")).collect()
+    assert sorted((r.id, r.matched, r.student_coauthors, r.other_coauthors) for r in out) == [(f"W{n}", ["Ada Berg"], ["Bo Haas"], []) for n in range(3)]
+    assert made.value == 9

@@ -196,26 +196,34 @@ def build_offerings(rows: DataFrame, people: DataFrame) -> DataFrame:
     blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
     clean = rows.withColumns({"course_code": blank("course_code"), "course_name": F.regexp_replace(blank("course_name"), '^"+|"+$', ""), "url": F.nullif(blank("url"), F.lit("")), "instructor": blank("instructor")})
     # Read once; all steps below start from these rows.
-    inside = S.staged(clean.where(P.in_years(F.col("academic_year"), F.col("term"))).select("college", "academic_year", "term", "course_code", "course_name", "instructor", "url", "pos"), "course-rows")
+    wanted = (P.has_prefix(F.col("course_code")) & ~P.is_excluded(F.col("course_name"))).alias("wanted")
+    inside = S.staged(clean.where(P.in_years(F.col("academic_year"), F.col("term"))).select("college", "academic_year", "term", "course_code", "course_name", "instructor", "url", "pos", wanted), "course-rows")
     # The cutoff counts every row of an allowed year and term; the axis those of codes that are dropped later, but not of excluded names.
     cutoff = inside.agg(X.academic_year(F.max(F.substring("academic_year", 1, 4).try_cast("int")) - 3)).scalar()
-    kept = inside.where(P.has_prefix(F.col("course_code")) & ~P.is_excluded(F.col("course_name")))
+    kept = inside.where("wanted")
     keys, period = ["college", "course_code"], F.struct("academic_year", X.term_rank(F.col("term")).alias("rank"), "term")
-    axis = R.axis(kept, "college", period)
+    # Names, axis and pruning need each name of a code and period once.
+    called = S.staged(kept.groupBy(*keys, "academic_year", "term", "course_name").agg(F.min("pos").alias("pos")), "course-names")
+    axis = R.axis(called.select("college", "academic_year", "term").distinct(), "college", period)
     lecture = (F.col("course_name") != "") & ~P.is_lab_only(F.col("course_name"))
     latest = F.max_by(F.when(lecture, F.col("course_name")), F.when(lecture, F.struct("academic_year", X.term_rank(F.col("term")), -F.col("pos"))))
     # Codes that have names, but only those of labs, go.
-    names = kept.groupBy(*keys).agg(latest.alias("name"), F.bool_or(F.col("course_name") != "").alias("named")).where("name is not null or not named").select(*keys, F.coalesce("name", F.lit("")).alias("name"))
-    pruned = S.staged(A.prune_singletons(kept, "college", "course_code", "academic_year", cutoff, "term").join(names, keys, "left_semi"), "course-rows-kept")
-    cells = pruned.groupBy(*keys, period.alias("period")).agg(F.min_by("url", F.when(F.col("url").isNotNull(), F.col("pos"))).alias("url"))
+    names = called.groupBy(*keys).agg(latest.alias("name"), F.bool_or(F.col("course_name") != "").alias("named")).where("name is not null or not named").select(*keys, F.coalesce("name", F.lit("")).alias("name"))
+    stay = A.prune_singletons(called, "college", "course_code", "academic_year", cutoff, "term").select(*keys).distinct()
+    names = S.staged(names.join(stay, keys, "left_semi"), "course-codes")
+    pruned = kept.join(names, keys, "left_semi")
+    cells = S.staged(pruned.groupBy(*keys, period.alias("period")).agg(F.min_by("url", F.when(F.col("url").isNotNull(), F.col("pos"))).alias("url")), "course-cells")
     linked = cells.join(A.url_mode(cells, "college", "course_code", "url"), "college")
     value = F.when(F.col("mode") == "per term", F.col("url")).alias("value")
     maps = linked.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("period", value))).alias("m"), F.max(F.when(F.col("mode") == "per code", F.col("url"))).alias("url"))
-    mentions = pruned.select(*keys, period.alias("period"), F.explode(T.split_people(F.col("instructor"))).alias("who")).withColumn("p", T.parse_person(F.col("who"))).where("p is not null")
-    mentions = mentions.withColumn("id", F.struct("college", "who"))
+    # Different lists of instructors are fewer than rows; only they are split, read and resolved.
+    listed = S.staged(pruned.select(*keys, "academic_year", "term", "instructor").distinct(), "course-instructors")
+    mentions = listed.select("college", "instructor").distinct().select("college", "instructor", F.explode(T.split_people(F.col("instructor"))).alias("who")).withColumn("p", T.parse_person(F.col("who"))).where("p is not null")
+    mentions = S.staged(mentions.withColumn("id", F.struct("college", "who")), "course-people")
     known = people.select("person", "college", T.parse_person(F.col("name")).alias("p")).where("p is not null").select("person", "college", "p.first", "p.last")
     resolved = J.scored_match(mentions.select("id", "college", "p.first", "p.last").distinct(), known, "college")
-    taught = mentions.join(resolved, "id").groupBy(*keys, "period").agg(F.array_sort(F.collect_set("person")).alias("people"))
+    persons = mentions.join(resolved, "id").select("college", "instructor", "person").distinct()
+    taught = listed.join(persons, ["college", "instructor"]).groupBy(*keys, period.alias("period")).agg(F.array_sort(F.collect_set("person")).alias("people"))
     teachers = taught.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("period", "people"))).alias("t"))
     out = names.join(maps, keys).join(axis, "college").join(teachers, keys, "left")
     on = F.transform("axis", lambda p: F.struct(F.map_contains_key("m", p).alias("on"), F.element_at("m", p).alias("value")))

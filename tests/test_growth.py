@@ -97,3 +97,15 @@ def test_works_are_made_once(spark):
     out = jobs.link_publications(works, roster, spark.createDataFrame([("Y",)], "name string")).collect()
     assert sorted((r.id, r.matched, r.student_coauthors, r.other_coauthors) for r in out) == [(f"W{n}", ["Ada Berg"], ["Bo Haas"], []) for n in range(3)]
     assert made.value == 9
+
+
+def test_instructor_lists_are_read_once(spark, monkeypatch):
+    """Different lists of instructors are split, read and resolved, not those of every row."""
+    stage, staged = jobs.S.staged, {}
+    monkeypatch.setattr(jobs.S, "staged", lambda df, label: staged.setdefault(label, stage(df, label)))
+    lists = ("Berg, Ada; Bo Haas", "Bo Haas")
+    data = [("X", f"202{3 + n % 3}-2{4 + n % 3}", "FS"[n % 2], f"CS {n % 5}", f"Rings {n % 5}", lists[n % 2], "", n) for n in range(120)]
+    rows = spark.createDataFrame(data, "college string, academic_year string, term string, course_code string, course_name string, instructor string, url string, pos int")
+    out = jobs.build_offerings(rows, spark.createDataFrame([("ada", "X", "Ada Berg"), ("bo", "X", "Bo Haas")], "person string, college string, name string")).collect()
+    assert [[[c.on, w] for c, w in zip(r.cells, r.instructors)] for r in out] == [[[True, ["ada", "bo"]], [True, ["bo"]]] * 3] * 5
+    assert staged["course-people"].count() == 3

@@ -221,8 +221,12 @@ def blank_if_placeholder(c: Column, placeholders: Sequence[str] = ("TBA", "Staff
 
 def distinct_by(items: Column, key) -> Column:
     """Items of a list whose key hasn't come before, in order."""
-    keys = F.transform(items, key)
-    return F.filter(items, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+
+    def first(its: Column) -> Column:
+        return F.transform(F.array(F.transform(its, key)), lambda keys: F.filter(its, lambda x, i: F.array_position(keys, key(x)) == i + 1))
+
+    # Items and keys are bound, each in a list of one: they are made once, not again for each item.
+    return F.get(F.flatten(F.transform(F.array(items), first)), F.lit(0))
 
 
 ROLE_MARKER = r"(?i)\s*\((?:primary|p|lead|responsible)\)\s*$"

@@ -88,6 +88,10 @@ def profile(df: DataFrame, page: str, html: str) -> DataFrame:
     listed = lambda cls: F.transform(F.regexp_extract_all(html, F.lit(rf'(?is)<(?:span|a|div)[^>]*class="{cls}"[^>]*>(.*?)</'), 1), plain_text)
     pairs = F.filter(F.arrays_zip(listed("year").alias("y"), listed("count").alias("n")), lambda p: p["y"].rlike(r"^\d+$") & p["n"].rlike(r"^\d+$"))
     by_year = first_of_each(F.transform(pairs, lambda p: F.struct(p["y"].cast("int").alias("key"), p["n"].cast("int").alias("value"))))
-    base = df.select(page, name.alias("name"), by_year.alias("by_year"), listed("tag").alias("tags"))
+    # Metrics as `metrics` gives them, without a second reading of the pages.
+    rows = df.select(page, html, F.filter(row_lists(F.col(html)), lambda cells: F.size(cells) >= 3).alias("rows__"))
+    entry = lambda cells: F.struct(F.lower(F.get(cells, F.lit(0))).alias("key"), F.struct(F.get(cells, F.lit(1)).try_cast("int").alias("all"), F.get(cells, F.lit(2)).try_cast("int").alias("recent")).alias("value"))
+    labelled = F.when(F.size("rows__") > 0, first_of_each(F.transform("rows__", entry)))
+    base = rows.select(page, name.alias("name"), by_year.alias("by_year"), listed("tag").alias("tags"), labelled.alias("metrics"))
     kept = [F.when(F.col("name").isNotNull(), F.col(c)).alias(c) for c in ("by_year", "tags", "metrics")]
-    return base.join(metrics(df, page, html), page, "left").select(page, "name", *kept)
+    return base.select(page, "name", *kept)

@@ -5,10 +5,11 @@ import random
 from oracle import SF
 from pyspark.sql import functions as F
 
+from rosterspark.functions import text as T
 from rosterspark.operators import joins as J
 from rosterspark.plans import jobs, search
 from rosterspark.queries import QUERIES
-from rosterspark.sources import records
+from rosterspark.sources import records, web
 
 
 def optimized(df):
@@ -109,3 +110,22 @@ def test_instructor_lists_are_read_once(spark, monkeypatch):
     out = jobs.build_offerings(rows, spark.createDataFrame([("ada", "X", "Ada Berg"), ("bo", "X", "Bo Haas")], "person string, college string, name string")).collect()
     assert [[[c.on, w] for c, w in zip(r.cells, r.instructors)] for r in out] == [[[True, ["ada", "bo"]], [True, ["bo"]]] * 3] * 5
     assert staged["course-people"].count() == 3
+
+
+def test_profile_pages_are_read_once(spark):
+    """Pages aren't joined with themselves; a page without metrics, name or html gives nulls, and first metrics and years count."""
+    row = "<tr><td>Works</td><td>{}</td><td>x</td></tr>"
+    span = '<span class="year">{}</span><span class="count">{}</span>'
+    pages = [(1, "<h1>A</h1><table>" + row.format(3) + row.format(4) + "</table>" + span.format(2001, 5) + span.format(2001, 6) + span.format(2002, 7)), (2, "<h1>B</h1>"), (3, "<table>" + row.format(1) + "</table>"), (4, None)]
+    out = web.profile(spark.createDataFrame(pages, "page int, html string"), "page", "html")
+    got = {r.page: (r.name, r.by_year, r.metrics and {k: tuple(v) for k, v in r.metrics.items()}) for r in out.collect()}
+    assert got == {1: ("A", {2001: 5, 2002: 7}, {"works": (3, None)}), 2: ("B", {}, None), 3: (None, None, None), 4: (None, None, None)}
+    assert "Join" not in optimized(out)
+
+
+def test_items_are_made_once(spark):
+    """What is made of a list before equal items go isn't made again for each item."""
+    items = F.transform(F.sequence(F.lit(0), F.lit(400)), lambda n: F.concat(F.lit("k"), (n % 7).cast("string")))
+    df = spark.range(1).select(T.distinct_by(items, F.upper).alias("kept"))
+    assert df.first().kept == [f"k{n}" for n in range(7)] and spark.sql("select null n").select(T.distinct_by(F.col("n").cast("array<string>"), F.upper)).first()[0] is None
+    assert optimized(spark.range(1).select(T.distinct_by(F.sequence(F.lit(0), F.col("id")), lambda n: n % 7).alias("kept"))).count("sequence(") == 1
